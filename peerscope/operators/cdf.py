@@ -1,0 +1,133 @@
+"""Distributed empirical CDF over value counts — the skew-safe path.
+
+A peer group is normally ranked by one window task. When a single group can hold a large
+share of all rows (one specialty and one very common drug), that task would receive the
+whole group. This operator computes the same cumulative counts without ever placing a
+group in one task:
+
+1. pre-aggregate to distinct values ``(keys, v) -> c`` (map-side partial aggregation, the
+   shuffle is hashed on ``(keys, v)`` so one group spreads over all tasks);
+2. cut each group's distinct values into ``buckets`` value ranges with
+   ``percentile_approx`` (a bounded-size sketch, also partially aggregated);
+3. per (group, bucket) totals -> exclusive prefix over buckets (at most ``buckets`` rows per
+   group, so that window is small);
+4. running sum inside (group, bucket) — a bucket holds ~1/buckets of the group's
+   distinct values — plus the bucket's offset.
+
+The approximate cut points only decide *where* a group is split; every count is exact.
+Callers pass ``group_bound``, a proven upper bound on the number of groups, which decides
+whether the per-group side tables are broadcast.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from peerscope.operators.joins import broadcast_if_small, join_null_safe
+
+DEFAULT_BUCKETS = 1024
+
+
+def count_below(df: DataFrame, arr: str, value: str, length: int, out: str) -> DataFrame:
+    """Number of elements of the ascending array ``arr`` (at most ``length`` long) that are
+    strictly below ``value``, by binary lifting: log2(length) lookups per row instead of a
+    scan of the whole array. One ``aggregate`` over the (constant) step sizes keeps the
+    expression linear in size."""
+    steps = []
+    step = 1
+    while step * 2 <= max(length, 1):
+        step *= 2
+    while step >= 1:
+        steps.append(step)
+        step //= 2
+    b, v = F.col(arr), F.col(value)
+    size = F.coalesce(F.size(b), F.lit(0))
+
+    def lift(acc, st):
+        nxt = acc + st
+        return F.when((nxt <= size) & (F.try_element_at(b, nxt) < v), nxt).otherwise(acc)
+
+    return df.withColumn(out, F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lift))
+
+
+def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCKETS,
+              group_bound: int | None = None) -> DataFrame:
+    """One row per (keys, distinct value): ``_v``, ``_c`` (rows with it), ``_cum`` (rows with
+    a value <= it, NULLs sorting last like an ascending ORDER BY NULLS LAST) and ``_n``
+    (rows in the group)."""
+    keys = list(keys)
+    vc = (df.select(*keys, value.alias("_v"))
+            .groupBy(*keys, "_v")
+            .agg(F.count(F.lit(1)).alias("_c")))
+
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = (vc.filter(F.col("_v").isNotNull())
+                .groupBy(*keys)
+                .agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_b")))
+    bounds = broadcast_if_small(bounds, group_bound)
+    vb = count_below(join_null_safe(vc, bounds, keys, "left"), "_b", "_v", buckets - 1, "_bk")
+    vb = vb.withColumn(
+        "_bk", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(F.col("_bk"))).drop("_b")
+
+    totals = vb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"))
+    by_group = Window.partitionBy(*keys)
+    offsets = (totals
+               .withColumn("_off", F.coalesce(
+                   F.sum("_bc").over(by_group.orderBy("_bk")
+                                     .rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+               .withColumn("_n", F.sum("_bc").over(by_group))
+               .drop("_bc"))
+    bucket_bound = None if group_bound is None else group_bound * (buckets + 1)
+    offsets = broadcast_if_small(offsets, bucket_bound)
+
+    running = Window.partitionBy(*keys, "_bk").orderBy(F.col("_v").asc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = vb.withColumn("_lc", F.sum("_c").over(running))
+    out = join_null_safe(local, offsets, keys + ["_bk"], "inner")
+    return out.select(*keys, "_v", "_c", (F.col("_lc") + F.col("_off")).alias("_cum"), "_n")
+
+
+def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None = None
+                         ) -> DataFrame:
+    """Exact interpolated percentiles (``quantile_cont`` semantics) from a value CDF whose
+    NULL values were removed beforehand. ``probs`` is a list of (name, p). Returns
+    ``keys, n, <name>...``.
+
+    For each p the position is p*(n-1); the values at floor and ceil of it are located by
+    the rank interval [_cum - _c, _cum) each distinct value occupies, then interpolated.
+    """
+    keys = list(keys)
+    groups = cdf.groupBy(*keys).agg(F.max("_n").alias("n"))
+    targets = groups.select(
+        *keys, "n",
+        F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).alias("p"))
+                            for name, p in probs])).alias("t"))
+    targets = (targets
+               .withColumn("pos", F.col("t.p") * (F.col("n") - 1))
+               .withColumn("lo", F.floor("pos"))
+               .withColumn("hi", F.ceil("pos"))
+               .withColumn("which", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
+               .withColumn("r", F.when(F.col("which") == "lo", F.col("lo"))
+                           .otherwise(F.col("hi")))
+               .select(*keys, "n", F.col("t.name").alias("name"), "pos", "lo", "which", "r"))
+    target_bound = None if group_bound is None else group_bound * 2 * len(probs)
+    targets = broadcast_if_small(targets, target_bound)
+
+    renamed = cdf.select(*[F.col(k).alias(f"__c_{k}") for k in keys], "_v", "_c", "_cum")
+    cond = [targets[k].eqNullSafe(renamed[f"__c_{k}"]) for k in keys]
+    cond += [targets["r"] >= renamed["_cum"] - renamed["_c"], targets["r"] < renamed["_cum"]]
+    cond_all = cond[0]
+    for c in cond[1:]:
+        cond_all = cond_all & c
+    hits = targets.join(renamed, cond_all, "inner")
+    per_prob = (hits.groupBy(*keys, "n", "name")
+                .agg(F.max("pos").alias("pos"), F.max("lo").alias("lo"),
+                     F.max(F.when(F.col("which") == "lo", F.col("_v"))).alias("v_lo"),
+                     F.max(F.when(F.col("which") == "hi", F.col("_v"))).alias("v_hi")))
+    per_prob = per_prob.withColumn(
+        "value", F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
+    return (per_prob.groupBy(*keys, "n")
+            .agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
+                   for name, _ in probs]))

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is read-only after a batch load with a single writer: no source arrives as a
+stream, there is no watermark, window, state or late data anywhere in it. A new year is a
+new batch build that writes its own ``year=`` partition (see ``plans.build``), so nothing
+here needs Structured Streaming.
+"""
