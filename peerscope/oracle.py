@@ -783,6 +783,6 @@ SELECT count(*) AS rows, min(k) AS min_key, max(k) AS max_key, count(DISTINCT k)
        (SELECT descending_steps FROM steps) = 0 AS is_sorted
 FROM c""",
     }
-    from peerscope.sources.registered import ORACLE as SRC
-    out.update(SRC)
+    from peerscope.sources.registered import oracle_twins
+    out.update(oracle_twins())
     return out
