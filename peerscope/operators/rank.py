@@ -52,15 +52,27 @@ def split_hot(df: DataFrame, peer, hot_rows: int | None):
     return cold, warm, n_hot
 
 
-def _window_rank(df: DataFrame, peer, measures: dict, min_peers: int, decimals: int
-                 ) -> DataFrame:
+def _window_rank(df: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
+                 range_partitions: int | None = None) -> DataFrame:
+    """One Exchange on the peer key, then one Sort + Window per measure. The group size is
+    a whole-frame count evaluated in the first measure's Window node (same ordering, so no
+    extra sort), and each cumulative count is materialised once before it is rounded."""
     w = Window.partitionBy(*peer)
-    out = df.withColumn("_n", F.count(F.lit(1)).over(w))
-    for name, expr in measures.items():
-        k = F.count(F.lit(1)).over(w.orderBy(expr.asc_nulls_last()))
+    items = list(measures.items())
+    # Range partitioning on exactly the peer key satisfies the windows' clustering, so it
+    # replaces their hash exchange and leaves key-ordered partitions for a sorted write.
+    out = df.repartitionByRange(range_partitions, *peer) if range_partitions else df
+    for i, (name, expr) in enumerate(items):
+        ordered = w.orderBy(expr.asc_nulls_last())
+        if i == 0:
+            out = out.withColumn("_n", F.count(F.lit(1)).over(
+                ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        out = out.withColumn(f"_k{i}", F.count(F.lit(1)).over(ordered))
+    for i, (name, _) in enumerate(items):
         out = out.withColumn(
-            name, F.when(F.col("_n") >= min_peers, rounded_ratio(k, F.col("_n"), decimals)))
-    return out.drop("_n")
+            name, F.when(F.col("_n") >= min_peers,
+                         rounded_ratio(F.col(f"_k{i}"), F.col("_n"), decimals)))
+    return out.drop("_n", *[f"_k{i}" for i in range(len(items))])
 
 
 def _cdf_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
@@ -87,11 +99,15 @@ def _cdf_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: i
 
 def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: int = 30,
               decimals: int = 4, hot_rows: int | None = DEFAULT_HOT_ROWS,
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add one rank column per entry of ``measures`` (output name -> value Column)."""
+              buckets: int = DEFAULT_BUCKETS, range_partitions: int | None = None
+              ) -> DataFrame:
+    """Add one rank column per entry of ``measures`` (output name -> value Column).
+
+    ``range_partitions``: range-partition the (non-hot) rows on the peer key instead of
+    hash-partitioning them, so the result is already laid out for a key-sorted write."""
     peer = list(peer)
     cold, warm, n_hot = split_hot(df, peer, hot_rows)
-    ranked = _window_rank(cold, peer, measures, min_peers, decimals)
+    ranked = _window_rank(cold, peer, measures, min_peers, decimals, range_partitions)
     if warm is None:
         return ranked
     hot_ranked = _cdf_rank(warm, peer, measures, min_peers, decimals, n_hot, buckets)

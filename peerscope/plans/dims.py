@@ -50,8 +50,13 @@ DIM_PROVIDER_COLUMNS = [
 
 
 def collapse(raw: DataFrame, key: str, cols) -> DataFrame:
-    """One row per key, first non-NULL (here: smallest) value per column (A1)."""
-    return raw.groupBy(F.col(key).alias("npi")).agg(*[F.min(a).alias(b) for a, b in cols])
+    """One row per key, first non-NULL (here: smallest) value per column (A1).
+
+    ``min`` over strings has no fixed-width buffer, so Spark plans it as a sort-based
+    aggregate; the distinct attribute rows are taken first with a hash aggregate (partial,
+    map-side), which leaves about one row per key for the sort."""
+    distinct = raw.select(key, *[a for a, _ in cols]).distinct()
+    return distinct.groupBy(F.col(key).alias("npi")).agg(*[F.min(a).alias(b) for a, b in cols])
 
 
 def dim_provider(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:

@@ -56,22 +56,26 @@ def project_rename(raw: DataFrame, renames) -> DataFrame:
 
 
 def _build(raw: DataFrame, renames, spec, year: int, min_peers: int, decimals: int,
-           hot_rows) -> DataFrame:
+           hot_rows, range_partitions) -> DataFrame:
     base = project_rename(raw, renames).withColumn("year", F.lit(int(year)))
     measures = {m.rank_col: m.expr() for m in spec.measures}
     return peer_rank(base, ["year", *spec.peer], measures, min_peers=min_peers,
-                     decimals=decimals, hot_rows=hot_rows)
+                     decimals=decimals, hot_rows=hot_rows, range_partitions=range_partitions)
 
 
 def fact_part_b_service(raw_b: DataFrame, year: int = 2023, *, min_peers: int = MIN_PEERS,
-                        decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS) -> DataFrame:
+                        decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS,
+                        range_partitions: int | None = None) -> DataFrame:
     """One row per (npi, hcpcs_code, place_of_service); four ``_pct`` ranks inside
     (specialty, hcpcs_code, place_of_service)."""
-    return _build(raw_b, PART_B_RENAMES, PART_B, year, min_peers, decimals, hot_rows)
+    return _build(raw_b, PART_B_RENAMES, PART_B, year, min_peers, decimals, hot_rows,
+                  range_partitions)
 
 
 def fact_part_d_drug(raw_d: DataFrame, year: int = 2023, *, min_peers: int = MIN_PEERS,
-                     decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS) -> DataFrame:
+                     decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS,
+                     range_partitions: int | None = None) -> DataFrame:
     """One row per (npi, brand_name, generic_name); three ``_pct`` ranks inside
     (specialty, brand_name) — the peer key is coarser than the grain."""
-    return _build(raw_d, PART_D_RENAMES, PART_D, year, min_peers, decimals, hot_rows)
+    return _build(raw_d, PART_D_RENAMES, PART_D, year, min_peers, decimals, hot_rows,
+                  range_partitions)

@@ -2,8 +2,8 @@
 
 All are aggregations with map-side partial aggregation; none collects a group. Means and
 percentages of integer counts are rounded with the exact integer form (``rounded_ratio``)
-so they do not depend on floating-point summation order. Whole-column percentiles use
-the distributed value CDF.
+so they do not depend on floating-point summation order. Whole-column percentiles go through
+the size-checked split of ``group_percentiles`` (distributed value CDF above the threshold).
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio, safe_divide, stable_round
-from peerscope.operators.cdf import percentiles_from_cdf, value_cdf
+from peerscope.operators.percentiles import group_percentiles
+from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.operators.reshape import unpivot_measures
 
 # ---------------------------------------------------------------- cardinality, nulls
@@ -121,17 +122,18 @@ def unscoreable_by_key(df: DataFrame, keys, min_peers: int = 30) -> DataFrame:
 DIST_POINTS = [("p50", 0.50), ("p90", 0.90), ("p99", 0.99), ("p999", 0.999)]
 
 
-def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: int = 2
-                         ) -> DataFrame:
+def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: int = 2,
+                         *, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Whole-table distribution per measure (A11): p50 p90 p99 p99.9 max mean mean/median.
 
-    Exact percentiles over whole columns without a single aggregation buffer: the long
-    (measure, value) rows are pre-aggregated to distinct values and located through the
-    distributed value CDF (one group per measure).
+    The long (measure, value) rows are grouped by measure. A measure with more rows than
+    ``hot_rows`` is never put in one aggregation buffer: its exact percentiles come from the
+    distributed value CDF; smaller ones use the exact ``percentile`` aggregate.
     """
     long = unpivot_measures(df, [], measures)
-    cdf = value_cdf(long, ["measure"], F.col("value"), group_bound=len(measures))
-    pct = percentiles_from_cdf(cdf, ["measure"], DIST_POINTS, group_bound=len(measures))
+    pct = group_percentiles(long, ["measure"], {"v": F.col("value")}, DIST_POINTS,
+                            hot_rows=hot_rows)
+    pct = pct.select("measure", *[F.col(f"v__{p}").alias(p) for p, _ in DIST_POINTS])
     basic = long.groupBy("measure").agg(F.max("value").alias("max"),
                                         F.avg("value").alias("mean"))
     j = pct.join(basic, "measure")

@@ -24,7 +24,7 @@ from peerscope.schema import BREAKPOINTS, PART_B, PART_D
 GROUP_B = serve.PeerGroup("part_b", "NATION_7", "Brand#13", "O", 2023)
 GROUP_D = serve.PeerGroup("part_d", "HOUSEHOLD", "Brand#7", None, 2023)
 STATE_B = "TX"
-NPI_B = "0000000088"
+NPI_B = "0000000270"
 PCT_NAMES = [p for p, _ in BREAKPOINTS]
 
 
@@ -330,6 +330,16 @@ def q_measure_distribution(spark, sf):
         "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")})
 
 
+def q_measure_distribution_hot(spark, sf):
+    """measure_distribution with every measure forced through the distributed value CDF."""
+    raw_b = _m(spark, sf).raw_b
+    return profile.measure_distribution(raw_b, {
+        "Tot_Benes": F.col("Tot_Benes"), "Tot_Srvcs": F.col("Tot_Srvcs"),
+        "Avg_Sbmtd_Chrg": F.col("Avg_Sbmtd_Chrg"),
+        "Avg_Mdcr_Pymt_Amt": F.col("Avg_Mdcr_Pymt_Amt"),
+        "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")}, hot_rows=1000)
+
+
 def q_measure_distribution_drug(spark, sf):
     raw_d = _m(spark, sf).raw_d
     return profile.measure_distribution(raw_d, {

@@ -17,7 +17,7 @@ DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
 
 def write_sorted(df: DataFrame, path: str, sort_keys, *, partition_by=("year",),
                  num_files: int | None = None, block_bytes: int = DEFAULT_BLOCK_BYTES,
-                 mode: str = "overwrite") -> None:
+                 mode: str = "overwrite", prepartitioned: bool = False) -> None:
     """Range-partition on (partition cols, sort keys), sort within partitions and write
     zstd Parquet under ``<path>/year=<y>/``.
 
@@ -26,8 +26,12 @@ def write_sorted(df: DataFrame, path: str, sort_keys, *, partition_by=("year",),
     """
     keys = [*partition_by, *sort_keys]
     spark = df.sparkSession
-    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if prepartitioned:
+        # the producer already range-partitioned on a prefix of ``keys``
+        out = df.sortWithinPartitions(*keys)
+    else:
+        n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     w = (out.write.mode(mode)
          .option("compression", "zstd")
          .option("parquet.block.size", str(block_bytes))
@@ -51,6 +55,18 @@ def write_unsorted(df: DataFrame, path: str, *, partition_by=("year",), seed: in
     w.parquet(path)
 
 
+def partitions_for(spark: SparkSession, path: str, target_bytes: int = 256 * 1024 * 1024,
+                   minimum: int | None = None) -> int:
+    """Partition count that gives about ``target_bytes`` of (compressed) input per task,
+    from the filesystem's content summary of ``path`` (a metadata call)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(hpath).getLength()
+    floor = minimum or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-int(size) // target_bytes))
+
+
 def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     """Hive-partitioned scan with partition discovery; ``year`` comes from the path."""
     return spark.read.option("basePath", f"{base}/{table}").parquet(f"{base}/{table}")
