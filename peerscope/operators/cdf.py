@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.operators.joins import broadcast_if_small, join_null_safe
+from peerscope.operators.joins import broadcast_if_small, can_broadcast, join_null_safe
+from peerscope.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 1024
 
@@ -65,7 +66,15 @@ def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCK
     bounds = (vc.filter(F.col("_v").isNotNull())
                 .groupBy(*keys)
                 .agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_b")))
-    bounds = broadcast_if_small(bounds, group_bound)
+    bound_bytes = 8 * buckets + 64
+    if can_broadcast(group_bound, bound_bytes):
+        bounds = F.broadcast(bounds)
+    else:
+        # Too large to broadcast: pin the approximate cut points in the shared checkpoint
+        # folder so every consumer (and any recomputation after an executor loss) sees the
+        # same buckets; percentile_approx may differ with the merge order of its sketches.
+        ensure_checkpoint_dir(df.sparkSession)
+        bounds = bounds.checkpoint(eager=True)
     vb = count_below(join_null_safe(vc, bounds, keys, "left"), "_b", "_v", buckets - 1, "_bk")
     vb = vb.withColumn(
         "_bk", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(F.col("_bk"))).drop("_b")
@@ -80,7 +89,7 @@ def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCK
                .withColumn("_n", F.sum("_bc").over(by_group))
                .drop("_bc"))
     bucket_bound = None if group_bound is None else group_bound * (buckets + 1)
-    offsets = broadcast_if_small(offsets, bucket_bound)
+    offsets = broadcast_if_small(offsets, bucket_bound, row_bytes=96)
 
     running = Window.partitionBy(*keys, "_bk").orderBy(F.col("_v").asc_nulls_last()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -113,7 +122,7 @@ def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None
                            .otherwise(F.col("hi")))
                .select(*keys, "n", F.col("t.name").alias("name"), "pos", "lo", "which", "r"))
     target_bound = None if group_bound is None else group_bound * 2 * len(probs)
-    targets = broadcast_if_small(targets, target_bound)
+    targets = broadcast_if_small(targets, target_bound, row_bytes=128)
 
     renamed = cdf.select(*[F.col(k).alias(f"__c_{k}") for k in keys], "_v", "_c", "_cum")
     cond = [targets[k].eqNullSafe(renamed[f"__c_{k}"]) for k in keys]

@@ -35,14 +35,28 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def broadcast_if_small(df: DataFrame, bound_rows: int | None, limit: int = BROADCAST_ROW_LIMIT):
-    """Broadcast ``df`` only when its row count is *proven* below ``limit``.
+# Largest estimated size we broadcast (rows x bytes per row).
+BROADCAST_BYTE_LIMIT = 256 * 1024 * 1024
+
+
+def can_broadcast(bound_rows: int | None, row_bytes: int = 64,
+                  limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    """True when a side with at most ``bound_rows`` rows of about ``row_bytes`` bytes is
+    proven small enough to broadcast."""
+    return (bound_rows is not None and bound_rows <= limit
+            and bound_rows * row_bytes <= BROADCAST_BYTE_LIMIT)
+
+
+def broadcast_if_small(df: DataFrame, bound_rows: int | None, limit: int = BROADCAST_ROW_LIMIT,
+                       row_bytes: int = 64):
+    """Broadcast ``df`` only when its size is *proven* below the limits.
 
     ``bound_rows`` is a structural upper bound computed by the caller (e.g. number of hot
-    groups <= total rows / hot threshold). Without a bound, or above the limit, the frame is
-    returned as is and the planner chooses a shuffle join (AQE may still broadcast at
-    runtime if the measured size is small).
+    groups <= total rows / hot threshold) and ``row_bytes`` an upper estimate of one row.
+    Without a bound, or above the limits, the frame is returned as is and the planner
+    chooses a shuffle join (AQE may still broadcast at runtime if the measured size is
+    small, and splits skewed partitions of a sort-merge join).
     """
-    if bound_rows is not None and bound_rows <= limit:
+    if can_broadcast(bound_rows, row_bytes, limit):
         return F.broadcast(df)
     return df

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio
 from peerscope.operators.cdf import DEFAULT_BUCKETS, value_cdf
-from peerscope.operators.joins import BROADCAST_ROW_LIMIT, join_null_safe
+from peerscope.operators.joins import can_broadcast, join_null_safe
 from peerscope.operators.reshape import unpivot_measures
 
 # A window task sorting this many rows is still comfortable; bigger groups are split.
@@ -46,7 +46,7 @@ def split_hot(df: DataFrame, peer, hot_rows: int | None):
     n_hot = hot.count()                      # one small aggregate; the driver sees a number
     if n_hot == 0:
         return df, None, 0
-    small = n_hot <= BROADCAST_ROW_LIMIT
+    small = can_broadcast(n_hot, row_bytes=128)
     cold = join_null_safe(df, hot.select(*peer), peer, "left_anti", broadcast_right=small)
     warm = join_null_safe(df, hot, peer, "inner", broadcast_right=small)
     return cold, warm, n_hot

@@ -99,3 +99,18 @@ def test_cdf_matches_numpy_cume(spark):
     for i, v in enumerate(vals[:200]):
         k = int(np.searchsorted(srt, v, side="right"))
         assert r[("g", i)] == ((2 * k * 10000 + 2000) // 4000) / 10000
+
+
+def test_value_cdf_checkpointed_bounds(spark):
+    """Without a proven bound the cut points are checkpointed instead of broadcast; the
+    counts are the same."""
+    from peerscope.operators.cdf import value_cdf
+    rows = [("a" if i % 3 else "b", float(i % 17)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    a = value_cdf(df, ["g"], F.col("v"), buckets=8, group_bound=2)
+    b = value_cdf(df, ["g"], F.col("v"), buckets=8, group_bound=None)
+    key = lambda r: (r.g, r._v)
+    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    got = {(r.g, r._v): r._cum for r in a.collect()}
+    vals = [v for g, v in rows if g == "b"]
+    assert got[("b", 5.0)] == sum(1 for v in vals if v <= 5.0)
