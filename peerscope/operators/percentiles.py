@@ -35,11 +35,11 @@ def _aggregate_percentiles(df: DataFrame, keys, values: dict, probs) -> DataFram
 
 def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
                       hot_rows: int | None = DEFAULT_HOT_ROWS,
-                      buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      buckets: int = DEFAULT_BUCKETS, hot=None) -> DataFrame:
     """Wide result: keys, then per value name ``<name>__n_rows`` (non-null count) and
     ``<name>__<p>`` for each (p, prob) in ``probs``."""
     keys = list(keys)
-    cold, warm, n_hot = split_hot(df, keys, hot_rows)
+    cold, warm, n_hot = split_hot(df, keys, hot_rows, hot)
     out = _aggregate_percentiles(cold, keys, values, probs)
     if warm is None:
         return out

@@ -33,27 +33,35 @@ def group_sizes(df: DataFrame, peer) -> DataFrame:
     return df.groupBy(*peer).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def split_hot(df: DataFrame, peer, hot_rows: int | None):
+def find_hot(df: DataFrame, peer, hot_rows: int | None):
+    """(hot groups with their size ``_n``, number of hot groups) — one aggregate job whose
+    only driver-side result is the count."""
+    if hot_rows is None:
+        return None, 0
+    hot = group_sizes(df, list(peer)).filter(F.col("_n") > hot_rows)
+    return hot, hot.count()
+
+
+def split_hot(df: DataFrame, peer, hot_rows: int | None, hot=None):
     """Split ``df`` into (cold rows, hot rows with ``_n``, number of hot groups).
 
-    The hot-group list is broadcast: its length is at most total_rows / hot_rows, which is
-    checked against the broadcast limit before use.
+    ``hot`` may carry a precomputed ``find_hot`` result for the same groups (the build
+    probes once per dataset and reuses it for ranks and the serving table). The hot-group
+    list is broadcast only when its size is proven small (at most total_rows / hot_rows
+    rows).
     """
     peer = list(peer)
-    if hot_rows is None:
-        return df, None, 0
-    hot = group_sizes(df, peer).filter(F.col("_n") > hot_rows)
-    n_hot = hot.count()                      # one small aggregate; the driver sees a number
-    if n_hot == 0:
+    hot_df, n_hot = hot if hot is not None else find_hot(df, peer, hot_rows)
+    if hot_df is None or n_hot == 0:
         return df, None, 0
     small = can_broadcast(n_hot, row_bytes=128)
-    cold = join_null_safe(df, hot.select(*peer), peer, "left_anti", broadcast_right=small)
-    warm = join_null_safe(df, hot, peer, "inner", broadcast_right=small)
+    cold = join_null_safe(df, hot_df.select(*peer), peer, "left_anti", broadcast_right=small)
+    warm = join_null_safe(df, hot_df.select(*peer, "_n"), peer, "inner", broadcast_right=small)
     return cold, warm, n_hot
 
 
 def _window_rank(df: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
-                 range_partitions: int | None = None) -> DataFrame:
+                 range_partitions: int | None = None, range_keys=None) -> DataFrame:
     """One Exchange on the peer key, then one Sort + Window per measure. The group size is
     a whole-frame count evaluated in the first measure's Window node (same ordering, so no
     extra sort), and each cumulative count is materialised once before it is rounded."""
@@ -61,18 +69,23 @@ def _window_rank(df: DataFrame, peer, measures: dict, min_peers: int, decimals:
     items = list(measures.items())
     # Range partitioning on exactly the peer key satisfies the windows' clustering, so it
     # replaces their hash exchange and leaves key-ordered partitions for a sorted write.
-    out = df.repartitionByRange(range_partitions, *peer) if range_partitions else df
+    out = (df.repartitionByRange(range_partitions, *(range_keys or peer))
+           if range_partitions else df)
+    # all window expressions in one projection: Spark then evaluates those sharing a
+    # (partition, order) spec in one Window node
+    wins = []
     for i, (name, expr) in enumerate(items):
         ordered = w.orderBy(expr.asc_nulls_last())
         if i == 0:
-            out = out.withColumn("_n", F.count(F.lit(1)).over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        out = out.withColumn(f"_k{i}", F.count(F.lit(1)).over(ordered))
-    for i, (name, _) in enumerate(items):
-        out = out.withColumn(
-            name, F.when(F.col("_n") >= min_peers,
-                         rounded_ratio(F.col(f"_k{i}"), F.col("_n"), decimals)))
-    return out.drop("_n", *[f"_k{i}" for i in range(len(items))])
+            wins.append(F.count(F.lit(1)).over(
+                ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                .alias("_n"))
+        wins.append(F.count(F.lit(1)).over(ordered).alias(f"_k{i}"))
+    out = out.select("*", *wins)
+    ranks = [F.when(F.col("_n") >= min_peers,
+                    rounded_ratio(F.col(f"_k{i}"), F.col("_n"), decimals)).alias(name)
+             for i, (name, _) in enumerate(items)]
+    return out.select(*[c for c in df.columns], *ranks)
 
 
 def _cdf_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
@@ -99,15 +112,19 @@ def _cdf_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: i
 
 def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: int = 30,
               decimals: int = 4, hot_rows: int | None = DEFAULT_HOT_ROWS,
-              buckets: int = DEFAULT_BUCKETS, range_partitions: int | None = None
-              ) -> DataFrame:
+              buckets: int = DEFAULT_BUCKETS, range_partitions: int | None = None,
+              range_keys=None, hot=None) -> DataFrame:
     """Add one rank column per entry of ``measures`` (output name -> value Column).
 
     ``range_partitions``: range-partition the (non-hot) rows on the peer key instead of
-    hash-partitioning them, so the result is already laid out for a key-sorted write."""
+    hash-partitioning them, so the result is already laid out for a key-sorted write.
+    ``range_keys`` (default: the peer key) must be a subset of the peer key; leave out
+    columns that are constant in ``df`` (Catalyst drops those from the window partition,
+    and a range partitioning that still names them would not satisfy it)."""
     peer = list(peer)
-    cold, warm, n_hot = split_hot(df, peer, hot_rows)
-    ranked = _window_rank(cold, peer, measures, min_peers, decimals, range_partitions)
+    cold, warm, n_hot = split_hot(df, peer, hot_rows, hot)
+    ranked = _window_rank(cold, peer, measures, min_peers, decimals, range_partitions,
+                          range_keys)
     if warm is None:
         return ranked
     hot_ranked = _cdf_rank(warm, peer, measures, min_peers, decimals, n_hot, buckets)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.operators.rank import DEFAULT_HOT_ROWS, peer_rank
+from peerscope.operators.rank import DEFAULT_HOT_ROWS, find_hot, peer_rank
 from peerscope.schema import MIN_PEERS, PART_B, PART_D, RANK_DECIMALS
 
 # Raw -> model column names of the two facts, in output order.
@@ -55,27 +55,35 @@ def project_rename(raw: DataFrame, renames) -> DataFrame:
     return raw.select(*[F.col(a).alias(b) for a, b in renames])
 
 
+def hot_groups(raw: DataFrame, renames, spec, year: int, hot_rows):
+    """Probe the dataset's peer groups once (see ``operators.rank.find_hot``); the result
+    serves both the ranks and the serving table of the same build."""
+    base = project_rename(raw, renames).withColumn("year", F.lit(int(year)))
+    return find_hot(base, ["year", *spec.peer], hot_rows)
+
+
 def _build(raw: DataFrame, renames, spec, year: int, min_peers: int, decimals: int,
-           hot_rows, range_partitions) -> DataFrame:
+           hot_rows, range_partitions, hot=None) -> DataFrame:
     base = project_rename(raw, renames).withColumn("year", F.lit(int(year)))
     measures = {m.rank_col: m.expr() for m in spec.measures}
     return peer_rank(base, ["year", *spec.peer], measures, min_peers=min_peers,
-                     decimals=decimals, hot_rows=hot_rows, range_partitions=range_partitions)
+                     decimals=decimals, hot_rows=hot_rows, range_partitions=range_partitions,
+                     range_keys=list(spec.peer), hot=hot)   # year is constant in one build
 
 
 def fact_part_b_service(raw_b: DataFrame, year: int = 2023, *, min_peers: int = MIN_PEERS,
                         decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS,
-                        range_partitions: int | None = None) -> DataFrame:
+                        range_partitions: int | None = None, hot=None) -> DataFrame:
     """One row per (npi, hcpcs_code, place_of_service); four ``_pct`` ranks inside
     (specialty, hcpcs_code, place_of_service)."""
     return _build(raw_b, PART_B_RENAMES, PART_B, year, min_peers, decimals, hot_rows,
-                  range_partitions)
+                  range_partitions, hot)
 
 
 def fact_part_d_drug(raw_d: DataFrame, year: int = 2023, *, min_peers: int = MIN_PEERS,
                      decimals: int = RANK_DECIMALS, hot_rows=DEFAULT_HOT_ROWS,
-                     range_partitions: int | None = None) -> DataFrame:
+                     range_partitions: int | None = None, hot=None) -> DataFrame:
     """One row per (npi, brand_name, generic_name); three ``_pct`` ranks inside
     (specialty, brand_name) — the peer key is coarser than the grain."""
     return _build(raw_d, PART_D_RENAMES, PART_D, year, min_peers, decimals, hot_rows,
-                  range_partitions)
+                  range_partitions, hot)

@@ -29,10 +29,10 @@ def provider_counts(fact: DataFrame, keys, values: dict) -> DataFrame:
 
 
 def dataset_stats(fact: DataFrame, spec, *, min_peers: int = MIN_PEERS,
-                  hot_rows=DEFAULT_HOT_ROWS) -> DataFrame:
+                  hot_rows=DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
     keys = ["year", *spec.peer]
     values = {m.name: m.expr() for m in spec.measures}
-    wide = group_percentiles(fact, keys, values, BREAKPOINTS, hot_rows=hot_rows)
+    wide = group_percentiles(fact, keys, values, BREAKPOINTS, hot_rows=hot_rows, hot=hot)
     prov = provider_counts(fact, keys, values)
     j = join_null_safe(wide, prov, keys, "inner")
     names = [p for p, _ in BREAKPOINTS]
@@ -52,7 +52,8 @@ def dataset_stats(fact: DataFrame, spec, *, min_peers: int = MIN_PEERS,
 
 
 def peer_stats(fact_b: DataFrame, fact_d: DataFrame, *, min_peers: int = MIN_PEERS,
-               hot_rows=DEFAULT_HOT_ROWS) -> DataFrame:
-    b = dataset_stats(fact_b, PART_B, min_peers=min_peers, hot_rows=hot_rows)
-    d = dataset_stats(fact_d, PART_D, min_peers=min_peers, hot_rows=hot_rows)
+               hot_rows=DEFAULT_HOT_ROWS, hot_b=None, hot_d=None) -> DataFrame:
+    """``hot_b`` / ``hot_d``: optional precomputed hot-group probes (``find_hot``)."""
+    b = dataset_stats(fact_b, PART_B, min_peers=min_peers, hot_rows=hot_rows, hot=hot_b)
+    d = dataset_stats(fact_d, PART_D, min_peers=min_peers, hot_rows=hot_rows, hot=hot_d)
     return b.unionByName(d).select(*PEER_STATS_COLUMNS, "year")
