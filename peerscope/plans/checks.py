@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import monotone, normalised
-from peerscope.operators.grain import grain_check, unscoreable_rows
+from peerscope.operators.grain import grain_check
 from peerscope.schema import BREAKPOINTS, MIN_PEERS, PART_B, PART_D
 
 
@@ -33,6 +33,9 @@ def check_grain_part_d(fact_d: DataFrame) -> DataFrame:
 
 
 def _attr_side(raw: DataFrame, npi: str, spec: str, name: str, city: str) -> DataFrame:
+    # distinct attribute rows first (hash aggregate, map-side): the distinct counts and the
+    # string minimums then work on about one row per provider
+    raw = raw.select(npi, spec, name, city).distinct()
     return raw.groupBy(F.col(npi).alias("npi")).agg(
         F.count_distinct(spec).alias("n_specialty"),
         F.count_distinct(name).alias("n_name"),
@@ -101,7 +104,9 @@ def check_peer_stats(peer_stats: DataFrame, fact_b: DataFrame, fact_d: DataFrame
     """Agreement of the serving table with the fact ranks.
 
     Group mismatch is the size of the symmetric difference between the *sets* of scoreable
-    fact groups and served groups (a count difference could hide swapped groups).
+    fact groups and served groups (a count difference could hide swapped groups). Each fact
+    is scanned once: it is pre-aggregated to its finest needed key with (rows, scored
+    rows), and every fact metric is derived from that small aggregate.
     """
     names = [p for p, _ in BREAKPOINTS]
     ps = peer_stats.agg(
@@ -112,14 +117,10 @@ def check_peer_stats(peer_stats: DataFrame, fact_b: DataFrame, fact_d: DataFrame
         F.count_if(~monotone(*[F.col(n) for n in names])).alias("non_monotonic_breakpoints"),
         F.count_if(F.col("n_providers") != F.col("n_rows")).alias("groups_with_repeat_providers"))
 
-    def mismatch(fact, spec, measure, alias):
-        keys = ["year", "specialty", spec.code_col] + (
-            ["place_of_service"] if spec.has_place_of_service else [])
-        fg = (fact.filter(F.col(f"{measure}_pct").isNotNull())
-              .select(*keys).distinct()
-              .select("year", "specialty", F.col(spec.code_col).alias("code"),
-                      (F.col("place_of_service") if spec.has_place_of_service
-                       else F.lit(None).cast("string")).alias("place_of_service")))
+    def mismatch(groups, spec, measure, alias):
+        """groups: (year, specialty, code, place_of_service, scored) per fact group."""
+        fg = groups.filter(F.col("scored") > 0).select("year", "specialty", "code",
+                                                       "place_of_service")
         sg = (peer_stats.filter((F.col("dataset") == spec.name) & (F.col("measure") == measure))
               .select("year", "specialty", "code", "place_of_service"))
         k = ["year", "specialty", "code", "place_of_service"]
@@ -128,12 +129,25 @@ def check_peer_stats(peer_stats: DataFrame, fact_b: DataFrame, fact_d: DataFrame
         return both.agg(F.count_if(F.col("f.year").isNull() | F.col("s.year").isNull())
                         .alias(alias))
 
-    fb = fact_b.agg(F.count_if(F.col("tot_srvcs_pct").isNull()).alias("part_b_unscoreable_rows"))
-    fd = fact_d.agg(F.count_if(F.col("tot_claims_pct").isNull()).alias("part_d_unscoreable_rows"))
-    gen = unscoreable_rows(fact_d, ["year", "specialty", "generic_name"], min_peers) \
-        .withColumnRenamed("unscoreable_rows", "part_d_unscoreable_rows_generic_key")
-    out = _one_row(ps, mismatch(fact_b, PART_B, "tot_srvcs", "part_b_group_mismatch"),
-                   mismatch(fact_d, PART_D, "tot_claims", "part_d_group_mismatch"), fb, fd, gen)
+    scored = lambda c: F.count_if(F.col(c).isNotNull()).alias("scored")
+    gb = (fact_b.groupBy("year", "specialty", F.col("hcpcs_code").alias("code"),
+                         "place_of_service")
+          .agg(F.count(F.lit(1)).alias("n"), scored("tot_srvcs_pct")))
+    gd_fine = (fact_d.groupBy("year", "specialty", "brand_name", "generic_name")
+               .agg(F.count(F.lit(1)).alias("n"), scored("tot_claims_pct")))
+    gd = (gd_fine.groupBy("year", "specialty", F.col("brand_name").alias("code"))
+          .agg(F.sum("scored").alias("scored"))
+          .withColumn("place_of_service", F.lit(None).cast("string")))
+    fb = gb.agg(F.coalesce(F.sum(F.col("n") - F.col("scored")), F.lit(0)).cast("long")
+                .alias("part_b_unscoreable_rows"))
+    fd = gd_fine.agg(F.coalesce(F.sum(F.col("n") - F.col("scored")), F.lit(0)).cast("long")
+                     .alias("part_d_unscoreable_rows"))
+    gen = (gd_fine.groupBy("year", "specialty", "generic_name").agg(F.sum("n").alias("n"))
+           .filter(F.col("n") < min_peers)
+           .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")
+                .alias("part_d_unscoreable_rows_generic_key")))
+    out = _one_row(ps, mismatch(gb, PART_B, "tot_srvcs", "part_b_group_mismatch"),
+                   mismatch(gd, PART_D, "tot_claims", "part_d_group_mismatch"), fb, fd, gen)
     return out.select("peer_stats_rows", "part_b_rows", "part_d_rows", "part_b_group_mismatch",
                       "part_d_group_mismatch", "groups_below_min_peers",
                       "non_monotonic_breakpoints", "groups_with_repeat_providers",
