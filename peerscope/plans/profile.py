@@ -21,8 +21,14 @@ from peerscope.operators.reshape import unpivot_measures
 # ---------------------------------------------------------------- cardinality, nulls
 
 
-def cardinality(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Several exact COUNT(DISTINCT) in one scan (A4): alias -> column."""
+def cardinality(df: DataFrame, columns: dict[str, str], *, approx: bool = False,
+                rsd: float = 0.01) -> DataFrame:
+    """Several COUNT(DISTINCT) in one scan (A4): alias -> column. Exact by default (Catalyst
+    expands the input once per distinct column); ``approx=True`` opts into HyperLogLog++
+    sketches with relative standard deviation ``rsd``, which stay one small buffer per
+    column however many values there are."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(a) for a, c in columns.items()])
     return df.agg(*[F.count_distinct(c).alias(a) for a, c in columns.items()])
 
 
