@@ -625,7 +625,7 @@ GROUP BY code, place_of_service ORDER BY n_providers DESC, code, pos NULLS FIRST
             "cost_per_claim_pct", 25, npi=False)),
         "outliers_display": q(*A, body=f"""
 SELECT npi, {_title('provider')} || ', ' || {_title('first_name')} AS provider, city, state,
-       round(value, 1) AS value, round(percentile, 1) AS percentile
+       {sr('value', 1)} AS value, {sr('percentile', 1)} AS percentile
 FROM ({_cands('fact_d', _fq(GD), 'f.tot_drug_cost', 'tot_drug_cost_pct', 25)})"""),
         "candidates": q(*A, body=_cands("fact_d", _fq(GD), "f.tot_claims", "tot_claims_pct", 200)),
         "provider_detail": q(*A, body=f"""

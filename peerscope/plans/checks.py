@@ -1,7 +1,7 @@
 """Build checks: grain, provider attributes, reference dimensions, serving-table agreement.
 
 Each check is one row of named BIGINT metrics (computed with single-pass conditional
-aggregates per input, then joined as one-row frames). ``run_checks`` evaluates a list of
+aggregates per input, then combined into one row). ``run_checks`` evaluates a list of
 specs concurrently into a long (check, metric, value, expectation, status) table and
 ``assert_checks`` fails the build when an asserted metric is violated.
 """
@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import monotone, normalised
+from peerscope.operators.combine import metrics_row
 from peerscope.operators.grain import grain_check
 from peerscope.schema import BREAKPOINTS, MIN_PEERS, PART_B, PART_D
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    """Join one-row metric frames side by side."""
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+    """One-row metric frames side by side (``operators.combine.metrics_row``)."""
+    return metrics_row(*frames)
 
 
 def check_grain_part_b(fact_b: DataFrame) -> DataFrame:

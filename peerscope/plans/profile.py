@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio, safe_divide, stable_round
+from peerscope.operators.combine import metrics_row
 from peerscope.operators.percentiles import group_percentiles
 from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.operators.reshape import unpivot_measures
@@ -216,10 +217,9 @@ def provider_set_overlap(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
     b, d = _npis(raw_b, raw_d)
     b, d = b.distinct(), d.distinct()
     c = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return reduce(lambda x, y: x.crossJoin(y), [
-        c(b, "part_b_providers"), c(d, "part_d_prescribers"),
-        c(b.intersect(d), "in_both"), c(b.subtract(d), "part_b_only"),
-        c(d.subtract(b), "part_d_only")])
+    return metrics_row(c(b, "part_b_providers"), c(d, "part_d_prescribers"),
+                       c(b.intersect(d), "in_both"), c(b.subtract(d), "part_b_only"),
+                       c(d.subtract(b), "part_d_only"))
 
 
 def provider_overlap(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
@@ -283,7 +283,7 @@ def provider_attribute_counts(raw: DataFrame, npi: str, attrs: dict[str, str]) -
 
 
 def key_profile(df: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """min, max, distinct and sortedness of ``key`` in ``ordinal`` order.
+    """min, max, distinct and sortedness of an integer ``key`` in ``ordinal`` order.
 
     Sortedness is the number of adjacent pairs where the key decreases. The previous row
     is found by an equi-join on ordinal - 1 (``ordinal`` must be consecutive integers), so
@@ -295,5 +295,5 @@ def key_profile(df: DataFrame, key: str, ordinal: str) -> DataFrame:
                   .agg(F.count_if(F.col("_pk") > F.col("_k")).alias("descending_steps")))
     basic = cur.agg(F.count(F.lit(1)).alias("rows"), F.min("_k").alias("min_key"),
                     F.max("_k").alias("max_key"), F.count_distinct("_k").alias("distinct_keys"))
-    out = basic.crossJoin(desc_pairs)
+    out = metrics_row(basic, desc_pairs)
     return out.withColumn("is_sorted", F.col("descending_steps") == 0)

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions.columns import safe_divide, title_case
+from peerscope.functions.columns import safe_divide, stable_round, title_case
 from peerscope.operators.percentiles import group_percentiles
 from peerscope.operators.reshape import melt_breakpoints
 from peerscope.schema import BREAKPOINTS, DATASETS
@@ -146,8 +146,8 @@ def outliers_display(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup,
     c = candidates(fact, dim_provider, group, measure, state, limit)
     name = F.concat(title_case(F.col("provider")), F.lit(", "), title_case(F.col("first_name")))
     return c.select("npi", name.alias("provider"), "city", "state",
-                    F.round("value", 1).alias("value"),
-                    F.round("percentile", 1).alias("percentile"))
+                    stable_round(F.col("value"), 1).alias("value"),
+                    stable_round(F.col("percentile"), 1).alias("percentile"))
 
 
 def provider_detail(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup, measure: str,
@@ -170,11 +170,14 @@ def live_percentile(fact: DataFrame, group: PeerGroup, measure: str) -> DataFram
     """Breakpoints computed on the fact slice at query time (Q8); must equal Q3."""
     m = _spec(group).measure(measure)
     s = fact.filter(fact_filter(group)).select("npi", m.expr().alias("v"))
+    # distinct providers among rows with a value: one flag per npi, summed alongside the
+    # percentiles of the one-group frame (keyed by a constant so both are grouped alike)
+    flags = (s.groupBy("npi").agg(F.max(F.col("v").isNotNull().cast("int")).alias("has"))
+             .withColumn("_g", F.lit(0)))
+    prov = flags.groupBy("_g").agg(F.sum("has").cast("long").alias("n_providers"))
     pct = group_percentiles(s.withColumn("_g", F.lit(0)), ["_g"], {"v": F.col("v")},
                             BREAKPOINTS)
-    prov = s.filter(F.col("v").isNotNull()).agg(
-        F.count_distinct("npi").alias("n_providers"))
-    return prov.crossJoin(pct).select(
+    return prov.join(pct, "_g").select(
         "n_providers", F.col("v__n_rows").alias("n_rows"),
         *[F.col(f"v__{p}").alias(p) for p, _ in BREAKPOINTS])
 
