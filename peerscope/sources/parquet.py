@@ -55,15 +55,26 @@ def write_unsorted(df: DataFrame, path: str, *, partition_by=("year",), seed: in
     w.parquet(path)
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    """(filesystem, path) through the session's Hadoop configuration, or None when the
+    session has no JVM gateway (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def partitions_for(spark: SparkSession, path: str, target_bytes: int = 256 * 1024 * 1024,
                    minimum: int | None = None) -> int:
     """Partition count that gives about ``target_bytes`` of (compressed) input per task,
     from the filesystem's content summary of ``path`` (a metadata call)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(hpath).getLength()
     floor = minimum or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fs = _hadoop_fs(spark, path)
+    if fs is None:
+        return floor
+    size = fs[0].getContentSummary(fs[1]).getLength()
     return max(floor, -(-int(size) // target_bytes))
 
 
@@ -73,11 +84,16 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds any file, via the cluster's Hadoop filesystem."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Whether ``path`` holds any file, via the cluster's Hadoop filesystem (or, without a
+    JVM gateway, by resolving a Parquet scan of it)."""
+    fs = _hadoop_fs(spark, path)
+    if fs is not None:
+        return bool(fs[0].exists(fs[1]))
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001
+        return False
 
 
 def register_present(spark: SparkSession, base: str, tables) -> dict:
