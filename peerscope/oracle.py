@@ -616,6 +616,11 @@ GROUP BY code, place_of_service ORDER BY n_providers DESC, code, pos NULLS FIRST
             "count(tot_srvcs) AS n_rows, "
             + ", ".join(f"round(quantile_cont(tot_srvcs, {p}), 6) AS {n}" for n, p in PCTS)
             + f" FROM fact_b WHERE {GB}")),
+        "live_percentile_hot": q(RAW_B, FACT_B, body=(
+            "SELECT count(DISTINCT npi) FILTER (WHERE tot_srvcs IS NOT NULL) AS n_providers, "
+            "count(tot_srvcs) AS n_rows, "
+            + ", ".join(f"round(quantile_cont(tot_srvcs, {p}), 6) AS {n}" for n, p in PCTS)
+            + f" FROM fact_b WHERE {GB}")),
         "outliers": q(*A, body=_cands("fact_b", _fq(GB), "f.tot_srvcs * f.avg_medicare_payment",
                                       "total_medicare_payment_pct", 25, npi=False)),
         "outliers_state": q(*A, body=_cands("fact_b", _fq(GB) + " AND f.state = 'TX'",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.columns import safe_divide, stable_round, title_case
 from peerscope.operators.percentiles import group_percentiles
+from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.operators.reshape import melt_breakpoints
 from peerscope.schema import BREAKPOINTS, DATASETS
 
@@ -166,20 +167,32 @@ def states(fact: DataFrame, group: PeerGroup, *, with_place: bool = False) -> Da
             .orderBy("state"))
 
 
-def live_percentile(fact: DataFrame, group: PeerGroup, measure: str) -> DataFrame:
-    """Breakpoints computed on the fact slice at query time (Q8); must equal Q3."""
+def live_percentile(fact: DataFrame, group: PeerGroup, measure: str, *,
+                    hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Breakpoints computed on the fact slice at query time (Q8); must equal Q3.
+
+    The slice size is counted first (the filter reaches the sorted files' row groups). A
+    slice within ``hot_rows`` is one aggregation; a larger one goes through the distributed
+    value CDF so it never sits in one aggregation buffer.
+    """
     m = _spec(group).measure(measure)
     s = fact.filter(fact_filter(group)).select("npi", m.expr().alias("v"))
-    # distinct providers among rows with a value: one flag per npi, summed alongside the
-    # percentiles of the one-group frame (keyed by a constant so both are grouped alike)
-    flags = (s.groupBy("npi").agg(F.max(F.col("v").isNotNull().cast("int")).alias("has"))
-             .withColumn("_g", F.lit(0)))
+    names = [p for p, _ in BREAKPOINTS]
+    if hot_rows is None or s.count() <= hot_rows:
+        one = s.agg(F.count_distinct(F.when(F.col("v").isNotNull(), F.col("npi")))
+                    .alias("n_providers"),
+                    F.count("v").alias("n_rows"),
+                    F.percentile("v", [p for _, p in BREAKPOINTS]).alias("_q"))
+        return one.select("n_providers", "n_rows",
+                          *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    keyed = s.withColumn("_g", F.lit(0))
+    flags = (keyed.groupBy("_g", "npi")
+             .agg(F.max(F.col("v").isNotNull().cast("int")).alias("has")))
     prov = flags.groupBy("_g").agg(F.sum("has").cast("long").alias("n_providers"))
-    pct = group_percentiles(s.withColumn("_g", F.lit(0)), ["_g"], {"v": F.col("v")},
-                            BREAKPOINTS)
+    pct = group_percentiles(keyed, ["_g"], {"v": F.col("v")}, BREAKPOINTS, hot_rows=hot_rows)
     return prov.join(pct, "_g").select(
         "n_providers", F.col("v__n_rows").alias("n_rows"),
-        *[F.col(f"v__{p}").alias(p) for p, _ in BREAKPOINTS])
+        *[F.col(f"v__{p}").alias(p) for p in names])
 
 
 def drilldown(fact: DataFrame, group: PeerGroup, limit: int = 10) -> DataFrame:

@@ -206,6 +206,11 @@ def q_live_percentile(spark, sf):
     return _r6(serve.live_percentile(_m(spark, sf).fact_b, GROUP_B, "tot_srvcs"))
 
 
+def q_live_percentile_hot(spark, sf):
+    """The live percentile with the slice forced through the distributed value CDF."""
+    return _r6(serve.live_percentile(_m(spark, sf).fact_b, GROUP_B, "tot_srvcs", hot_rows=10))
+
+
 def q_outliers(spark, sf):
     m = _m(spark, sf)
     return serve.outliers(m.fact_b, m.dim_provider, GROUP_B, "total_medicare_payment")
