@@ -128,6 +128,12 @@ def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: in
     if warm is None:
         return ranked
     hot_ranked = _cdf_rank(warm, peer, measures, min_peers, decimals, n_hot, buckets)
+    if range_partitions:
+        # keep the layout promise for hot groups too: a hot group is cut into contiguous
+        # slices (by its first rank) instead of scattered by the join's hash partitioning
+        first = next(iter(measures))
+        hot_ranked = hot_ranked.repartitionByRange(range_partitions, *(range_keys or peer),
+                                                   F.col(first).asc_nulls_last())
     return ranked.unionByName(hot_ranked.select(*ranked.columns))
 
 
