@@ -21,6 +21,8 @@ whether the per-group side tables are broadcast.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ def count_below(df: DataFrame, arr: str, value: str, length: int, out: str) -> D
 def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCKETS,
               group_bound: int | None = None) -> DataFrame:
     """One row per (keys, distinct value): ``_v``, ``_c`` (rows with it), ``_cum`` (rows with
-    a value <= it, NULLs sorting last like an ascending ORDER BY NULLS LAST) and ``_n``
-    (rows in the group)."""
+    a value <= it, NULLs sorting last like an ascending ORDER BY NULLS LAST), ``_n`` (rows in
+    the group) and ``_bk`` (the value-range bucket the row was counted in)."""
     keys = list(keys)
     vc = (df.select(*keys, value.alias("_v"))
             .groupBy(*keys, "_v")
@@ -95,20 +97,25 @@ def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCK
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = vb.withColumn("_lc", F.sum("_c").over(running))
     out = join_null_safe(local, offsets, keys + ["_bk"], "inner")
-    return out.select(*keys, "_v", "_c", (F.col("_lc") + F.col("_off")).alias("_cum"), "_n")
+    return out.select(*keys, "_v", "_c", (F.col("_lc") + F.col("_off")).alias("_cum"), "_n",
+                      "_bk")
 
 
-def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None = None
-                         ) -> DataFrame:
+def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None = None,
+                         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact interpolated percentiles (``quantile_cont`` semantics) from a value CDF whose
     NULL values were removed beforehand. ``probs`` is a list of (name, p). Returns
-    ``keys, n, <name>...``.
+    ``keys, n, <name>...``. ``buckets`` is the bucket count the CDF was built with.
 
     For each p the position is p*(n-1); the values at floor and ceil of it are located by
     the rank interval [_cum - _c, _cum) each distinct value occupies, then interpolated.
     """
     keys = list(keys)
-    groups = cdf.groupBy(*keys).agg(F.max("_n").alias("n"))
+    # the rank interval each bucket covers: at most buckets+1 rows per group
+    spans = cdf.groupBy(*keys, "_bk").agg(F.min(F.col("_cum") - F.col("_c")).alias("_start"),
+                                          F.max("_cum").alias("_end"), F.max("_n").alias("n"))
+    span_bound = None if group_bound is None else group_bound * (buckets + 1)
+    groups = spans.groupBy(*keys).agg(F.max("n").alias("n"))
     targets = groups.select(
         *keys, "n",
         F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).alias("p"))
@@ -120,17 +127,26 @@ def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None
                .withColumn("which", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
                .withColumn("r", F.when(F.col("which") == "lo", F.col("lo"))
                            .otherwise(F.col("hi")))
-               .select(*keys, "n", F.col("t.name").alias("name"), "pos", "lo", "which", "r"))
+               .select(*keys, F.col("t.name").alias("name"), "pos", "lo", "which", "r"))
+    # resolve each target position to its bucket (small x small), then meet the value rows
+    # on (group, bucket) equality: a value row only sees the few targets of its own bucket
     target_bound = None if group_bound is None else group_bound * 2 * len(probs)
-    targets = broadcast_if_small(targets, target_bound, row_bytes=128)
-
-    renamed = cdf.select(*[F.col(k).alias(f"__c_{k}") for k in keys], "_v", "_c", "_cum")
-    cond = [targets[k].eqNullSafe(renamed[f"__c_{k}"]) for k in keys]
-    cond += [targets["r"] >= renamed["_cum"] - renamed["_c"], targets["r"] < renamed["_cum"]]
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    hits = targets.join(renamed, cond_all, "inner")
+    sp = spans.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "_bk", "_start", "_end", "n")
+    tcond = reduce(lambda a, b: a & b,
+                   [targets[k].eqNullSafe(sp[f"__s_{k}"]) for k in keys]
+                   + [targets["r"] >= sp["_start"], targets["r"] < sp["_end"]])
+    located = (targets.join(broadcast_if_small(sp, span_bound, row_bytes=96), tcond, "inner")
+               .select(*keys, "n", "name", "pos", "lo", "which", "r", "_bk"))
+    located = broadcast_if_small(located, target_bound, row_bytes=128)
+
+    renamed = cdf.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col("_bk").alias("__c_bk"),
+                         "_v", "_c", "_cum")
+    cond = reduce(lambda a, b: a & b,
+                  [located[k].eqNullSafe(renamed[f"__c_{k}"]) for k in keys]
+                  + [located["_bk"] == renamed["__c_bk"],
+                     located["r"] >= renamed["_cum"] - renamed["_c"],
+                     located["r"] < renamed["_cum"]])
+    hits = located.join(renamed, cond, "inner")
     per_prob = (hits.groupBy(*keys, "n", "name")
                 .agg(F.max("pos").alias("pos"), F.max("lo").alias("lo"),
                      F.max(F.when(F.col("which") == "lo", F.col("_v"))).alias("v_lo"),

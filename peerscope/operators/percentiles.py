@@ -47,7 +47,8 @@ def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
     long = unpivot_measures(warm, keys, values, name="_m", value="_x")
     cdf = value_cdf(long, keys + ["_m"], F.col("_x"), buckets=buckets,
                     group_bound=n_hot * len(values))
-    pc = percentiles_from_cdf(cdf, keys + ["_m"], probs, group_bound=n_hot * len(values))
+    pc = percentiles_from_cdf(cdf, keys + ["_m"], probs, group_bound=n_hot * len(values),
+                              buckets=buckets)
     pick = lambda name, col: F.max(F.when(F.col("_m") == name, F.col(col)))
     aggs = []
     for name in values:
@@ -64,7 +65,8 @@ def global_percentiles(df: DataFrame, value: Column, probs, *,
     """Exact percentiles of a whole column, never collecting it into one buffer."""
     keyed = df.select(F.lit(0).alias("_all"), value.alias("_x")).filter(F.col("_x").isNotNull())
     cdf = value_cdf(keyed, ["_all"], F.col("_x"), buckets=buckets, group_bound=1)
-    return percentiles_from_cdf(cdf, ["_all"], probs, group_bound=1).drop("_all")
+    return percentiles_from_cdf(cdf, ["_all"], probs, group_bound=1,
+                                buckets=buckets).drop("_all")
 
 
 def weighted_percentiles(counts: DataFrame, keys, value: str, freq: str, probs) -> DataFrame:
