@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio, safe_divide, stable_round
 from peerscope.operators.combine import metrics_row
+from peerscope.operators.joins import join_null_safe
 from peerscope.operators.percentiles import group_percentiles
 from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.operators.reshape import unpivot_measures
@@ -97,20 +98,24 @@ def group_size_profile(df: DataFrame, keys, min_peers: int = 30, label: str | No
     rows = F.sum("n")
     under_g = F.count_if(F.col("n") < min_peers)
     under_r = F.coalesce(F.sum(F.when(F.col("n") < min_peers, F.col("n"))), F.lit(0))
-    out = g.agg(
+    out = g.withColumn("_all", F.lit(0)).groupBy("_all").agg(
         groups.alias("n_groups"),
         rows.cast("long").alias("n_rows"),
         rounded_ratio(rows, groups, 1).alias("mean_rows"),
-        F.percentile("n", 0.5).alias("p50"),
-        F.percentile("n", 0.9).alias("p90"),
-        F.percentile("n", 0.99).alias("p99"),
         F.max("n").alias("max_rows"),
         under_g.alias("groups_under_min"),
         under_r.cast("long").alias("rows_under_min"),
         rounded_ratio(under_g * 100, groups, 1).alias("pct_groups_under_min"),
         rounded_ratio(under_r * 100, rows, 2).alias("pct_rows_under_min"))
+    # percentiles of the group sizes: one value per group, so size-checked like any group
+    q = group_percentiles(g.withColumn("_all", F.lit(0)), ["_all"], {"n": F.col("n")},
+                          [("p50", 0.5), ("p90", 0.9), ("p99", 0.99)])
     lab = label or " + ".join(keys)
-    return out.select(F.lit(lab).alias("peer_key"), *out.columns)
+    return out.join(q, "_all").select(
+        F.lit(lab).alias("peer_key"), "n_groups", "n_rows", "mean_rows",
+        F.col("n__p50").alias("p50"), F.col("n__p90").alias("p90"),
+        F.col("n__p99").alias("p99"), "max_rows", "groups_under_min", "rows_under_min",
+        "pct_groups_under_min", "pct_rows_under_min")
 
 
 def peer_key_variants(df: DataFrame, variants, min_peers: int = 30) -> DataFrame:
@@ -152,55 +157,70 @@ def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: i
 
 
 def within_group_spread(df: DataFrame, keys, price: Column, volume: Column, *,
-                        min_rows: int = 1000, top: int = 25) -> DataFrame:
-    """p99/p50 of price and volume inside each large group, largest groups first."""
-    g = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.percentile(price, [0.5, 0.99]).alias("_pr"),
-        F.percentile(volume, [0.5, 0.99]).alias("_vo")).filter(F.col("n_rows") >= min_rows)
-    pr50, pr99, vo50, vo99 = F.col("_pr")[0], F.col("_pr")[1], F.col("_vo")[0], F.col("_vo")[1]
+                        min_rows: int = 1000, top: int = 25,
+                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """p99/p50 of price and volume inside each large group, largest groups first.
+    Percentiles go through ``group_percentiles``, so a huge group is split, not buffered."""
+    keys = list(keys)
+    q = [("p50", 0.5), ("p99", 0.99)]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    pct = group_percentiles(df, keys, {"pr": price, "vo": volume}, q, hot_rows=hot_rows)
+    g = join_null_safe(sizes.filter(F.col("n_rows") >= min_rows), pct, keys, "inner")
+    pr50, pr99, vo50, vo99 = (F.col("pr__p50"), F.col("pr__p99"), F.col("vo__p50"),
+                              F.col("vo__p99"))
     return (g.select(*keys, "n_rows",
-                     stable_round(pr50, 2).alias("price_p50"), stable_round(pr99, 2).alias("price_p99"),
+                     stable_round(pr50, 2).alias("price_p50"),
+                     stable_round(pr99, 2).alias("price_p99"),
                      stable_round(safe_divide(pr99, pr50), 2).alias("price_p99_over_p50"),
-                     stable_round(vo50, 1).alias("volume_p50"), stable_round(vo99, 1).alias("volume_p99"),
+                     stable_round(vo50, 1).alias("volume_p50"),
+                     stable_round(vo99, 1).alias("volume_p99"),
                      stable_round(safe_divide(vo99, vo50), 2).alias("volume_p99_over_p50"))
             .orderBy(F.desc("n_rows"), *keys).limit(int(top)))
 
 
-def key_spread_comparison(df: DataFrame, value: Column, variants, *, min_rows: int = 30
-                          ) -> DataFrame:
+def key_spread_comparison(df: DataFrame, value: Column, variants, *, min_rows: int = 30,
+                          hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Within-group spread of ``value`` under alternative keys (A13): per key definition,
     the groups of at least ``min_rows`` rows and the distribution of their p99/p50."""
     parts = []
     for keys, label in variants:
-        g = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("n"), F.percentile(value, [0.5, 0.99]).alias("_q"))
-             .filter(F.col("n") >= min_rows)
-             .select(F.lit(label).alias("key_def"), "n",
-                     F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p99")))
-        parts.append(g)
+        keys = list(keys)
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        pct = group_percentiles(df, keys, {"x": value}, [("p50", 0.5), ("p99", 0.99)],
+                                hot_rows=hot_rows)
+        g = join_null_safe(sizes.filter(F.col("n") >= min_rows), pct, keys, "inner")
+        parts.append(g.select(F.lit(label).alias("key_def"), "n",
+                              F.col("x__p50").alias("p50"), F.col("x__p99").alias("p99")))
     u = reduce(lambda a, b: a.unionByName(b), parts)
     u = u.withColumn("ratio", safe_divide(F.col("p99"), F.col("p50")))
     # reported over groups with a positive median only, like the count of groups
     u = u.filter(F.col("p50").isNotNull() & (F.col("p50") > 0))
-    return (u.groupBy("key_def")
-            .agg(F.count(F.lit(1)).alias("n_groups"),
-                 F.sum("n").cast("long").alias("n_rows_covered"),
-                 stable_round(F.percentile("ratio", 0.5), 2).alias("median_p99_over_p50"),
-                 stable_round(F.percentile("ratio", 0.9), 2).alias("p90_p99_over_p50"),
-                 stable_round(F.max("ratio"), 2).alias("max_p99_over_p50"))
+    basic = u.groupBy("key_def").agg(F.count(F.lit(1)).alias("n_groups"),
+                                     F.sum("n").cast("long").alias("n_rows_covered"),
+                                     F.max("ratio").alias("_mx"))
+    q = group_percentiles(u, ["key_def"], {"r": F.col("ratio")}, [("p50", 0.5), ("p90", 0.9)],
+                          hot_rows=hot_rows)
+    return (basic.join(q, "key_def")
+            .select("key_def", "n_groups", "n_rows_covered",
+                    stable_round(F.col("r__p50"), 2).alias("median_p99_over_p50"),
+                    stable_round(F.col("r__p90"), 2).alias("p90_p99_over_p50"),
+                    stable_round(F.col("_mx"), 2).alias("max_p99_over_p50"))
             .orderBy("key_def"))
 
 
 def fanout_profile(df: DataFrame, parent: str, child: str) -> DataFrame:
     """How many distinct ``child`` values per ``parent`` (A14), e.g. brands per generic."""
-    g = df.groupBy(parent).agg(F.count_distinct(child).alias("k"))
+    g = (df.select(parent, child).distinct().groupBy(parent)
+         .agg(F.count(F.lit(1)).alias("k")).withColumn("_all", F.lit(0)))
     n = F.count(F.lit(1))
-    return g.agg(n.alias("parents"), F.count_if(F.col("k") == 1).alias("with_one"),
-                 rounded_ratio(F.sum("k"), n, 2).alias("mean_children"),
-                 F.percentile("k", 0.5).alias("p50_children"),
-                 F.percentile("k", 0.9).alias("p90_children"),
-                 F.max("k").alias("max_children"))
+    basic = g.groupBy("_all").agg(n.alias("parents"),
+                                  F.count_if(F.col("k") == 1).alias("with_one"),
+                                  rounded_ratio(F.sum("k"), n, 2).alias("mean_children"),
+                                  F.max("k").alias("max_children"))
+    q = group_percentiles(g, ["_all"], {"k": F.col("k")}, [("p50", 0.5), ("p90", 0.9)])
+    return basic.join(q, "_all").select(
+        "parents", "with_one", "mean_children", F.col("k__p50").alias("p50_children"),
+        F.col("k__p90").alias("p90_children"), "max_children")
 
 
 # ---------------------------------------------------------------- providers across files
