@@ -151,8 +151,16 @@ def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: i
     distributed value CDF; smaller ones use the exact ``percentile`` aggregate.
     """
     long = unpivot_measures(df, [], measures)
+    # each measure's group has at most one value per input row, so the input's row count
+    # (footer metadata on Parquet) decides for all measures at once: no grouping probe
+    n = None if hot_rows is None else df.count()
+    if n is None or n <= hot_rows:
+        hot = (None, 0)
+    else:
+        hot = (df.sparkSession.createDataFrame([(m, n) for m in measures],
+                                               "measure string, _n long"), len(measures))
     pct = group_percentiles(long, ["measure"], {"v": F.col("value")}, DIST_POINTS,
-                            hot_rows=hot_rows)
+                            hot_rows=hot_rows, hot=hot)
     pct = pct.select("measure", *[F.col(f"v__{p}").alias(p) for p, _ in DIST_POINTS])
     basic = long.groupBy("measure").agg(F.max("value").alias("max"),
                                         F.avg("value").alias("mean"))
