@@ -10,12 +10,14 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
+from pyspark.sql import functions as F
 
 from peerscope.plans.build import build, build_report, report_markdown
 from peerscope.plans.checks import failures
 from peerscope.schema import MIN_PEERS, RANK_DECIMALS
 from peerscope.session import ensure_checkpoint_dir
+from peerscope.sources import footer
 from peerscope.sources.csv import read_part_b, read_part_d
 
 
@@ -37,7 +39,13 @@ def main(argv=None) -> int:
                 decimals=args.rank_decimals)
     report = build_report(spark, res).collect()
     checks = res.checks.collect()
-    text = report_markdown([r.asDict() for r in report], [r.asDict() for r in checks])
+    # the five biggest columns of each table (a bounded, small list)
+    foot = footer.column_footprint(footer.footers(spark, res.tables))
+    top = (foot.withColumn("_r", F.row_number().over(
+        Window.partitionBy("table").orderBy(F.desc("compressed_bytes"), "column")))
+        .filter(F.col("_r") <= 5).drop("_r").orderBy("table", F.desc("compressed_bytes")))
+    text = report_markdown([r.asDict() for r in report], [r.asDict() for r in checks],
+                           [r.asDict() for r in top.collect()])
     print(text)
     if args.report:
         spark.createDataFrame([(text,)], "report string").coalesce(1) \
