@@ -78,3 +78,20 @@ def test_build_with_hot_groups_matches(spark):
         assert key(x) == key(y) and x.n_rows == y.n_rows and x.n_providers == y.n_providers
         for p in ("p10", "p25", "p50", "p75", "p90", "p95", "p99"):
             assert abs(x[p] - y[p]) <= 1e-9 * max(1.0, abs(y[p]))
+
+
+def test_two_yearly_builds_share_a_root(spark):
+    """Building 2022 then 2023 into one root keeps both years (dynamic partition
+    overwrite), and a year's serving table is computed from that year only."""
+    m = fixture_model(spark, SF)
+    out = tempfile.mkdtemp(prefix="peerscope-years-")
+    build(spark, m.raw_b, m.raw_d, out, year=2022, run_checks=False, block_bytes=64 * 1024)
+    res = build(spark, m.raw_b, m.raw_d, out, year=2023, run_checks=False,
+                block_bytes=64 * 1024)
+    from peerscope.sources.parquet import read_table
+    fact = read_table(spark, out, "fact_part_d_drug")
+    years = {r.year: r["count"] for r in fact.groupBy("year").count().collect()}
+    assert set(years) == {2022, 2023} and years[2022] == years[2023]
+    ps = read_table(spark, out, "peer_stats")
+    per_year = {r.year: r["count"] for r in ps.groupBy("year").count().collect()}
+    assert per_year[2022] == per_year[2023] == res.tables["peer_stats"].count()
