@@ -64,8 +64,7 @@ def run(spark, sf_dir: str, scratch: str) -> dict:
     out = f"{scratch}/built"
     # the whole build: stage raw to Parquet, dims, ranked facts, peer_stats from the written
     # facts; its per-table timings are reported as they are
-    res = timed("whole_build", lambda: build(spark, raw_b, raw_d, out, block_bytes=1024 * 1024,
-                                             run_checks=False))
+    res = timed("whole_build", lambda: build(spark, raw_b, raw_d, out, run_checks=False))
     for k, v in res.timings.items():
         times[f"build.{k}"] = v
     t = res.tables
