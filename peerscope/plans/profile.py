@@ -90,46 +90,77 @@ def low_end_histogram(df: DataFrame, col: str, upper: int = 20) -> DataFrame:
 # ---------------------------------------------------------------- group shape
 
 
-def _size_percentiles(df: DataFrame, size: str, probs) -> DataFrame:
+def _size_percentiles(df: DataFrame, size: str, probs, keys=("_all",)) -> DataFrame:
     """Exact percentiles of a per-group size column, from (size -> number of groups).
 
-    The distinct sizes d of groups that partition N rows satisfy d(d+1)/2 <= N, so the
-    single buffer holds at most sqrt(2N) entries (1.4M at 10^12 rows): a proven bound, no
-    probe job needed. Returns one row keyed by ``_all``.
+    The distinct sizes d of groups that partition N rows satisfy d(d+1)/2 <= N, so each
+    buffer holds at most sqrt(2N) entries (1.4M at 10^12 rows): a proven bound, no probe
+    job needed. ``keys`` label independent size distributions (default: one, ``_all``).
     """
-    freq = df.groupBy(size).agg(F.count(F.lit(1)).alias("_f")).withColumn("_all", F.lit(0))
-    return weighted_percentiles(freq, ["_all"], size, "_f", probs)
-
-
-def group_size_profile(df: DataFrame, keys, min_peers: int = 30, label: str | None = None
-                       ) -> DataFrame:
-    """Aggregate of an aggregate (A9): how big are groups under ``keys``?"""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    groups = F.count(F.lit(1))
-    rows = F.sum("n")
-    under_g = F.count_if(F.col("n") < min_peers)
-    under_r = F.coalesce(F.sum(F.when(F.col("n") < min_peers, F.col("n"))), F.lit(0))
-    out = g.withColumn("_all", F.lit(0)).groupBy("_all").agg(
-        groups.alias("n_groups"),
+    keys = list(keys)
+    freq = df.groupBy(*keys, size).agg(F.count(F.lit(1)).alias("_f"))
+    return weighted_percentiles(freq, keys, size, "_f", probs)
+
+
+def _size_stats(sizes: DataFrame, label: str, min_peers: int) -> DataFrame:
+    """Group-size profile per ``label`` from one row per group (``label``, ``n``).
+
+    Everything is read off the (size -> number of groups) frequencies in one aggregation,
+    so the group sizes are computed once; the exact percentiles weight each distinct size
+    by its frequency (at most sqrt(2N) distinct sizes, see ``_size_percentiles``)."""
+    freq = sizes.groupBy(label, "n").agg(F.count(F.lit(1)).alias("_f"))
+    f, n = F.col("_f"), F.col("n")
+    groups = F.sum(f)
+    rows = F.sum(n * f)
+    under_g = F.coalesce(F.sum(F.when(n < min_peers, f)), F.lit(0))
+    under_r = F.coalesce(F.sum(F.when(n < min_peers, n * f)), F.lit(0))
+    out = freq.groupBy(label).agg(
+        groups.cast("long").alias("n_groups"),
         rows.cast("long").alias("n_rows"),
         rounded_ratio(rows, groups, 1).alias("mean_rows"),
+        F.percentile(n, [0.5, 0.9, 0.99], f).alias("_q"),
         F.max("n").alias("max_rows"),
-        under_g.alias("groups_under_min"),
+        under_g.cast("long").alias("groups_under_min"),
         under_r.cast("long").alias("rows_under_min"),
         rounded_ratio(under_g * 100, groups, 1).alias("pct_groups_under_min"),
         rounded_ratio(under_r * 100, rows, 2).alias("pct_rows_under_min"))
-    q = _size_percentiles(g, "n", [("p50", 0.5), ("p90", 0.9), ("p99", 0.99)])
-    lab = label or " + ".join(keys)
-    return out.join(q, "_all").select(
-        F.lit(lab).alias("peer_key"), "n_groups", "n_rows", "mean_rows", "p50", "p90", "p99",
+    return out.select(
+        F.col(label).alias("peer_key"), "n_groups", "n_rows", "mean_rows",
+        F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p90"), F.col("_q")[2].alias("p99"),
         "max_rows", "groups_under_min", "rows_under_min", "pct_groups_under_min",
         "pct_rows_under_min")
 
 
+def group_size_profile(df: DataFrame, keys, min_peers: int = 30, label: str | None = None
+                       ) -> DataFrame:
+    """Aggregate of an aggregate (A9): how big are groups under ``keys``?"""
+    lab = label or " + ".join(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("_label", F.lit(lab))
+    return _size_stats(sizes, "_label", min_peers)
+
+
 def peer_key_variants(df: DataFrame, variants, min_peers: int = 30) -> DataFrame:
-    """A9 for several candidate keys, stacked (A10)."""
-    parts = [group_size_profile(df, keys, min_peers, label) for keys, label in variants]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """A9 for several candidate keys, stacked (A10), from ONE scan: the group sizes of every
+    candidate key come out of a single GROUPING SETS aggregation (partially aggregated
+    map-side), and ``grouping_id`` tells the sets apart."""
+    cols = []
+    for keys, _ in variants:
+        for k in keys:
+            if k not in cols:
+                cols.append(k)
+    width = len(cols)
+
+    def gid(keys):   # bit i (from the left) is 1 when column i is not in this set
+        return sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in keys)
+    sets = [[F.col(c) for c in keys] for keys, _ in variants]
+    sizes = df.groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("n"),
+                                            F.grouping_id().alias("_gid"))
+    label = None
+    for keys, lab in variants:
+        cond = F.col("_gid") == gid(keys)
+        label = F.when(cond, F.lit(lab)) if label is None else label.when(cond, F.lit(lab))
+    sizes = sizes.select(label.alias("_label"), "n")
+    return _size_stats(sizes, "_label", min_peers)
 
 
 def unscoreable_by_key(df: DataFrame, keys, min_peers: int = 30) -> DataFrame:
