@@ -748,6 +748,12 @@ SELECT (SELECT count(*) FROM nb) AS part_b_providers, (SELECT count(*) FROM nd)
        (SELECT count(*) FROM (SELECT npi FROM nb INTERSECT SELECT npi FROM nd)) AS in_both,
        (SELECT count(*) FROM (SELECT npi FROM nb EXCEPT SELECT npi FROM nd)) AS part_b_only,
        (SELECT count(*) FROM (SELECT npi FROM nd EXCEPT SELECT npi FROM nb)) AS part_d_only"""),
+        "providers_in_both": q(RAW_B, RAW_D, body=(
+            "SELECT Rndrng_NPI AS npi FROM raw_b INTERSECT SELECT Prscrbr_NPI AS npi FROM raw_d")),
+        "providers_b_only": q(RAW_B, RAW_D, body=(
+            "SELECT Rndrng_NPI AS npi FROM raw_b EXCEPT SELECT Prscrbr_NPI AS npi FROM raw_d")),
+        "providers_d_only": q(RAW_B, RAW_D, body=(
+            "SELECT Prscrbr_NPI AS npi FROM raw_d EXCEPT SELECT Rndrng_NPI AS npi FROM raw_b")),
         "provider_overlap": q(RAW_B, RAW_D, body="""
 SELECT npi, specialty_b, specialty_d
 FROM (SELECT DISTINCT Rndrng_NPI AS npi, Rndrng_Prvdr_Type AS specialty_b FROM raw_b)

@@ -372,6 +372,21 @@ def q_provider_set_overlap(spark, sf):
     return profile.provider_set_overlap(m.raw_b, m.raw_d)
 
 
+def q_providers_in_both(spark, sf):
+    m = _m(spark, sf)
+    return profile.providers_in_both(m.raw_b, m.raw_d)
+
+
+def q_providers_b_only(spark, sf):
+    m = _m(spark, sf)
+    return profile.providers_only_in(m.raw_b, m.raw_d, "part_b")
+
+
+def q_providers_d_only(spark, sf):
+    m = _m(spark, sf)
+    return profile.providers_only_in(m.raw_b, m.raw_d, "part_d")
+
+
 def q_provider_overlap(spark, sf):
     m = _m(spark, sf)
     return profile.provider_overlap(m.raw_b, m.raw_d)
