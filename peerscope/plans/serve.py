@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import safe_divide, stable_round, title_case
+from peerscope.operators.joins import join_null_safe
 from peerscope.operators.percentiles import group_percentiles
 from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.operators.reshape import melt_breakpoints
@@ -205,22 +206,20 @@ def drilldown(fact: DataFrame, group: PeerGroup, limit: int = 10) -> DataFrame:
 def provider_vs_median(fact: DataFrame, peer_stats: DataFrame, dataset: str, measure: str
                        ) -> DataFrame:
     """Every scored row's value against its group median (P21, J8): the contract join of a
-    fact's ``<measure>_pct`` to ``peer_stats.measure``, place of service matched null-safe.
-    """
+    fact's ``<measure>_pct`` to ``peer_stats.measure`` on (year, specialty, code, place of
+    service), the last matched null-safe (Part D has none)."""
     spec = DATASETS[dataset]
     m = spec.measure(measure)
     pos = F.col("place_of_service") if spec.has_place_of_service \
         else F.lit(None).cast("string")
+    extra = [c for c in spec.grain if c not in ("npi", spec.code_col, "place_of_service")]
     f = fact.filter(F.col(m.rank_col).isNotNull()).select(
         "year", "npi", "specialty", F.col(spec.code_col).alias("code"),
-        pos.alias("place_of_service"), *[c for c in spec.grain if c not in ("npi",
-                                                                           spec.code_col,
-                                                                           "place_of_service")],
+        pos.alias("place_of_service"), *extra,
         m.expr().alias("value"), F.col(m.rank_col).alias("rank"))
-    s = peer_stats.filter((F.col("dataset") == dataset) & (F.col("measure") == measure)) \
-        .select("year", "specialty", "code", F.col("place_of_service").alias("pos_s"), "p50")
-    j = f.join(s, ["year", "specialty", "code"], "inner") \
-        .filter(F.col("place_of_service").eqNullSafe(F.col("pos_s"))).drop("pos_s")
+    s = (peer_stats.filter((F.col("dataset") == dataset) & (F.col("measure") == measure))
+         .select("year", "specialty", "code", "place_of_service", "p50"))
+    j = join_null_safe(f, s, ["year", "specialty", "code", "place_of_service"], "inner")
     return j.withColumn("ratio_to_median", safe_divide(F.col("value"), F.col("p50")))
 
 
