@@ -9,9 +9,16 @@ Only the file list (one path per file) is built on the driver.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The footer reader runs in Python workers. Ship it by value (it imports what it needs
+# inside), so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FOOTER_SCHEMA = ("table string, file string, row_group int, rg_rows long, column string, "
                  "compressed_bytes long, uncompressed_bytes long, min_str string, "
                  "max_str string, min_num double, max_num double")
