@@ -163,11 +163,6 @@ def peer_key_variants(df: DataFrame, variants, min_peers: int = 30) -> DataFrame
     return _size_stats(sizes, "_label", min_peers)
 
 
-def unscoreable_by_key(df: DataFrame, keys, min_peers: int = 30) -> DataFrame:
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < min_peers)
-    return g.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("unscoreable_rows"))
-
-
 # ---------------------------------------------------------------- distributions
 
 DIST_POINTS = [("p50", 0.50), ("p90", 0.90), ("p99", 0.99), ("p999", 0.999)]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from peerscope.sources import csv as csvsrc
 from peerscope.sources import footer
-from peerscope.sources.parquet import read_table, table_exists, write_sorted, write_unsorted
+from peerscope.sources.parquet import (has_facts, read_table, register_present, table_exists,
+                                       write_sorted, write_unsorted)
 
 
 def _write(text):
@@ -77,3 +78,13 @@ def test_pushdown_reaches_the_scan(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert "PushedFilters: [IsNotNull(specialty), EqualTo(specialty,S)]" in plan
+
+
+def test_presence_aware_registration(spark):
+    base = tempfile.mkdtemp(prefix="peerscope-reg-")
+    df = spark.createDataFrame([("1", 2023)], "npi string, year int")
+    write_sorted(df, f"{base}/dim_provider", ["npi"], partition_by=(), num_files=1)
+    present = register_present(spark, base, ["dim_provider", "fact_part_b_service"])
+    assert present == {"dim_provider": True, "fact_part_b_service": False}
+    assert not has_facts(present)
+    assert spark.table("dim_provider").count() == 1
