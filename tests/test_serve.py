@@ -71,3 +71,31 @@ def test_title_case_like_python(spark):
     df = spark.createDataFrame([(n,) for n in names], "s string")
     got = [r.t for r in df.select(title_case(F.col("s")).alias("t")).collect()]
     assert got == [n.title() for n in names]
+
+
+def test_build_invariants(model):
+    """rank in (0, 1]; max rank of a scored group is 1; rank NULL iff the group is under 30
+    rows; breakpoints monotone; scored fact groups == served groups (as sets)."""
+    from pyspark.sql import Window
+
+    f = model.fact_b
+    w = Window.partitionBy("year", "specialty", "hcpcs_code", "place_of_service")
+    g = (f.withColumn("n", F.count(F.lit(1)).over(w))
+         .groupBy("year", "specialty", "hcpcs_code", "place_of_service", "n")
+         .agg(F.max("tot_srvcs_pct").alias("mx"), F.min("tot_srvcs_pct").alias("mn"),
+              F.count("tot_srvcs_pct").alias("scored")))
+    bad = g.filter(((F.col("n") >= 30) & ((F.col("mx") != 1.0) | (F.col("mn") <= 0)
+                                          | (F.col("scored") != F.col("n"))))
+                   | ((F.col("n") < 30) & (F.col("scored") > 0))).count()
+    assert bad == 0
+    ps = model.peer_stats
+    assert ps.filter(~((F.col("p10") <= F.col("p25")) & (F.col("p25") <= F.col("p50"))
+                       & (F.col("p50") <= F.col("p75")) & (F.col("p75") <= F.col("p90"))
+                       & (F.col("p90") <= F.col("p95")) & (F.col("p95") <= F.col("p99")))
+                     ).count() == 0
+    scored = {(r.specialty, r.hcpcs_code, r.place_of_service)
+              for r in g.filter(F.col("scored") > 0).collect()}
+    served = {(r.specialty, r.code, r.place_of_service)
+              for r in ps.filter((F.col("dataset") == "part_b")
+                                 & (F.col("measure") == "tot_srvcs")).collect()}
+    assert scored == served and len(served) > 0
