@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.plans import dims, facts, stats
-from peerscope.schema import MIN_PEERS, RANK_DECIMALS
+from peerscope.schema import MIN_PEERS, PART_B, PART_D, RANK_DECIMALS
 
 
 @dataclass
@@ -27,20 +27,33 @@ class Model:
     hot_rows: int | None = DEFAULT_HOT_ROWS
     extra: dict = field(default_factory=dict)
 
+    @cached_property
+    def hot_b(self):
+        """One hot-group probe per dataset, shared by its ranks and the serving table."""
+        return facts.hot_groups(self.raw_b, facts.PART_B_RENAMES, PART_B, self.year,
+                                self.hot_rows)
+
+    @cached_property
+    def hot_d(self):
+        return facts.hot_groups(self.raw_d, facts.PART_D_RENAMES, PART_D, self.year,
+                                self.hot_rows)
+
     @cached_property
     def fact_b(self) -> DataFrame:
         return facts.fact_part_b_service(self.raw_b, self.year, min_peers=self.min_peers,
-                                         decimals=self.decimals, hot_rows=self.hot_rows)
+                                         decimals=self.decimals, hot_rows=self.hot_rows,
+                                         hot=self.hot_b)
 
     @cached_property
     def fact_d(self) -> DataFrame:
         return facts.fact_part_d_drug(self.raw_d, self.year, min_peers=self.min_peers,
-                                      decimals=self.decimals, hot_rows=self.hot_rows)
+                                      decimals=self.decimals, hot_rows=self.hot_rows,
+                                      hot=self.hot_d)
 
     @cached_property
     def peer_stats(self) -> DataFrame:
         return stats.peer_stats(self.fact_b, self.fact_d, min_peers=self.min_peers,
-                                hot_rows=self.hot_rows)
+                                hot_rows=self.hot_rows, hot_b=self.hot_b, hot_d=self.hot_d)
 
     @cached_property
     def dim_provider(self) -> DataFrame:
