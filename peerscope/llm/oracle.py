@@ -77,7 +77,101 @@ SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN CASE W
     - (1.0::DOUBLE - slope)) / (2.0::DOUBLE * slope) END END AS position FROM k"""
 
 
+def _any_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+#: kind, expression (without case folding, so that only ASCII letters meet), group, least size
+SECRET_KINDS = (
+    ("assign", "(" + _any_case("password|passwd|secret|token|api_?key")
+     + r""")["\x27]?\x20*[:=]\x20*["\x27]?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("forge", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 20),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 26),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
+    ("cloud", "AIza[0-9A-Za-z_-]{35}", 0, 39),
+    ("bearer", "(" + _any_case("bearer") + ") +[A-Za-z0-9+/_.=-]{20,}", 0, 27),
+    ("login", r"[a-z]{2,10}://[^/\x20:@\x22\x27]+:[^/\x20:@\x22\x27]+@", 0, 10),
+)
+
+
+def secrets_sql(docs: str = "documents") -> str:
+    found = " UNION ALL ".join(
+        f"SELECT rid, {rank} AS rank, '{kind}' AS kind, unnest(string_split_regex(text, '{p}')) AS"
+        f" gap, unnest(regexp_extract_all(text, '{p}', 0)) AS hit, unnest(regexp_extract_all(text,"
+        f" '{p}', {group})) AS own, unnest(range(len(regexp_extract_all(text, '{p}')))) AS i, {least}"
+        f" AS least FROM t WHERE regexp_matches(text, '{p}')"
+        for rank, (kind, p, group, least) in enumerate(SECRET_KINDS))
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM {docs}),
+f AS ({found}),
+s AS (SELECT rid, rank, kind, least, length(own) AS own, length(hit) AS size, sum(length(gap)
+  + length(hit)) OVER (PARTITION BY rid, rank ORDER BY i) - length(hit) AS start
+  FROM f WHERE hit IS NOT NULL),
+k AS (SELECT rid, rank, kind, start, concat(kind, ':', start::BIGINT, ':', (start + size)::BIGINT)
+  AS span FROM s WHERE own >= least),
+a AS (SELECT rid, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+  count(*) FILTER (rank = 2) AS n_hex,
+  string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+  string_agg(span, ',' ORDER BY start, rank) AS spans FROM k GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM t LEFT JOIN a USING (rid)"""
+
+
+def urls_sql(pages: str = "pages") -> str:
+    rules = (("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+    table = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
+    top = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
+
+    def parts(url: str) -> str:
+        host = (f"translate(coalesce(regexp_extract({url}, '{top}', 1), ''),"
+                " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+        return (f"{host} AS host, coalesce(regexp_extract({url}, '{top}', 2), '') AS path, {host}"
+                f" || regexp_extract({url}, '{top}', 2) || regexp_extract({url}, '{top}', 3) AS node")
+
+    return rf"""
+WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {table}),
+t AS (SELECT row_number() OVER () AS rid, page_id, url, html, {parts('url')} FROM {pages}),
+x AS (SELECT *, unnest([
+  regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["\x27]?canonical\b[^>]*>'),
+    '(?is)\bhref\s*=\s*["\x27]?([^"\x27\s>]+)', 1),
+  regexp_extract(regexp_extract(html,
+    '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["\x27]?refresh\b[^>]*>'),
+    '(?is)\burl\s*=\s*["\x27]?([^"\x27\s>;]+)', 1)]) AS to_url FROM t),
+y AS (SELECT node AS a, url AS a_url, CASE
+  WHEN regexp_matches(to_url, '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN to_url
+  WHEN starts_with(to_url, '//') THEN 'http:' || to_url
+  WHEN starts_with(to_url, '/') THEN 'http://' || host || to_url
+  ELSE 'http://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/'
+    ELSE regexp_replace(path, '[^/]*$', '') END || to_url END AS b_url FROM x
+  WHERE to_url <> '' AND host <> ''),
+z AS (SELECT a, a_url, b_url, {parts('b_url').replace('AS node', 'AS b')} FROM y),
+e AS (SELECT DISTINCT a, b FROM z WHERE host <> '' UNION SELECT b, a FROM z WHERE host <> ''),
+reach(n, m) AS (SELECT a, a FROM e UNION SELECT reach.n, e.b FROM reach JOIN e ON e.a = reach.m),
+comp AS (SELECT n, min(m) AS component FROM reach GROUP BY n HAVING count(DISTINCT m) > 1),
+u AS (SELECT a AS node, a_url AS u FROM z WHERE host <> '' UNION SELECT b, b_url FROM z
+  WHERE host <> ''),
+v AS (SELECT node, u, {parts('u').replace('AS node', 'AS n2')} FROM u),
+best AS (SELECT node, u, arg_max(verdict, length(rhost || rpath)) AS verdict FROM v JOIN rules ON
+  (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY node, u),
+said AS (SELECT component, bool_or(verdict = 'allow') AS allows, bool_or(verdict = 'block') AS
+  blocks FROM comp JOIN best ON node = n GROUP BY component),
+hit AS (SELECT rid, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+  arg_max(verdict, length(rhost || rpath)) AS verdict FROM t JOIN rules ON
+  (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rid)
+SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, CASE WHEN allows THEN 'allow'
+  WHEN blocks THEN 'block' END, 'allow') AS verdict, component AS aliases
+FROM t LEFT JOIN hit USING (rid) LEFT JOIN comp ON host <> '' AND n = t.node
+LEFT JOIN said USING (component)"""
+
+
 ORACLE_SQL = {
     "op1_quality_rules": quality_sql(),
+    "op3_url_filters": urls_sql(),
+    "op4_secret_scans": secrets_sql(),
     "op10_mixing": mixing_sql(),
 }

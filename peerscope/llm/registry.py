@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, mixing, quality
+from peerscope.llm import bpe, classifier, langid, lm, mixing, quality, secrets, urls
 from peerscope.llm.oracle import ORACLE_SQL
+from peerscope.llm.session import materialised
 
 #: The vocabulary file of the encoding query; a parameter of the operator.
 BPE_FILE = "word_bpe_49k.json"
@@ -29,11 +30,52 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs).select("doc_id", "quality.*")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    s = secrets.with_secrets(docs)
+    base = F.concat(*(F.col(f"secrets.{r.kind}") for r in secrets.BASE))
+    return s.select(
+        "doc_id", *(F.size(f"secrets.{r.kind}").cast("long").alias(f"n_{r.kind}")
+                    for r in secrets.BASE),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("secrets.spans")).alias("spans"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    out = langid.remainder("doc_id", 5) == 0
+    model = langid.fit(docs.filter(~out))
+    scored = langid.with_language(docs.select("doc_id", "text"), model, spans=False)
+    return scored.select("doc_id", out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = langid.remainder("doc_id", 10) == 0
+    training = docs.filter(~out)
+    counts = materialised(lm.word_counts(training))
+    scored = lm.with_lm_score(docs, lm.fit(training, counts), counts)
+    return scored.select("doc_id", out.alias("held_out"), "lm.*")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return bpe.with_bpe(docs, bpe_path()).select("doc_id", "bpe.*")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = langid.remainder("doc_id", 4) == 2
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~out)
+    scored = classifier.with_score(docs, classifier.fit(docs, labels))
+    return scored.select("doc_id", out.alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken", "position")
@@ -41,7 +83,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_url_filters": op3_url_filters,
+    "op4_secret_scans": op4_secret_scans,
+    "op5_language_id": op5_language_id,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_bpe": op7_bpe,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
 }
 
