@@ -29,7 +29,7 @@ from peerscope.llm.words import numbered, texts_of
 OWN, SHARED, WIDTH = 255, 256, 16
 CLASSES = OWN + 1 + SHARED
 END_CLASS = OWN
-NOISE, BATCH, RATE, PASSES = 32, 2048, 0.05, 2
+NOISE, BATCH, RATE, PASSES = 24, 4096, 0.05, 1
 #: Words whose counts are broadcast, and their longest UTF-8 form: a bound on its size.
 HEAD_WORDS, HEAD_BYTES = 200_000, 64
 #: Distinct words a task counts before it hands them on; words handled at once.
@@ -168,9 +168,10 @@ class Trainer:
     """Noise-contrastive estimation by AdaGrad on weighted (context, target) rows."""
 
     def __init__(self, start: Start):
-        self.params = {k: v.copy() for k, v in start.params.items()}
-        self.squares = {k: np.full_like(v, 1e-4) for k, v in start.params.items()}
-        self.noise, self.log_noise = start.noise, np.log(NOISE * start.noise)
+        self.params = {k: v.astype(np.float32) for k, v in start.params.items()}
+        self.squares = {k: np.full_like(v, 1e-6) for k, v in self.params.items()}
+        self.noise = start.noise
+        self.log_noise = np.log(NOISE * start.noise).astype(np.float32)
         self.rng = np.random.default_rng(5)
 
     def learn(self, target, one, two, weight) -> None:
@@ -183,27 +184,32 @@ class Trainer:
         """Climb the mean log odds of a batch; its noise is drawn once from class shares."""
         r, q, a, b, bias = (self.params[k] for k in ("input", "output", "first", "second", "bias"))
         drawn = self.rng.choice(CLASSES, NOISE, p=self.noise)
-        rx, ry = r[x], r[y]
+        n = n.astype(np.float32)
+        rx, ry, qw, qd = r[x], r[y], q[w], q[drawn]
         h = rx @ a + ry @ b
-        good = np.einsum("ij,ij->i", h, q[w]) + bias[w] - self.log_noise[w]
-        bad = h @ q[drawn].T + bias[drawn] - self.log_noise[drawn]
+        good = np.einsum("ij,ij->i", h, qw) + (bias - self.log_noise)[w]
+        bad = h @ qd.T + (bias - self.log_noise)[drawn]
         e_good = n / (1 + np.exp(np.clip(good, -50, 50)))  # 1 - P(data)
         e_bad = -n[:, None] / (1 + np.exp(np.clip(-bad, -50, 50)))
-        back = e_good[:, None] * q[w] + e_bad @ q[drawn]
-        rise = {k: np.zeros_like(v) for k, v in self.params.items()}
-        np.add.at(rise["output"], w, e_good[:, None] * h)
-        np.add.at(rise["output"], drawn, e_bad.T @ h)
-        rise["bias"] += np.bincount(w, e_good, CLASSES) + np.bincount(
-            drawn, e_bad.sum(axis=0), CLASSES)
-        np.add.at(rise["input"], x, back @ a.T)
-        np.add.at(rise["input"], y, back @ b.T)
-        rise["first"] += rx.T @ back
-        rise["second"] += ry.T @ back
+        back = e_good[:, None] * qw + e_bad @ qd
+        rise = {
+            "input": _scatter(x, back @ a.T) + _scatter(y, back @ b.T),
+            "output": _scatter(w, e_good[:, None] * h) + _scatter(drawn, e_bad.T @ h),
+            "first": rx.T @ back, "second": ry.T @ back,
+            "bias": np.bincount(w, e_good, CLASSES) + np.bincount(
+                drawn, e_bad.sum(axis=0), CLASSES)}
         for k, g in rise.items():
+            g = g.astype(np.float32)
             self.squares[k] += g * g
             self.params[k] += RATE * g / np.sqrt(self.squares[k])
 
 
+def _scatter(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Rows added up by class."""
+    place = at[:, None] * WIDTH + np.arange(WIDTH)
+    return np.bincount(place.ravel(), rows.ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
+
+
 def _trainer(start):
     def train(batches):
         begin, seen = start.value, 0
@@ -218,7 +224,7 @@ def _trainer(start):
                     trainer.learn(*rows, n.astype(float))
                 seen += len(target)
         for name, x in trainer.params.items():
-            yield tables.blocks_of(name, x * seen)
+            yield tables.blocks_of(name, x.astype(np.float64) * seen)
         yield tables.blocks_of("seen", np.array([seen]))
     return train
 

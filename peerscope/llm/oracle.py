@@ -169,7 +169,30 @@ FROM t LEFT JOIN hit USING (rid) LEFT JOIN comp ON host <> '' AND n = t.node
 LEFT JOIN said USING (component)"""
 
 
+def jaccard_sql(docs: str = "documents", words_each: int = 4, percent: int = 85) -> str:
+    k = words_each - 1
+    return rf"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(
+  coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM {docs}),
+s AS MATERIALIZED (SELECT DISTINCT rid, CASE WHEN len(ws) <= {k} THEN array_to_string(ws, ' ')
+  ELSE array_to_string(ws[i:i+{k}], ' ') END AS g
+  FROM (SELECT rid, ws, unnest(range(1, greatest(2, len(ws) - {k - 1}))) AS i FROM t
+        WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.rid < b.rid
+  GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON a = x.rid JOIN n y ON b = y.rid
+  WHERE 100 * i >= {percent} * (x.n + y.n - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT r.a AS rid, min(doc_id) AS component_id FROM r JOIN t ON t.rid = r.b GROUP BY r.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN c.rid IS NULL THEN doc_id
+  ELSE component_id END AS component_id FROM t LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)"""
+
+
 ORACLE_SQL = {
+    "op2_ngram_jaccard": jaccard_sql(),
     "op1_quality_rules": quality_sql(),
     "op3_url_filters": urls_sql(),
     "op4_secret_scans": secrets_sql(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, classifier, langid, lm, mixing, quality, secrets, urls
+from peerscope.llm import bpe, classifier, jaccard, langid, lm, mixing, quality, secrets, urls
 from peerscope.llm.oracle import ORACLE_SQL
 from peerscope.llm.session import materialised
 
@@ -30,6 +30,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs).select("doc_id", "quality.*")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_documents(spark, sf_dir), words_each=4, percent=85)
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -83,6 +87,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_url_filters": op3_url_filters,
     "op4_secret_scans": op4_secret_scans,
     "op5_language_id": op5_language_id,
