@@ -14,6 +14,7 @@ import json
 import struct
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from peerscope.llm.words import texts_of
 CACHE_WORDS = 250_000
 CACHE_BYTES = 48
 SCHEMA = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
-SCHEMA_IDS = "struct<ids:array<int>,decoded:string>"
+SCHEMA_FULL = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,ids:array<int>,decoded:string>"
 
 
 def byte_symbols() -> list[str]:
@@ -163,9 +164,9 @@ class _Spec:
 
 def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "bpe",
              full: bool = False) -> DataFrame:
-    """``df`` with a struct column: token count and digests of ids and decoded text, or with
-    ``full`` the ids and the decoded text themselves. A column already named ``out_col`` is
-    replaced, others pass through.
+    """``df`` with a struct column: token count and digests of ids and decoded text, with
+    ``full`` also the ids and the decoded text themselves. A column already named ``out_col``
+    is replaced, others pass through.
 
     Null counts as the empty text: no tokens, digests of nothing. Special tokens written out
     in a text give their ids. Texts are taken whole; a word of any length is merged in
@@ -173,25 +174,27 @@ def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "b
     """
     spec = _Spec(df.sparkSession, read_spec(path))
 
-    @F.arrow_udf(SCHEMA_IDS if full else SCHEMA)
+    @F.arrow_udf(SCHEMA_FULL if full else SCHEMA)
     def encode(text: pa.Array) -> pa.Array:
         encoder = _worker_encoder(spec)
-        rows = [], [], []
+        counts, marks, plain_marks, kept, plain = [], [], [], [], []
         for t in texts_of(text):
             ids, decoded = encoder.encode(t)
+            counts.append(len(ids) // 4)
+            marks.append(hashlib.sha256(ids).hexdigest())
+            plain_marks.append(hashlib.sha256(decoded).hexdigest())
             if full:
-                rows[0].append(list(struct.unpack(f"<{len(ids) // 4}I", ids)))
-                rows[1].append(decoded.decode())
-            else:
-                rows[0].append(len(ids) // 4)
-                rows[1].append(hashlib.sha256(ids).hexdigest())
-                rows[2].append(hashlib.sha256(decoded).hexdigest())
+                kept.append(ids)
+                plain.append(decoded.decode())
+        arrays = [pa.array(counts, pa.int64()), pa.array(marks, pa.string()),
+                  pa.array(plain_marks, pa.string())]
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"]
         if full:
-            return pa.StructArray.from_arrays(
-                [pa.array(rows[0], pa.list_(pa.int32())), pa.array(rows[1], pa.string())],
-                names=["ids", "decoded"])
-        return pa.StructArray.from_arrays(
-            [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()),
-             pa.array(rows[2], pa.string())], names=["n_tokens", "ids_sha256", "decoded_sha256"])
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.frombuffer(b"".join(kept), "<i4"))))
+            arrays.append(pa.array(plain, pa.string()))
+            names += ["ids", "decoded"]
+        return pa.StructArray.from_arrays(arrays, names=names)
 
     return df.withColumn(out_col, encode(F.col(text_col)))

@@ -14,6 +14,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerscope.llm.session import materialised
 from peerscope.llm.words import texts_of
@@ -29,7 +30,7 @@ SLOPES = (-0.5, 0.0, 0.5)
 BUCKET_ROWS = 4096
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def word_count(text: pa.Array) -> pa.Array:
     return pa.array([len((t or "").encode("utf-8", "surrogatepass").split())
                      for t in texts_of(text)], pa.int64())

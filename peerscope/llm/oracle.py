@@ -191,10 +191,30 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN c.rid IS NULL THE
   ELSE component_id END AS component_id FROM t LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)"""
 
 
+def vectors_sql(table: str = "embeddings", least: float = 0.93) -> str:
+    """Exact over all pairs of a label, for small tables."""
+    return f"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, vec_id, label,
+  list_transform(embedding, lambda x: x::DOUBLE) AS v FROM {table}),
+s AS MATERIALIZED (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM t
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x)))
+  = 0 AND list_sum(list_transform(v, lambda x: abs(x))) > 0),
+e AS MATERIALIZED (SELECT a.rid AS a, b.rid AS b FROM s a JOIN s b ON a.label = b.label
+  AND a.rid <> b.rid AND len(a.v) = len(b.v)
+  AND list_inner_product(a.v, b.v) >= {least} * a.norm * b.norm),
+n AS (SELECT a AS rid, count(*) AS n FROM e GROUP BY a),
+r(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT r.a AS rid, min(vec_id) AS component_id FROM r JOIN t ON t.rid = r.b GROUP BY r.a),
+o AS (SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, CASE WHEN c.rid IS NULL THEN vec_id ELSE
+  component_id END AS component_id FROM t LEFT JOIN n USING (rid) LEFT JOIN c USING (rid))
+SELECT *, coalesce(vec_id = component_id, false) AS kept FROM o"""
+
+
 ORACLE_SQL = {
     "op2_ngram_jaccard": jaccard_sql(),
     "op1_quality_rules": quality_sql(),
     "op3_url_filters": urls_sql(),
     "op4_secret_scans": secrets_sql(),
+    "op8_embedding_dedup": vectors_sql(),
     "op10_mixing": mixing_sql(),
 }

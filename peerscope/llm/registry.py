@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, classifier, jaccard, langid, lm, mixing, quality, secrets, urls
+from peerscope.llm import (bpe, classifier, jaccard, langid, lm, mixing, quality, secrets, urls,
+                           vectors)
 from peerscope.llm.oracle import ORACLE_SQL
 from peerscope.llm.session import materialised
 
@@ -71,6 +72,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_bpe(docs, bpe_path()).select("doc_id", "bpe.*")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.93)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     out = langid.remainder("doc_id", 4) == 2
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_bpe": op7_bpe,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
 }

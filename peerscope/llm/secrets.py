@@ -134,3 +134,18 @@ def with_secrets(df: DataFrame, rules=ALL, id_col: str = "doc_id", text_col: str
     every = F.concat(*(F.col(f"{out_col}.{r.kind}") for r in rules))
     rows = rows.withColumn(out_col, F.col(out_col).withField("spans", F.array_sort(every)))
     return rows.drop("__key", "kinds", "__text")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+    """The text with every run of overlapping spans (sorted by start) replaced by ``mark``."""
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def cut(acc, s):
+        fresh = s["start"] >= acc["at"]
+        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(
+            fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
+        spans, zero, cut, lambda acc: F.concat(acc["out"], F.substring(
+            text, acc["at"] + 1, F.length(text)))))
