@@ -210,6 +210,8 @@ def _chunks(texts, limit: int):
 
 def label_texts(model: Model, texts: list[str], switch: float = SWITCH):
     """For a list of texts: (text index, start, length, language) arrays of their words."""
+    if not model.langs:
+        return (np.empty(0, np.int64),) * 4
     letters = _letters()
     joined = "\n".join(texts)
     starts, lengths, scores = model.words(letters.read(joined))
@@ -218,9 +220,7 @@ def label_texts(model: Model, texts: list[str], switch: float = SWITCH):
     doc = np.searchsorted(ends, starts, "right")
     count = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(count) - count
-    label = (viterbi(scores, first, count, switch) if len(model.langs)
-             else np.zeros(len(starts), np.int32))
-    return doc, starts - begins[doc], lengths, label
+    return doc, starts - begins[doc], lengths, viterbi(scores, first, count, switch)
 
 
 def with_language(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "language",
@@ -243,8 +243,6 @@ def with_language(df: DataFrame, model: Model, text_col: str = "text", out_col:
         preds, scores, found = [], [], []
         for chunk in _chunks(texts_of(text), SLICE // max(2, n)):
             doc, start, length, label = label_texts(model, chunk)
-            if not n:
-                doc, start, length, label = doc[:0], start[:0], length[:0], label[:0]
             votes = np.bincount(doc * max(n, 1) + label, weights=length,
                                 minlength=len(chunk) * max(n, 1)).reshape(len(chunk), -1)
             total, top = votes.sum(axis=1), votes.argmax(axis=1)

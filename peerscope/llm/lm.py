@@ -274,11 +274,28 @@ def fit(training: DataFrame, counts: DataFrame, text_col: str = "text") -> Langu
     return LanguageModel(vocabulary, LogBilinear(params))
 
 
-_PARTS = ("rid bigint, word binary, times int, n_tokens bigint, n_known bigint,"
+_PARTS = ("key binary, word binary, times int, n_tokens bigint, n_known bigint,"
           " base double, score double")
-_ARROW = pa.schema([("rid", pa.int64()), ("word", pa.binary()), ("times", pa.int32()),
+_ARROW = pa.schema([("key", pa.binary()), ("word", pa.binary()), ("times", pa.int32()),
                     ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
                     ("score", pa.float64())])
+#: Digests of texts that a task remembers, to score copies once.
+SEEN = 1 << 17
+
+
+def _unseen(batches):
+    """(key, text) of each batch without texts the task has just had."""
+    seen = set()
+    for batch in batches:
+        fresh = []
+        for i, k in enumerate(batch["key"].to_pylist()):
+            if k not in seen:
+                seen.add(k)
+                fresh.append(i)
+        if len(seen) > SEEN:
+            seen.clear()
+        if fresh:
+            yield batch.take(pa.array(fresh)) if len(fresh) < len(batch) else batch
 
 
 def _scorer(held):
@@ -289,10 +306,10 @@ def _scorer(held):
         m = held.value
         log_all = float(np.log10(m.total + ADD * (m.distinct + 1)))
         end_base = float(np.log10(m.ends + ADD)) - log_all
-        for batch in batches:
-            rids, at = batch["rid"].to_numpy(), 0
+        for batch in _unseen(batches):
+            at = 0
             for words, counts in _chunks(texts_of(batch["text"])):
-                rid, at = rids[at:at + len(counts)], at + len(counts)
+                key, at = batch["key"].slice(at, len(counts)), at + len(counts)
                 distinct, kinds, ids = classes_of(words, m.own)
                 known = np.fromiter((m.head.get(w, -1) for w in distinct), np.int64, len(distinct))
                 log_count = np.log10(np.maximum(known, 0) + ADD)
@@ -308,18 +325,18 @@ def _scorer(held):
                 score = log_class + np.bincount(doc, inside[ids], n)
                 have = np.bincount(doc, in_head & (known[ids] > 0), n).astype(np.int64)
                 yield pa.record_batch([
-                    pa.array(rid), pa.array([b"\xff" + int(r).to_bytes(8, "big") for r in rid],
-                                            pa.binary()), nulls(n, pa.int32()),
+                    key, pa.array([b" " + k for k in key.to_pylist()], pa.binary()),
+                    nulls(n, pa.int32()),
                     pa.array(counts + 1), pa.array(have + (m.ends > 0)), pa.array(base),
                     pa.array(score)], schema=_ARROW)
                 rest, times = np.unique(doc[~in_head] * len(distinct) + ids[~in_head],
                                         return_counts=True) if len(words) else ([], [])
                 for s in range(0, len(rest), 1 << 16):
-                    key = rest[s:s + (1 << 16)]
-                    k = len(key)
+                    some = rest[s:s + (1 << 16)]
+                    k = len(some)
                     yield pa.record_batch([
-                        pa.array(rid[key // len(distinct)]),
-                        pa.array([distinct[i] for i in key % len(distinct)], pa.binary()),
+                        key.take(pa.array(some // len(distinct))),
+                        pa.array([distinct[i] for i in some % len(distinct)], pa.binary()),
                         pa.array(times[s:s + k].astype(np.int32)), nulls(k, pa.int64()),
                         nulls(k, pa.int64()), nulls(k, pa.float64()), nulls(k, pa.float64())],
                         schema=_ARROW)
@@ -335,21 +352,26 @@ def with_lm_score(df: DataFrame, model: LanguageModel, counts: DataFrame,
     text is an empty one: a single end. Repeated rows are scored one by one. Untrained, every
     token is unknown.
     """
-    rows = df.drop(out_col).withColumn("__rid", F.monotonically_increasing_id())
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.drop(out_col).withColumn("__key", F.unhex(F.md5(text)))
     held = df.sparkSession.sparkContext.broadcast(model)
-    parts = rows.select(F.col("__rid").alias("rid"), F.col(text_col).alias("text")).mapInArrow(
+    parts = rows.select(F.col("__key").alias("key"), text.alias("text")).mapInArrow(
         _scorer(held), _PARTS)
     # rows of texts carry a word that no text holds, so that they spread over the join as well
     found = parts.join(counts, "word", "left")
     log = F.when(F.col("times").isNotNull(),
                  F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD)))
-    sums = found.groupBy("rid").agg(
-        F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)))
-        .alias("n_known"),
-        (F.max("base") + F.coalesce(F.sum(log), F.lit(0.0))).alias("base_score"),
-        (F.max("score") + F.coalesce(F.sum(log), F.lit(0.0))).alias("score"))
-    one = F.struct("n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
-                   "base_score", "score")
-    sums = sums.select(F.col("rid").alias("__rid"), one.alias(out_col))
-    return rows.join(sums, "__rid").drop("__rid")
+    sums = found.groupBy("key").agg(
+        F.count("n_tokens").alias("copies"),  # copies of a text that other tasks have scored
+        F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("head_known"),
+        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)).alias("known"),
+        F.max("base").alias("base"), F.max("score").alias("score"),
+        F.coalesce(F.sum(log), F.lit(0.0)).alias("rest"))
+    rest = F.col("rest") / F.col("copies")
+    one = F.struct(
+        "n_tokens", (F.col("head_known") + F.expr("known div copies")).alias("n_known"),
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        (F.col("base") + rest).alias("base_score"), (F.col("score") + rest).alias("score"))
+    # written first, so that the join deals both sides anew and can split a much-copied text
+    sums = materialised(sums.select(F.col("key").alias("__key"), one.alias(out_col)))
+    return rows.join(sums, "__key").drop("__key")

@@ -68,7 +68,7 @@ def inverse_demand(u, slope):
     """The time t at which the demand t + slope * (t^2 - t), the integral of the weight
     1 + slope * (2t - 1), reaches u; for a slope between -1 and 1 it never falls."""
     b = F.lit(1.0) - slope
-    bend = (F.sqrt(b * b + F.lit(4.0) * slope * u) - b) / (F.lit(2.0) * slope)
+    bend = F.try_divide(F.sqrt(b * b + F.lit(4.0) * slope * u) - b, F.lit(2.0) * slope)
     return F.when(slope == 0, u).otherwise(bend)
 
 
@@ -112,7 +112,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
            .withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
            .withColumn("copies", F.col("passes") + (
                (2 * F.col("part") >= F.col("size")) & (F.col("part") > 0)).cast("int"))
-           .withColumn("u", (2 * F.col("start") + F.col("size")) / (2.0 * F.col("goal")))
+           .withColumn("u", F.try_divide(
+               (2 * F.col("start") + F.col("size")).cast("double"), 2.0 * F.col("goal")))
            .withColumn("position", F.when(F.col("taken") > 0, inverse_demand(
                F.least(F.col("u"), F.lit(1.0)), F.col("slope")))))
     out = out.select("doc_id", "source", "size", "source_size", "target", "slope", "goal",

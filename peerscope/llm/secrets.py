@@ -118,7 +118,7 @@ def with_secrets(df: DataFrame, rules=ALL, id_col: str = "doc_id", text_col: str
     """
     docs = df.drop(out_col).withColumn("__key", row_key(id_col, text_col))
     index = docs.select(F.col("__key").alias("key"), F.col(text_col).alias("text"))
-    found = candidates(index.filter("text IS NOT NULL"), rules).withColumnRenamed("key", "__key")
+    found = candidates(index.filter("text IS NOT NULL"), rules).toDF("__key", "__kinds")
     rows = docs.join(found, "__key", "left").withColumn(
         "__text", F.coalesce(F.col(text_col), F.lit("")))
     none = F.expr("cast(array() AS array<struct<start:int,rank:int,kind:string,stop:int,own:int>>)")
@@ -127,13 +127,13 @@ def with_secrets(df: DataFrame, rules=ALL, id_col: str = "doc_id", text_col: str
         if trigram_query(rule.pattern) is True:
             try_it = F.col("__text").rlike(rule.pattern.replace("\\x20", " "))
         else:
-            try_it = F.array_contains("kinds", rule.kind)
+            try_it = F.array_contains("__kinds", rule.kind)
         spans.append(F.when(try_it, matches("__text", rule, order)).otherwise(none)
                      .alias(rule.kind))
     rows = rows.withColumn(out_col, F.struct(*spans))
     every = F.concat(*(F.col(f"{out_col}.{r.kind}") for r in rules))
     rows = rows.withColumn(out_col, F.col(out_col).withField("spans", F.array_sort(every)))
-    return rows.drop("__key", "kinds", "__text")
+    return rows.drop("__key", "__kinds", "__text")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

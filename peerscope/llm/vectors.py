@@ -113,8 +113,13 @@ def vector_key(vectors: pa.Array) -> pa.Array:
     return pa.array(keys, pa.binary())
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times an exact power of two, so that squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of squares
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -143,8 +148,9 @@ def _similar(least: float):
             if d in right:
                 j, y = right[d]
                 both, p, q = np.intersect1d(i, j, assume_unique=True, return_indices=True)
-                dots = np.einsum("ij,ij->i", x[p], y[q])
-                norms = np.sqrt((x[p] ** 2).sum(axis=1) * (y[q] ** 2).sum(axis=1))
+                x, y = _scaled(x[p]), _scaled(y[q])
+                dots = np.einsum("ij,ij->i", x, y)
+                norms = np.sqrt((x ** 2).sum(axis=1) * (y ** 2).sum(axis=1))
                 out[both] = dots >= least * norms
         return pa.array(out)
     return similar
