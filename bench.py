@@ -32,14 +32,9 @@ from peerscope.plans import checks as C  # noqa: E402
 from peerscope.plans import profile, serve  # noqa: E402
 from peerscope.plans.build import build  # noqa: E402
 from peerscope.plans.model import Model  # noqa: E402
-from peerscope.registry import GROUP_B, GROUP_D, PART_B_VARIANTS  # noqa: E402
-
-# The Part D peer-key candidates profiled by the reference's notebook.
-PART_D_VARIANTS = [
-    (["Prscrbr_Type", "Gnrc_Name"], "specialty + generic"),
-    (["Prscrbr_Type", "Brnd_Name"], "specialty + brand"),
-    (["Prscrbr_Type", "Gnrc_Name", "Prscrbr_State_Abrvtn"], "specialty + generic + state"),
-]
+from peerscope.registry import (GROUP_B, GROUP_D, PART_B_VARIANTS,  # noqa: E402
+                                PART_D_VARIANTS, _cost_per_claim, _measures_b)
+
 from peerscope.schema import PART_B, PART_D  # noqa: E402
 from peerscope.session import build_session  # noqa: E402
 from peerscope.sources import csv as csvsrc  # noqa: E402
@@ -75,23 +70,28 @@ def run(spark, sf_dir: str, scratch: str) -> dict:
                       dim_geography=t["dim_geography"], dim_ruca=t["dim_ruca"],
                       dim_provider=t["dim_provider"])
     timed("checks", lambda: C.run_checks(C.standard_checks(m)).collect())
-    timed("peer_percentile_served_b", lambda: serve.distribution(
+    served_b = timed("peer_percentile_served_b", lambda: serve.distribution(
         t["peer_stats"], GROUP_B, "tot_srvcs").collect())
-    timed("peer_percentile_served_d", lambda: serve.distribution(
+    served_d = timed("peer_percentile_served_d", lambda: serve.distribution(
         t["peer_stats"], GROUP_D, "cost_per_claim").collect())
+    # the served row count tells how large the slice is, so it is read once
     timed("peer_percentile_live_b", lambda: serve.live_percentile(
-        t[PART_B.fact], GROUP_B, "tot_srvcs").collect())
+        t[PART_B.fact], GROUP_B, "tot_srvcs", rows=served_b[0].n_rows).collect())
+    timed("peer_percentile_live_d", lambda: serve.live_percentile(
+        t[PART_D.fact], GROUP_D, "cost_per_claim", rows=served_d[0].n_rows).collect())
     csv_b = csvsrc.read_part_b(spark, f"{scratch}/csv/part_b")
     timed("peer_percentile_csv_b", lambda: csv_b.filter(
         (F.col("Rndrng_Prvdr_Type") == GROUP_B.specialty) & (F.col("HCPCS_Cd") == GROUP_B.code)
         & (F.col("Place_Of_Srvc") == GROUP_B.place_of_service))
         .agg(F.percentile("Tot_Srvcs", [0.5, 0.9, 0.99])).collect())
+    csv_d = csvsrc.read_part_d(spark, f"{scratch}/csv/part_d")
+    timed("peer_percentile_csv_d", lambda: csv_d.filter(
+        (F.col("Prscrbr_Type") == GROUP_D.specialty) & (F.col("Brnd_Name") == GROUP_D.code))
+        .agg(F.percentile(_cost_per_claim(), [0.5, 0.9, 0.99])).collect())
     timed("outliers_top25", lambda: serve.outliers(
         t[PART_B.fact], t["dim_provider"], GROUP_B, "total_medicare_payment").collect())
-    timed("measure_distribution", lambda: profile.measure_distribution(raw_b, {
-        "Tot_Benes": F.col("Tot_Benes"), "Tot_Srvcs": F.col("Tot_Srvcs"),
-        "Avg_Mdcr_Stdzd_Amt": F.col("Avg_Mdcr_Stdzd_Amt"),
-        "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")}).collect())
+    timed("measure_distribution", lambda: profile.measure_distribution(
+        raw_b, _measures_b()).collect())
     timed("peer_key_variants", lambda: profile.peer_key_variants(
         raw_b, PART_B_VARIANTS, 30).collect())
     timed("npi_set_operations", lambda: profile.provider_set_overlap(raw_b, raw_d).collect())

@@ -8,14 +8,16 @@ nation``; every operator then runs unchanged on them and its work grows with the
 Mapping (fixed; the SQL twin in ``peerscope.oracle`` must say the same):
 
 * provider  = customer: NPI = c_custkey left-padded to 10 digits, name = c_name;
-* Part B lines come from orders of status F or O, grain (customer, p_brand, l_linestatus):
+* Part B lines are all lines, grain (customer, p_brand, l_linestatus):
   specialty = n_name, HCPCS code = p_brand, place of service = l_linestatus,
   Tot_Benes = distinct orders, Tot_Srvcs = sum(l_quantity), Tot_Bene_Day_Srvcs = lines,
   submitted/standardized = max(l_extendedprice), allowed/payment = min(l_extendedprice);
-* Part D lines come from orders of status O or P, grain (customer, p_brand, p_type):
+* Part D lines are all lines, grain (customer, p_brand, p_type):
   specialty = c_mktsegment, brand = p_brand, generic = p_type, Tot_Clms = lines,
   Tot_Drug_Cst = round(sum(l_extendedprice), 2), Tot_Benes blanked when Tot_Clms < 2;
-* state and FIPS from c_mktsegment, RUCA from n_regionkey, city from c_nationkey.
+* state and FIPS from c_mktsegment, RUCA from n_regionkey, city from c_nationkey;
+* the provider sides (``provider_sides``) are the customers with an order of status F (Part B)
+  and of status P (Part D), so that each side has providers the other lacks.
 
 Measures are exact (counts, sums of integral quantities, max/min, 2-dp rounded sums), so
 ranks and percentiles can be compared bit for bit with another engine.
@@ -38,8 +40,7 @@ SEGMENT_STATE = {
 PART_D_UNKNOWN_FIPS = "99"
 REGION_RUCA = {0: "1", 1: "1.0", 2: "2", 3: "10.1"}
 DRUG_BRANDS = ("Brand#1", "Brand#2", "Brand#3")
-PART_B_STATUSES = ("F", "O")
-PART_D_STATUSES = ("O", "P")
+SIDE_B_STATUS, SIDE_D_STATUS = "F", "P"
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=("lineitem", "orders", "customer",
@@ -54,9 +55,8 @@ def _case_map(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default))
 
 
-def _lines(t: dict, statuses) -> DataFrame:
-    orders = t["orders"].filter(F.col("o_orderstatus").isin(*statuses)) \
-        .select("o_orderkey", "o_custkey")
+def _lines(t: dict) -> DataFrame:
+    orders = t["orders"].select("o_orderkey", "o_custkey")
     li = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                               "l_linestatus")
     part = t["part"].select("p_partkey", "p_brand", "p_type")
@@ -74,22 +74,14 @@ def _npi(col):
     return F.lpad(col.cast("string"), 10, "0")
 
 
-def raw_part_b(t: dict) -> DataFrame:
-    agg = (_lines(t, PART_B_STATUSES)
-           .groupBy("o_custkey", "p_brand", "l_linestatus")
-           .agg(F.count_distinct("l_orderkey").cast("long").alias("Tot_Benes"),
-                F.sum("l_quantity").cast("double").alias("Tot_Srvcs"),
-                F.count(F.lit(1)).cast("long").alias("Tot_Bene_Day_Srvcs"),
-                F.max("l_extendedprice").alias("hi"),
-                F.min("l_extendedprice").alias("lo")))
-    c = _customers(t)
-    j = agg.join(c, F.col("o_custkey") == F.col("c_custkey"))
+def _provider_b() -> list:
+    """The provider columns of Part B, over customer and nation columns."""
     seg = F.col("c_mktsegment")
     state = _case_map(seg, {k: v[0] for k, v in SEGMENT_STATE.items()})
     fips = _case_map(seg, {k: v[1] for k, v in SEGMENT_STATE.items()})
     ruca = _case_map(F.col("n_regionkey"), REGION_RUCA)
     nation_txt = F.col("c_nationkey").cast("string")
-    return j.select(
+    return [
         _npi(F.col("c_custkey")).alias("Rndrng_NPI"),
         F.col("c_name").alias("Rndrng_Prvdr_Last_Org_Name"),
         F.when(seg != "BUILDING", F.concat(F.lit("FN"), nation_txt))
@@ -108,6 +100,21 @@ def raw_part_b(t: dict) -> DataFrame:
         F.lit("US").alias("Rndrng_Prvdr_Cntry"),
         F.col("n_name").alias("Rndrng_Prvdr_Type"),
         F.lit("Y").alias("Rndrng_Prvdr_Mdcr_Prtcptg_Ind"),
+    ]
+
+
+def raw_part_b(t: dict) -> DataFrame:
+    agg = (_lines(t)
+           .groupBy("o_custkey", "p_brand", "l_linestatus")
+           .agg(F.count_distinct("l_orderkey").cast("long").alias("Tot_Benes"),
+                F.sum("l_quantity").cast("double").alias("Tot_Srvcs"),
+                F.count(F.lit(1)).cast("long").alias("Tot_Bene_Day_Srvcs"),
+                F.max("l_extendedprice").alias("hi"),
+                F.min("l_extendedprice").alias("lo")))
+    c = _customers(t)
+    j = agg.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return j.select(
+        *_provider_b(),
         F.col("p_brand").alias("HCPCS_Cd"),
         F.concat(F.lit("PROCEDURE "), F.col("p_brand")).alias("HCPCS_Desc"),
         F.when(F.col("p_brand").isin(*DRUG_BRANDS), F.lit("Y")).otherwise(F.lit("N"))
@@ -121,20 +128,12 @@ def raw_part_b(t: dict) -> DataFrame:
     )
 
 
-def raw_part_d(t: dict) -> DataFrame:
-    agg = (_lines(t, PART_D_STATUSES)
-           .groupBy("o_custkey", "p_brand", "p_type")
-           .agg(F.count(F.lit(1)).cast("long").alias("clms"),
-                F.count_distinct("l_orderkey").cast("long").alias("benes"),
-                F.sum("l_quantity").cast("double").alias("qty"),
-                F.round(F.sum("l_extendedprice"), 2).alias("cost")))
-    c = _customers(t)
-    j = agg.join(c, F.col("o_custkey") == F.col("c_custkey"))
+def _provider_d() -> list:
+    """The provider columns of Part D, over customer and nation columns."""
     seg = F.col("c_mktsegment")
     nation_txt = F.col("c_nationkey").cast("string")
     city = F.concat(F.lit("CITY "), nation_txt)
-    big = F.col("clms") >= 2
-    return j.select(
+    return [
         _npi(F.col("c_custkey")).alias("Prscrbr_NPI"),
         F.when(seg == "HOUSEHOLD", F.concat(F.lit(" "), F.upper("c_name")))
          .otherwise(F.col("c_name")).alias("Prscrbr_Last_Org_Name"),
@@ -146,6 +145,21 @@ def raw_part_d(t: dict) -> DataFrame:
         F.coalesce(_case_map(seg, {k: v[1] for k, v in SEGMENT_STATE.items()}),
                    F.lit(PART_D_UNKNOWN_FIPS)).alias("Prscrbr_State_FIPS"),
         seg.alias("Prscrbr_Type"),
+    ]
+
+
+def raw_part_d(t: dict) -> DataFrame:
+    agg = (_lines(t)
+           .groupBy("o_custkey", "p_brand", "p_type")
+           .agg(F.count(F.lit(1)).cast("long").alias("clms"),
+                F.count_distinct("l_orderkey").cast("long").alias("benes"),
+                F.sum("l_quantity").cast("double").alias("qty"),
+                F.round(F.sum("l_extendedprice"), 2).alias("cost")))
+    c = _customers(t)
+    j = agg.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    big = F.col("clms") >= 2
+    return j.select(
+        *_provider_d(),
         F.lit("S").alias("Prscrbr_Type_Src"),
         F.col("p_brand").alias("Brnd_Name"),
         F.col("p_type").alias("Gnrc_Name"),
@@ -167,3 +181,14 @@ def raw_part_d(t: dict) -> DataFrame:
 def raw_inputs(spark: SparkSession, sf_dir: str):
     t = load_tables(spark, sf_dir)
     return raw_part_b(t), raw_part_d(t)
+
+
+def provider_sides(spark: SparkSession, sf_dir: str):
+    """Provider rows of the two files, one for each order of the side's status."""
+    t = load_tables(spark, sf_dir, ("orders", "customer", "nation"))
+
+    def side(status, columns):
+        orders = t["orders"].filter(F.col("o_orderstatus") == status).select("o_custkey")
+        return (orders.join(_customers(t), F.col("o_custkey") == F.col("c_custkey"))
+                .select(*columns))
+    return side(SIDE_B_STATUS, _provider_b()), side(SIDE_D_STATUS, _provider_d())

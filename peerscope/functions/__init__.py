@@ -6,6 +6,5 @@ from peerscope.functions.columns import (  # noqa: F401
     null_safe_equal,
     rounded_ratio,
     safe_divide,
-    stable_round,
     title_case,
 )

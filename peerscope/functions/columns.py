@@ -19,29 +19,22 @@ def rounded_ratio(k: Column, n: Column, decimals: int) -> Column:
     round(k/n, d) on a double differs between engines when k/n sits exactly on a half
     (n=800, k=57 gives 0.07125). Working on integers removes the ambiguity:
         q = floor((2*k*10^d + n) / (2*n)),  result = q / 10^d.
-    The floor is taken with pmod so nothing is ever rounded through a double.
+    The quotient is an integral division, so nothing is ever rounded through a double.
     """
     scale = 10 ** decimals
     num = k.cast("long") * F.lit(2 * scale) + n.cast("long")
     den = n.cast("long") * F.lit(2)
-    q = (num - F.pmod(num, den)) / den          # exact multiple of den, so exact quotient
+    q = F.call_function("div", num - F.pmod(num, den), den)
     return q.cast("double") / F.lit(float(scale))
 
 
-def stable_round(c: Column, decimals: int) -> Column:
-    """Round a value that carries floating-point noise (an interpolated percentile, a mean
-    summed in some order) to ``decimals`` places: first to 6 places, which removes the noise,
-    then half-up on the decimal value. Two engines then agree even on exact ties."""
-    return F.round(F.round(c, 6), decimals)
-
-
 def title_case(s: Column) -> Column:
     """Python ``str.title`` semantics: every run of letters is capitalised on its own.
 
     ``initcap`` only splits on spaces ("O'NEIL" -> "O'neil"); splitting into letter and
     non-letter runs first gives "O'Neil Smith-Jones" like Python.
     """
-    runs = F.regexp_extract_all(s, F.lit(r"([A-Za-z]+|[^A-Za-z]+)"), 1)
+    runs = F.regexp_extract_all(s, F.lit(r"(\p{L}+|\P{L}+)"), 1)
     return F.array_join(F.transform(runs, lambda x: F.initcap(x)), "")
 
 

@@ -16,7 +16,7 @@ group in one task:
 
 The approximate cut points only decide *where* a group is split; every count is exact.
 Callers pass ``group_bound``, a proven upper bound on the number of groups, which decides
-whether the per-group side tables are broadcast.
+whether the per-group side tables are broadcast; the result is the same either way.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.operators.joins import broadcast_if_small, can_broadcast, join_null_safe
+from peerscope.operators.joins import broadcast_if_small, join_null_safe
 from peerscope.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 1024
@@ -68,15 +68,12 @@ def value_cdf(df: DataFrame, keys, value: Column, *, buckets: int = DEFAULT_BUCK
     bounds = (vc.filter(F.col("_v").isNotNull())
                 .groupBy(*keys)
                 .agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_b")))
-    bound_bytes = 8 * buckets + 64
-    if can_broadcast(group_bound, bound_bytes):
-        bounds = F.broadcast(bounds)
-    else:
-        # Too large to broadcast: pin the approximate cut points in the shared checkpoint
-        # folder so every consumer (and any recomputation after an executor loss) sees the
-        # same buckets; percentile_approx may differ with the merge order of its sketches.
-        ensure_checkpoint_dir(df.sparkSession)
-        bounds = bounds.checkpoint(eager=True)
+    # Pinned in the shared checkpoint folder, so that every consumer (and any recomputation
+    # after an executor loss) sees the same buckets: percentile_approx may differ with the
+    # merge order of its sketches.
+    ensure_checkpoint_dir(df.sparkSession)
+    bounds = broadcast_if_small(bounds.checkpoint(eager=True), group_bound,
+                                row_bytes=8 * buckets + 64)
     vb = count_below(join_null_safe(vc, bounds, keys, "left"), "_b", "_v", buckets - 1, "_bk")
     vb = vb.withColumn(
         "_bk", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(F.col("_bk"))).drop("_b")
@@ -108,9 +105,13 @@ def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None
     ``keys, n, <name>...``. ``buckets`` is the bucket count the CDF was built with.
 
     For each p the position is p*(n-1); the values at floor and ceil of it are located by
-    the rank interval [_cum - _c, _cum) each distinct value occupies, then interpolated.
+    the rank interval [_cum - _c, _cum) each distinct value occupies, then interpolated with
+    the weights Spark's own ``percentile`` uses, so both give the same bits. The CDF is read
+    twice and therefore written to the checkpoint folder first.
     """
     keys = list(keys)
+    ensure_checkpoint_dir(cdf.sparkSession)
+    cdf = cdf.checkpoint(eager=True)
     # the rank interval each bucket covers: at most buckets+1 rows per group
     spans = cdf.groupBy(*keys, "_bk").agg(F.min(F.col("_cum") - F.col("_c")).alias("_start"),
                                           F.max("_cum").alias("_end"), F.max("_n").alias("n"))
@@ -152,7 +153,9 @@ def percentiles_from_cdf(cdf: DataFrame, keys, probs, *, group_bound: int | None
                      F.max(F.when(F.col("which") == "lo", F.col("_v"))).alias("v_lo"),
                      F.max(F.when(F.col("which") == "hi", F.col("_v"))).alias("v_hi")))
     per_prob = per_prob.withColumn(
-        "value", F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
+        "value", F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
+            (F.col("lo") + 1 - F.col("pos")) * F.col("v_lo")
+            + (F.col("pos") - F.col("lo")) * F.col("v_hi")))
     return (per_prob.groupBy(*keys, "n")
             .agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
                    for name, _ in probs]))

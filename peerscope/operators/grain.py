@@ -19,3 +19,16 @@ def unscoreable_rows(df: DataFrame, keys, min_peers: int) -> DataFrame:
     small = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
                .filter(F.col("n") < min_peers))
     return small.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("unscoreable_rows"))
+
+
+def ends_of_distinct(df: DataFrame, key: str, out_key: str, ends) -> DataFrame:
+    """One row per ``key`` with the aggregates ``ends`` (Columns of string minimums and
+    maximums) over the distinct rows of ``df``.
+
+    String minimums have no fixed-width buffer, so Spark sorts for them. The distinct rows are
+    taken first with a hash aggregate, which leaves about one row per key to sort; the count
+    keeps the optimizer from dropping that step as redundant.
+    """
+    found = df.distinct().groupBy(F.col(key).alias(out_key)).agg(
+        *ends, F.count(F.lit(1)).alias("_rows"))
+    return found.filter("_rows > 0").drop("_rows")

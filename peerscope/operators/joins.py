@@ -35,6 +35,16 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def join_salted(rows: DataFrame, groups: DataFrame, keys, spread, salts: int = 16) -> DataFrame:
+    """Null-safe inner join of many rows to one row per group, each group repeated ``salts``
+    times and the rows of a group spread over them by a hash of ``spread``: no task gets more
+    than about 1/``salts`` of a group's rows."""
+    keys = list(keys)
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return join_null_safe(left, right, [*keys, "__salt"], "inner").drop("__salt")
+
+
 # Largest estimated size we broadcast (rows x bytes per row).
 BROADCAST_BYTE_LIMIT = 256 * 1024 * 1024
 

@@ -14,18 +14,24 @@ from pyspark.sql import functions as F
 
 from peerscope.operators.cdf import DEFAULT_BUCKETS, percentiles_from_cdf, value_cdf
 from peerscope.operators.joins import join_null_safe
-from peerscope.operators.rank import DEFAULT_HOT_ROWS, split_hot
+from peerscope.operators.rank import split_hot
 from peerscope.operators.reshape import unpivot_measures
 
 
-def _aggregate_percentiles(df: DataFrame, keys, values: dict, probs) -> DataFrame:
+#: Rows of the largest group whose exact value -> count maps one aggregation buffer holds.
+#: The buffer keeps every distinct value, so this is far below what a window can sort.
+PERCENTILE_ROWS = 200_000
+
+
+def _aggregate_percentiles(df: DataFrame, keys, values: dict, probs,
+                           rows: str | None = None) -> DataFrame:
     ps = [p for _, p in probs]
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias(rows)] if rows else []
     for name, expr in values.items():
         aggs.append(F.count(expr).alias(f"{name}__n_rows"))
         aggs.append(F.percentile(expr, ps).alias(f"{name}__arr"))
     wide = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys]
+    cols = [F.col(k) for k in keys] + ([F.col(rows)] if rows else [])
     for name in values:
         cols.append(F.col(f"{name}__n_rows"))
         for i, (pname, _) in enumerate(probs):
@@ -34,13 +40,15 @@ def _aggregate_percentiles(df: DataFrame, keys, values: dict, probs) -> DataFram
 
 
 def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
-                      hot_rows: int | None = DEFAULT_HOT_ROWS,
-                      buckets: int = DEFAULT_BUCKETS, hot=None) -> DataFrame:
-    """Wide result: keys, then per value name ``<name>__n_rows`` (non-null count) and
-    ``<name>__<p>`` for each (p, prob) in ``probs``."""
+                      hot_rows: int | None = PERCENTILE_ROWS,
+                      buckets: int = DEFAULT_BUCKETS, hot=None,
+                      rows: str | None = None) -> DataFrame:
+    """Wide result: keys, with ``rows`` a column of that name for count(*), then per value
+    name ``<name>__n_rows`` (non-null count) and ``<name>__<p>`` for each (p, prob) in
+    ``probs``."""
     keys = list(keys)
     cold, warm, n_hot = split_hot(df, keys, hot_rows, hot)
-    out = _aggregate_percentiles(cold, keys, values, probs)
+    out = _aggregate_percentiles(cold, keys, values, probs, rows)
     if warm is None:
         return out
     # one CDF for all measures: the hot rows are unpivoted and keyed by (group, measure)
@@ -56,7 +64,8 @@ def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
         aggs += [pick(name, p).alias(f"{name}__{p}") for p, _ in probs]
     hot = pc.groupBy(*keys).agg(*aggs)
     # a hot group whose measure is NULL everywhere still appears (its n_rows is 0)
-    hot = join_null_safe(warm.select(*keys).distinct(), hot, keys, "left")
+    groups = warm.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows or "_rows"))
+    hot = join_null_safe(groups, hot, keys, "left")
     return out.unionByName(hot.select(*out.columns))
 
 

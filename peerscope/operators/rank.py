@@ -137,8 +137,15 @@ def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: in
     return ranked.unionByName(hot_ranked.select(*ranked.columns))
 
 
-def peer_size(df: DataFrame, peer, name: str = "peer_rows") -> DataFrame:
-    """count(*) OVER (PARTITION BY peer) on every row (W1), as a pre-aggregated join so a
-    hot group is never one task: group sizes are aggregated map-side and joined back."""
-    sizes = group_sizes(df, peer).withColumnRenamed("_n", name)
-    return join_null_safe(df, sizes, list(peer), "inner")
+def peer_size(df: DataFrame, peer, name: str = "peer_rows", *,
+              hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """count(*) OVER (PARTITION BY peer) on every row (W1), as a pre-aggregated join. Rows of
+    groups above ``hot_rows`` meet the sizes of these few groups in a join of their own, by
+    broadcast of a proven size, so a hot group is never one task."""
+    peer = list(peer)
+    cold, warm, _ = split_hot(df, peer, hot_rows)
+    sizes = group_sizes(cold, peer).withColumnRenamed("_n", name)
+    out = join_null_safe(cold, sizes, peer, "inner")
+    if warm is None:
+        return out
+    return out.unionByName(warm.withColumnRenamed("_n", name))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.operators.grain import ends_of_distinct
+
 # State-code categories; every other code is a 'state'.
 DISTRICT = ("DC",)
 TERRITORIES = ("AS", "GU", "MP", "PR", "VI")
@@ -50,13 +52,9 @@ DIM_PROVIDER_COLUMNS = [
 
 
 def collapse(raw: DataFrame, key: str, cols) -> DataFrame:
-    """One row per key, first non-NULL (here: smallest) value per column (A1).
-
-    ``min`` over strings has no fixed-width buffer, so Spark plans it as a sort-based
-    aggregate; the distinct attribute rows are taken first with a hash aggregate (partial,
-    map-side), which leaves about one row per key for the sort."""
-    distinct = raw.select(key, *[a for a, _ in cols]).distinct()
-    return distinct.groupBy(F.col(key).alias("npi")).agg(*[F.min(a).alias(b) for a, b in cols])
+    """One row per key, first non-NULL (here: smallest) value per column (A1)."""
+    return ends_of_distinct(raw.select(key, *[a for a, _ in cols]), key, "npi",
+                            [F.min(a).alias(b) for a, b in cols])
 
 
 def dim_provider(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
@@ -80,9 +78,10 @@ def dim_provider(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
 
 
 def dim_hcpcs(raw_b: DataFrame) -> DataFrame:
-    return (raw_b.groupBy(F.col("HCPCS_Cd").alias("hcpcs_code"))
-            .agg(F.min("HCPCS_Desc").alias("hcpcs_desc"),
-                 (F.min("HCPCS_Drug_Ind") == "Y").alias("is_drug")))
+    return ends_of_distinct(
+        raw_b.select("HCPCS_Cd", "HCPCS_Desc", "HCPCS_Drug_Ind"), "HCPCS_Cd", "hcpcs_code",
+        [F.min("HCPCS_Desc").alias("hcpcs_desc"),
+         (F.min("HCPCS_Drug_Ind") == "Y").alias("is_drug")])
 
 
 def dim_drug(raw_d: DataFrame) -> DataFrame:
@@ -100,18 +99,20 @@ def geography_category(state):
 
 
 def dim_geography(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
-    ob = raw_b.groupBy(F.col("Rndrng_Prvdr_State_Abrvtn").alias("state")) \
-        .agg(F.min("Rndrng_Prvdr_State_FIPS").alias("state_fips"))
-    od = raw_d.groupBy(F.col("Prscrbr_State_Abrvtn").alias("state")) \
-        .agg(F.min("Prscrbr_State_FIPS").alias("state_fips"))
-    merged = ob.unionByName(od).groupBy("state").agg(F.max("state_fips").alias("state_fips"))
+    def observed(raw, state, fips):
+        return ends_of_distinct(raw.select(state, fips), state, "state",
+                                [F.min(fips).alias("state_fips")])
+
+    merged = observed(raw_b, "Rndrng_Prvdr_State_Abrvtn", "Rndrng_Prvdr_State_FIPS").unionByName(
+        observed(raw_d, "Prscrbr_State_Abrvtn", "Prscrbr_State_FIPS")
+    ).groupBy("state").agg(F.max("state_fips").alias("state_fips"))
     cat = geography_category(F.col("state"))
     return merged.select("state", "state_fips", cat.alias("category"),
                          (cat == "state").alias("is_us_state"))
 
 
 def dim_ruca(raw_b: DataFrame) -> DataFrame:
-    return (raw_b.filter(F.col("Rndrng_Prvdr_RUCA").isNotNull())
-            .groupBy(F.col("Rndrng_Prvdr_RUCA").alias("ruca"))
-            .agg(F.min("Rndrng_Prvdr_RUCA_Desc").alias("ruca_desc")))
-
+    known = raw_b.filter(F.col("Rndrng_Prvdr_RUCA").isNotNull())
+    return ends_of_distinct(known.select("Rndrng_Prvdr_RUCA", "Rndrng_Prvdr_RUCA_Desc"),
+                            "Rndrng_Prvdr_RUCA", "ruca",
+                            [F.min("Rndrng_Prvdr_RUCA_Desc").alias("ruca_desc")])

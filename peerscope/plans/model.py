@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from peerscope.operators.percentiles import PERCENTILE_ROWS
 from peerscope.operators.rank import DEFAULT_HOT_ROWS
 from peerscope.plans import dims, facts, stats
 from peerscope.schema import MIN_PEERS, PART_B, PART_D, RANK_DECIMALS
@@ -25,11 +26,12 @@ class Model:
     min_peers: int = MIN_PEERS
     decimals: int = RANK_DECIMALS
     hot_rows: int | None = DEFAULT_HOT_ROWS
+    percentile_rows: int | None = PERCENTILE_ROWS
     extra: dict = field(default_factory=dict)
 
     @cached_property
     def hot_b(self):
-        """One hot-group probe per dataset, shared by its ranks and the serving table."""
+        """One hot-group probe per dataset, shared by all its ranks."""
         return facts.hot_groups(self.raw_b, facts.PART_B_RENAMES, PART_B, self.year,
                                 self.hot_rows)
 
@@ -53,7 +55,7 @@ class Model:
     @cached_property
     def peer_stats(self) -> DataFrame:
         return stats.peer_stats(self.fact_b, self.fact_d, min_peers=self.min_peers,
-                                hot_rows=self.hot_rows, hot_b=self.hot_b, hot_d=self.hot_d)
+                                hot_rows=self.percentile_rows)
 
     @cached_property
     def dim_provider(self) -> DataFrame:
@@ -95,7 +97,10 @@ def fixture_model(spark: SparkSession, sf_dir: str, **kw) -> Model:
     session and directory, so the queries of one run share their plans)."""
     from peerscope.fixtures import raw_inputs
 
-    key = (id(spark), sf_dir, tuple(sorted(kw.items())))
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _MODELS if k[0] != app]:  # of sessions that have ended
+        del _MODELS[old]
+    key = (app, sf_dir, tuple(sorted(kw.items())))
     m = _MODELS.get(key)
     if m is None:
         raw_b, raw_d = raw_inputs(spark, sf_dir)

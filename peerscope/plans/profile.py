@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.functions.columns import rounded_ratio, safe_divide, stable_round
+from peerscope.functions.columns import rounded_ratio, safe_divide
 from peerscope.operators.combine import metrics_row
-from peerscope.operators.joins import join_null_safe
-from peerscope.operators.percentiles import group_percentiles, weighted_percentiles
-from peerscope.operators.rank import DEFAULT_HOT_ROWS
+from peerscope.operators.percentiles import (PERCENTILE_ROWS, group_percentiles,
+                                             weighted_percentiles)
 from peerscope.operators.reshape import unpivot_measures
 
 # ---------------------------------------------------------------- cardinality, nulls
@@ -168,9 +167,10 @@ def peer_key_variants(df: DataFrame, variants, min_peers: int = 30) -> DataFrame
 DIST_POINTS = [("p50", 0.50), ("p90", 0.90), ("p99", 0.99), ("p999", 0.999)]
 
 
-def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: int = 2,
-                         *, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Whole-table distribution per measure (A11): p50 p90 p99 p99.9 max mean mean/median.
+def measure_distribution(df: DataFrame, measures: dict[str, Column], *,
+                         hot_rows: int | None = PERCENTILE_ROWS) -> DataFrame:
+    """Whole-table distribution per measure (A11): p50 p90 p99 p99.9 max mean mean/median,
+    unrounded.
 
     The long (measure, value) rows are grouped by measure. A measure with more rows than
     ``hot_rows`` is never put in one aggregation buffer: its exact percentiles come from the
@@ -191,46 +191,40 @@ def measure_distribution(df: DataFrame, measures: dict[str, Column], decimals: i
     basic = long.groupBy("measure").agg(F.max("value").alias("max"),
                                         F.avg("value").alias("mean"))
     j = pct.join(basic, "measure")
-    r = lambda c: stable_round(c, decimals)
-    return j.select("measure", *[r(F.col(p)).alias(p) for p, _ in DIST_POINTS],
-                    r(F.col("max")).alias("max"), r(F.col("mean")).alias("mean"),
-                    r(safe_divide(F.col("mean"), F.col("p50"))).alias("mean_over_median")
+    return j.select("measure", *[p for p, _ in DIST_POINTS], "max", "mean",
+                    safe_divide(F.col("mean"), F.col("p50")).alias("mean_over_median")
                     ).orderBy("measure")
 
 
 def within_group_spread(df: DataFrame, keys, price: Column, volume: Column, *,
                         min_rows: int = 1000, top: int = 25,
-                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """p99/p50 of price and volume inside each large group, largest groups first.
-    Percentiles go through ``group_percentiles``, so a huge group is split, not buffered."""
+                        hot_rows: int | None = PERCENTILE_ROWS) -> DataFrame:
+    """p99/p50 of price and volume inside each large group, largest groups first (A12),
+    unrounded. Sizes and percentiles come from one aggregation; a huge group is split, not
+    buffered (``group_percentiles``)."""
     keys = list(keys)
     q = [("p50", 0.5), ("p99", 0.99)]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    pct = group_percentiles(df, keys, {"pr": price, "vo": volume}, q, hot_rows=hot_rows)
-    g = join_null_safe(sizes.filter(F.col("n_rows") >= min_rows), pct, keys, "inner")
+    g = group_percentiles(df, keys, {"pr": price, "vo": volume}, q, hot_rows=hot_rows,
+                          rows="n_rows").filter(F.col("n_rows") >= min_rows)
     pr50, pr99, vo50, vo99 = (F.col("pr__p50"), F.col("pr__p99"), F.col("vo__p50"),
                               F.col("vo__p99"))
     return (g.select(*keys, "n_rows",
-                     stable_round(pr50, 2).alias("price_p50"),
-                     stable_round(pr99, 2).alias("price_p99"),
-                     stable_round(safe_divide(pr99, pr50), 2).alias("price_p99_over_p50"),
-                     stable_round(vo50, 1).alias("volume_p50"),
-                     stable_round(vo99, 1).alias("volume_p99"),
-                     stable_round(safe_divide(vo99, vo50), 2).alias("volume_p99_over_p50"))
+                     pr50.alias("price_p50"), pr99.alias("price_p99"),
+                     safe_divide(pr99, pr50).alias("price_p99_over_p50"),
+                     vo50.alias("volume_p50"), vo99.alias("volume_p99"),
+                     safe_divide(vo99, vo50).alias("volume_p99_over_p50"))
             .orderBy(F.desc("n_rows"), *keys).limit(int(top)))
 
 
 def key_spread_comparison(df: DataFrame, value: Column, variants, *, min_rows: int = 30,
-                          hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                          hot_rows: int | None = PERCENTILE_ROWS) -> DataFrame:
     """Within-group spread of ``value`` under alternative keys (A13): per key definition,
     the groups of at least ``min_rows`` rows and the distribution of their p99/p50."""
     parts = []
     for keys, label in variants:
         keys = list(keys)
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        pct = group_percentiles(df, keys, {"x": value}, [("p50", 0.5), ("p99", 0.99)],
-                                hot_rows=hot_rows)
-        g = join_null_safe(sizes.filter(F.col("n") >= min_rows), pct, keys, "inner")
+        g = group_percentiles(df, keys, {"x": value}, [("p50", 0.5), ("p99", 0.99)],
+                              hot_rows=hot_rows, rows="n").filter(F.col("n") >= min_rows)
         parts.append(g.select(F.lit(label).alias("key_def"), "n",
                               F.col("x__p50").alias("p50"), F.col("x__p99").alias("p99")))
     u = reduce(lambda a, b: a.unionByName(b), parts)
@@ -244,9 +238,9 @@ def key_spread_comparison(df: DataFrame, value: Column, variants, *, min_rows: i
                           hot_rows=hot_rows)
     return (basic.join(q, "key_def")
             .select("key_def", "n_groups", "n_rows_covered",
-                    stable_round(F.col("r__p50"), 2).alias("median_p99_over_p50"),
-                    stable_round(F.col("r__p90"), 2).alias("p90_p99_over_p50"),
-                    stable_round(F.col("_mx"), 2).alias("max_p99_over_p50"))
+                    F.col("r__p50").alias("median_p99_over_p50"),
+                    F.col("r__p90").alias("p90_p99_over_p50"),
+                    F.col("_mx").alias("max_p99_over_p50"))
             .orderBy("key_def"))
 
 
@@ -342,9 +336,10 @@ def specialty_mismatches(raw_b: DataFrame, raw_d: DataFrame, top: int = 30) -> D
 
 def entity_split(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
     """Part-B-only NPIs split by entity type (J5): left join + null probe, per group."""
-    b = raw_b.groupBy(F.col("Rndrng_NPI").alias("npi")).agg(
+    pairs = raw_b.select("Rndrng_NPI", "Rndrng_Prvdr_Ent_Cd").distinct()
+    b = pairs.groupBy(F.col("Rndrng_NPI").alias("npi")).agg(
         F.min("Rndrng_Prvdr_Ent_Cd").alias("entity"),
-        F.count_distinct("Rndrng_Prvdr_Ent_Cd").alias("n_entity_codes"))
+        F.count("Rndrng_Prvdr_Ent_Cd").alias("n_entity_codes"))
     d = raw_d.select(F.col("Prscrbr_NPI").alias("npi_d")).distinct()
     j = b.join(d, b["npi"] == d["npi_d"], "left")
     n = F.count(F.lit(1))
@@ -362,18 +357,31 @@ def provider_attribute_counts(raw: DataFrame, npi: str, attrs: dict[str, str]) -
         *[F.count_distinct(c).alias(a) for a, c in attrs.items()])
 
 
-def key_profile(df: DataFrame, key: str, ordinal: str) -> DataFrame:
+def key_profile(df: DataFrame, key: str, ordinal: str, *, width: int = 1 << 16) -> DataFrame:
     """min, max, distinct and sortedness of an integer ``key`` in ``ordinal`` order.
 
-    Sortedness is the number of adjacent pairs where the key decreases. The previous row
-    is found by an equi-join on ordinal - 1 (``ordinal`` must be consecutive integers), so
-    no global window pulls the column into one task.
+    Sortedness is the number of adjacent pairs where the key decreases, adjacent in the order
+    of the ordinal, whatever gaps it has. Rows are cut into ranges of ``width`` ordinals;
+    descents inside a range are counted there, and each range goes on as one row with its
+    first and last key, three times over, so no window holds more than ``width`` ordinals
+    (and, at last, the 2^16 ranges that 64-bit ordinals can still span).
     """
-    cur = df.select(F.col(ordinal).alias("_o"), F.col(key).alias("_k"))
-    prev = cur.select((F.col("_o") + 1).alias("_o"), F.col("_k").alias("_pk"))
-    desc_pairs = (cur.join(prev, "_o")
-                  .agg(F.count_if(F.col("_pk") > F.col("_k")).alias("descending_steps")))
-    basic = cur.agg(F.count(F.lit(1)).alias("rows"), F.min("_k").alias("min_key"),
-                    F.max("_k").alias("max_key"), F.count_distinct("_k").alias("distinct_keys"))
-    out = metrics_row(basic, desc_pairs)
+    cur = df.select(F.col(ordinal).cast("long").alias("o"), F.col(key).alias("first"),
+                    F.col(key).alias("last"))
+    steps = cur.select("o", "first", "last", F.lit(0).cast("long").alias("down"))
+    for level in range(4):
+        steps = steps.withColumn("r", F.floor(F.col("o") / F.lit(width)) if level < 3
+                                 else F.lit(0).cast("long"))
+        order = Window.partitionBy("r").orderBy("o", "first")
+        steps = steps.withColumn("down", F.col("down") + F.coalesce(
+            (F.lag("last").over(order) > F.col("first")).cast("long"), F.lit(0)))
+        at = F.struct("o", "first")
+        steps = steps.groupBy("r").agg(
+            F.min_by("first", at).alias("first"), F.max_by("last", at).alias("last"),
+            F.sum("down").alias("down")).withColumnRenamed("r", "o")
+    basic = cur.agg(F.count(F.lit(1)).alias("rows"), F.min("first").alias("min_key"),
+                    F.max("first").alias("max_key"),
+                    F.count_distinct("first").alias("distinct_keys"))
+    down = steps.agg(F.coalesce(F.sum("down"), F.lit(0)).alias("descending_steps"))
+    out = metrics_row(basic, down)
     return out.withColumn("is_sorted", F.col("descending_steps") == 0)

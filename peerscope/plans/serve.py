@@ -15,10 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions.columns import safe_divide, stable_round, title_case
-from peerscope.operators.joins import join_null_safe
-from peerscope.operators.percentiles import group_percentiles
-from peerscope.operators.rank import DEFAULT_HOT_ROWS
+from peerscope.functions.columns import safe_divide, title_case
+from peerscope.operators.joins import broadcast_if_small, join_null_safe, join_salted
+from peerscope.operators.percentiles import PERCENTILE_ROWS, group_percentiles
 from peerscope.operators.reshape import melt_breakpoints
 from peerscope.schema import BREAKPOINTS, DATASETS
 
@@ -80,14 +79,14 @@ def codes(peer_stats: DataFrame, dataset: str, specialty: str, dim: DataFrame |
                .select("code", F.col("place_of_service").alias("pos"),
                        F.col("code").alias("label"), "n_providers"))
     elif dataset == "part_b":
-        j = ps.join(dim, ps["code"] == dim["hcpcs_code"], "left")
+        j = ps.join(dim, _label_key(ps, dim, "hcpcs_code"), "left")
         out = (j.groupBy("code", "place_of_service", "hcpcs_desc")
                .agg(F.max("n_providers").alias("n_providers"))
                .select("code", F.col("place_of_service").alias("pos"),
                        F.col("hcpcs_desc").alias("label"), "n_providers"))
     else:
         # generics per brand are bounded by the drug dimension, not by the fact
-        j = ps.join(dim, ps["code"] == dim["brand_name"], "left")
+        j = ps.join(dim, _label_key(ps, dim, "brand_name"), "left")
         out = (j.groupBy("code")
                .agg(F.array_join(F.array_sort(F.collect_set("generic_name")), ", ")
                     .alias("label"),
@@ -97,6 +96,12 @@ def codes(peer_stats: DataFrame, dataset: str, specialty: str, dim: DataFrame |
     return out.orderBy(F.desc("n_providers"), "code", F.col("pos").asc_nulls_first())
 
 
+def _label_key(ps: DataFrame, dim: DataFrame, column: str):
+    """Code and, for dimensions written by year, the year."""
+    key = ps["code"] == dim[column]
+    return key & (ps["year"] == dim["year"]) if "year" in dim.columns else key
+
+
 def distribution(peer_stats: DataFrame, group: PeerGroup, measure: str) -> DataFrame:
     """The group's breakpoints, from the serving table only (Q3)."""
     return peer_stats.filter(stats_filter(group, measure)).select(
@@ -116,14 +121,16 @@ def _slice(fact: DataFrame, group: PeerGroup, measure: str, state: str | None,
         s = s.filter(F.col(m.rank_col).isNotNull())
     if state:
         s = s.filter(F.col("state") == F.lit(state))
-    return s.select("npi", "state", m.expr().alias("value"),
+    return s.select("year", "npi", "state", m.expr().alias("value"),
                     (F.lit(100) * F.col(m.rank_col)).alias("percentile"))
 
 
-def _with_provider(top: DataFrame, dim_provider: DataFrame, cols) -> DataFrame:
-    # ``top`` holds at most ``limit`` rows: a proven bound, so it is the broadcast side.
-    p = dim_provider.select("npi", *cols)
-    return p.join(F.broadcast(top), "npi")
+def _with_provider(top: DataFrame, dim_provider: DataFrame, cols,
+                   bound: int | None = None) -> DataFrame:
+    """Join providers of the row's year. ``bound``: most rows of ``top``; it is broadcast only
+    if that is proven small."""
+    on = ["year", "npi"] if "year" in dim_provider.columns else ["npi"]
+    return dim_provider.select(*on, *cols).join(broadcast_if_small(top, bound), on)
 
 
 def candidates(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup, measure: str,
@@ -131,7 +138,7 @@ def candidates(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup, measu
     """Providers of the group, highest value first, with npi (Q6)."""
     top = (_slice(fact, group, measure, state)
            .orderBy(F.desc("value"), "npi").limit(int(limit)))
-    j = _with_provider(top, dim_provider, ["last_or_org_name", "first_name", "city"])
+    j = _with_provider(top, dim_provider, ["last_or_org_name", "first_name", "city"], limit)
     return j.select("npi", F.col("last_or_org_name").alias("provider"), "first_name", "city",
                     "state", "value", "percentile").orderBy(F.desc("value"), "npi")
 
@@ -148,8 +155,8 @@ def outliers_display(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup,
     c = candidates(fact, dim_provider, group, measure, state, limit)
     name = F.concat(title_case(F.col("provider")), F.lit(", "), title_case(F.col("first_name")))
     return c.select("npi", name.alias("provider"), "city", "state",
-                    stable_round(F.col("value"), 1).alias("value"),
-                    stable_round(F.col("percentile"), 1).alias("percentile"))
+                    F.round("value", 1).alias("value"),
+                    F.round("percentile", 1).alias("percentile"))
 
 
 def provider_detail(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup, measure: str,
@@ -169,17 +176,19 @@ def states(fact: DataFrame, group: PeerGroup, *, with_place: bool = False) -> Da
 
 
 def live_percentile(fact: DataFrame, group: PeerGroup, measure: str, *,
-                    hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = PERCENTILE_ROWS, rows: int | None = None
+                    ) -> DataFrame:
     """Breakpoints computed on the fact slice at query time (Q8); must equal Q3.
 
-    The slice size is counted first (the filter reaches the sorted files' row groups). A
-    slice within ``hot_rows`` is one aggregation; a larger one goes through the distributed
-    value CDF so it never sits in one aggregation buffer.
+    ``rows``: the slice's size, as the serving table has it; unknown, it is counted first (the
+    filter reaches the sorted files' row groups). A slice within ``hot_rows`` is one
+    aggregation; a larger one goes through the distributed value CDF so it never sits in one
+    aggregation buffer.
     """
     m = _spec(group).measure(measure)
     s = fact.filter(fact_filter(group)).select("npi", m.expr().alias("v"))
     names = [p for p, _ in BREAKPOINTS]
-    if hot_rows is None or s.count() <= hot_rows:
+    if hot_rows is None or (s.count() if rows is None else rows) <= hot_rows:
         one = s.agg(F.count_distinct(F.when(F.col("v").isNotNull(), F.col("npi")))
                     .alias("n_providers"),
                     F.count("v").alias("n_rows"),
@@ -219,7 +228,8 @@ def provider_vs_median(fact: DataFrame, peer_stats: DataFrame, dataset: str, mea
         m.expr().alias("value"), F.col(m.rank_col).alias("rank"))
     s = (peer_stats.filter((F.col("dataset") == dataset) & (F.col("measure") == measure))
          .select("year", "specialty", "code", "place_of_service", "p50"))
-    j = join_null_safe(f, s, ["year", "specialty", "code", "place_of_service"], "inner")
+    # the medians are groups, the facts rows of groups of any size: the rows are salted
+    j = join_salted(f, s, ["year", "specialty", "code", "place_of_service"], F.col("npi"))
     return j.withColumn("ratio_to_median", safe_divide(F.col("value"), F.col("p50")))
 
 

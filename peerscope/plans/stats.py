@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.operators.joins import join_null_safe
-from peerscope.operators.percentiles import group_percentiles
-from peerscope.operators.rank import DEFAULT_HOT_ROWS
+from peerscope.operators.percentiles import PERCENTILE_ROWS, group_percentiles
 from peerscope.schema import BREAKPOINTS, MIN_PEERS, PART_B, PART_D, PEER_STATS_COLUMNS
 
 
@@ -29,12 +28,16 @@ def provider_counts(fact: DataFrame, keys, values: dict) -> DataFrame:
 
 
 def dataset_stats(fact: DataFrame, spec, *, min_peers: int = MIN_PEERS,
-                  hot_rows=DEFAULT_HOT_ROWS, hot=None) -> DataFrame:
+                  hot_rows=PERCENTILE_ROWS) -> DataFrame:
     keys = ["year", *spec.peer]
     values = {m.name: m.expr() for m in spec.measures}
-    wide = group_percentiles(fact, keys, values, BREAKPOINTS, hot_rows=hot_rows, hot=hot)
-    prov = provider_counts(fact, keys, values)
-    j = join_null_safe(wide, prov, keys, "inner")
+    wide = group_percentiles(fact, keys, values, BREAKPOINTS, hot_rows=hot_rows)
+    if set(spec.grain) <= {"npi", *spec.peer}:
+        # the grain has one row for each provider of a group (the grain check proves it), so
+        # the rows with a value are the providers with one
+        j = wide.withColumns({f"{n}__n_providers": F.col(f"{n}__n_rows") for n in values})
+    else:
+        j = join_null_safe(wide, provider_counts(fact, keys, values), keys, "inner")
     names = [p for p, _ in BREAKPOINTS]
     per_measure = F.array(*[
         F.struct(F.lit(n).alias("measure"),
@@ -52,8 +55,8 @@ def dataset_stats(fact: DataFrame, spec, *, min_peers: int = MIN_PEERS,
 
 
 def peer_stats(fact_b: DataFrame, fact_d: DataFrame, *, min_peers: int = MIN_PEERS,
-               hot_rows=DEFAULT_HOT_ROWS, hot_b=None, hot_d=None) -> DataFrame:
-    """``hot_b`` / ``hot_d``: optional precomputed hot-group probes (``find_hot``)."""
-    b = dataset_stats(fact_b, PART_B, min_peers=min_peers, hot_rows=hot_rows, hot=hot_b)
-    d = dataset_stats(fact_d, PART_D, min_peers=min_peers, hot_rows=hot_rows, hot=hot_d)
+               hot_rows=PERCENTILE_ROWS) -> DataFrame:
+    """``hot_rows``: groups with more rows get their percentiles from the distributed CDF."""
+    b = dataset_stats(fact_b, PART_B, min_peers=min_peers, hot_rows=hot_rows)
+    d = dataset_stats(fact_d, PART_D, min_peers=min_peers, hot_rows=hot_rows)
     return b.unionByName(d).select(*PEER_STATS_COLUMNS, "year")

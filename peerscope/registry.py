@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.fixtures import load_tables
+from peerscope.fixtures import load_tables, provider_sides
 from peerscope.operators.grain import grain_check, unscoreable_rows
 from peerscope.operators.rank import peer_rank, peer_size
 from peerscope.operators.reshape import unpivot_measures
-from peerscope.plans import checks, profile, serve
+from peerscope.plans import checks, dims, profile, serve
 from peerscope.plans.facts import PART_B_RENAMES, project_rename
 from peerscope.plans.model import fixture_model
 from peerscope.schema import BREAKPOINTS, PART_B, PART_D
@@ -37,6 +37,11 @@ def _m(spark, sf):
     return fixture_model(spark, sf)
 
 
+def _rounded(df: DataFrame, *cols) -> DataFrame:
+    """The comparison rule for measures that two engines interpolate: 6 decimals."""
+    return _r6(df, [c for c, kind in df.dtypes if kind == "double"] if not cols else cols)
+
+
 # ---------------------------------------------------------------- build
 
 def q_fact_part_b_service(spark, sf):
@@ -113,6 +118,11 @@ def q_dim_provider(spark, sf):
     return _m(spark, sf).dim_provider
 
 
+def q_dim_provider_sides(spark, sf):
+    """The provider dimension over sides with providers of their own."""
+    return dims.dim_provider(*provider_sides(spark, sf))
+
+
 def q_dim_hcpcs(spark, sf):
     return _m(spark, sf).dim_hcpcs
 
@@ -155,6 +165,11 @@ def q_check_peer_stats(spark, sf):
     return checks.check_peer_stats(m.peer_stats, m.fact_b, m.fact_d)
 
 
+def q_check_provider_sides(spark, sf):
+    """The attribute check over sides with providers of their own."""
+    return checks.check_provider_attributes(*provider_sides(spark, sf))
+
+
 def q_run_checks(spark, sf):
     return checks.run_checks(checks.standard_checks(_m(spark, sf)))
 
@@ -297,16 +312,32 @@ def q_suppression_floor(spark, sf):
         "min_bene_day_srvcs": "Tot_Bene_Day_Srvcs"}, "Tot_Benes", 11)
 
 
+def q_suppression_floor_drug(spark, sf):
+    return profile.suppression_floor(_m(spark, sf).raw_d, {
+        "min_tot_clms": "Tot_Clms", "min_tot_benes": "Tot_Benes",
+        "min_ge65_tot_benes": "GE65_Tot_Benes"}, "Tot_Clms", 11)
+
+
 def q_low_end_histogram(spark, sf):
+    return profile.low_end_histogram(_m(spark, sf).raw_b, "Tot_Benes", 20)
+
+
+def q_low_end_histogram_services(spark, sf):
     return profile.low_end_histogram(_m(spark, sf).raw_b, "Tot_Srvcs", 20)
 
 
+# Candidate peer keys and how a report words them.
 PART_B_VARIANTS = [
     (["Rndrng_Prvdr_Type", "HCPCS_Cd"], "specialty + code"),
     (["Rndrng_Prvdr_Type", "HCPCS_Cd", "Place_Of_Srvc"], "specialty + code + place of service"),
     (["Rndrng_Prvdr_Type", "HCPCS_Cd", "Rndrng_Prvdr_RUCA"], "specialty + code + RUCA"),
     (["Rndrng_Prvdr_Type", "HCPCS_Cd", "Rndrng_Prvdr_State_Abrvtn"], "specialty + code + state"),
 ]
+PART_D_VARIANTS = [
+    (["Prscrbr_Type", "Gnrc_Name"], "specialty + generic"),
+    (["Prscrbr_Type", "Brnd_Name"], "specialty + brand"),
+    (["Prscrbr_Type", "Gnrc_Name", "Prscrbr_State_Abrvtn"], "specialty + generic + state"),
+]
 PART_D_KEY_VARIANTS = [
     (["Prscrbr_Type", "Gnrc_Name"], "specialty + generic"),
     (["Prscrbr_Type", "Brnd_Name"], "specialty + brand"),
@@ -322,45 +353,54 @@ def q_peer_key_variants(spark, sf):
     return profile.peer_key_variants(_m(spark, sf).raw_b, PART_B_VARIANTS, 30)
 
 
+def q_peer_key_variants_drug(spark, sf):
+    return profile.peer_key_variants(_m(spark, sf).raw_d, PART_D_VARIANTS, 30)
+
+
 def _cost_per_claim():
     return F.col("Tot_Drug_Cst") / F.nullif(F.col("Tot_Clms").cast("double"), F.lit(0.0))
 
 
+def _measures_b():
+    return {c: F.col(c) for c in ("Tot_Benes", "Tot_Srvcs", "Avg_Sbmtd_Chrg",
+                                  "Avg_Mdcr_Alowd_Amt", "Avg_Mdcr_Pymt_Amt",
+                                  "Avg_Mdcr_Stdzd_Amt")} | {
+        "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")}
+
+
 def q_measure_distribution(spark, sf):
-    raw_b = _m(spark, sf).raw_b
-    return profile.measure_distribution(raw_b, {
-        "Tot_Benes": F.col("Tot_Benes"), "Tot_Srvcs": F.col("Tot_Srvcs"),
-        "Avg_Sbmtd_Chrg": F.col("Avg_Sbmtd_Chrg"),
-        "Avg_Mdcr_Pymt_Amt": F.col("Avg_Mdcr_Pymt_Amt"),
-        "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")})
+    return _rounded(profile.measure_distribution(_m(spark, sf).raw_b, _measures_b()))
 
 
 def q_measure_distribution_hot(spark, sf):
     """measure_distribution with every measure forced through the distributed value CDF."""
-    raw_b = _m(spark, sf).raw_b
-    return profile.measure_distribution(raw_b, {
-        "Tot_Benes": F.col("Tot_Benes"), "Tot_Srvcs": F.col("Tot_Srvcs"),
-        "Avg_Sbmtd_Chrg": F.col("Avg_Sbmtd_Chrg"),
-        "Avg_Mdcr_Pymt_Amt": F.col("Avg_Mdcr_Pymt_Amt"),
-        "row_total_payment": F.col("Tot_Srvcs") * F.col("Avg_Mdcr_Pymt_Amt")}, hot_rows=1000)
+    return _rounded(profile.measure_distribution(_m(spark, sf).raw_b, _measures_b(),
+                                                 hot_rows=1000))
 
 
 def q_measure_distribution_drug(spark, sf):
-    raw_d = _m(spark, sf).raw_d
-    return profile.measure_distribution(raw_d, {
-        "Tot_Clms": F.col("Tot_Clms"), "Tot_Drug_Cst": F.col("Tot_Drug_Cst"),
-        "Tot_Benes": F.col("Tot_Benes"), "cost_per_claim": _cost_per_claim()})
+    measures = {c: F.col(c) for c in ("Tot_Clms", "Tot_30day_Fills", "Tot_Day_Suply",
+                                      "Tot_Drug_Cst", "Tot_Benes")}
+    return _rounded(profile.measure_distribution(
+        _m(spark, sf).raw_d, measures | {"cost_per_claim": _cost_per_claim()}))
 
 
 def q_within_group_spread(spark, sf):
-    return profile.within_group_spread(
+    return _rounded(profile.within_group_spread(
         _m(spark, sf).raw_b, ["Rndrng_Prvdr_Type", "HCPCS_Cd"],
-        F.col("Avg_Mdcr_Stdzd_Amt"), F.col("Tot_Srvcs"), min_rows=30, top=25)
+        F.col("Avg_Mdcr_Stdzd_Amt"), F.col("Tot_Srvcs"), min_rows=30, top=25))
+
+
+def q_within_group_spread_drug(spark, sf):
+    """Cost per claim and claims inside a specialty's drugs."""
+    return _rounded(profile.within_group_spread(
+        _m(spark, sf).raw_d, ["Prscrbr_Type", "Gnrc_Name"],
+        _cost_per_claim(), F.col("Tot_Clms"), min_rows=30, top=25))
 
 
 def q_key_spread_comparison(spark, sf):
-    return profile.key_spread_comparison(_m(spark, sf).raw_d, _cost_per_claim(),
-                                         PART_D_KEY_VARIANTS, min_rows=30)
+    return _rounded(profile.key_spread_comparison(
+        _m(spark, sf).raw_d, _cost_per_claim(), PART_D_KEY_VARIANTS, min_rows=30))
 
 
 def q_fanout_profile(spark, sf):
@@ -368,28 +408,23 @@ def q_fanout_profile(spark, sf):
 
 
 def q_provider_set_overlap(spark, sf):
-    m = _m(spark, sf)
-    return profile.provider_set_overlap(m.raw_b, m.raw_d)
+    return profile.provider_set_overlap(*provider_sides(spark, sf))
 
 
 def q_providers_in_both(spark, sf):
-    m = _m(spark, sf)
-    return profile.providers_in_both(m.raw_b, m.raw_d)
+    return profile.providers_in_both(*provider_sides(spark, sf))
 
 
 def q_providers_b_only(spark, sf):
-    m = _m(spark, sf)
-    return profile.providers_only_in(m.raw_b, m.raw_d, "part_b")
+    return profile.providers_only_in(*provider_sides(spark, sf), "part_b")
 
 
 def q_providers_d_only(spark, sf):
-    m = _m(spark, sf)
-    return profile.providers_only_in(m.raw_b, m.raw_d, "part_d")
+    return profile.providers_only_in(*provider_sides(spark, sf), "part_d")
 
 
 def q_provider_overlap(spark, sf):
-    m = _m(spark, sf)
-    return profile.provider_overlap(m.raw_b, m.raw_d)
+    return profile.provider_overlap(*provider_sides(spark, sf))
 
 
 def q_multi_specialty(spark, sf):
@@ -398,18 +433,15 @@ def q_multi_specialty(spark, sf):
 
 
 def q_specialty_agreement(spark, sf):
-    m = _m(spark, sf)
-    return profile.specialty_agreement(m.raw_b, m.raw_d)
+    return profile.specialty_agreement(*provider_sides(spark, sf))
 
 
 def q_specialty_mismatches(spark, sf):
-    m = _m(spark, sf)
-    return profile.specialty_mismatches(m.raw_b, m.raw_d)
+    return profile.specialty_mismatches(*provider_sides(spark, sf))
 
 
 def q_entity_split(spark, sf):
-    m = _m(spark, sf)
-    return profile.entity_split(m.raw_b, m.raw_d)
+    return profile.entity_split(*provider_sides(spark, sf))
 
 
 def q_provider_attribute_counts(spark, sf):

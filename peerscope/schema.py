@@ -64,11 +64,10 @@ BREAKPOINTS = [("p10", 0.10), ("p25", 0.25), ("p50", 0.50), ("p75", 0.75),
 @dataclass(frozen=True)
 class Measure:
     """A ranked measure: its name (== peer_stats.measure), the fact column holding its rank
-    (name + '_pct'), a builder of its value from fact columns, and a label."""
+    (name + '_pct') and a builder of its value from fact columns."""
 
     name: str
     value: callable
-    label: str
 
     @property
     def rank_col(self) -> str:
@@ -105,13 +104,11 @@ PART_B = DatasetSpec(
     sort=("specialty", "hcpcs_code", "place_of_service", "npi"),
     has_place_of_service=True,
     measures=(
-        Measure("tot_srvcs", lambda: F.col("tot_srvcs"), "Services delivered"),
-        Measure("tot_benes", lambda: F.col("tot_benes"), "Distinct patients"),
-        Measure("avg_medicare_standardized", lambda: F.col("avg_medicare_standardized"),
-                "Standardized payment per service"),
+        Measure("tot_srvcs", lambda: F.col("tot_srvcs")),
+        Measure("tot_benes", lambda: F.col("tot_benes")),
+        Measure("avg_medicare_standardized", lambda: F.col("avg_medicare_standardized")),
         Measure("total_medicare_payment",
-                lambda: F.col("tot_srvcs") * F.col("avg_medicare_payment"),
-                "Total Medicare payment"),
+                lambda: F.col("tot_srvcs") * F.col("avg_medicare_payment")),
     ),
 )
 
@@ -124,16 +121,19 @@ PART_D = DatasetSpec(
     sort=("specialty", "brand_name", "generic_name", "npi"),
     has_place_of_service=False,
     measures=(
-        Measure("tot_claims", lambda: F.col("tot_claims"), "Claims"),
-        Measure("tot_drug_cost", lambda: F.col("tot_drug_cost"), "Total drug cost"),
+        Measure("tot_claims", lambda: F.col("tot_claims")),
+        Measure("tot_drug_cost", lambda: F.col("tot_drug_cost")),
         Measure("cost_per_claim",
-                lambda: safe_divide(F.col("tot_drug_cost"), F.col("tot_claims")),
-                "Cost per claim"),
+                lambda: safe_divide(F.col("tot_drug_cost"), F.col("tot_claims"))),
     ),
 )
 
 DATASETS = {"part_b": PART_B, "part_d": PART_D}
 
+# The serving table's types; a build without any scoreable group writes no file to tell them.
+PEER_STATS_SCHEMA = ("dataset string, specialty string, code string, place_of_service string, "
+                     "measure string, n_providers bigint, n_rows bigint, "
+                     + ", ".join(f"{name} double" for name, _ in BREAKPOINTS) + ", year int")
 # Column order of the serving table (year is the partition column).
 PEER_STATS_COLUMNS = ["dataset", "specialty", "code", "place_of_service", "measure",
                       "n_providers", "n_rows"] + [name for name, _ in BREAKPOINTS]

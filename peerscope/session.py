@@ -59,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
+    if sc is not None and (not sc.master.startswith("local")
+                           or sc.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     # Local sessions only: nothing configured a shared folder, so take a fresh one.
     local = tempfile.mkdtemp(prefix="peerscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)

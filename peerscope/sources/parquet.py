@@ -78,9 +78,12 @@ def partitions_for(spark: SparkSession, path: str, target_bytes: int = 256 * 102
     return max(floor, -(-int(size) // target_bytes))
 
 
-def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """Hive-partitioned scan with partition discovery; ``year`` comes from the path."""
-    return spark.read.option("basePath", f"{base}/{table}").parquet(f"{base}/{table}")
+def read_table(spark: SparkSession, base: str, table: str, schema: str | None = None
+               ) -> DataFrame:
+    """Hive-partitioned scan with partition discovery; ``year`` comes from the path. With
+    ``schema``, a folder without files is an empty table."""
+    reader = spark.read.option("basePath", f"{base}/{table}")
+    return (reader.schema(schema) if schema else reader).parquet(f"{base}/{table}")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -22,6 +22,7 @@ def test_every_oracle_has_a_query():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 80
+    assert {k for k in q if not k.startswith(("op", "pipeline"))} <= set(o)
 
 
 @pytest.mark.parametrize("name", ["peer_stats", "fact_part_d_drug", "dim_provider",

@@ -1,6 +1,7 @@
 """Property tests: peer ranks and breakpoints against brute force on random groups."""
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -60,3 +61,41 @@ def test_breakpoints_monotone_and_exact(spark, rows):
             got = [r.v__p10, r.v__p50, r.v__p99]
             assert got == sorted(got)
             assert np.allclose(got, exp, rtol=1e-12, atol=1e-12)
+
+
+def test_rounded_ratio_beyond_doubles(spark):
+    from peerscope.functions.columns import rounded_ratio
+    k, n = 300_000_000_000_001, 900_000_000_000_007
+    got = spark.range(1).select(rounded_ratio(F.lit(k), F.lit(n), 4).alias("r")).first().r
+    assert got == 0.3333
+
+
+@pytest.mark.parametrize("text", ["JOSÉ NUÑEZ", "o'neil SMITH-jones", "ÉLODIE d'ångström 3x", ""])
+def test_title_case_equals_python(spark, text):
+    from peerscope.functions.columns import title_case
+    assert spark.range(1).select(title_case(F.lit(text)).alias("t")).first().t == text.title()
+
+
+def test_key_profile_with_gaps(spark):
+    import random
+
+    from peerscope.plans.profile import key_profile
+    rng = random.Random(3)
+    for width in (2, 7, 1 << 16):
+        ordinals = rng.sample(range(-500, 10**12), 200)
+        rows = [(o, rng.randint(0, 30)) for o in ordinals]
+        keys = [k for _, k in sorted(rows)]
+        got = key_profile(spark.createDataFrame(rows, "o long, k long"), "k", "o",
+                          width=width).first()
+        assert got.descending_steps == sum(a > b for a, b in zip(keys, keys[1:]))
+        assert (got.rows, got.min_key, got.max_key) == (200, min(keys), max(keys))
+
+
+def test_all_failing_metrics_are_reported(spark):
+    from peerscope.plans.checks import assert_checks
+    rows = [("c", f"m{i}", i + 1, "= 0", "FAIL") for i in range(150)]
+    df = spark.createDataFrame(rows, "check string, metric string, value long, "
+                                     "expectation string, status string")
+    with pytest.raises(AssertionError) as e:
+        assert_checks(df)
+    assert all(f"c.m{i}=" in str(e.value) for i in range(150))

@@ -88,3 +88,24 @@ def test_presence_aware_registration(spark):
     assert present == {"dim_provider": True, "fact_part_b_service": False}
     assert not has_facts(present)
     assert spark.table("dim_provider").count() == 1
+
+
+def test_files_with_different_headers_are_never_swapped(spark):
+    d = tempfile.mkdtemp(prefix="peerscope-test-")
+    for name, text in (("a.csv", "id,a,b\n0,1,2\n"), ("b.csv", "id,b,a\n1,20,10\n")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    df = csvsrc.read_typed_csv(spark, d, ["id", "a", "b"], {"id": "bigint"})
+    with pytest.raises(Exception, match="header"):
+        df.collect()
+
+
+def test_checkpoint_folder_is_never_local_on_a_cluster():
+    from types import SimpleNamespace
+
+    from peerscope.session import ensure_checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:1")
+    session = SimpleNamespace(sparkContext=context,
+                              conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
