@@ -45,7 +45,7 @@ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words,
   FROM w LEFT JOIN cover USING (rid) LEFT JOIN per USING (rid))
 SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {fails}
-    OR 100 * n_dup_lines > 30 * n_lines OR 100 * dup_line_chars > 20 * line_chars) AS kept
+    OR 100 * dup_line_chars > 20 * line_chars) AS kept
 FROM m"""
 
 

@@ -18,8 +18,8 @@ from peerscope.llm.words import mix64, numbered, texts_of
 # N-gram length -> largest allowed percentage of a text's word characters that
 # lie in later occurrences of an n-gram of that length (published repetition thresholds).
 MAX_NGRAM_PERCENT = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
-# Largest allowed percentage of repeated lines, and of characters in them.
-MAX_LINE_PERCENT = 30
+# Fixed value: largest allowed percentage of a text's line characters in repeated lines. How
+# many lines repeat decides nothing: one short heading used twice in a short text is no fault.
 MAX_LINE_CHAR_PERCENT = 20
 # Fixed values of the base rules.
 MIN_WORDS = 10
@@ -120,7 +120,6 @@ def verdict(m: dict[str, int]) -> tuple[bool, bool]:
         failed
         or any(100 * m[f"dup_chars_{n}"] > p * m["word_chars"]
                for n, p in MAX_NGRAM_PERCENT.items())
-        or 100 * m["n_dup_lines"] > MAX_LINE_PERCENT * m["n_lines"]
         or 100 * m["dup_line_chars"] > MAX_LINE_CHAR_PERCENT * m["line_chars"])
     return failed, not rejected
 
