@@ -52,7 +52,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source and tokens of every row: count, digests of ids and decoded text, ids."""
-    out = bpe.with_bpe(docs.select("doc_id", "source", "text"), bpe_path(), full=True)
+    out = bpe.with_bpe(docs.select("doc_id", "source", "text"), bpe_path(), outputs=("ids",))
     return out.select("doc_id", "source", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256",
                       "bpe.ids")
 

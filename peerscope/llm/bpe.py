@@ -24,8 +24,8 @@ from peerscope.llm.words import texts_of
 #: Encoded words kept by a Python worker; when full, it starts anew.
 CACHE_WORDS = 250_000
 CACHE_BYTES = 48
-SCHEMA = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
-SCHEMA_FULL = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,ids:array<int>,decoded:string>"
+SCHEMA = "n_tokens:bigint,ids_sha256:string,decoded_sha256:string"
+OUTPUTS = {"ids": "array<int>", "decoded": "string"}
 
 
 def byte_symbols() -> list[str]:
@@ -163,10 +163,10 @@ class _Spec:
 
 
 def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "bpe",
-             full: bool = False) -> DataFrame:
-    """``df`` with a struct column: token count and digests of ids and decoded text, with
-    ``full`` also the ids and the decoded text themselves. A column already named ``out_col``
-    is replaced, others pass through.
+             outputs: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with a struct column: token count and digests of ids and decoded text, and those
+    of ``ids`` and ``decoded`` themselves that ``outputs`` names. A column already named
+    ``out_col`` is replaced, others pass through.
 
     Null counts as the empty text: no tokens, digests of nothing. Special tokens written out
     in a text give their ids. Texts are taken whole; a word of any length is merged in
@@ -174,7 +174,9 @@ def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "b
     """
     spec = _Spec(df.sparkSession, read_spec(path))
 
-    @F.arrow_udf(SCHEMA_FULL if full else SCHEMA)
+    kinds = "".join(f",{name}:{OUTPUTS[name]}" for name in outputs)
+
+    @F.arrow_udf(f"struct<{SCHEMA}{kinds}>")
     def encode(text: pa.Array) -> pa.Array:
         encoder = _worker_encoder(spec)
         counts, marks, plain_marks, kept, plain = [], [], [], [], []
@@ -183,18 +185,20 @@ def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "b
             counts.append(len(ids) // 4)
             marks.append(hashlib.sha256(ids).hexdigest())
             plain_marks.append(hashlib.sha256(decoded).hexdigest())
-            if full:
+            if "ids" in outputs:
                 kept.append(ids)
+            if "decoded" in outputs:
                 plain.append(decoded.decode())
         arrays = [pa.array(counts, pa.int64()), pa.array(marks, pa.string()),
                   pa.array(plain_marks, pa.string())]
         names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-        if full:
-            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            arrays.append(pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(np.frombuffer(b"".join(kept), "<i4"))))
-            arrays.append(pa.array(plain, pa.string()))
-            names += ["ids", "decoded"]
-        return pa.StructArray.from_arrays(arrays, names=names)
+        for name in outputs:
+            if name == "ids":
+                ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.frombuffer(b"".join(kept), "<i4"))))
+            else:
+                arrays.append(pa.array(plain, pa.string()))
+        return pa.StructArray.from_arrays(arrays, names=[*names, *outputs])
 
     return df.withColumn(out_col, encode(F.col(text_col)))

@@ -116,7 +116,7 @@ def test_bpe_rows(spark, library):
     nothing = hashlib.sha256(b"").hexdigest()
     assert [r.bpe.n_tokens for r in got] == [0, 0, 2, 2]
     assert got[0].bpe.ids_sha256 == got[1].bpe.decoded_sha256 == nothing
-    full = bpe.with_bpe(df, FILE, full=True).collect()
+    full = bpe.with_bpe(df, FILE, outputs=("ids", "decoded")).collect()
     assert full[3].bpe.decoded == "a</w> b</w>"
     assert full[3].bpe.ids == library.encode("A b", add_special_tokens=False).ids
     assert bpe.with_bpe(df.limit(0), FILE).count() == 0
