@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.session import materialised
+from peerscope.llm.session import materialised, release
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-                    .alias("s")).first()
-    return row["n"], row["s"]
+def _settled(edges: DataFrame) -> bool:
+    """Whether distinct edges (u, v), v < u, are stars: every u has one v and is nobody's v."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def _toward_least(edges: DataFrame) -> DataFrame:
@@ -35,16 +37,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
     edges = materialised(edges)
-    before = _digest(edges)
-    while before[0]:
+    while not _settled(edges):
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialised(_toward_least(large))
-        now = _digest(edges)
-        if now == before:
-            break
-        before = now
+        release(edges.sparkSession)  # the rounds before
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v"), F.col("v")).distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +27,10 @@ def materialised(df: DataFrame) -> DataFrame:
     the same rows for every later use, and safe when executors are lost."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle and checkpoint files of plans that nothing refers to any
+    more; it notices them when the driver collects its garbage, which may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
