@@ -5,8 +5,9 @@
    (d follows from their size class), so of more than d hash groups some are equal, and the
    hash of an equal, non-empty group is a signature that both have. Sets with many empty
    groups also sign these. No similar pair is lost, whatever it has in common.
-3. Pairs from small blocks must pass the count-vector bound; members of large blocks are
-   chained to one another without listing pairs. The components of both are families.
+3. Pairs from small blocks must pass the count-vector bound. In large blocks no pairs are
+   listed: a search over the count vectors gives a forest that connects just the members
+   which pairs within the bound connect. The components of both are families.
 4. Families are cut into tiles of bounded size. In a tile, a packed R-tree over the count
    vectors bounds overlaps by summed coordinate minima, and surviving pairs in different
    components are verified on the whole sets. First neighbouring tiles are joined; then what
@@ -28,11 +29,12 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.components import components
 from peerscope.llm.rtree import PackedTree, count_vector, need
-from peerscope.llm.session import materialised
+from peerscope.llm.session import materialised, release
 from peerscope.llm.words import mix64, numbered, texts_of
 
-#: Blocks of up to so many classes list their pairs; larger ones are chained.
-SMALL_BLOCK = 32
+#: Blocks of up to so many classes list their pairs; larger ones are searched, so many
+#: classes at once.
+SMALL_BLOCK, SEARCH_ROWS = 32, 4096
 #: Documents and shingles of a tile, about.
 TILE_ROWS, TILE_SHINGLES = 128, 1 << 19
 #: Growth of the size classes; at least 100 / percent.
@@ -194,18 +196,19 @@ def _sign(words_each: int, percent: int):
     return sign
 
 
-_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("chain", pa.bool_())])
+_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("large", pa.bool_())])
 
 
 def _blocks(batches):
-    """Rows sorted by (sig, kid) -> pairs of small blocks and chains of large ones."""
-    def out(a, b, chain):
+    """Rows sorted by (sig, kid) -> pairs (a, b) of small blocks, and the members (signature,
+    class) of large ones."""
+    def out(a, b, large):
         pair = np.unique(np.stack([a, b], axis=1), axis=0)
         return pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1]),
-                                pa.array(np.full(len(pair), chain))], schema=_EDGES)
+                                pa.array(np.full(len(pair), large))], schema=_EDGES)
 
     sig, kid = np.empty(0, np.int64), np.empty(0, np.int64)
-    large = None  # (sig, last member) of a large block that goes on
+    large = None  # the signature of a large block that goes on
 
     def close(sig, kid):
         start = np.flatnonzero(np.diff(sig, prepend=sig[0] - 1 if len(sig) else 0))
@@ -219,15 +222,14 @@ def _blocks(batches):
         if a:
             yield out(np.concatenate(a), np.concatenate(b), False)
         for f, s in zip(start[size > SMALL_BLOCK], size[size > SMALL_BLOCK]):
-            yield out(np.full(s - 1, kid[f]), kid[f + 1:f + s], True)
+            yield out(sig[f:f + s], kid[f:f + s], True)
 
     for batch in batches:
         s, k = batch["sig"].to_numpy(), batch["kid"].to_numpy()
-        if large is not None:  # the members that follow are linked to its first one
-            same = s == large[0]
-            more = k[same & (k != large[1])]
-            if len(more):
-                yield out(np.full(len(more), large[1]), more, True)
+        if large is not None:
+            same = s == large
+            if same.any():
+                yield out(s[same], k[same], True)
             s, k = s[~same], k[~same]
             if not len(s):
                 continue
@@ -241,7 +243,7 @@ def _blocks(batches):
         cut = np.searchsorted(sig, sig[-1], "left")  # the last block may go on
         if len(sig) - cut > SMALL_BLOCK:
             yield from close(sig, kid)
-            large = (sig[-1], kid[cut])
+            large = sig[-1]
             sig, kid = sig[:0], kid[:0]
         else:
             yield from close(sig[:cut], kid[:cut])
@@ -261,6 +263,38 @@ def _within_bound(percent: int):
     return within
 
 
+def _forest(percent: int):
+    """Members (kid, n, counts) of a large block -> edges that connect what pairs within the
+    count-vector bound connect; every member is compared with those not reached yet."""
+    def search(table: pa.Table) -> pa.Table:
+        table = table.sort_by("n")
+        kid, n = table["kid"].to_numpy(), table["n"].to_numpy()
+        points = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
+        points = points.reshape(len(kid), -1).astype(np.int32)
+        low = np.searchsorted(n, -((-percent * n) // 100), "left")
+        high = np.searchsorted(n, 100 * n // percent, "right")
+        fresh = np.ones(len(kid), bool)
+        a, b = [], []
+        for start in range(len(kid)):
+            if not fresh[start]:
+                continue
+            fresh[start] = False
+            queue = [start]
+            while queue:
+                p = queue.pop()
+                near = low[p] + np.flatnonzero(fresh[low[p]:high[p]])
+                shared = np.minimum(points[near], points[p]).sum(axis=1)
+                near = near[shared >= need(n[p], n[near], percent)]
+                fresh[near] = False
+                a.append(np.full(len(near), kid[p]))
+                b.append(kid[near])
+                queue.extend(near.tolist())
+        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
+        return pa.table({"a": pa.array(a[a != b], pa.int64()),
+                         "b": pa.array(b[a != b], pa.int64())})
+    return search
+
+
 class Union:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -348,12 +382,22 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
         _sign(words_each, percent), "sig bigint, kid bigint")
     edges = materialised(
         signed.repartition(parts, "sig").sortWithinPartitions("sig", "kid")
-        .mapInArrow(_blocks, "a bigint, b bigint, chain boolean").distinct())
+        .mapInArrow(_blocks, "a bigint, b bigint, large boolean").distinct())
     of = lambda name: classes.select(
         F.col("kid").alias(name), F.col("counts").alias(f"counts_{name}"))
-    close = (edges.filter("NOT chain").join(of("a"), "a").join(of("b"), "b")
+    close = (edges.filter("NOT large").join(of("a"), "a").join(of("b"), "b")
              .filter(_within_bound(percent)("counts_a", "counts_b")).select("a", "b"))
-    near = close.union(edges.filter("chain").select("a", "b"))
+    large = edges.filter("large").select(F.col("a").alias("sig"), F.col("b").alias("kid"))
+    cuts = large.groupBy("sig").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("cuts"))
+    own = F.pmod(F.xxhash64("kid"), F.col("cuts"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda j: F.struct(
+        F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
+    loose = (large.join(cuts, "sig").select("sig", "kid", F.explode(meets).alias("meet"))
+             .join(classes.select("kid", "n", "counts"), "kid")
+             .groupBy("sig", "meet").applyInArrow(_forest(percent), "a bigint, b bigint"))
+    near = materialised(close.union(loose))
+    del signed, edges, close, large, cuts, meets, loose
+    release(spark)
     family = components(near).toDF("kid", "family")
 
     # members of families with their tiles; a family's tiles of one size bucket are dealt by id
@@ -371,6 +415,8 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
     member = materialised(member.join(tiles, ["family", "bucket", "cut"])
                           .join(texts, "tkey").select("kid", "family", "bucket", "tile", "text"))
 
+    release(spark)
+
     # neighbouring tiles
     count = member.groupBy("family").agg(F.max("tile").alias("tiles"))
     placed = member.join(count, "family").withColumn("meeting", F.explode(

@@ -54,6 +54,7 @@ def corpus(seed, families=6, copies=30):
 def test_components_equal_brute_force(spark, monkeypatch, words_each, percent, tile, small):
     monkeypatch.setattr(jaccard, "TILE_ROWS", tile)
     monkeypatch.setattr(jaccard, "SMALL_BLOCK", small)
+    monkeypatch.setattr(jaccard, "SEARCH_ROWS", 2 * tile)
     rows = corpus(tile)
     df = spark.createDataFrame([(i, t, "e") for i, t in rows],
                                "doc_id long, text string, kid string")
