@@ -3,7 +3,9 @@
 A vector is turned by three rounds of random signs and a fast Hadamard transform; the axis
 (and sign) nearest to the result is its hash. Several such hashes name a bucket, and several
 tables of buckets are kept. Every vector is filed once in each table and asks in the buckets
-nearest to it as well; candidate pairs are verified by the exact cosine.
+nearest to it as well. Rows carry 64 signs of further rotations; a candidate pair whose signs
+differ more often than those of a similar pair ever would (by five standard deviations) is
+dropped before its vectors are fetched, all others are verified by the exact cosine.
 
 Equal vectors of a label are one class before anything is hashed, so copies cost nothing.
 """
@@ -86,6 +88,24 @@ def buckets(x: np.ndarray, label: np.ndarray, hashes: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def signs_of(x: np.ndarray) -> np.ndarray:
+    """64 signs of random rotations of unit vectors, as bits of an integer."""
+    n, dim = x.shape
+    width = 1 << max(1, (dim - 1).bit_length())
+    padded = np.zeros((n, width))
+    padded[:, :dim] = x
+    extra = rotations(width, TABLES * 8 + max(1, 64 // width))[TABLES * 8:]
+    y = np.concatenate([turned(padded, s)[:, :64] for s in extra], axis=1)[:, :64]
+    return np.packbits(y > 0, axis=1).view(np.uint64)[:, 0].view(np.int64)
+
+
+def most_unlike(least: float) -> int:
+    """Signs of 64 that differ, at most, for a cosine of ``least``: five standard deviations
+    above the mean."""
+    p = math.acos(max(-1.0, min(1.0, least))) / math.pi
+    return min(64, math.ceil(64 * p + 5 * math.sqrt(64 * p * (1 - p))))
+
+
 def _dense(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Rows by dimension: places and values of the vectors without a null or non-finite
     component and of a length above zero."""
@@ -123,7 +143,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-_FILED = pa.schema([("bucket", pa.int64()), ("cid", pa.int64())])
+_ROWS = "bucket bigint, cid bigint, signs bigint"
+_FILED = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("signs", pa.int64())])
 
 
 def _file(hashes: int, asking: bool):
@@ -131,11 +152,13 @@ def _file(hashes: int, asking: bool):
         for batch in batches:
             cid, label = batch["cid"].to_numpy(), batch["label"].to_numpy()
             for at, x in _dense(batch["vector"]).values():
-                key = buckets(_unit(x), label[at], hashes)
+                x = _unit(x)
+                key = buckets(x, label[at], hashes)
                 key = key if asking else key[:, :, :1]
                 each = key.shape[1] * key.shape[2]
-                yield pa.record_batch([pa.array(key.ravel()), pa.array(np.repeat(cid[at], each))],
-                                      schema=_FILED)
+                yield pa.record_batch([
+                    pa.array(key.ravel()), pa.array(np.repeat(cid[at], each)),
+                    pa.array(np.repeat(signs_of(x), each))], schema=_FILED)
     return rows
 
 
@@ -183,10 +206,11 @@ def near_vectors(df: DataFrame, least: float = 0.93, id_col: str = "vec_id",
     while (most["n"] or 0) > BUCKET_CLASSES * axes ** hashes:
         hashes += 1
     points = classes.select("cid", "label", "vector")
-    filed = points.mapInArrow(_file(hashes, False), "bucket bigint, cid bigint")
-    asking = points.mapInArrow(_file(hashes, True), "bucket bigint, cid bigint")
-    pairs = (asking.select("bucket", F.col("cid").alias("x"))
-             .join(filed.select("bucket", F.col("cid").alias("y")), "bucket").filter("x != y")
+    filed = points.mapInArrow(_file(hashes, False), _ROWS)
+    asking = points.mapInArrow(_file(hashes, True), _ROWS)
+    unlike = F.bit_count(F.col("s").bitwiseXOR(F.col("t")))
+    pairs = (asking.toDF("bucket", "x", "s").join(filed.toDF("bucket", "y", "t"), "bucket")
+             .filter((F.col("x") != F.col("y")) & (unlike <= most_unlike(least)))
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     of = lambda c: points.select(F.col("cid").alias(c), F.col("label").alias(f"label_{c}"),
                                  F.col("vector").alias(f"vector_{c}"))
