@@ -30,7 +30,7 @@ OWN, SHARED, WIDTH = 255, 256, 16
 CLASSES = OWN + 1 + SHARED
 END_CLASS = OWN
 NOISE, BATCH, RATE, PASSES = 24, 4096, 0.05, 1
-#: Words whose counts are broadcast, and their longest UTF-8 form: a bound on its size.
+#: Words whose counts are broadcast, at most, and their longest UTF-8 form: a bound on its size.
 HEAD_WORDS, HEAD_BYTES = 200_000, 64
 #: Distinct words a task counts before it hands them on; words handled at once.
 FLUSH, CHUNK_WORDS = 300_000, 1 << 19
@@ -95,8 +95,19 @@ class Vocabulary:
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
         self.total, self.distinct = total["n"] or 0, total["v"]
-        top = (counts.filter(F.length("word").between(1, HEAD_BYTES))
-               .orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect())
+        # words by steps of their count's logarithm (at most 1,024 steps): the steps from the top
+        # that hold at most HEAD_WORDS words are the frequent ones
+        short = counts.filter(F.length("word").between(1, HEAD_BYTES)).withColumn(
+            "step", F.floor(F.log2("n") * 16))
+        steps = sorted(short.groupBy("step").agg(F.count("*").alias("v")).collect(), reverse=True)
+        held, lowest = 0, None
+        for r in steps:
+            held += r["v"]
+            if held > HEAD_WORDS:
+                break
+            lowest = r["step"]
+        top = [] if lowest is None else short.filter(F.col("step") >= lowest).select(
+            "word", "n").collect()
         top.sort(key=lambda r: (-r["n"], bytes(r["word"])))
         self.head = {bytes(r["word"]): r["n"] for r in top}
         self.own = {w: i for i, w in enumerate(list(self.head)[:OWN])}
