@@ -23,8 +23,8 @@ from peerscope.llm.words import mix64, numbered, texts_of
 
 WORDS, SHAPES, WIDTH, ONES, REACH = 1 << 13, 1 << 10, 64, 2, 2
 BUCKETS = WORDS + SHAPES
-#: Pooled values of a text: mean and spread over its words and over their shapes.
-FEATURES = 4 * WIDTH
+#: Pooled values of a text: mean over its words, mean and spread over their shapes.
+FEATURES = 3 * WIDTH
 #: Labelled documents that train the network, at most, in the order of a hash of their ids.
 SAMPLE_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, CALIBRATE = 32, 30, 128, 2e-3, 1e-4, 0.15
@@ -100,20 +100,24 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def pooled(vectors: np.ndarray, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """Mean and spread of the context vectors of each text; zeros without words."""
+    """Mean of the context vectors of each text's words, mean and spread of those of their
+    shapes; zeros without words. Shapes are few, so a text's are counted and multiplied."""
     out = np.zeros((len(counts), FEATURES), np.float32)
     some = np.flatnonzero(counts)
     if not len(some):
         return out
     first = (np.cumsum(counts) - counts)[some]
-    n = counts[some][:, None]
-    for part, units in enumerate(bucketed(words)):
-        near = vectors[units]
-        mean = np.add.reduceat(near, first, axis=0) / n
-        near *= near
-        spread = np.sqrt(np.maximum(np.add.reduceat(near, first, axis=0) / n - mean ** 2, 0))
-        out[some, part * 2 * WIDTH:(part * 2 + 1) * WIDTH] = mean
-        out[some, (part * 2 + 1) * WIDTH:(part * 2 + 2) * WIDTH] = spread
+    n = counts[some][:, None].astype(np.float32)
+    word, shape = bucketed(words)
+    out[some, :WIDTH] = np.add.reduceat(vectors[word], first, axis=0) / n
+    text = np.repeat(np.arange(len(some)), counts[some])
+    place = text * SHAPES + (shape - WORDS)
+    often = np.bincount(place, minlength=len(some) * SHAPES).reshape(-1, SHAPES)
+    often = often.astype(np.float32) / n
+    near = vectors[WORDS:]
+    mean = often @ near
+    out[some, WIDTH:2 * WIDTH] = mean
+    out[some, 2 * WIDTH:] = np.sqrt(np.maximum(often @ (near * near) - mean * mean, 0))
     return out
 
 
