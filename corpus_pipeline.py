@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from peerscope.llm import bpe, jaccard, mixing, quality, secrets
 from peerscope.llm.registry import bpe_path
-from peerscope.llm.session import ensure_checkpoint_dir
+from peerscope.llm.session import ensure_checkpoint_dir, with_row_key
 
 #: Near duplicates share this percentage of their shingles of so many words.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -26,12 +26,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the least id. Documents without
-    shingles stay, and so do those with a null id that reach no id."""
-    found = jaccard.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    """Of each group of near duplicates, one row: that with the least id, null last. Rows that
+    share a null or repeated id are rows of their own. Documents without shingles stay."""
+    rows = with_row_key(docs, "__row")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                   F.col("__row").alias("row"))
+    found = jaccard.near_duplicates(rows.withColumn("__key", key), SHINGLE_WORDS, SIMILAR_PERCENT,
+                                    id_col="__key")
+    keep = found.filter(F.col("doc_id.row") == F.col("component_id.row")).select(
+        F.col("doc_id.row").alias("__row"))
+    return rows.join(keep, "__row", "left_semi").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerscope.llm.session import materialised
+from peerscope.llm.session import materialised, with_row_key
 from peerscope.llm.words import texts_of
 
 # Weights of the sources by code point (null last), repeating; the budget in
@@ -82,9 +82,18 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     null id is an id. Rows that repeat an id and a size follow one another in their source.
     Other columns are ignored. An empty table gives an empty result.
     """
-    spark = df.sparkSession
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (_planned(df, id_col, source_col, text_col)
+            .repartitionByRange(parts, F.col("position"), F.col("doc_id"))
+            .sortWithinPartitions("position", "doc_id"))
+
+
+def _planned(df: DataFrame, id_col: str, source_col: str, text_col: str,
+             *row_key: str) -> DataFrame:
+    """The rows of ``mix`` in no order, with the columns ``row_key`` of ``df``, which also order
+    rows that repeat an id and a size."""
     rows = materialised(df.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        *row_key, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"),
         word_count(F.col(text_col)).alias("size")))
     n, digits = rows.count(), 0
@@ -98,7 +107,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         F.sum("bucket_size").over(before), F.lit(0)).alias("bucket_before"))
     joined = targets.select(F.col("source").alias("ts"), "source_size", "slope", "target")
     lead = buckets.join(joined, F.col("s").eqNullSafe(F.col("ts"))).drop("ts")
-    in_bucket = (Window.partitionBy("source", "b").orderBy("h", "doc_id", "size")
+    in_bucket = (Window.partitionBy("source", "b").orderBy("h", "doc_id", "size", *row_key)
                  .rowsBetween(Window.unboundedPreceding, -1))
     out = (rows.withColumn("own", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
            .join(lead, F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("sb")))
@@ -116,27 +125,23 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                (2 * F.col("start") + F.col("size")).cast("double"), 2.0 * F.col("goal")))
            .withColumn("position", F.when(F.col("taken") > 0, inverse_demand(
                F.least(F.col("u"), F.lit(1.0)), F.col("slope")))))
-    out = out.select("doc_id", "source", "size", "source_size", "target", "slope", "goal",
-                     "passes", "taken", "copies", "u", "position")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return (out.repartitionByRange(parts, F.col("position"), F.col("doc_id"))
-            .sortWithinPartitions("position", "doc_id"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "slope", "goal",
+                      "passes", "taken", "copies", "u", "position", *row_key)
 
 
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                     text_col: str = "text") -> DataFrame:
     """The rows of ``df`` in training order, each as often as ``mix`` gives it whole copies
-    (rows without copies go). Rows that share a null or repeated id keep their own counts
-    only if they also share source and size; ids are expected to name one document."""
-    plan = mix(df, id_col, source_col, text_col).filter("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
+    (rows without copies go). Rows that share a null or repeated id keep their own counts."""
+    rows = with_row_key(df, "__row")
+    plan = _planned(rows, id_col, source_col, text_col, "__row").filter("copies > 0").select(
+        "__row", F.col("doc_id").alias("__id"),
         F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("__copy"),
         "u", "slope", "source_size", "goal")
     place = inverse_demand(F.least(F.lit(1.0), F.col("u") + F.col("__copy") * F.col("source_size")
                                    / F.col("goal")), F.col("slope"))
-    plan = plan.select("__id", "__source", "__copy", place.alias("__position"))
+    plan = plan.select("__row", "__id", "__copy", place.alias("__position"))
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (df.join(plan, F.col(id_col).eqNullSafe(F.col("__id"))
-                    & F.col(source_col).eqNullSafe(F.col("__source")))
+    return (rows.join(plan, "__row")
             .repartitionByRange(parts, F.col("__position"), F.col("__id"))
-            .sortWithinPartitions("__position", "__id", "__copy").select(*df.columns))
+            .sortWithinPartitions("__position", "__id", "__row", "__copy").select(*df.columns))

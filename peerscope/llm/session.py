@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -29,6 +31,16 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number of its own for every row in column ``name``, written once to the
+    shared checkpoint folder, so that every later use sees the same numbers."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/rows-{uuid.uuid4()}"
+    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle and checkpoint files of plans that nothing refers to any
     more; it notices them when the driver collects its garbage, which may be long after."""

@@ -384,6 +384,21 @@ def test_curriculum_inverts_demand():
         assert np.allclose((np.sqrt(b * b + 4 * slope * u) - b) / (2 * slope), t)
 
 
+def test_mixed_documents_with_null_and_repeated_ids(spark):
+    rows = mix_rows() + [(None, "a b c " * k, "a") for k in range(1, 9)] + [
+        (5, "p q " * k, "a") for k in range(1, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    planned = Counter()
+    for r in mixing.mix(df).collect():
+        planned[r.doc_id, r.source, r["size"]] += r.copies
+    got = Counter((r.doc_id, r.source, len((r.text or "").split()))
+                  for r in mixing.mixed_documents(df).collect())
+    assert got == +planned
+    each = Counter((i, t, s) for i, t, s in rows)
+    out = Counter(tuple(r) for r in mixing.mixed_documents(df).collect())
+    assert all(n <= 2 * each[k] for k, n in out.items())
+
+
 # --- the pipeline --------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):
@@ -421,3 +436,20 @@ def test_pipeline_stages(spark):
         assert r.ids == np.frombuffer(ids, "<u4").tolist() and r.n_tokens == len(r.ids)
         assert r.ids_sha256 == hashlib.sha256(ids).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(decoded).hexdigest()
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+
+    rows = [(4, text(0)), (None, text(0)), (None, text(0) + " end"), (4, text(0)), (9, text(0)),
+            (None, text(1)), (None, text(1)), (None, text(2)), (4, text(3)), (4, text(3)),
+            (None, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows],
+                               "doc_id long, text string, source string").repartition(3)
+    got = p.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [
+        (4, text(0)), (None, text(1)), (None, text(2)), (4, text(3)), (None, ""), (None, None)]))
