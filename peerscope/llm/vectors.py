@@ -5,7 +5,8 @@ A vector is turned by three rounds of random signs and a fast Hadamard transform
 tables of buckets are kept. Every vector is filed once in each table and asks in the buckets
 nearest to it as well. Rows carry 64 signs of further rotations; a candidate pair whose signs
 differ more often than those of a similar pair ever would (by five standard deviations) is
-dropped before its vectors are fetched, all others are verified by the exact cosine.
+dropped before its vectors are fetched, all others are verified by the exact cosine. Below 8
+dimensions rotations hardly differ: all candidates are verified there.
 
 Equal vectors of a label are one class before anything is hashed, so copies cost nothing.
 """
@@ -29,6 +30,12 @@ from peerscope.llm.words import mix64
 TABLES, PROBES, AXES = 12, 8, 4
 #: Unrelated classes that a bucket may hold on average before buckets get another hash.
 BUCKET_CLASSES = 8
+#: Dimensions from which 64 signs of rotations are independent enough to tell pairs apart.
+SIGN_DIMS = 8
+#: Most hashes of a bucket below 4 and below 8 dimensions; more would lose similar pairs.
+FEW_HASHES = ((4, 2), (8, 3))
+#: Parts over which the rows of one label are dealt when they look up their hashes.
+SALTS = 16
 
 
 def rotations(width: int, count: int) -> np.ndarray:
@@ -89,8 +96,11 @@ def buckets(x: np.ndarray, label: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def signs_of(x: np.ndarray) -> np.ndarray:
-    """64 signs of random rotations of unit vectors, as bits of an integer."""
+    """64 signs of random rotations of unit vectors, as bits of an integer; all alike below
+    ``SIGN_DIMS`` dimensions."""
     n, dim = x.shape
+    if dim < SIGN_DIMS:
+        return np.zeros(n, np.int64)
     width = 1 << max(1, (dim - 1).bit_length())
     padded = np.zeros((n, width))
     padded[:, :dim] = x
@@ -147,21 +157,36 @@ _ROWS = "bucket bigint, cid bigint, signs bigint"
 _FILED = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("signs", pa.int64())])
 
 
-def _file(hashes: int, asking: bool):
+def _file(asking: bool):
     def rows(batches):
         for batch in batches:
             cid, label = batch["cid"].to_numpy(), batch["label"].to_numpy()
-            for at, x in _dense(batch["vector"]).values():
-                x = _unit(x)
-                key = buckets(x, label[at], hashes)
-                key = key if asking else key[:, :, :1]
-                each = key.shape[1] * key.shape[2]
-                yield pa.record_batch([
-                    pa.array(key.ravel()), pa.array(np.repeat(cid[at], each)),
-                    pa.array(np.repeat(signs_of(x), each))], schema=_FILED)
+            hashes = batch["hashes"].to_numpy()
+            for every, vectors in _dense(batch["vector"]).values():
+                for h in np.unique(hashes[every]).tolist():
+                    at, x = every[hashes[every] == h], _unit(vectors[hashes[every] == h])
+                    key = buckets(x, label[at], h)
+                    key = key if asking else key[:, :, :1]
+                    each = key.shape[1] * key.shape[2]
+                    yield pa.record_batch([
+                        pa.array(key.ravel()), pa.array(np.repeat(cid[at], each)),
+                        pa.array(np.repeat(signs_of(x), each))], schema=_FILED)
     return rows
 
 
+def crowded(classes: DataFrame) -> DataFrame:
+    """(label, d, hashes) of the labels and dimensions that need more than two hashes. With one
+    hash more, unrelated vectors meet 2 * dimension times less often."""
+    d = F.col("d")
+    axes = F.greatest(F.lit(1), F.ceil(F.log2(d) - 1e-9)) + 1  # its logarithm
+    hashes = F.ceil((F.log2(F.col("n") / F.lit(float(BUCKET_CLASSES))) - 1e-9) / axes)
+    for dims, most in reversed(FEW_HASHES):
+        hashes = F.when(d < dims, F.least(hashes, F.lit(most))).otherwise(hashes)
+    return classes.groupBy("label", F.size("vector").alias("d")).agg(
+        F.count("*").alias("n")).select("label", "d", hashes.cast("int").alias("hashes")).filter(
+        "hashes > 2")
+
+
 def _similar(least: float):
     @F.arrow_udf("boolean")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -199,15 +224,17 @@ def near_vectors(df: DataFrame, least: float = 0.93, id_col: str = "vec_id",
         F.min("vec_id").alias("least"), F.count("*").alias("copies"),
         F.any_value("vector").alias("vector"))
     classes = materialised(classes.withColumn("cid", F.monotonically_increasing_id()))
-    # with one hash more, unrelated vectors meet 2 * dimension times less often
-    most = classes.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias(
-        "d")).agg(F.max("n").alias("n"), F.max("d").alias("d")).first()
-    hashes, axes = 2, 2 * (1 << max(1, ((most["d"] or 1) - 1).bit_length()))
-    while (most["n"] or 0) > BUCKET_CLASSES * axes ** hashes:
-        hashes += 1
-    points = classes.select("cid", "label", "vector")
-    filed = points.mapInArrow(_file(hashes, False), _ROWS)
-    asking = points.mapInArrow(_file(hashes, True), _ROWS)
+    points, more = classes.select("cid", "label", "vector"), materialised(crowded(classes))
+    if more.isEmpty():
+        hashed = points.withColumn("hashes", F.lit(2))
+    else:  # salted, for a label may hold most rows
+        more = more.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hashed = (points.withColumn("d", F.size("vector"))
+                  .withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
+                  .join(more, ["label", "d", "salt"], "left")
+                  .select("cid", "label", "vector", F.coalesce("hashes", F.lit(2)).alias("hashes")))
+    filed = hashed.mapInArrow(_file(False), _ROWS)
+    asking = hashed.mapInArrow(_file(True), _ROWS)
     unlike = F.bit_count(F.col("s").bitwiseXOR(F.col("t")))
     pairs = (asking.toDF("bucket", "x", "s").join(filed.toDF("bucket", "y", "t"), "bucket")
              .filter((F.col("x") != F.col("y")) & (unlike <= most_unlike(least)))

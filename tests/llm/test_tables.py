@@ -338,6 +338,47 @@ def test_recall_on_the_table(spark):
     assert true > 500 and 0.97 * true <= found <= true
 
 
+def links_found(spark, x, label=0):
+    """Links found and true links at 0.93 among unit vectors of one label."""
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    df = spark.createDataFrame([(i, v.tolist(), label) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in vectors.near_vectors(df).collect())
+    return found, int((x @ x.T >= 0.93).sum()) - len(x)
+
+
+@pytest.mark.parametrize("dim", [2, 3, 4, 7])
+def test_recall_in_few_dimensions(spark, dim):
+    found, true = links_found(spark, np.random.default_rng(dim).normal(size=(600, dim)))
+    assert true > 50 and 0.99 * true <= found <= true
+
+
+@pytest.mark.parametrize("hashes", [3, 4])
+def test_recall_with_more_hashes(spark, monkeypatch, hashes):
+    monkeypatch.setattr(vectors, "BUCKET_CLASSES", 200 / 128 ** (hashes - 1))
+    rng = np.random.default_rng(hashes)
+    x = rng.normal(size=(400, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    x = np.concatenate((x, x + rng.normal(scale=0.36 / 8, size=x.shape)))
+    classes = spark.createDataFrame([(0, v.tolist()) for v in x], "label int, vector array<double>")
+    assert [r.hashes for r in vectors.crowded(classes).collect()] == [hashes]
+    found, true = links_found(spark, x)
+    assert true > 500 and 0.95 * true <= found <= true
+
+
+def test_hashes_go_by_label_and_dimension(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BUCKET_CLASSES", 2)
+    rows = [(label, [float(i)] * d) for label, d, n in [
+        (1, 4, 129), (1, 8, 512), (2, 4, 128), (3, 8, 513), (4, 2, 2000)] for i in range(n)]
+    classes = spark.createDataFrame(rows, "label long, vector array<double>")
+    assert sorted(tuple(r) for r in vectors.crowded(classes).collect()) == [(1, 4, 3), (3, 8, 3)]
+    dozen = spark.createDataFrame([(i, [1.0 + i % 3, 5.0, i / 50], i % 2) for i in range(12)] + [
+        (100 + i, [float(i), -float(i * i), 1.0, 0.5], 7) for i in range(200)],
+        "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(dozen).collect()}
+    assert len(got) == 212 and all(got[i] for i in range(12))
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 def mix_rows():
