@@ -210,6 +210,87 @@ o AS (SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, CASE WHEN c.rid IS NULL
 SELECT *, coalesce(vec_id = component_id, false) AS kept FROM o"""
 
 
+def warc_sql(pages: str = "pages") -> str:
+    """Exact where page_ids are neither null nor repeated."""
+    five = "substr(hex, 5 * j + 1, 5)"
+    value = " + ".join(
+        f"(strpos('0123456789abcdef', substr({five}, {k}, 1)) - 1) * {16 ** (5 - k)}"
+        for k in range(1, 6))
+    chars = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+                        f"(({value}) // {1 << shift}) % 32 + 1, 1)" for shift in (15, 10, 5, 0))
+    return f"""
+WITH t AS (SELECT page_id, coalesce(html, '') AS payload FROM {pages}),
+s AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex,
+  max(page_id) OVER (PARTITION BY payload) AS top FROM t)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda j: {chars}), '')
+  AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to FROM s"""
+
+
+def conversations_sql(table: str = "conversations") -> str:
+    """Row by row from the left, the least cost and audit of each place in the pattern, as one
+    string of twelve digits and the audit."""
+    plus = lambda x, cost, edit: (
+        f"lpad((left({x}, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({x}, 13) || '{edit}'")
+    least = lambda *of: f"least({', '.join(of)})"
+    opened = f"""SELECT conv_id, i, a, b, {least("c", *(plus(x, 5, "I") for x in "abd"))} AS c,
+      {least("d", plus("c", 5, "I"), plus("a", 10, "II"), plus("b", 10, "II"))} AS d"""
+    stay = lambda frm, initial: (
+        f"CASE WHEN kind < 2 AND initial = '{initial}' THEN {plus(frm, '5 * kind', 'K')} END")
+    turn = lambda frm: f"CASE WHEN kind < 2 THEN {plus(frm, '1 + 5 * kind', 'R')} END"
+    crc = """list_reduce(list_transform(range(1, strlen(s) + 1), lambda k: ord(s[k])::BIGINT),
+      lambda c, x: list_reduce(range(8), lambda y, z: CASE WHEN y % 2 = 1
+        THEN xor(y // 2, 3988292384) ELSE y // 2 END, xor(c, x)), 4294967295)"""
+    return f"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM {table}),
+h AS (SELECT *, xor({crc}, 4294967295) % 20 AS f FROM t),
+r AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN ''
+  WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE f WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE f <> 0),
+n AS (SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM r),
+q AS (SELECT *, NOT regexp_matches(text, '{WORD}') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS cut,
+  lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM n),
+k AS MATERIALIZED (SELECT *, CASE WHEN blank OR again THEN 2 WHEN cut THEN 1 ELSE 0 END AS kind
+  FROM q),
+ids AS MATERIALIZED (SELECT DISTINCT conv_id FROM {table}),
+v AS (SELECT conv_id, 0::BIGINT AS i, repeat('0', 12) AS a, NULL::VARCHAR AS b, NULL::VARCHAR AS c,
+    NULL::VARCHAR AS d FROM ids
+  UNION ALL SELECT o.conv_id, k.i, {plus("a", 2, "D")},
+    {least(plus("b", 2, "D"), stay("a", "s"))},
+    {least(plus("c", 2, "D"), *(f(x) for x in "abd" for f in (lambda y: stay(y, "u"), turn)))},
+    {least(plus("d", 2, "D"), stay("c", "a"), turn("c"))}
+  FROM ({opened} FROM v) o JOIN k ON k.conv_id IS NOT DISTINCT FROM o.conv_id AND k.i = o.i + 1),
+e AS MATERIALIZED (SELECT conv_id, left(least(a, d), 12)::BIGINT AS cost,
+  substr(least(a, d), 13) AS audit FROM ({opened} FROM v)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+l AS (SELECT conv_id, unnest(range(1, strlen(audit) + 1)) AS pos, audit FROM e),
+m AS (SELECT conv_id, pos, audit[pos] AS edit, count(*) FILTER (audit[pos] <> 'I') OVER w AS i,
+  count(*) FILTER (audit[pos] <> 'D') OVER w AS place FROM l
+  WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+z AS (SELECT m.conv_id, m.pos, m.edit, m.place, k.role, k.text, bool_or(m.place = 1
+  AND m.edit = 'K' AND k.initial = 's') OVER (PARTITION BY m.conv_id)::INT AS lead FROM m
+  LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM m.conv_id AND k.i = m.i AND m.edit <> 'I'
+  WHERE m.edit <> 'D'),
+y AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE
+  CASE (place - lead) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END || ':' || coalesce(text, ''),
+  chr(10) ORDER BY pos) AS whole FROM z GROUP BY conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+  count(*) FILTER (kind = 1) AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM k GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, e.cost, e.audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM ids LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
 ORACLE_SQL = {
     "op2_ngram_jaccard": jaccard_sql(),
     "op1_quality_rules": quality_sql(),
@@ -217,4 +298,6 @@ ORACLE_SQL = {
     "op4_secret_scans": secrets_sql(),
     "op8_embedding_dedup": vectors_sql(),
     "op10_mixing": mixing_sql(),
+    "op12_warc": warc_sql(),
+    "op13_conversations": conversations_sql(),
 }

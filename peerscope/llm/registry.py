@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import (bpe, classifier, jaccard, langid, lm, mixing, quality, secrets, urls,
-                           vectors)
+from peerscope.llm import (bpe, classifier, conversations, jaccard, langid, lm, mixing, quality,
+                           secrets, urls, vectors, warc, whitening)
 from peerscope.llm.oracle import ORACLE_SQL
-from peerscope.llm.session import materialised
+from peerscope.llm.session import materialised, remove_folder, scratch_folder, with_row_key
 
 #: The vocabulary file of the encoding query; a parameter of the operator.
 BPE_FILE = "word_bpe_49k.json"
@@ -90,6 +90,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    keyed, archives = scratch_folder(spark, "pages"), scratch_folder(spark, "warc")
+    found = warc.round_trip(with_row_key(pages, "row", keyed), archives)
+    for folder in (keyed, archives):  # the records are in the checkpoint folder
+        remove_folder(spark, folder)
+    return found
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows, found = conversations.repair(conversations.damaged(given), given)
+    return conversations.with_digest(rows, found)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -101,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
+    "op12_warc": op12_warc,
+    "op13_conversations": op13_conversations,
 }
 
 

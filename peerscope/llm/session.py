@@ -31,14 +31,24 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def with_row_key(df: DataFrame, name: str) -> DataFrame:
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4()}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def with_row_key(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` with a number of its own for every row in column ``name``, written once to the
     shared checkpoint folder, so that every later use sees the same numbers."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/rows-{uuid.uuid4()}"
+    path = path or scratch_folder(df.sparkSession, "rows")
     df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def release(spark: SparkSession) -> None:
