@@ -1,81 +1,94 @@
 """Exact interpolated percentiles per group (``quantile_cont`` semantics).
 
-Default path: ``percentile(v, array(p...))`` per group — Spark's exact percentile keeps a
-value -> count map per group and is partially aggregated map-side. Groups above
-``hot_rows`` rows (whose map would have to sit in one task) go through the distributed
-value CDF instead. The whole-table form (``global_percentiles``) always uses the CDF,
-because there the single group *is* the whole column.
+Groups of any ordinary size are read off sorted runs: one Exchange on the group, one sort and
+running row number per measure, and of all rows only those at a wanted position are kept. The
+sort spills, so a group needs constant memory however many distinct values it has. Groups
+above ``hot_rows`` rows, which would be one task's, go through bracketed selection
+(``operators.brackets``), as does the whole-table form, where the single group *is* the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.operators.cdf import DEFAULT_BUCKETS, percentiles_from_cdf, value_cdf
-from peerscope.operators.joins import join_null_safe
-from peerscope.operators.rank import split_hot
+from peerscope.operators.brackets import (ACCURACY, bracketed_percentiles, interpolated,
+                                          position)
+from peerscope.operators.rank import DEFAULT_HOT_ROWS, split_hot
 from peerscope.operators.reshape import unpivot_measures
 
 
-#: Rows of the largest group whose exact value -> count maps one aggregation buffer holds.
-#: The buffer keeps every distinct value, so this is far below what a window can sort.
-PERCENTILE_ROWS = 200_000
+#: Rows of the largest group that one task sorts.
+PERCENTILE_ROWS = DEFAULT_HOT_ROWS
 
 
-def _aggregate_percentiles(df: DataFrame, keys, values: dict, probs,
-                           rows: str | None = None) -> DataFrame:
-    ps = [p for _, p in probs]
-    aggs = [F.count(F.lit(1)).alias(rows)] if rows else []
-    for name, expr in values.items():
-        aggs.append(F.count(expr).alias(f"{name}__n_rows"))
-        aggs.append(F.percentile(expr, ps).alias(f"{name}__arr"))
-    wide = df.groupBy(*keys).agg(*aggs)
+def _sorted_percentiles(df: DataFrame, keys, values: dict, probs,
+                        rows: str | None = None) -> DataFrame:
+    """All windows of a group share one Exchange; the last aggregation needs none."""
+    group = Window.partitionBy(*keys)
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = {f"__v{i}": e.cast("double") for i, e in enumerate(values.values())}
+    out = df.select(*keys, *[e.alias(c) for c, e in cols.items()])
+    runs = []
+    for i, c in enumerate(cols):
+        order = group.orderBy(F.col(c).asc_nulls_last())
+        runs += [(F.row_number().over(order) - 1).cast("long").alias(f"__r{i}"),
+                 F.count(c).over(order.rowsBetween(*whole)).alias(f"__n{i}")]
+        if i == 0:
+            runs.append(F.count(F.lit(1)).over(order.rowsBetween(*whole)).alias("__rows"))
+    out = out.select("*", *runs)
+    wanted, picks = [F.col("__r0") == 0], []
+    for i, name in enumerate(values):
+        r, n, v = F.col(f"__r{i}"), F.col(f"__n{i}"), F.col(f"__v{i}")
+        for pname, p in probs:
+            low, high = F.floor(position(p, n)), F.ceil(position(p, n))
+            wanted.append((r == low) | (r == high))
+            picks += [F.max(F.when(r == low, v)).alias(f"__lo_{name}__{pname}"),
+                      F.max(F.when(r == high, v)).alias(f"__hi_{name}__{pname}")]
+    sizes = [F.max(f"__n{i}").alias(f"{name}__n_rows") for i, name in enumerate(values)]
+    few = out.filter(reduce(lambda a, b: a | b, wanted))
+    found = few.groupBy(*keys).agg(F.max("__rows").alias(rows or "__rows"), *sizes, *picks)
     cols = [F.col(k) for k in keys] + ([F.col(rows)] if rows else [])
     for name in values:
-        cols.append(F.col(f"{name}__n_rows"))
-        for i, (pname, _) in enumerate(probs):
-            cols.append(F.col(f"{name}__arr")[i].alias(f"{name}__{pname}"))
-    return wide.select(*cols)
+        n = F.col(f"{name}__n_rows")
+        cols += [n, *[interpolated(p, n, F.col(f"__lo_{name}__{pname}"),
+                                   F.col(f"__hi_{name}__{pname}")).alias(f"{name}__{pname}")
+                      for pname, p in probs]]
+    return found.select(*cols)
 
 
 def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
-                      hot_rows: int | None = PERCENTILE_ROWS,
-                      buckets: int = DEFAULT_BUCKETS, hot=None,
-                      rows: str | None = None) -> DataFrame:
+                      hot_rows: int | None = PERCENTILE_ROWS, accuracy: int = ACCURACY,
+                      hot=None, rows: str | None = None) -> DataFrame:
     """Wide result: keys, with ``rows`` a column of that name for count(*), then per value
     name ``<name>__n_rows`` (non-null count) and ``<name>__<p>`` for each (p, prob) in
     ``probs``."""
     keys = list(keys)
     cold, warm, n_hot = split_hot(df, keys, hot_rows, hot)
-    out = _aggregate_percentiles(cold, keys, values, probs, rows)
+    out = _sorted_percentiles(cold, keys, values, probs, rows)
     if warm is None:
         return out
-    # one CDF for all measures: the hot rows are unpivoted and keyed by (group, measure)
-    long = unpivot_measures(warm, keys, values, name="_m", value="_x")
-    cdf = value_cdf(long, keys + ["_m"], F.col("_x"), buckets=buckets,
-                    group_bound=n_hot * len(values))
-    pc = percentiles_from_cdf(cdf, keys + ["_m"], probs, group_bound=n_hot * len(values),
-                              buckets=buckets)
+    # one selection for all measures: the hot rows are unpivoted and keyed by (group, measure)
+    long = unpivot_measures(warm, keys, values, name="_m", value="_x", drop_nulls=False)
+    pc = bracketed_percentiles(long, keys + ["_m"], F.col("_x"), probs, accuracy=accuracy,
+                               group_bound=n_hot * len(values),
+                               extra={"_rows": F.count(F.lit(1))})
     pick = lambda name, col: F.max(F.when(F.col("_m") == name, F.col(col)))
-    aggs = []
+    aggs = [F.max("_rows").alias(rows)] if rows else []
     for name in values:
-        aggs.append(F.coalesce(pick(name, "n"), F.lit(0)).cast("long").alias(f"{name}__n_rows"))
+        aggs.append(pick(name, "n").alias(f"{name}__n_rows"))
         aggs += [pick(name, p).alias(f"{name}__{p}") for p, _ in probs]
-    hot = pc.groupBy(*keys).agg(*aggs)
-    # a hot group whose measure is NULL everywhere still appears (its n_rows is 0)
-    groups = warm.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows or "_rows"))
-    hot = join_null_safe(groups, hot, keys, "left")
-    return out.unionByName(hot.select(*out.columns))
+    return out.unionByName(pc.groupBy(*keys).agg(*aggs).select(*out.columns))
 
 
 def global_percentiles(df: DataFrame, value: Column, probs, *,
-                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                       accuracy: int = ACCURACY) -> DataFrame:
     """Exact percentiles of a whole column, never collecting it into one buffer."""
-    keyed = df.select(F.lit(0).alias("_all"), value.alias("_x")).filter(F.col("_x").isNotNull())
-    cdf = value_cdf(keyed, ["_all"], F.col("_x"), buckets=buckets, group_bound=1)
-    return percentiles_from_cdf(cdf, ["_all"], probs, group_bound=1,
-                                buckets=buckets).drop("_all")
+    keyed = df.select(F.lit(0).alias("_all"), value.alias("_x"))
+    return bracketed_percentiles(keyed, ["_all"], F.col("_x"), probs, group_bound=1,
+                                 accuracy=accuracy).drop("_all")
 
 
 def weighted_percentiles(counts: DataFrame, keys, value: str, freq: str, probs) -> DataFrame:

@@ -8,8 +8,8 @@ Two physical strategies give identical results:
 
 * window (default): one Exchange on the peer key, then one Sort + Window per measure. A
   group is one window partition, which is fine while groups are bounded.
-* value CDF (``operators.cdf``): for groups above ``hot_rows`` rows. They are split by
-  value range across tasks, and ranks are joined back on (group, value).
+* prefix sums (``operators.prefix``): for groups above ``hot_rows`` rows. They are dealt by
+  ranges of (group, value), and each range carries on the counts of those before it.
 
 ``hot_rows=None`` skips the size probe and always uses the window form.
 """
@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio
-from peerscope.operators.cdf import DEFAULT_BUCKETS, value_cdf
-from peerscope.operators.joins import can_broadcast, join_null_safe
-from peerscope.operators.reshape import unpivot_measures
+from peerscope.operators.joins import broadcast_if_small, can_broadcast, join_null_safe
+from peerscope.operators.prefix import running_counts
+from peerscope.session import ensure_checkpoint_dir
 
 # A window task sorting this many rows is still comfortable; bigger groups are split.
 DEFAULT_HOT_ROWS = 5_000_000
@@ -88,32 +88,35 @@ def _window_rank(df: DataFrame, peer, measures: dict, min_peers: int, decimals:
     return out.select(*[c for c in df.columns], *ranks)
 
 
-def _cdf_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
-              n_hot: int, buckets: int) -> DataFrame:
-    """Ranks of hot-group rows from one value CDF keyed by (group, measure); each measure
-    then joins its (group, value) -> cumulative count back onto the rows."""
-    peer = list(peer)
-    long = unpivot_measures(warm, peer, measures, name="_m", value="_x", drop_nulls=False)
-    cdf = value_cdf(long, peer + ["_m"], F.col("_x"), buckets=buckets,
-                    group_bound=n_hot * len(measures))
-    out = warm
-    for i, (name, expr) in enumerate(measures.items()):
-        vcol, kcol = f"__v{i}", f"__k{i}"
-        out = out.withColumn(vcol, expr.cast("double"))
-        one = cdf.filter(F.col("_m") == name).select(
-            *peer, F.col("_v").alias(vcol), F.col("_cum").alias(kcol))
-        out = join_null_safe(out, one, peer + [vcol], "left")
-        out = out.withColumn(
-            name, F.when(F.col("_n") >= min_peers,
-                         rounded_ratio(F.col(kcol), F.col("_n"), decimals))
-        ).drop(vcol, kcol)
-    return out.drop("_n")
+def _split_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals: int,
+                n_hot: int) -> DataFrame:
+    """Ranks of hot-group rows from running counts over range partitions. The rows get a number
+    and their group's size; narrow (group and measure, value, row) rows are dealt by value, and
+    the counts come back to the rows by their number, which is even however skewed the values
+    are."""
+    spark, k = warm.sparkSession, len(measures)
+    ensure_checkpoint_dir(spark)
+    hot = warm.select(*peer).distinct().withColumn("__g", F.monotonically_increasing_id())
+    hot = broadcast_if_small(hot.checkpoint(eager=True), n_hot, row_bytes=128)
+    rows = join_null_safe(warm, hot, list(peer)).withColumn(
+        "__row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    long = rows.select("__row", F.col("__g"), F.posexplode(F.array(
+        *[e.cast("double") for e in measures.values()])).alias("m", "v")).select(
+        (F.col("__g") * k + F.col("m")).alias("g"), "v", F.col("__row").alias("id"))
+    counts = running_counts(long, group_bound=n_hot * k)
+    wide = counts.groupBy(F.col("id").alias("__row")).agg(*[
+        F.max(F.when(F.pmod(F.col("g"), F.lit(k)) == i, F.col("n"))).alias(f"__k{i}")
+        for i in range(k)])
+    out = rows.join(wide, "__row")
+    return out.select(*[c for c in warm.columns if c != "_n"], *[
+        F.when(F.col("_n") >= min_peers,
+               rounded_ratio(F.col(f"__k{i}"), F.col("_n"), decimals)).alias(name)
+        for i, name in enumerate(measures)])
 
 
 def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: int = 30,
               decimals: int = 4, hot_rows: int | None = DEFAULT_HOT_ROWS,
-              buckets: int = DEFAULT_BUCKETS, range_partitions: int | None = None,
-              range_keys=None, hot=None) -> DataFrame:
+              range_partitions: int | None = None, range_keys=None, hot=None) -> DataFrame:
     """Add one rank column per entry of ``measures`` (output name -> value Column).
 
     ``range_partitions``: range-partition the (non-hot) rows on the peer key instead of
@@ -127,7 +130,7 @@ def peer_rank(df: DataFrame, peer, measures: dict[str, Column], *, min_peers: in
                           range_keys)
     if warm is None:
         return ranked
-    hot_ranked = _cdf_rank(warm, peer, measures, min_peers, decimals, n_hot, buckets)
+    hot_ranked = _split_rank(warm, peer, measures, min_peers, decimals, n_hot)
     if range_partitions:
         # keep the layout promise for hot groups too: a hot group is cut into contiguous
         # slices (by its first rank) instead of scattered by the join's hash partitioning

@@ -3,7 +3,7 @@
 All are aggregations with map-side partial aggregation; none collects a group. Means and
 percentages of integer counts are rounded with the exact integer form (``rounded_ratio``)
 so they do not depend on floating-point summation order. Whole-column percentiles go through
-the size-checked split of ``group_percentiles`` (distributed value CDF above the threshold).
+bracketed selection, those of groups through the size-checked split of ``group_percentiles``.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio, safe_divide
+from peerscope.operators.brackets import ACCURACY, bracketed_percentiles
 from peerscope.operators.combine import metrics_row
 from peerscope.operators.percentiles import (PERCENTILE_ROWS, group_percentiles,
                                              weighted_percentiles)
@@ -168,32 +169,17 @@ DIST_POINTS = [("p50", 0.50), ("p90", 0.90), ("p99", 0.99), ("p999", 0.999)]
 
 
 def measure_distribution(df: DataFrame, measures: dict[str, Column], *,
-                         hot_rows: int | None = PERCENTILE_ROWS) -> DataFrame:
+                         accuracy: int = ACCURACY) -> DataFrame:
     """Whole-table distribution per measure (A11): p50 p90 p99 p99.9 max mean mean/median,
-    unrounded.
-
-    The long (measure, value) rows are grouped by measure. A measure with more rows than
-    ``hot_rows`` is never put in one aggregation buffer: its exact percentiles come from the
-    distributed value CDF; smaller ones use the exact ``percentile`` aggregate.
-    """
-    long = unpivot_measures(df, [], measures)
-    # each measure's group has at most one value per input row, so the input's row count
-    # (footer metadata on Parquet) decides for all measures at once: no grouping probe
-    n = None if hot_rows is None else df.count()
-    if n is None or n <= hot_rows:
-        hot = (None, 0)
-    else:
-        hot = (df.sparkSession.createDataFrame([(m, n) for m in measures],
-                                               "measure string, _n long"), len(measures))
-    pct = group_percentiles(long, ["measure"], {"v": F.col("value")}, DIST_POINTS,
-                            hot_rows=hot_rows, hot=hot)
-    pct = pct.select("measure", *[F.col(f"v__{p}").alias(p) for p, _ in DIST_POINTS])
-    basic = long.groupBy("measure").agg(F.max("value").alias("max"),
-                                        F.avg("value").alias("mean"))
-    j = pct.join(basic, "measure")
-    return j.select("measure", *[p for p, _ in DIST_POINTS], "max", "mean",
-                    safe_divide(F.col("mean"), F.col("p50")).alias("mean_over_median")
-                    ).orderBy("measure")
+    unrounded. Two scans for all measures (``operators.brackets``), nothing before the query
+    runs; the first one also gives the sizes, maxima and means."""
+    long = unpivot_measures(df, [], measures, drop_nulls=False)
+    pct = bracketed_percentiles(
+        long, ["measure"], F.col("value"), DIST_POINTS, accuracy=accuracy,
+        group_bound=len(measures), extra={"max": F.max("_v"), "mean": F.avg("_v")})
+    return pct.filter("n > 0").select(
+        "measure", *[p for p, _ in DIST_POINTS], "max", "mean",
+        safe_divide(F.col("mean"), F.col("p50")).alias("mean_over_median")).orderBy("measure")
 
 
 def within_group_spread(df: DataFrame, keys, price: Column, volume: Column, *,

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import safe_divide, title_case
+from peerscope.operators.brackets import bracketed_percentiles
 from peerscope.operators.joins import broadcast_if_small, join_null_safe, join_salted
-from peerscope.operators.percentiles import PERCENTILE_ROWS, group_percentiles
+from peerscope.operators.percentiles import PERCENTILE_ROWS
 from peerscope.operators.reshape import melt_breakpoints
 from peerscope.schema import BREAKPOINTS, DATASETS
 
@@ -180,15 +181,15 @@ def live_percentile(fact: DataFrame, group: PeerGroup, measure: str, *,
                     ) -> DataFrame:
     """Breakpoints computed on the fact slice at query time (Q8); must equal Q3.
 
-    ``rows``: the slice's size, as the serving table has it; unknown, it is counted first (the
-    filter reaches the sorted files' row groups). A slice within ``hot_rows`` is one
-    aggregation; a larger one goes through the distributed value CDF so it never sits in one
-    aggregation buffer.
+    ``rows``: the slice's size, where the caller knows it (the serving table has it). A slice
+    known to be within ``hot_rows`` is one aggregation; any other goes through bracketed
+    selection, two scans of the slice, so that it never sits in one aggregation buffer.
+    Nothing runs before the query does. A group without values gives one row of 0 and nulls.
     """
     m = _spec(group).measure(measure)
     s = fact.filter(fact_filter(group)).select("npi", m.expr().alias("v"))
     names = [p for p, _ in BREAKPOINTS]
-    if hot_rows is None or (s.count() if rows is None else rows) <= hot_rows:
+    if hot_rows is None or (rows is not None and rows <= hot_rows):
         one = s.agg(F.count_distinct(F.when(F.col("v").isNotNull(), F.col("npi")))
                     .alias("n_providers"),
                     F.count("v").alias("n_rows"),
@@ -196,13 +197,11 @@ def live_percentile(fact: DataFrame, group: PeerGroup, measure: str, *,
         return one.select("n_providers", "n_rows",
                           *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     keyed = s.withColumn("_g", F.lit(0))
-    flags = (keyed.groupBy("_g", "npi")
-             .agg(F.max(F.col("v").isNotNull().cast("int")).alias("has")))
-    prov = flags.groupBy("_g").agg(F.sum("has").cast("long").alias("n_providers"))
-    pct = group_percentiles(keyed, ["_g"], {"v": F.col("v")}, BREAKPOINTS, hot_rows=hot_rows)
-    return prov.join(pct, "_g").select(
-        "n_providers", F.col("v__n_rows").alias("n_rows"),
-        *[F.col(f"v__{p}").alias(p) for p in names])
+    prov = s.filter(F.col("v").isNotNull()).select("npi").distinct().agg(
+        F.count(F.lit(1)).alias("n_providers")).withColumn("_g", F.lit(0))
+    pct = bracketed_percentiles(keyed, ["_g"], F.col("v"), BREAKPOINTS, group_bound=1)
+    return prov.join(F.broadcast(pct), "_g", "left").select(
+        "n_providers", F.coalesce("n", F.lit(0)).alias("n_rows"), *names)
 
 
 def drilldown(fact: DataFrame, group: PeerGroup, limit: int = 10) -> DataFrame:

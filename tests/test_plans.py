@@ -175,10 +175,3 @@ def test_groups_of_any_size_are_spread(spark):
         assert "BroadcastHashJoin" in plan  # the few hot groups, by a proven bound
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_cut_points_are_pinned(spark):
-    from peerscope.operators.cdf import value_cdf
-    df = spark.range(1000).selectExpr("id % 3 AS g", "cast(id AS double) AS v")
-    plan = _plan(value_cdf(df, ["g"], F.col("v"), buckets=8, group_bound=3))
-    assert "percentile_approx" not in plan

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio
+from peerscope.operators.prefix import dealt, running_counts
 from peerscope.operators.rank import peer_rank, peer_size
 
 
@@ -68,7 +69,7 @@ def test_window_and_cdf_paths_agree(spark):
             v = None if rnd.random() < 0.05 else float(rnd.randint(0, 40))
             rows.append((g, i, v))
     a = _rank(spark, rows, hot_rows=None)
-    b = _rank(spark, rows, hot_rows=50)          # x, y go through the value CDF
+    b = _rank(spark, rows, hot_rows=50)          # x, y go through prefix sums
     assert a == b
     for g in ("x", "y", "z"):
         ids = [i for (gg, i) in a if gg == g]
@@ -101,16 +102,40 @@ def test_cdf_matches_numpy_cume(spark):
         assert r[("g", i)] == ((2 * k * 10000 + 2000) // 4000) / 10000
 
 
-def test_value_cdf_checkpointed_bounds(spark):
-    """Without a proven bound the cut points are checkpointed instead of broadcast; the
-    counts are the same."""
-    from peerscope.operators.cdf import value_cdf
-    rows = [("a" if i % 3 else "b", float(i % 17)) for i in range(500)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    a = value_cdf(df, ["g"], F.col("v"), buckets=8, group_bound=2)
-    b = value_cdf(df, ["g"], F.col("v"), buckets=8, group_bound=None)
-    key = lambda r: (r.g, r._v)
-    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
-    got = {(r.g, r._v): r._cum for r in a.collect()}
-    vals = [v for g, v in rows if g == "b"]
-    assert got[("b", 5.0)] == sum(1 for v in vals if v <= 5.0)
+def test_running_counts_equal_brute_force(spark):
+    """Ties, nulls, NaN, signed zeros and values that fill several partitions; the sums per
+    partition broadcast or joined."""
+    rnd = random.Random(8)
+    odd = [None, float("nan"), 0.0, -0.0, 7.0, -3.5, 1e300]
+    rows = [(g, rnd.choice(odd) if rnd.random() < 0.6 else float(rnd.randint(0, 30)))
+            for g in (0, 3, 9) for _ in range(700)] + [(4, 1.0)] * 900 + [(5, None)] * 3
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)],
+                               "g long, v double, id long").repartition(5)
+    rank = lambda v: (2, 0.0) if v is None else (1, 0.0) if v != v else (0, v)
+    for bound, parts in ((5, 11), (None, 7), (5, 1)):
+        got = {r.id: (r.g, r.n) for r in running_counts(df, group_bound=bound,
+                                                        parts=parts).collect()}
+        assert len(got) == len(rows)
+        for i, (g, v) in enumerate(rows):
+            assert got[i] == (g, sum(h == g and rank(w) <= rank(v) for h, w in rows))
+    assert running_counts(df.filter("g > 99")).collect() == []
+
+
+def test_one_value_is_dealt_over_tasks(spark):
+    df = spark.range(30_000).selectExpr(
+        "0L AS g", "CASE WHEN id % 3 = 0 THEN 5.0D ELSE cast(id AS double) END AS v", "id")
+    sizes = {}
+    for r in dealt(df, 8).filter("v = 5.0").groupBy("p").count().collect():
+        sizes[r.p] = r["count"]
+    assert len(sizes) >= 3 and max(sizes.values()) < 30_000 / 4
+    n = {r.n for r in running_counts(df, group_bound=1, parts=8).join(
+        df.filter("v = 5.0").select("id"), "id").collect()}
+    assert len(n) == 1
+
+
+def test_hot_ranks_join_on_row_numbers_only(spark):
+    df = spark.range(5000).selectExpr("id % 2 AS grp", "cast(id % 50 AS double) AS val", "id")
+    out = peer_rank(df, ["grp"], {"r": F.col("val")}, hot_rows=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    assert joins and not any("val" in x for x in joins)

@@ -1,9 +1,12 @@
 """Percentiles and the peer_stats serving table."""
 
+import tempfile
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from peerscope.operators.brackets import bracketed_percentiles
 from peerscope.operators.percentiles import (global_percentiles, group_percentiles,
                                              weighted_percentiles)
 from peerscope.plans.stats import peer_stats
@@ -34,7 +37,7 @@ def test_group_percentiles_exact(spark, hot_rows):
 def test_global_and_weighted_percentiles(spark):
     vals = [float(x) for x in range(1, 1001)] + [7.0] * 50
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    g = global_percentiles(df, F.col("v"), PROBS, buckets=16).collect()[0]
+    g = global_percentiles(df, F.col("v"), PROBS, accuracy=100).collect()[0]
     counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("f"))
     w = weighted_percentiles(counts, [], "v", "f", PROBS).collect()[0]
     for name, p in PROBS:
@@ -42,6 +45,61 @@ def test_global_and_weighted_percentiles(spark):
         assert w[name] == pytest.approx(_np(vals, p))
 
 
+@pytest.mark.parametrize("accuracy", [10, 1000, 10_000])
+def test_bracketed_percentiles_equal_numpy(spark, accuracy):
+    rnd = np.random.default_rng(accuracy)
+    data = {"a": rnd.normal(0, 9, 4000), "b": rnd.integers(0, 5, 3000).astype(float),
+            "c": np.array([3.5]), None: rnd.exponential(1, 500), "d": np.array([])}
+    rows = [(g, float(v)) for g, vs in data.items() for v in vs] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    for bound in (5, None):
+        out = {r.g: r for r in bracketed_percentiles(
+            df, ["g"], F.col("v"), PROBS, group_bound=bound, accuracy=accuracy,
+            extra={"rows": F.count(F.lit(1))}).collect()}
+        assert set(out) == set(data)
+        for g, vs in data.items():
+            assert out[g].n == len(vs) and out[g]["rows"] == len(vs) + (g in ("a", "d"))
+            for name, p in PROBS:
+                want = _np(vs, p) if len(vs) else None
+                assert out[g][name] == (want if want is None else pytest.approx(want, rel=1e-12))
+    assert bracketed_percentiles(df.filter("false"), ["g"], F.col("v"), PROBS).collect() == []
+
+
+def test_bracketed_percentiles_plan(spark):
+    """Nothing runs while the plan is built; two scans; few values leave the second one."""
+    path = tempfile.mkdtemp(prefix="brackets-") + "/t"
+    spark.range(200_000).selectExpr("cast(id * 7919 % 200003 AS double) AS v").write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = set(tracker.getJobIdsForGroup(None))
+    df = spark.read.parquet(path)
+    out = global_percentiles(df, F.col("v"), [("p50", 0.5), ("p99", 0.99)])
+    assert len(set(tracker.getJobIdsForGroup(None)) - jobs) <= 1  # the file's schema
+    vals = [i * 7919 % 200003 for i in range(200_000)]
+    row = out.first()
+    assert row.n == 200_000 and row.p50 == _np(vals, 0.5) and row.p99 == _np(vals, 0.99)
+    final = global_percentiles(df, F.col("v"), [("p50", 0.5), ("p99", 0.99)])
+    final.collect()
+    plan = final._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 2 and "ReusedExchange" in plan
+
+
+def test_sorted_runs_hold_no_map(spark):
+    """A group of 10^6 distinct values: no aggregation buffer grows with them."""
+    df = spark.range(1_000_000).selectExpr("id % 2 AS g", "cast(id AS double) AS v",
+                                           "cast(-id AS double) AS w")
+    out = group_percentiles(df, ["g"], {"v": F.col("v"), "w": F.col("w")}, PROBS, hot_rows=None,
+                            rows="rows")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "ObjectHashAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    for r in out.collect():
+        vals = np.arange(r.g, 1_000_000, 2, dtype=float)
+        assert r["rows"] == r.v__n_rows == r.w__n_rows == 500_000
+        for name, p in PROBS:
+            assert r[f"v__{name}"] == pytest.approx(_np(vals, p), rel=1e-12)
+            assert r[f"w__{name}"] == pytest.approx(_np(-vals, p), rel=1e-12)
+
+
 def _fact_b(spark, rows):
     return spark.createDataFrame(rows, "year int, npi string, specialty string, "
                                        "hcpcs_code string, place_of_service string, "
