@@ -35,14 +35,37 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def join_salted(rows: DataFrame, groups: DataFrame, keys, spread, salts: int = 16) -> DataFrame:
-    """Null-safe inner join of many rows to one row per group, each group repeated ``salts``
-    times and the rows of a group spread over them by a hash of ``spread``: no task gets more
-    than about 1/``salts`` of a group's rows."""
+#: A key's rows are cut into pieces of at most one part in PIECES of a task's mean share.
+PIECES = 8
+
+
+def replication(rows: DataFrame, keys, tasks: int | None = None) -> tuple[DataFrame, int]:
+    """(``keys``, factor) of the keys with more rows than a piece, and a bound of how many such
+    keys there are: ``PIECES * tasks``, since each holds more than that part of all rows. The
+    counts, and the total that they are measured against, are taken when the query runs."""
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    piece = rows.agg(F.ceil(F.count(F.lit(1)) / F.lit(PIECES * tasks)).alias("_p")).scalar()
+    factor = F.ceil(F.col("_n") / F.greatest(piece, F.lit(1))).cast("int")
+    return (sizes.select(*keys, factor.alias("_factor")).filter("_factor > 1"),
+            PIECES * tasks)
+
+
+def join_salted(rows: DataFrame, groups: DataFrame, keys, spread, how: str = "inner",
+                tasks: int | None = None) -> DataFrame:
+    """Null-safe join of many rows to one row per group, however the rows are dealt to groups:
+    a group's row is repeated as often as the group's rows are more than a piece of a task's
+    share (``replication``), and these rows are dealt over its copies by a hash of ``spread``.
+    Groups of ordinary size are not repeated. ``how`` is ``inner`` or ``left``."""
     keys = list(keys)
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return join_null_safe(left, right, [*keys, "__salt"], "inner").drop("__salt")
+    hot, bound = replication(rows, keys, tasks)
+    hot = broadcast_if_small(hot, bound)
+    factor = F.coalesce("_factor", F.lit(1))
+    left = join_null_safe(rows, hot, keys, "left").withColumn(
+        "__salt", F.pmod(F.xxhash64(spread), factor).cast("int")).drop("_factor")
+    right = join_null_safe(groups, hot, keys, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), factor - 1))).drop("_factor")
+    return join_null_safe(left, right, [*keys, "__salt"], how).drop("__salt")
 
 
 # Largest estimated size we broadcast (rows x bytes per row).

@@ -1,10 +1,12 @@
-"""Exact interpolated percentiles per group (``quantile_cont`` semantics).
+"""Exact interpolated percentiles per group (``quantile_cont`` semantics), by group size.
 
-Groups of any ordinary size are read off sorted runs: one Exchange on the group, one sort and
-running row number per measure, and of all rows only those at a wanted position are kept. The
-sort spills, so a group needs constant memory however many distinct values it has. Groups
-above ``hot_rows`` rows, which would be one task's, go through bracketed selection
-(``operators.brackets``), as does the whole-table form, where the single group *is* the table.
+* Groups of up to ``MAP_ROWS`` rows: Spark's exact ``percentile`` aggregate, whose buffer holds
+  every distinct value of a group.
+* Larger ones are read off sorted runs: one Exchange on the group, one sort and running row
+  number per measure, and of all rows only those at a wanted position are kept (two for each
+  quantile). The sort spills, so a group needs constant memory however many values it has.
+* Groups above ``hot_rows`` rows, which would be one task's, go through bracketed selection
+  (``operators.brackets``), as does the whole-table form, where the one group *is* the table.
 """
 
 from __future__ import annotations
@@ -16,12 +18,27 @@ from pyspark.sql import functions as F
 
 from peerscope.operators.brackets import (ACCURACY, bracketed_percentiles, interpolated,
                                           position)
-from peerscope.operators.rank import DEFAULT_HOT_ROWS, split_hot
+from peerscope.operators.joins import can_broadcast, join_null_safe
+from peerscope.operators.rank import DEFAULT_HOT_ROWS, group_sizes
 from peerscope.operators.reshape import unpivot_measures
 
 
-#: Rows of the largest group that one task sorts.
-PERCENTILE_ROWS = DEFAULT_HOT_ROWS
+#: Rows of the largest group whose values an aggregation buffer holds (up to 128 groups and
+#: all measures are held at a time), and of the largest that one task sorts.
+MAP_ROWS, PERCENTILE_ROWS = 10_000, DEFAULT_HOT_ROWS
+
+
+def _mapped_percentiles(df: DataFrame, keys, values: dict, probs,
+                        rows: str | None = None) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias(rows)] if rows else []
+    for name, expr in values.items():
+        aggs += [F.count(expr).alias(f"{name}__n_rows"),
+                 F.percentile(expr, [p for _, p in probs]).alias(f"{name}__arr")]
+    out = [F.col(k) for k in keys] + ([F.col(rows)] if rows else [])
+    for name in values:
+        out += [F.col(f"{name}__n_rows"), *[F.get(f"{name}__arr", F.lit(i)).alias(
+            f"{name}__{pname}") for i, (pname, _) in enumerate(probs)]]
+    return df.groupBy(*keys).agg(*aggs).select(*out)
 
 
 def _sorted_percentiles(df: DataFrame, keys, values: dict, probs,
@@ -39,48 +56,80 @@ def _sorted_percentiles(df: DataFrame, keys, values: dict, probs,
         if i == 0:
             runs.append(F.count(F.lit(1)).over(order.rowsBetween(*whole)).alias("__rows"))
     out = out.select("*", *runs)
-    wanted, picks = [F.col("__r0") == 0], []
+    quantiles = F.array(*[F.lit(p) for _, p in probs])
+
+    def wanted(i):
+        r, n = F.col(f"__r{i}"), F.col(f"__n{i}")
+        return F.exists(quantiles, lambda p: (r == F.floor(p * (n - 1)))
+                        | (r == F.ceil(p * (n - 1))))
+
+    few = out.filter(reduce(lambda a, b: a | b, [wanted(i) for i in range(len(cols))],
+                            F.col("__r0") == 0))
+    found = few.groupBy(*keys).agg(
+        F.max("__rows").alias(rows or "__rows"),
+        *[F.max(f"__n{i}").alias(f"{name}__n_rows") for i, name in enumerate(values)],
+        *[F.map_from_entries(F.collect_list(F.when(wanted(i), F.struct(f"__r{i}", f"__v{i}"))))
+          .alias(f"__at{i}") for i in range(len(cols))])
+    picked = [F.col(k) for k in keys] + ([F.col(rows)] if rows else [])
     for i, name in enumerate(values):
-        r, n, v = F.col(f"__r{i}"), F.col(f"__n{i}"), F.col(f"__v{i}")
-        for pname, p in probs:
-            low, high = F.floor(position(p, n)), F.ceil(position(p, n))
-            wanted.append((r == low) | (r == high))
-            picks += [F.max(F.when(r == low, v)).alias(f"__lo_{name}__{pname}"),
-                      F.max(F.when(r == high, v)).alias(f"__hi_{name}__{pname}")]
-    sizes = [F.max(f"__n{i}").alias(f"{name}__n_rows") for i, name in enumerate(values)]
-    few = out.filter(reduce(lambda a, b: a | b, wanted))
-    found = few.groupBy(*keys).agg(F.max("__rows").alias(rows or "__rows"), *sizes, *picks)
-    cols = [F.col(k) for k in keys] + ([F.col(rows)] if rows else [])
-    for name in values:
-        n = F.col(f"{name}__n_rows")
-        cols += [n, *[interpolated(p, n, F.col(f"__lo_{name}__{pname}"),
-                                   F.col(f"__hi_{name}__{pname}")).alias(f"{name}__{pname}")
-                      for pname, p in probs]]
-    return found.select(*cols)
+        n, at = F.col(f"{name}__n_rows"), F.col(f"__at{i}")
+        picked += [n, *[interpolated(p, n, F.element_at(at, F.floor(position(p, n))),
+                                     F.element_at(at, F.ceil(position(p, n))))
+                        .alias(f"{name}__{pname}") for pname, p in probs]]
+    return found.select(*picked)
 
 
-def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
-                      hot_rows: int | None = PERCENTILE_ROWS, accuracy: int = ACCURACY,
-                      hot=None, rows: str | None = None) -> DataFrame:
-    """Wide result: keys, with ``rows`` a column of that name for count(*), then per value
-    name ``<name>__n_rows`` (non-null count) and ``<name>__<p>`` for each (p, prob) in
-    ``probs``."""
-    keys = list(keys)
-    cold, warm, n_hot = split_hot(df, keys, hot_rows, hot)
-    out = _sorted_percentiles(cold, keys, values, probs, rows)
-    if warm is None:
-        return out
-    # one selection for all measures: the hot rows are unpivoted and keyed by (group, measure)
-    long = unpivot_measures(warm, keys, values, name="_m", value="_x", drop_nulls=False)
+def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, bound: int,
+               accuracy: int) -> DataFrame:
+    """One selection for all measures: the rows are unpivoted and keyed by (group, measure)."""
+    long = unpivot_measures(df, keys, values, name="_m", value="_x", drop_nulls=False)
     pc = bracketed_percentiles(long, keys + ["_m"], F.col("_x"), probs, accuracy=accuracy,
-                               group_bound=n_hot * len(values),
+                               group_bound=bound * len(values),
                                extra={"_rows": F.count(F.lit(1))})
     pick = lambda name, col: F.max(F.when(F.col("_m") == name, F.col(col)))
     aggs = [F.max("_rows").alias(rows)] if rows else []
     for name in values:
         aggs.append(pick(name, "n").alias(f"{name}__n_rows"))
         aggs += [pick(name, p).alias(f"{name}__{p}") for p, _ in probs]
-    return out.unionByName(pc.groupBy(*keys).agg(*aggs).select(*out.columns))
+    return pc.groupBy(*keys).agg(*aggs)
+
+
+def large_groups(df: DataFrame, keys, hot_rows: int, map_rows: int = MAP_ROWS):
+    """(groups above ``map_rows`` or ``hot_rows`` rows with their size ``_n``, how many they
+    are, how many are above ``hot_rows``): one aggregate, of which the driver sees two numbers."""
+    sizes = group_sizes(df, keys).filter(F.col("_n") > min(map_rows, hot_rows))
+    n, n_hot = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("_n") > hot_rows)).first()
+    return sizes, n, n_hot
+
+
+def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
+                      hot_rows: int | None = PERCENTILE_ROWS, map_rows: int = MAP_ROWS,
+                      accuracy: int = ACCURACY, large=None, rows: str | None = None
+                      ) -> DataFrame:
+    """Wide result: keys, with ``rows`` a column of that name for count(*), then per value
+    name ``<name>__n_rows`` (non-null count) and ``<name>__<p>`` for each (p, prob) in
+    ``probs``.
+
+    ``large`` is a ``large_groups`` result, where the caller has it; else the sizes are probed
+    first. ``hot_rows=None`` probes nothing and reads all groups off sorted runs.
+    """
+    keys = list(keys)
+    if hot_rows is None:
+        return _sorted_percentiles(df, keys, values, probs, rows)
+    sizes, n, n_hot = large or large_groups(df, keys, hot_rows, map_rows)
+    if n == 0:
+        return _mapped_percentiles(df, keys, values, probs, rows)
+    meet = lambda how: join_null_safe(df, sizes, keys, how,
+                                      broadcast_right=can_broadcast(n, row_bytes=128))
+    out = _mapped_percentiles(meet("left_anti"), keys, values, probs, rows)
+    more = meet("inner")
+    if n > n_hot:
+        out = out.unionByName(_sorted_percentiles(
+            more.filter(F.col("_n") <= hot_rows), keys, values, probs, rows))
+    if n_hot:
+        out = out.unionByName(_bracketed(
+            more.filter(F.col("_n") > hot_rows), keys, values, probs, rows, n_hot, accuracy))
+    return out
 
 
 def global_percentiles(df: DataFrame, value: Column, probs, *,

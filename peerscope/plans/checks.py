@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import monotone, normalised
@@ -26,6 +26,41 @@ def _one_row(*frames: DataFrame) -> DataFrame:
     return metrics_row(*frames)
 
 
+def written_metrics(table: str, min_peers: int = MIN_PEERS) -> dict[str, Column]:
+    """Metrics of a table that need no more than its rows one by one: row, null and threshold
+    counts. The build takes them while it writes the table (``write_sorted(metrics=...)``)."""
+    rows, unscored = F.count(F.lit(1)), lambda c: F.count_if(F.col(c).isNull())
+    return {
+        "dim_hcpcs": {"dim_hcpcs_rows": rows},
+        "dim_drug": {"dim_drug_rows": rows},
+        "dim_geography": {"dim_geography_rows": rows,
+                          "geography_rows_labelled_state": F.count_if(
+                              F.col("category") == "state")},
+        "dim_ruca": {"dim_ruca_rows": rows},
+        PART_B.fact: {"part_b_unscoreable_rows": unscored("tot_srvcs_pct")},
+        PART_D.fact: {"part_d_unscoreable_rows": unscored("tot_claims_pct")},
+        "peer_stats": {
+            "peer_stats_rows": rows,
+            "part_b_rows": F.count_if(F.col("dataset") == "part_b"),
+            "part_d_rows": F.count_if(F.col("dataset") == "part_d"),
+            "groups_below_min_peers": F.count_if(F.col("n_rows") < min_peers),
+            "non_monotonic_breakpoints": F.count_if(
+                ~monotone(*[F.col(n) for n, _ in BREAKPOINTS])),
+            "groups_with_repeat_providers": F.count_if(
+                F.col("n_providers") != F.col("n_rows"))},
+    }.get(table, {})
+
+
+def _measured(df: DataFrame, table: str, observed: dict | None, min_peers: int = MIN_PEERS
+              ) -> DataFrame:
+    """``written_metrics`` as one row: as observed, or else from a scan of ``df``."""
+    metrics = written_metrics(table, min_peers)
+    if observed is None or not set(metrics) <= set(observed):
+        return df.agg(*[c.alias(name) for name, c in metrics.items()])
+    return df.sparkSession.createDataFrame([tuple(int(observed[n]) for n in metrics)],
+                                           ", ".join(f"{n} long" for n in metrics))
+
+
 def check_grain_part_b(fact_b: DataFrame) -> DataFrame:
     return grain_check(fact_b, ["year", *PART_B.grain])
 
@@ -46,35 +81,32 @@ def _attr_side(raw: DataFrame, npi: str, spec: str, name: str, city: str) -> Dat
 
 
 def check_provider_attributes(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
+    """One scan of each file: a full join of their providers gives all metrics at once."""
     b = _attr_side(raw_b, "Rndrng_NPI", "Rndrng_Prvdr_Type", "Rndrng_Prvdr_Last_Org_Name",
                    "Rndrng_Prvdr_City")
     d = _attr_side(raw_d, "Prscrbr_NPI", "Prscrbr_Type", "Prscrbr_Last_Org_Name",
                    "Prscrbr_City")
 
-    def side(df, prefix):
-        return df.agg(
-            F.count(F.lit(1)).alias(f"{prefix}_providers"),
-            F.count_if("multi_specialty").alias(f"{prefix}_npis_multi_specialty"),
-            F.count_if("multi_name").alias(f"{prefix}_npis_multi_name"),
-            F.count_if("multi_city").alias(f"{prefix}_npis_multi_city"))
-
-    bo = b.select("npi", *[F.col(c).alias(f"b_{c}") for c in ("specialty", "name", "city")])
-    do = d.select("npi", *[F.col(c).alias(f"d_{c}") for c in ("specialty", "name", "city")])
-    ov = bo.join(do, "npi")
-
-    def differ(x, y):
-        return ~x.eqNullSafe(y)
-
-    overlap = ov.agg(
-        F.count(F.lit(1)).alias("overlapping_npis"),
-        F.count_if(differ(F.col("b_specialty"), F.col("d_specialty"))).alias("specialty_disagreements"),
-        F.count_if(differ(F.col("b_name"), F.col("d_name"))).alias("name_disagreements"),
-        F.count_if(differ(normalised(F.col("b_name")), normalised(F.col("d_name"))))
-         .alias("name_disagreements_normalized"),
-        F.count_if(differ(F.col("b_city"), F.col("d_city"))).alias("city_disagreements"),
-        F.count_if(differ(normalised(F.col("b_city")), normalised(F.col("d_city"))))
-         .alias("city_disagreements_normalized"))
-    out = _one_row(side(b, "part_b"), side(d, "part_d"), overlap)
+    parts = ("specialty", "name", "city")
+    b, d = (x.select("npi", F.lit(True).alias(f"{side}_in"),
+                     *[F.col(c).alias(f"{side}_{c}") for c in x.columns if c != "npi"])
+            for side, x in (("b", b), ("d", d)))
+    both = b.join(d, "npi", "full_outer")
+    met = F.col("b_in") & F.col("d_in")
+
+    def differ(part, form=lambda c: c):
+        return F.count_if(met & ~form(F.col(f"b_{part}")).eqNullSafe(form(F.col(f"d_{part}"))))
+
+    counts = {"overlapping_npis": F.count_if(met)}
+    for side, name in (("b", "part_b"), ("d", "part_d")):
+        counts[f"{name}_providers"] = F.count_if(F.col(f"{side}_in"))
+        counts |= {f"{name}_npis_multi_{p}": F.count_if(F.col(f"{side}_multi_{p}"))
+                   for p in parts}
+    for part in parts:
+        counts[f"{part}_disagreements"] = differ(part)
+        if part != "specialty":
+            counts[f"{part}_disagreements_normalized"] = differ(part, normalised)
+    out = both.agg(*[c.alias(n) for n, c in counts.items()])
     return out.select("part_b_providers", "part_d_providers", "overlapping_npis",
                       "part_b_npis_multi_specialty", "part_d_npis_multi_specialty",
                       "part_b_npis_multi_name", "part_d_npis_multi_name",
@@ -85,40 +117,33 @@ def check_provider_attributes(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
 
 
 def check_reference_dims(raw_b: DataFrame, dim_hcpcs: DataFrame, dim_drug: DataFrame,
-                         dim_geography: DataFrame, dim_ruca: DataFrame) -> DataFrame:
+                         dim_geography: DataFrame, dim_ruca: DataFrame, *,
+                         observed: dict | None = None) -> DataFrame:
+    """``observed``: metrics taken while the dimensions were written; they are not read again
+    for these."""
     pairs = raw_b.select("HCPCS_Cd", "HCPCS_Desc").distinct()
     multi = (pairs.groupBy("HCPCS_Cd").agg(F.count("HCPCS_Desc").alias("nd"))
              .agg(F.count_if(F.col("nd") > 1).alias("hcpcs_codes_multi_desc")))
+    distinct = dim_drug.agg(F.count_distinct("brand_name").alias("distinct_brands"),
+                            F.count_distinct("generic_name").alias("distinct_generics"))
     return _one_row(
-        dim_hcpcs.agg(F.count(F.lit(1)).alias("dim_hcpcs_rows")),
-        multi,
-        dim_drug.agg(F.count(F.lit(1)).alias("dim_drug_rows"),
-                     F.count_distinct("brand_name").alias("distinct_brands"),
-                     F.count_distinct("generic_name").alias("distinct_generics")),
-        dim_geography.agg(F.count(F.lit(1)).alias("dim_geography_rows"),
-                          F.count_if(F.col("category") == "state")
-                           .alias("geography_rows_labelled_state")),
-        dim_ruca.agg(F.count(F.lit(1)).alias("dim_ruca_rows")),
-    )
+        _measured(dim_hcpcs, "dim_hcpcs", observed), multi,
+        _measured(dim_drug, "dim_drug", observed), distinct,
+        _measured(dim_geography, "dim_geography", observed),
+        _measured(dim_ruca, "dim_ruca", observed))
 
 
 def check_peer_stats(peer_stats: DataFrame, fact_b: DataFrame, fact_d: DataFrame, *,
-                     min_peers: int = MIN_PEERS) -> DataFrame:
+                     min_peers: int = MIN_PEERS, observed: dict | None = None) -> DataFrame:
     """Agreement of the serving table with the fact ranks.
 
     Group mismatch is the size of the symmetric difference between the *sets* of scoreable
     fact groups and served groups (a count difference could hide swapped groups). Each fact
     is scanned once: it is pre-aggregated to its finest needed key with (rows, scored
-    rows), and every fact metric is derived from that small aggregate.
+    rows), and every fact metric is derived from that small aggregate. ``observed``: metrics
+    taken while the tables were written, which are not computed again.
     """
-    names = [p for p, _ in BREAKPOINTS]
-    ps = peer_stats.agg(
-        F.count(F.lit(1)).alias("peer_stats_rows"),
-        F.count_if(F.col("dataset") == "part_b").alias("part_b_rows"),
-        F.count_if(F.col("dataset") == "part_d").alias("part_d_rows"),
-        F.count_if(F.col("n_rows") < min_peers).alias("groups_below_min_peers"),
-        F.count_if(~monotone(*[F.col(n) for n in names])).alias("non_monotonic_breakpoints"),
-        F.count_if(F.col("n_providers") != F.col("n_rows")).alias("groups_with_repeat_providers"))
+    ps = _measured(peer_stats, "peer_stats", observed, min_peers)
 
     def mismatch(groups, spec, measure, alias):
         """groups: (year, specialty, code, place_of_service, scored) per fact group."""
@@ -141,10 +166,13 @@ def check_peer_stats(peer_stats: DataFrame, fact_b: DataFrame, fact_d: DataFrame
     gd = (gd_fine.groupBy("year", "specialty", F.col("brand_name").alias("code"))
           .agg(F.sum("scored").alias("scored"))
           .withColumn("place_of_service", F.lit(None).cast("string")))
-    fb = gb.agg(F.coalesce(F.sum(F.col("n") - F.col("scored")), F.lit(0)).cast("long")
-                .alias("part_b_unscoreable_rows"))
-    fd = gd_fine.agg(F.coalesce(F.sum(F.col("n") - F.col("scored")), F.lit(0)).cast("long")
-                     .alias("part_d_unscoreable_rows"))
+    unscored = lambda groups, name: groups.agg(F.coalesce(
+        F.sum(F.col("n") - F.col("scored")), F.lit(0)).cast("long").alias(name))
+    seen = set(observed or ())
+    fb = (_measured(fact_b, PART_B.fact, observed) if "part_b_unscoreable_rows" in seen
+          else unscored(gb, "part_b_unscoreable_rows"))
+    fd = (_measured(fact_d, PART_D.fact, observed) if "part_d_unscoreable_rows" in seen
+          else unscored(gd_fine, "part_d_unscoreable_rows"))
     gen = (gd_fine.groupBy("year", "specialty", "generic_name").agg(F.sum("n").alias("n"))
            .filter(F.col("n") < min_peers)
            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")
@@ -216,10 +244,11 @@ def standard_checks(m) -> list:
                                "specialty_disagreements")),
         CheckSpec("reference_dims",
                   check_reference_dims(m.raw_b, m.dim_hcpcs, m.dim_drug, m.dim_geography,
-                                       m.dim_ruca),
+                                       m.dim_ruca, observed=m.observed),
                   expect_zero=("hcpcs_codes_multi_desc",),
                   expect_at_most=(("geography_rows_labelled_state", 50),)),
-        CheckSpec("peer_stats", check_peer_stats(m.peer_stats, m.fact_b, m.fact_d),
+        CheckSpec("peer_stats", check_peer_stats(m.peer_stats, m.fact_b, m.fact_d,
+                                                 observed=m.observed),
                   expect_zero=("part_b_group_mismatch", "part_d_group_mismatch",
                                "groups_below_min_peers", "non_monotonic_breakpoints")),
     ]

@@ -77,6 +77,26 @@ def dim_provider(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
     return j.select(*out)
 
 
+#: Columns of Part B that its three small dimensions are made from.
+DOMAINS = {
+    "dim_hcpcs": ("HCPCS_Cd", "HCPCS_Desc", "HCPCS_Drug_Ind"),
+    "dim_geography": ("Rndrng_Prvdr_State_Abrvtn", "Rndrng_Prvdr_State_FIPS"),
+    "dim_ruca": ("Rndrng_Prvdr_RUCA", "Rndrng_Prvdr_RUCA_Desc"),
+}
+
+
+def domains(raw_b: DataFrame) -> DataFrame:
+    """The distinct rows of each of ``DOMAINS``, told apart by ``_set``, from one scan: grouping
+    sets, added up on the map side to a few thousand rows."""
+    columns = [c for cols in DOMAINS.values() for c in cols]
+    sets = [[F.col(c) for c in cols] for cols in DOMAINS.values()]
+    found = raw_b.groupingSets(sets, *columns).agg(F.grouping_id().alias("_gid"))
+    name = F.coalesce(*[F.when(F.col("_gid") == sum(
+        1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in cols), F.lit(n))
+        for n, cols in DOMAINS.items()])
+    return found.select(name.alias("_set"), *columns)
+
+
 def dim_hcpcs(raw_b: DataFrame) -> DataFrame:
     return ends_of_distinct(
         raw_b.select("HCPCS_Cd", "HCPCS_Desc", "HCPCS_Drug_Ind"), "HCPCS_Cd", "hcpcs_code",

@@ -28,6 +28,8 @@ class Model:
     hot_rows: int | None = DEFAULT_HOT_ROWS
     percentile_rows: int | None = PERCENTILE_ROWS
     extra: dict = field(default_factory=dict)
+    #: metrics by name that were taken while the tables were written
+    observed: dict | None = None
 
     @cached_property
     def hot_b(self):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.functions.columns import rounded_ratio, safe_divide
+from peerscope.operators.bitmaps import distinct_count, set_counts
 from peerscope.operators.brackets import ACCURACY, bracketed_percentiles
 from peerscope.operators.combine import metrics_row
 from peerscope.operators.percentiles import (PERCENTILE_ROWS, group_percentiles,
@@ -23,15 +24,18 @@ from peerscope.operators.reshape import unpivot_measures
 # ---------------------------------------------------------------- cardinality, nulls
 
 
-def cardinality(df: DataFrame, columns: dict[str, str], *, approx: bool = False,
+def cardinality(df: DataFrame, columns: dict[str, str], *, identifiers=(), approx: bool = False,
                 rsd: float = 0.01) -> DataFrame:
-    """Several COUNT(DISTINCT) in one scan (A4): alias -> column. Exact by default (Catalyst
-    expands the input once per distinct column); ``approx=True`` opts into HyperLogLog++
-    sketches with relative standard deviation ``rsd``, which stay one small buffer per
-    column however many values there are."""
+    """Several COUNT(DISTINCT) as one row (A4): alias -> column. Exact by default: every column
+    is a scan of that column alone, which costs columnar files no more reading than one scan of
+    all, and no row is expanded for another column's sake. Columns named in ``identifiers``
+    hold NPIs and are counted as bits (``operators.bitmaps``). ``approx=True`` opts into
+    HyperLogLog++ sketches with relative standard deviation ``rsd`` in a single scan."""
     if approx:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(a) for a, c in columns.items()])
-    return df.agg(*[F.count_distinct(c).alias(a) for a, c in columns.items()])
+    return metrics_row(*[
+        distinct_count(df, c, a) if c in identifiers
+        else df.select(c).distinct().agg(F.count(c).alias(a)) for a, c in columns.items()])
 
 
 def null_profile(df: DataFrame, columns=None) -> DataFrame:
@@ -254,20 +258,12 @@ def _npis(raw_b: DataFrame, raw_d: DataFrame):
 
 
 def provider_set_overlap(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:
-    """Distinct NPIs per file, in both, and in one file only, counted.
-
-    One full outer join of the two distinct NPI sets gives all five counts in a single
-    aggregation (two scans, one shuffle), instead of separate INTERSECT / EXCEPT plans.
-    """
-    b, d = _npis(raw_b, raw_d)
-    b = b.distinct().withColumn("_b", F.lit(True))
-    d = d.distinct().withColumn("_d", F.lit(True))
-    j = b.join(d, "npi", "full_outer")
-    return j.agg(F.count_if(F.col("_b").isNotNull()).alias("part_b_providers"),
-                 F.count_if(F.col("_d").isNotNull()).alias("part_d_prescribers"),
-                 F.count_if(F.col("_b").isNotNull() & F.col("_d").isNotNull()).alias("in_both"),
-                 F.count_if(F.col("_d").isNull()).alias("part_b_only"),
-                 F.count_if(F.col("_b").isNull()).alias("part_d_only"))
+    """Distinct NPIs per file, in both, and in one file only, counted (U2, U3), as bits: the two
+    files' sets meet bucket by bucket (``operators.bitmaps``), one scan of each file's NPIs."""
+    found = set_counts({"part_b": (raw_b, "Rndrng_NPI"), "part_d": (raw_d, "Prscrbr_NPI")})
+    return found.select(F.col("part_b").alias("part_b_providers"),
+                        F.col("part_d").alias("part_d_prescribers"),
+                        F.col("both").alias("in_both"), "part_b_only", "part_d_only")
 
 
 def providers_in_both(raw_b: DataFrame, raw_d: DataFrame) -> DataFrame:

@@ -227,7 +227,8 @@ def provider_vs_median(fact: DataFrame, peer_stats: DataFrame, dataset: str, mea
         m.expr().alias("value"), F.col(m.rank_col).alias("rank"))
     s = (peer_stats.filter((F.col("dataset") == dataset) & (F.col("measure") == measure))
          .select("year", "specialty", "code", "place_of_service", "p50"))
-    # the medians are groups, the facts rows of groups of any size: the rows are salted
+    # the medians are groups, the facts rows of groups of any size: large ones are dealt over
+    # copies of their median
     j = join_salted(f, s, ["year", "specialty", "code", "place_of_service"], F.col("npi"))
     return j.withColumn("ratio_to_median", safe_divide(F.col("value"), F.col("p50")))
 

@@ -292,7 +292,7 @@ def q_cardinality(spark, sf):
         "providers": "Rndrng_NPI", "specialties": "Rndrng_Prvdr_Type",
         "hcpcs_codes": "HCPCS_Cd", "states": "Rndrng_Prvdr_State_Abrvtn",
         "ruca_codes": "Rndrng_Prvdr_RUCA", "places_of_service": "Place_Of_Srvc",
-        "entity_types": "Rndrng_Prvdr_Ent_Cd"})
+        "entity_types": "Rndrng_Prvdr_Ent_Cd"}, identifiers=("Rndrng_NPI",))
 
 
 def q_null_profile(spark, sf):

@@ -7,7 +7,7 @@ and the ``year=`` directory prunes whole years.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Row groups small enough that one peer group spans a few of them, large enough to keep
@@ -17,12 +17,17 @@ DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
 
 def write_sorted(df: DataFrame, path: str, sort_keys, *, partition_by=("year",),
                  num_files: int | None = None, block_bytes: int = DEFAULT_BLOCK_BYTES,
-                 mode: str = "overwrite", prepartitioned: bool = False) -> None:
+                 mode: str = "overwrite", prepartitioned: bool = False,
+                 metrics: dict[str, Column] | None = None) -> dict[str, int]:
     """Range-partition on (partition cols, sort keys), sort within partitions and write
     zstd Parquet under ``<path>/year=<y>/``.
 
     Each output file holds one key range, so files and row groups have tight, disjoint
     min/max statistics. Overwrite is dynamic: rewriting one year keeps the others.
+
+    ``metrics``, counts by name, are taken of the rows as they are written and returned, so
+    that no one has to read the table again for them. They stand behind the last exchange, in
+    the writing tasks, where a task that is run again counts once.
     """
     keys = [*partition_by, *sort_keys]
     spark = df.sparkSession
@@ -32,6 +37,9 @@ def write_sorted(df: DataFrame, path: str, sort_keys, *, partition_by=("year",),
     else:
         n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
         out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    seen = Observation() if metrics else None
+    if seen is not None:
+        out = out.observe(seen, *[c.alias(name) for name, c in metrics.items()])
     w = (out.write.mode(mode)
          .option("compression", "zstd")
          .option("parquet.block.size", str(block_bytes))
@@ -39,6 +47,8 @@ def write_sorted(df: DataFrame, path: str, sort_keys, *, partition_by=("year",),
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    # nothing is observed of an empty table
+    return {} if seen is None else {name: seen.get.get(name) or 0 for name in metrics}
 
 
 def write_unsorted(df: DataFrame, path: str, *, partition_by=("year",), seed: int = 7,

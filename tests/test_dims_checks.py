@@ -1,6 +1,7 @@
 """Dimensions and build checks on hand-made raw rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from peerscope.operators.grain import grain_check
 from peerscope.plans import checks as C
@@ -108,3 +109,60 @@ def test_run_checks_status_and_assert(spark):
                    ("b", "duplicate_keys"): "FAIL", ("b", "states"): "FAIL"}
     with pytest.raises(AssertionError):
         C.assert_checks(res)
+
+
+def test_metrics_observed_while_writing_equal_those_of_a_scan(spark, tmp_path):
+    from dataclasses import replace
+
+    from peerscope.plans.build import build
+    from peerscope.plans.checks import run_checks, standard_checks, written_metrics
+    from peerscope.plans.model import Model, fixture_model
+
+    m = fixture_model(spark, "/root/testdata/sf0.001")
+    res = build(spark, m.raw_b, m.raw_d, str(tmp_path), fact_files=2, run_checks=False)
+    names = [n for t in res.tables for n in written_metrics(t)]
+    assert set(names) == set(res.observed) and res.observed["peer_stats_rows"] > 0
+    model = Model(res.raw_b, res.raw_d)
+    model.__dict__.update(fact_b=res.tables["fact_part_b_service"],
+                          fact_d=res.tables["fact_part_d_drug"],
+                          **{k: v for k, v in res.tables.items() if not k.startswith("fact")})
+    scanned = standard_checks(model)
+    seen = replace(model, observed=res.observed)
+    seen.__dict__.update({k: v for k, v in model.__dict__.items() if k not in seen.__dict__})
+    observed = standard_checks(seen)
+    assert sorted(run_checks(scanned).collect()) == sorted(run_checks(observed).collect())
+
+    def scans(spec):
+        plan = spec.frame._jdf.queryExecution().executedPlan().toString()
+        return plan.split("== Initial Plan")[0].count("FileScan")
+    fewer = {a.name: (scans(a), scans(b)) for a, b in zip(scanned, observed)}
+    assert fewer["reference_dims"][1] < fewer["reference_dims"][0]
+    assert fewer["peer_stats"][1] < fewer["peer_stats"][0]
+    assert fewer["provider_attributes"] == (2, 2)
+
+
+def test_small_dimensions_from_one_scan(spark):
+    from peerscope.plans import dims
+    from peerscope.plans.model import fixture_model
+
+    m = fixture_model(spark, "/root/testdata/sf0.001")
+    found = dims.domains(m.raw_b)
+    of = {n: found.filter(F.col("_set") == n) for n in dims.DOMAINS}
+    for name, make in (("dim_hcpcs", dims.dim_hcpcs), ("dim_ruca", dims.dim_ruca),
+                       ("dim_geography", lambda b: dims.dim_geography(b, m.raw_d))):
+        assert sorted(make(of[name]).collect(), key=repr) == sorted(
+            make(m.raw_b).collect(), key=repr)
+
+
+def test_write_without_rows_observes_zero(spark, tmp_path):
+    from peerscope.sources.parquet import write_sorted
+    df = spark.createDataFrame([], "k long, year int")
+    for files in (1, 3):
+        got = write_sorted(df, f"{tmp_path}/t{files}", ["k"], num_files=files,
+                           metrics={"rows": F.count(F.lit(1)), "nulls": F.count_if(
+                               F.col("k").isNull())})
+        assert got == {"rows": 0, "nulls": 0}
+    one = spark.createDataFrame([(1, 5), (None, 5), (2, 6)], "k long, year int")
+    assert write_sorted(one, f"{tmp_path}/u", ["k"], num_files=2, metrics={
+        "rows": F.count(F.lit(1)), "nulls": F.count_if(F.col("k").isNull())}) == {
+            "rows": 3, "nulls": 1}

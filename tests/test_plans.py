@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peerscope.operators.rank import peer_size
-from peerscope.plans import dims, facts, serve
+from peerscope.plans import dims, facts, profile, serve
 from peerscope.plans.build import build
 from peerscope.plans.model import fixture_model
 from peerscope.schema import PART_B
@@ -175,3 +175,53 @@ def test_groups_of_any_size_are_spread(spark):
         assert "BroadcastHashJoin" in plan  # the few hot groups, by a proven bound
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_key_with_half_the_rows_is_dealt_by_its_count(spark):
+    from peerscope.operators.joins import join_salted, replication
+    rows = spark.range(64_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN NULL ELSE id % 400 END AS k", "id")
+    groups = spark.range(400).selectExpr("id AS k", "id * 10 AS v").union(
+        spark.sql("SELECT CAST(NULL AS BIGINT), -1L"))
+    hot, bound = replication(rows, ["k"], 16)
+    factors = {r.k: r._factor for r in hot.collect()}
+    assert factors == {None: 64} and bound == 128
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = join_salted(rows, groups, ["k"], F.col("id"))
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 64_000 and max(tasks) <= 2 * 64_000 / 16
+        bad = out.filter(~F.coalesce(F.col("v") == F.col("k") * 10, F.col("v") == -1))
+        assert bad.isEmpty() and "_factor" not in out.columns
+        some = join_salted(rows, groups.filter("k > 5"), ["k"], F.col("id"), "left")
+        assert some.count() == 64_000
+        assert join_salted(rows.filter("false"), groups, ["k"], F.col("id")).isEmpty()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_identifiers_are_counted_as_bits(spark):
+    from peerscope.operators.bitmaps import distinct_count, set_counts
+    npi = [f"{1_000_000_000 + 7919 * i:010d}" for i in range(5000)]
+    a = npi[:4000] + npi[:100] + ["", "12", "A123456789", "12345678901", None, "0000000001"]
+    b = npi[3000:] + ["12", "B", None, "9999999999"]
+    left = spark.createDataFrame([(x,) for x in a], "npi string").repartition(5)
+    right = spark.createDataFrame([(x,) for x in b], "id string")
+    x, y = set(a) - {None}, set(b) - {None}
+    found = distinct_count(left, "npi", "n")
+    assert found.first().n == len(x) and "Expand" not in _plan(found)
+    got = set_counts({"a": (left, "npi"), "b": (right, "id")}).first().asDict()
+    assert got == {"a": len(x), "b": len(y), "both": len(x & y), "a_only": len(x - y),
+                   "b_only": len(y - x)}
+    none = set_counts({"a": (left.filter("false"), "npi"), "b": (right, "id")}).first()
+    assert (none.a, none.b, none.both, none.a_only) == (0, len(y), 0, 0)
+    m = fixture_model(spark, SF)
+    plan = _plan(profile.cardinality(m.raw_b, {"n": "Rndrng_NPI", "s": "HCPCS_Cd"},
+                                     identifiers=("Rndrng_NPI",)))
+    assert "Expand" not in plan and "bitmap_construct_agg" in plan
