@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peerscope.operators.combine import unpruned
 from peerscope.operators.joins import broadcast_if_small, join_null_safe
 
 #: Relative rank error of the sketch is 1 / ACCURACY.
@@ -75,9 +76,7 @@ def bracketed_percentiles(df: DataFrame, keys, value: Column, probs, *,
     names = [f"_e{i}" for i in range(2 * len(ends))]
     found = [c for lo, hi in ends for c in (end(lo, "_min"), end(hi, "_max"))]
     stats = stats.withColumns(dict(zip(names, found))).drop("_at")
-    # read twice below, in different columns; as one generated row neither reading prunes the
-    # aggregate, so that both share its first scan
-    stats = stats.select(F.inline(F.array(F.struct(*[F.col(c) for c in stats.columns]))))
+    stats = unpruned(stats)  # read twice below, from one scan
     cuts = broadcast_if_small(stats.select(*keys, *names), group_bound,
                               row_bytes=64 + 8 * len(names))
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(F.col(lo), F.col(hi))

@@ -23,3 +23,10 @@ def metrics_row(*frames: DataFrame) -> DataFrame:
         for c in f.columns])).alias("kv")).select("kv.*") for f in frames]
     u = reduce(lambda a, b: a.unionByName(b), longs)
     return u.groupBy().pivot("metric", names).agg(F.first("value")).select(*names)
+
+
+def unpruned(df: DataFrame) -> DataFrame:
+    """``df`` for readers of different columns that should share what stands below: its rows are
+    generated whole, so that no reader prunes the plan to columns of its own, which would keep
+    their exchanges from being reused. For frames of few rows."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

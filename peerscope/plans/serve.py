@@ -1,9 +1,8 @@
 """Serving queries: what the interactive screen asks, as lazy DataFrames.
 
 Distribution questions read only ``peer_stats``; provider questions read a filtered slice
-of a fact (the sorted layout turns the filter into a few row groups) and join the provider
-dimension *after* the top-k, so the join's left side is bounded by ``limit`` rows and is
-broadcast. The state filter narrows the list, never the comparison set: ranks were fixed
+of a fact (the sorted layout turns the filter into a few row groups) and ask the provider
+dimension for the top-k's providers only, by value. The state filter narrows the list, never the comparison set: ranks were fixed
 at build time over the whole peer group.
 """
 
@@ -134,12 +133,30 @@ def _with_provider(top: DataFrame, dim_provider: DataFrame, cols,
     return dim_provider.select(*on, *cols).join(broadcast_if_small(top, bound), on)
 
 
+#: Providers of a list that are asked for by value; those of a longer list are joined.
+LOOKUP_KEYS = 1000
+
+
+def _looked_up(top: DataFrame, dim_provider: DataFrame, cols, limit: int) -> DataFrame:
+    """Providers of a list of at most ``limit`` rows, in two phases: the list is taken first,
+    and its npis (and years) then reach the npi-sorted dimension as a pushed ``IN``, so that
+    only row groups that can hold them are read."""
+    if limit > LOOKUP_KEYS:
+        return _with_provider(top, dim_provider, cols, limit)
+    rows = top.collect()
+    wanted = F.col("npi").isin(sorted({r.npi for r in rows if r.npi is not None}))
+    if "year" in dim_provider.columns:
+        wanted &= F.col("year").isin(sorted({r.year for r in rows}))
+    known = top.sparkSession.createDataFrame(rows, top.schema)
+    return _with_provider(known, dim_provider.filter(wanted), cols, limit)
+
+
 def candidates(fact: DataFrame, dim_provider: DataFrame, group: PeerGroup, measure: str,
                state: str | None = None, limit: int = 200) -> DataFrame:
     """Providers of the group, highest value first, with npi (Q6)."""
     top = (_slice(fact, group, measure, state)
            .orderBy(F.desc("value"), "npi").limit(int(limit)))
-    j = _with_provider(top, dim_provider, ["last_or_org_name", "first_name", "city"], limit)
+    j = _looked_up(top, dim_provider, ["last_or_org_name", "first_name", "city"], int(limit))
     return j.select("npi", F.col("last_or_org_name").alias("provider"), "first_name", "city",
                     "state", "value", "percentile").orderBy(F.desc("value"), "npi")
 

@@ -99,3 +99,20 @@ def test_build_invariants(model):
               for r in ps.filter((F.col("dataset") == "part_b")
                                  & (F.col("measure") == "tot_srvcs")).collect()}
     assert scored == served and len(served) > 0
+
+
+def test_a_list_asks_the_dimension_by_value(spark, model, tmp_path):
+    from peerscope.sources.parquet import write_sorted
+    write_sorted(model.dim_provider.withColumn("year", F.lit(2023)), f"{tmp_path}/dim", ["npi"],
+                 num_files=1)
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    top = serve.candidates(model.fact_b, dim, GB, "tot_srvcs", limit=5)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x)
+    assert "In(npi, [" in scan.split("PushedFilters")[1] and "year" in scan.split(
+        "PartitionFilters")[1].split("PushedFilters")[0]
+    joined = serve.candidates(model.fact_b, model.dim_provider, GB, "tot_srvcs", limit=2000)
+    assert top.collect() == joined.collect()[:5]
+    nobody = serve.PeerGroup("part_b", "none", "none", "O", 2023)
+    assert serve.candidates(model.fact_b, dim, nobody, "tot_srvcs").collect() == []
