@@ -133,11 +133,11 @@ raw_d AS (
     JOIN nation n   ON c.c_nationkey = n.n_nationkey
 )"""
 
-# provider rows of the two files: customers with an order of status F, and of status P
+# provider rows of the two files: every order, by its customer in one file or in both
 SIDES = tuple(f"""
 {name} AS (SELECT {columns} FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-           JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderstatus = '{status}')"""
-              for name, columns, status in (("raw_b", PROVIDER_B, "F"), ("raw_d", PROVIDER_D, "P")))
+           JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_custkey % 3 <> {left_out})"""
+              for name, columns, left_out in (("raw_b", PROVIDER_B, 0), ("raw_d", PROVIDER_D, 1)))
 
 PEER_B = "PARTITION BY year, specialty, hcpcs_code, place_of_service"
 PEER_D = "PARTITION BY year, specialty, brand_name"
@@ -565,6 +565,24 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatu
 FROM k"""
 
 
+
+# One row for each provider of either file: in which file it is, and the specialties it has there.
+LISTED = """
+listed AS (SELECT npi, bool_or(file = 'b') AS in_b, bool_or(file = 'd') AS in_d,
+                  coalesce(list(DISTINCT specialty) FILTER (file = 'b'), []) AS in_b_as,
+                  coalesce(list(DISTINCT specialty) FILTER (file = 'd'), []) AS in_d_as
+           FROM (SELECT 'b' AS file, Rndrng_NPI AS npi, Rndrng_Prvdr_Type AS specialty FROM raw_b
+                 UNION ALL SELECT 'd', Prscrbr_NPI, Prscrbr_Type FROM raw_d) GROUP BY npi)"""
+
+
+def _largest(dataset: str, specialty: str) -> str:
+    """The codes of a specialty with the provider count of their largest measure."""
+    return f"""
+largest AS (SELECT code, place_of_service AS pos, max(n_providers) AS n_providers
+            FROM peer_stats WHERE dataset = '{dataset}' AND specialty = '{specialty}'
+            GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict:
     from peerscope.schema import PART_D_COLUMNS
 
@@ -615,19 +633,13 @@ FROM (SELECT count(*) AS n FROM fact_d GROUP BY year, specialty, generic_name
         # serving
         "specialties": q(*BUILD, body=(
             "SELECT DISTINCT specialty FROM peer_stats WHERE dataset = 'part_b' ORDER BY 1")),
-        "codes": q(*A, body="""
-SELECT p.code, p.place_of_service AS pos, h.hcpcs_desc AS label, max(p.n_providers) AS n_providers
-FROM peer_stats p LEFT JOIN dim_hcpcs h ON h.hcpcs_code = p.code
-WHERE p.dataset = 'part_b' AND p.specialty = 'NATION_7'
-GROUP BY p.code, p.place_of_service, h.hcpcs_desc
-ORDER BY n_providers DESC, p.code, pos NULLS FIRST"""),
-        "codes_drug": q(*A, body="""
-SELECT p.code, CAST(NULL AS VARCHAR) AS pos,
-       string_agg(DISTINCT d.generic_name, ', ' ORDER BY d.generic_name) AS label,
-       max(p.n_providers) AS n_providers
-FROM peer_stats p LEFT JOIN dim_drug d ON d.brand_name = p.code
-WHERE p.dataset = 'part_d' AND p.specialty = 'HOUSEHOLD'
-GROUP BY p.code ORDER BY n_providers DESC, p.code"""),
+        "codes": q(*A, _largest("part_b", "NATION_7"), body="""
+SELECT code, pos, hcpcs_desc AS label, n_providers
+FROM largest LEFT JOIN (SELECT hcpcs_code AS code, hcpcs_desc FROM dim_hcpcs) USING (code)"""),
+        "codes_drug": q(*A, _largest("part_d", "HOUSEHOLD"), """
+names AS (SELECT brand_name AS code, array_to_string(list_sort(list(generic_name)), ', ') AS label
+          FROM dim_drug WHERE generic_name IS NOT NULL GROUP BY brand_name)""", body="""
+SELECT code, pos, label, n_providers FROM largest LEFT JOIN names USING (code)"""),
         "codes_unlabelled": q(*BUILD, body="""
 SELECT code, place_of_service AS pos, code AS label, max(n_providers) AS n_providers
 FROM peer_stats WHERE dataset = 'part_b' AND specialty = 'NATION_7'
@@ -760,18 +772,16 @@ FROM (SELECT CASE WHEN grouping(Brnd_Name) = 1 THEN 'specialty + generic'
       FROM raw_d GROUP BY GROUPING SETS ((Prscrbr_Type, Gnrc_Name), (Prscrbr_Type, Brnd_Name)))
 WHERE n >= 30 AND ends[1] > 0 GROUP BY key_def ORDER BY key_def"""),
         "fanout_profile": q(RAW_D, body=f"""
-SELECT count(*) AS parents, count(*) FILTER (WHERE k = 1) AS with_one,
-       {rr('sum(k)', 'count(*)', 2)} AS mean_children,
-       quantile_cont(k, 0.5) AS p50_children, quantile_cont(k, 0.9) AS p90_children,
-       max(k) AS max_children
-FROM (SELECT Gnrc_Name, count(DISTINCT Brnd_Name) AS k FROM raw_d GROUP BY 1)"""),
-        "provider_set_overlap": q(*SIDES, """
-nb AS (SELECT DISTINCT Rndrng_NPI AS npi FROM raw_b),
-nd AS (SELECT DISTINCT Prscrbr_NPI AS npi FROM raw_d)""", body="""
-SELECT (SELECT count(*) FROM nb) AS part_b_providers, (SELECT count(*) FROM nd) AS part_d_prescribers,
-       (SELECT count(*) FROM (SELECT npi FROM nb INTERSECT SELECT npi FROM nd)) AS in_both,
-       (SELECT count(*) FROM (SELECT npi FROM nb EXCEPT SELECT npi FROM nd)) AS part_b_only,
-       (SELECT count(*) FROM (SELECT npi FROM nd EXCEPT SELECT npi FROM nb)) AS part_d_only"""),
+SELECT len(ks) AS parents, len(list_filter(ks, lambda k: k = 1)) AS with_one,
+       {rr('list_sum(ks)', 'len(ks)', 2)} AS mean_children,
+       list_aggregate(ks, 'quantile_cont', 0.5) AS p50_children,
+       list_aggregate(ks, 'quantile_cont', 0.9) AS p90_children, list_max(ks) AS max_children
+FROM (SELECT list(k) AS ks FROM (SELECT count(Brnd_Name) AS k FROM (
+        SELECT DISTINCT Gnrc_Name, Brnd_Name FROM raw_d) GROUP BY Gnrc_Name))"""),
+        "provider_set_overlap": q(*SIDES, LISTED, body="""
+SELECT count_if(in_b) AS part_b_providers, count_if(in_d) AS part_d_prescribers,
+       count_if(in_b AND in_d) AS in_both, count_if(NOT in_d) AS part_b_only,
+       count_if(NOT in_b) AS part_d_only FROM listed"""),
         "providers_in_both": q(*SIDES, body=(
             "SELECT Rndrng_NPI AS npi FROM raw_b INTERSECT SELECT Prscrbr_NPI AS npi FROM raw_d")),
         "providers_b_only": q(*SIDES, body=(
@@ -782,25 +792,25 @@ SELECT (SELECT count(*) FROM nb) AS part_b_providers, (SELECT count(*) FROM nd)
 SELECT npi, specialty_b, specialty_d
 FROM (SELECT DISTINCT Rndrng_NPI AS npi, Rndrng_Prvdr_Type AS specialty_b FROM raw_b)
 JOIN (SELECT DISTINCT Prscrbr_NPI AS npi, Prscrbr_Type AS specialty_d FROM raw_d) USING (npi)"""),
-        "multi_specialty": q(RAW_B, RAW_D, body="""
-SELECT 'part_b' AS dataset, count(*) AS providers, count(*) FILTER (WHERE k > 1) AS with_multiple_specialties,
-       max(k) AS max_specialties
-FROM (SELECT Rndrng_NPI, count(DISTINCT Rndrng_Prvdr_Type) AS k FROM raw_b GROUP BY 1)
-UNION ALL
-SELECT 'part_d', count(*), count(*) FILTER (WHERE k > 1), max(k)
-FROM (SELECT Prscrbr_NPI, count(DISTINCT Prscrbr_Type) AS k FROM raw_d GROUP BY 1)"""),
-        "specialty_agreement": q(*SIDES, body=f"""
-SELECT count(*) AS npi_specialty_pairs,
-       count(*) FILTER (WHERE specialty_b = specialty_d) AS exact_string_match,
-       {rr('100 * count(*) FILTER (WHERE specialty_b = specialty_d)', 'count(*)', 1)} AS pct_match
-FROM (SELECT DISTINCT Rndrng_NPI AS npi, Rndrng_Prvdr_Type AS specialty_b FROM raw_b)
-JOIN (SELECT DISTINCT Prscrbr_NPI AS npi, Prscrbr_Type AS specialty_d FROM raw_d) USING (npi)"""),
-        "specialty_mismatches": q(*SIDES, body="""
+        "multi_specialty": q(RAW_B, RAW_D, LISTED, body="""
+SELECT dataset, sum(n)::BIGINT AS providers,
+       coalesce(sum(n) FILTER (held > 1), 0)::BIGINT AS with_multiple_specialties,
+       max(held) AS max_specialties
+FROM (SELECT dataset, held, count(*) AS n FROM (
+        SELECT 'part_b' AS dataset, len(in_b_as) AS held FROM listed WHERE in_b
+        UNION ALL SELECT 'part_d', len(in_d_as) FROM listed WHERE in_d) GROUP BY dataset, held)
+GROUP BY dataset"""),
+        "specialty_agreement": q(*SIDES, LISTED, body=f"""
+SELECT pairs AS npi_specialty_pairs, same AS exact_string_match,
+       {rr('100 * same', 'pairs', 1)} AS pct_match
+FROM (SELECT sum(len(in_b_as) * len(in_d_as))::BIGINT AS pairs,
+             sum(len(list_intersect(in_b_as, in_d_as)))::BIGINT AS same
+      FROM listed WHERE in_b AND in_d)"""),
+        "specialty_mismatches": q(*SIDES, LISTED, body="""
 SELECT specialty_b, specialty_d, count(*) AS n_providers
-FROM (SELECT DISTINCT Rndrng_NPI AS npi, Rndrng_Prvdr_Type AS specialty_b FROM raw_b)
-JOIN (SELECT DISTINCT Prscrbr_NPI AS npi, Prscrbr_Type AS specialty_d FROM raw_d) USING (npi)
-WHERE specialty_b <> specialty_d
-GROUP BY 1, 2 ORDER BY n_providers DESC, specialty_b, specialty_d LIMIT 30"""),
+FROM (SELECT specialty_b, unnest(list_filter(in_d_as, lambda s: s <> specialty_b)) AS specialty_d
+      FROM (SELECT unnest(in_b_as) AS specialty_b, in_d_as FROM listed WHERE in_b AND in_d))
+GROUP BY ALL ORDER BY n_providers DESC, specialty_b, specialty_d LIMIT 30"""),
         "entity_split": q(*SIDES, body=f"""
 SELECT entity, count(*) AS part_b_providers, count(*) FILTER (NOT in_d) AS part_b_only,
        {rr('100 * count(*) FILTER (NOT in_d)', 'count(*)', 1)} AS pct_not_in_part_d,
