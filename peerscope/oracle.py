@@ -593,6 +593,7 @@ def oracle_sql() -> dict:
         "fact_part_b_service": q(RAW_B, FACT_B, body="SELECT * FROM fact_b"),
         "fact_part_d_drug": q(RAW_D, FACT_D, body="SELECT * FROM fact_d"),
         "peer_stats": q(*BUILD, body=f"SELECT {PS_ROUNDED} FROM peer_stats"),
+        "peer_stats_updated": q(*BUILD, body=f"SELECT {PS_ROUNDED} FROM peer_stats"),
         "peer_stats_hot": q(*BUILD, body=f"SELECT {PS_ROUNDED} FROM peer_stats"),
         "peer_rank": _lineitem_rank_sql(),
         "peer_rank_hot": _lineitem_rank_sql(),

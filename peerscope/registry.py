@@ -15,10 +15,11 @@ from peerscope.fixtures import load_tables, provider_sides
 from peerscope.operators.grain import grain_check, unscoreable_rows
 from peerscope.operators.rank import peer_rank, peer_size
 from peerscope.operators.reshape import unpivot_measures
-from peerscope.plans import checks, dims, profile, serve
+from peerscope.plans import checks, dims, profile, serve, state
 from peerscope.plans.facts import PART_B_RENAMES, project_rename
 from peerscope.plans.model import fixture_model
 from peerscope.schema import BREAKPOINTS, PART_B, PART_D
+from peerscope.session import scratch_path
 
 # The served peer groups and provider used by the serving queries.
 GROUP_B = serve.PeerGroup("part_b", "NATION_7", "Brand#13", "O", 2023)
@@ -57,7 +58,7 @@ def q_peer_stats(spark, sf):
 
 
 def q_peer_stats_hot(spark, sf):
-    """peer_stats with every group above 40 rows sent through the distributed CDF path."""
+    """peer_stats with every group above 40 rows sent through bracketed selection."""
     m = _m(spark, sf)
     from peerscope.plans.stats import peer_stats
     return _r6(peer_stats(m.fact_b, m.fact_d, hot_rows=40))
@@ -194,6 +195,23 @@ def q_codes(spark, sf):
     return serve.codes(m.peer_stats, "part_b", GROUP_B.specialty, m.dim_hcpcs)
 
 
+def q_peer_stats_updated(spark, sf):
+    """Both datasets' serving rows, brought from a faulty version of the facts (values that are
+    too high, rows that are missing, rows twice) to the right one by their difference."""
+    m, base, parts = _m(spark, sf), scratch_path(spark, "peer_state"), []
+    for spec, fact, measure in ((PART_B, m.fact_b, "tot_srvcs"), (PART_D, m.fact_d, "tot_claims")):
+        fact.write.parquet(f"{base}/{spec.fact}")
+        fact = spark.read.parquet(f"{base}/{spec.fact}")
+        mark = F.pmod(F.xxhash64("npi", spec.code_col), F.lit(50))
+        faulty = fact.filter(mark != 0).withColumn(measure, F.when(
+            mark == 1, F.col(measure) + 1).otherwise(F.col(measure)))
+        faulty = faulty.union(faulty.filter(mark == 2))
+        state.write_state(faulty, spec, f"{base}/{spec.name}", buckets=4)
+        state.update_state(faulty, fact, spec, f"{base}/{spec.name}", buckets=4)
+        parts.append(state.read_stats(spark, spec, f"{base}/{spec.name}"))
+    return _r6(parts[0].unionByName(parts[1]))
+
+
 def q_codes_drug(spark, sf):
     m = _m(spark, sf)
     return serve.codes(m.peer_stats, "part_d", GROUP_D.specialty, m.dim_drug)

@@ -169,3 +169,53 @@ def test_peer_stats_hot_path_equal(spark):
         assert key(x) == key(y) and x.n_rows == y.n_rows and x.n_providers == y.n_providers
         for name, _ in PROBS:
             assert x[name] == pytest.approx(y[name], rel=1e-12)
+
+
+def _files(path):
+    import os
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_state_follows_a_corrected_file(spark, tmp_path):
+    """Changed, added, removed and repeated rows, a group that goes and one that comes: the
+    state equals one made anew, only touched groups are computed, other files stay."""
+    from peerscope.plans import state
+    from peerscope.plans.stats import dataset_stats
+    from peerscope.schema import PART_D
+    rnd = np.random.default_rng(4)
+    rows = [(2023, f"{i % 60:010d}", f"S{i % 7}", f"B{i % 5}", f"G{i % 11}",
+             int(rnd.integers(1, 50)) if i % 9 else None, float(rnd.integers(1, 900)) / 4)
+            for i in range(2500)] + [(2022, "0000000001", "S0", "B0", "G0", 5, 7.0)] * 40
+    gone = [(2023, f"{i:010d}", "gone", "B", "G", 3, 4.0) for i in range(35)]
+    come = [(2023, f"{i:010d}", "come", "B", "G", i, float(i)) for i in range(35)]
+    changed = [(*r[:5], (r[5] or 0) + 1, r[6]) if r[2] == "S3" and i % 3 == 0 else r
+               for i, r in enumerate(rows)]
+    new = changed[:-3] + come + [changed[1]] * 2
+    old, new = _fact_d(spark, rows + gone), _fact_d(spark, new)
+    base = str(tmp_path)
+    state.write_state(old, PART_D, base, buckets=8)
+
+    def served():
+        return sorted(map(repr, state.read_stats(spark, PART_D, base, min_peers=30).select(
+            "year", "specialty", "code", "measure", "n_providers", "n_rows",
+            *[F.round(p, 9).alias(p) for p, _ in PROBS]).collect()))
+
+    def whole(fact):
+        return sorted(map(repr, dataset_stats(fact, PART_D, min_peers=30).select(
+            "year", "specialty", "code", "measure", "n_providers", "n_rows",
+            *[F.round(p, 9).alias(p) for p, _ in PROBS]).collect()))
+
+    assert served() == whole(old)
+    before = _files(base)
+    assert state.update_state(old, old, PART_D, base, buckets=8).isEmpty()
+    assert _files(base) == before
+    touched = {(r.year, r.specialty) for r in state.update_state(
+        old, new, PART_D, base, buckets=8).collect()}
+    assert {s for _, s in touched} >= {"S3", "gone", "come"} and (2023, "S5") not in touched
+    assert served() == whole(new)
+    after = _files(base)
+    assert set(before) & set(after) and set(before) - set(after)
+    # back again, over the zeros of the group that had gone
+    state.update_state(new, old, PART_D, base, buckets=8)
+    assert served() == whole(old)
