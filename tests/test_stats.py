@@ -219,3 +219,26 @@ def test_state_follows_a_corrected_file(spark, tmp_path):
     # back again, over the zeros of the group that had gone
     state.update_state(new, old, PART_D, base, buckets=8)
     assert served() == whole(old)
+
+
+def test_a_lookup_opens_one_directory(spark, tmp_path):
+    from peerscope.plans import serve, state
+    from peerscope.plans.model import fixture_model
+    from peerscope.schema import PART_B, PART_D
+    m = fixture_model(spark, "/root/testdata/sf0.001")
+    for spec, fact in ((PART_B, m.fact_b), (PART_D, m.fact_d)):
+        base = f"{tmp_path}/{spec.name}"
+        state.write_state(fact, spec, base)
+        rows = state.read_stats(spark, spec, base, min_peers=5).limit(5).collect()
+        for r in rows:
+            group = serve.PeerGroup(spec.name, r.specialty, r.code, r.place_of_service, r.year)
+            one = state.lookup(spark, spec, base, group, r.measure, min_peers=5)
+            assert tuple(one.collect()[0])[:2] == (r.n_providers, r.n_rows)
+            assert len(one.collect()) == 1 and one.first().p50 == r.p50
+            assert len({f.rsplit("/", 2)[1] for f in one.inputFiles()}) >= 1
+            scan = one._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters" in scan and "bucket" in scan.split("PartitionFilters")[1]
+            found = one.select(F.input_file_name()).distinct().collect()
+            assert len(found) == 1
+            metrics = one._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
+            assert metrics.get("numPartitions").get().value() <= 1
