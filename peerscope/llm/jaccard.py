@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.llm.components import components
-from peerscope.llm.rtree import PackedTree, count_vector, need
+from peerscope.llm.rtree import (TABLE_BITS, PackedTree, bits_of, count_vector, folded, need,
+                                 packed)
 from peerscope.llm.session import materialised, release
 from peerscope.llm.words import mix64, numbered, texts_of
 
@@ -37,6 +38,8 @@ from peerscope.llm.words import mix64, numbered, texts_of
 SMALL_BLOCK, SEARCH_ROWS = 32, 4096
 #: Documents and shingles of a tile, about.
 TILE_ROWS, TILE_SHINGLES = 128, 1 << 19
+#: Digests of texts (16 bytes each) that are broadcast at most; more are joined by a shuffle.
+BROADCAST_KEYS = 1 << 20
 #: Growth of the size classes; at least 100 / percent.
 CLASS_GROWTH = 1.5
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -163,7 +166,7 @@ def _describe(words_each: int):
             for s in shingle_sets(group, words_each):
                 kid.append(class_id(s))
                 n.append(len(s))
-                counts.append(count_vector(s).tobytes())
+                counts.append(packed(s))
         return pa.StructArray.from_arrays(
             [pa.array(kid, pa.int64()), pa.array(n, pa.int64()), pa.array(counts, pa.binary())],
             names=["kid", "n", "counts"])
@@ -253,13 +256,18 @@ def _blocks(batches):
 
 def _within_bound(percent: int):
     @F.arrow_udf("boolean")
-    def within(a: pa.Array, b: pa.Array) -> pa.Array:
-        if not len(a):
-            return pa.array([], pa.bool_())
-        x = np.frombuffer(b"".join(a.to_pylist()), np.uint32).reshape(len(a), -1).astype(np.int64)
-        y = np.frombuffer(b"".join(b.to_pylist()), np.uint32).reshape(len(b), -1).astype(np.int64)
-        wanted = need(x.sum(axis=1), y.sum(axis=1), percent)
-        return pa.array(np.minimum(x, y).sum(axis=1) >= wanted)
+    def within(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+        out = np.zeros(len(a), bool)
+        sizes = n_a.to_numpy(), n_b.to_numpy()
+        wanted = need(*sizes, percent)
+        bits = np.minimum(bits_of(sizes[0]), bits_of(sizes[1]))
+        for k in np.unique(bits).tolist():
+            every, step = np.flatnonzero(bits == k), max(1, (1 << 21) >> k)
+            for at in (every[s:s + step] for s in range(0, len(every), step)):
+                x, y = (folded(v.take(pa.array(at)).to_pylist(), n[at], k)
+                        for v, n in zip((a, b), sizes))
+                out[at] = np.minimum(x, y).sum(axis=1) >= wanted[at]
+        return pa.array(out)
     return within
 
 
@@ -269,8 +277,7 @@ def _forest(percent: int):
     def search(table: pa.Table) -> pa.Table:
         table = table.sort_by("n")
         kid, n = table["kid"].to_numpy(), table["n"].to_numpy()
-        points = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
-        points = points.reshape(len(kid), -1).astype(np.int32)
+        points = folded(table["counts"].to_pylist(), n, min(TABLE_BITS, int(bits_of(n[0]))))
         low = np.searchsorted(n, -((-percent * n) // 100), "left")
         high = np.searchsorted(n, 100 * n // percent, "right")
         fresh = np.ones(len(kid), bool)
@@ -327,7 +334,8 @@ def _join_tile(words_each: int, percent: int):
         answers = np.array(table["answers"].to_pylist(), bool)
         sets = list(shingle_sets(table["text"].to_pylist(), words_each))
         sizes = np.array([len(s) for s in sets])
-        points = np.stack([count_vector(s) for s in sets])
+        bits = min(TABLE_BITS, int(bits_of(sizes.min())))
+        points = np.stack([count_vector(s, bits) for s in sets])
         parts = Union(len(kid))
         first: dict[int, int] = {}
         for i, c in enumerate(comp.tolist()):
@@ -384,9 +392,11 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
         signed.repartition(parts, "sig").sortWithinPartitions("sig", "kid")
         .mapInArrow(_blocks, "a bigint, b bigint, large boolean").distinct())
     of = lambda name: classes.select(
-        F.col("kid").alias(name), F.col("counts").alias(f"counts_{name}"))
-    close = (edges.filter("NOT large").join(of("a"), "a").join(of("b"), "b")
-             .filter(_within_bound(percent)("counts_a", "counts_b")).select("a", "b"))
+        F.col("kid").alias(name), F.col("n").alias(f"n_{name}"),
+        F.col("counts").alias(f"counts_{name}"))
+    sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    close = (edges.filter("NOT large").join(of("a"), "a").join(of("b"), "b").filter(
+        sized & _within_bound(percent)("counts_a", "counts_b", "n_a", "n_b")).select("a", "b"))
     large = edges.filter("large").select(F.col("a").alias("sig"), F.col("b").alias("kid"))
     cuts = large.groupBy("sig").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("cuts"))
     own = F.pmod(F.xxhash64("kid"), F.col("cuts"))
@@ -411,9 +421,17 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
     tiles = member.select("family", "bucket", "cut").distinct()
     in_order = Window.partitionBy("family").orderBy("bucket", "cut")
     tiles = tiles.withColumn("tile", F.row_number().over(in_order))
-    texts = docs.filter("tkey IS NOT NULL").groupBy("tkey").agg(F.any_value("text").alias("text"))
-    member = materialised(member.join(tiles, ["family", "bucket", "cut"])
-                          .join(texts, "tkey").select("kid", "family", "bucket", "tile", "text"))
+    member = materialised(member.join(tiles, ["family", "bucket", "cut"]).select(
+        "kid", "family", "bucket", "tile", "tkey"))
+    # only members' texts are moved; where their digests may be broadcast, no other text is
+    n_members = member.count()
+    wanted = member.select("tkey").distinct()
+    wanted = F.broadcast(wanted) if n_members <= BROADCAST_KEYS else wanted
+    texts = docs.join(wanted, "tkey", "left_semi").groupBy("tkey").agg(
+        F.any_value("text").alias("text"))
+    member = materialised(member.join(texts, "tkey").drop("tkey"))
+    # the meetings' work follows their pairs, not their bytes: tasks enough for all tiles
+    tasks = max(parts, math.ceil(n_members / TILE_ROWS))
 
     release(spark)
 
@@ -426,7 +444,8 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
     yes, links = F.lit(True), "a bigint, b bigint"
     first = materialised(placed.select(
         "family", "meeting", "kid", F.col("kid").alias("comp"), "text", yes.alias("asks"),
-        yes.alias("answers")).groupBy("family", "meeting").applyInArrow(
+        yes.alias("answers")).repartition(tasks, "family", "meeting")
+        .groupBy("family", "meeting").applyInArrow(
         _join_tile(words_each, percent), links))
 
     # the rest of families with three tiles or more
@@ -449,7 +468,8 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
     answering = state.join(offers, "family").filter("abs(bucket - from) <= 1").select(
         "family", F.col("from").alias("bucket"), "r", "tile", "kid", "comp", "text",
         F.lit(False).alias("asks"), yes.alias("answers"))
-    second = asking.union(answering).groupBy("family", "bucket", "r", "tile").applyInArrow(
+    meeting = ["family", "bucket", "r", "tile"]
+    second = asking.union(answering).repartition(tasks, *meeting).groupBy(*meeting).applyInArrow(
         _join_tile(words_each, percent), links)
 
     found = _labelled(classes.select("kid", "n", "least"), first.union(second), "component")

@@ -9,14 +9,46 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUPS = 64
 LEAF, FANOUT = 16, 8
+#: A group is named by the first bits of a hash: so many that it holds 4 to 8 elements of a
+#: set, within these limits. The fewer elements in a group, the closer the bound.
+LEAST_BITS, MOST_BITS, GROUP_ELEMENTS = 6, 16, 4
+#: Bits of the vectors that are compared many against many.
+TABLE_BITS = 12
 
 
-def count_vector(elements: np.ndarray) -> np.ndarray:
-    """Group counts of sorted distinct 64-bit hashes; the group is the first six bits."""
-    return np.bincount((elements >> np.uint64(58)).astype(np.int64),
-                       minlength=GROUPS).astype(np.uint32)
+def bits_of(size):
+    """Bits that name the groups of sets of these sizes."""
+    bits = np.floor(np.log2(np.maximum(size, 1) / GROUP_ELEMENTS))
+    return np.clip(bits, LEAST_BITS, MOST_BITS).astype(np.int64)
+
+
+def count_vector(elements: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Group counts of sorted distinct 64-bit hashes."""
+    bits = int(bits_of(len(elements))) if bits is None else bits
+    return np.bincount((elements >> np.uint64(64 - bits)).astype(np.int64),
+                       minlength=1 << bits).astype(np.uint32)
+
+
+def packed(elements: np.ndarray) -> bytes:
+    """A set's count vector in as many bytes a count as its largest count takes."""
+    counts = count_vector(elements)
+    return (counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts).tobytes()
+
+
+def folded(vectors: list[bytes], sizes: np.ndarray, bits: int) -> np.ndarray:
+    """Packed vectors of sets of these sizes as a matrix of 2^bits groups, none of which may
+    have fewer; neighbouring groups are added up."""
+    out = np.empty((len(vectors), 1 << bits), np.int32)
+    own = bits_of(np.asarray(sizes))
+    wide = np.array([len(v) for v in vectors]) > (1 << own)
+    for b in np.unique(own).tolist():
+        for kind, flag in ((np.uint8, False), (np.uint32, True)):
+            at = np.flatnonzero((own == b) & (wide == flag))
+            if len(at):
+                x = np.frombuffer(b"".join(vectors[i] for i in at.tolist()), kind)
+                out[at] = x.reshape(len(at), 1 << bits, -1).sum(axis=2, dtype=np.int32)
+    return out
 
 
 def need(a, b, percent: int):
