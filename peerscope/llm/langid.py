@@ -37,10 +37,11 @@ SCRIPT_RANGES = (
     (0xA640, "cyrillic"), (0xA6A0, "other"), (0xA720, "latin"), (0xA800, "other"),
     (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"),
     (0xFB13, "other"), (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "hangul"),
-    (0xFFE0, "other"), (0x20000, "han"), (0x30000, "other"))
+    (0xFFE0, "other"), (0x20000, "han"), (0x32400, "other"))
 SCRIPTS = sorted({s for _, s in SCRIPT_RANGES})
 TABLE = BUCKETS + len(SCRIPTS)
-PLANES = 0x30000
+#: All code points.
+PLANES = 0x110000
 UNKNOWN = "und"
 
 
@@ -61,7 +62,7 @@ class Letters:
 
     def read(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return self.small[np.minimum(points, PLANES - 1)]
+        return self.small[points]
 
 
 def trigram_buckets(small: np.ndarray) -> np.ndarray:
@@ -223,15 +224,16 @@ def label_texts(model: Model, texts: list[str], switch: float = SWITCH):
     return doc, starts - begins[doc], lengths, viterbi(scores, first, count, switch)
 
 
-def with_language(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "language",
-                  spans: bool = True) -> DataFrame:
+def with_language(df: DataFrame, model: Model, text_col: str = "text",
+                  out_col: str = "language") -> DataFrame:
     """``df`` with struct(lang_pred, score, spans): the language with most letters (the least
     code on ties), its share of the letters, and the labelled spans (start, stop, lang; in
     code points, from first to last word of a language). A column already named ``out_col``
     is replaced, others pass through.
 
     Texts that are null or hold no letter, and all texts if nothing was learned, are ``und``
-    with score 0 and no spans. Whole texts are labelled; long ones are scored in slices.
+    with score 0 and no spans. Whole texts are labelled; long ones are scored in slices. An
+    empty table gives an empty one.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
     item = "array<struct<start:int,stop:int,lang:string>>"
@@ -240,7 +242,7 @@ def with_language(df: DataFrame, model: Model, text_col: str = "text", out_col:
     def predict(text: pa.Array) -> pa.Array:
         model = held.value
         n = len(model.langs)
-        preds, scores, found = [], [], []
+        preds, scores, counts, found = [], [], [], []
         for chunk in _chunks(texts_of(text), SLICE // max(2, n)):
             doc, start, length, label = label_texts(model, chunk)
             votes = np.bincount(doc * max(n, 1) + label, weights=length,
@@ -248,20 +250,22 @@ def with_language(df: DataFrame, model: Model, text_col: str = "text", out_col:
             total, top = votes.sum(axis=1), votes.argmax(axis=1)
             preds += [model.langs[k] if t else UNKNOWN for k, t in zip(top, total)]
             scores.append(votes.max(axis=1) / np.maximum(total, 1))
-            rows = [[] for _ in chunk]
-            if spans and len(doc):
-                cut = np.flatnonzero(np.diff(doc, prepend=-1) | np.diff(label, prepend=-1))
-                last = np.append(cut[1:], len(doc)) - 1
-                for a, b in zip(cut, last):
-                    rows[doc[a]].append({"start": int(start[a]), "stop": int(start[b] + length[b]),
-                                         "lang": model.langs[label[a]]})
-            found += rows
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()),
-                                   ("lang", pa.string())]))
+            cut = np.flatnonzero(np.diff(doc, prepend=-1) | np.diff(label, prepend=-1))
+            last = np.append(cut[1:], len(doc))[:len(cut)] - 1
+            counts.append(np.bincount(doc[cut], minlength=len(chunk)))
+            found.append((start[cut], start[last] + length[last], label[cut]))
+        ends = np.cumsum(np.concatenate([[0], *counts]).astype(np.int64))
+        begin, stop, label = (np.concatenate([f[k] for f in found] or [[]]) for k in range(3))
+        langs = pa.DictionaryArray.from_arrays(
+            pa.array(label.astype(np.int32)), pa.array(model.langs, pa.string()))
+        every = pa.StructArray.from_arrays(
+            [pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32)),
+             langs.cast(pa.string())], names=["start", "stop", "lang"])
         return pa.StructArray.from_arrays(
             [pa.array(preds, pa.string()),
              pa.array(np.concatenate(scores) if scores else [], pa.float64()),
-             pa.array(found, kind)], names=["lang_pred", "score", "spans"])
+             pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), every)],
+            names=["lang_pred", "score", "spans"])
 
     return df.withColumn(out_col, predict(F.col(text_col)))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm import tables
-from peerscope.llm.session import materialised
+from peerscope.llm.session import materialised, unused
 from peerscope.llm.words import numbered, texts_of
 
 #: Words with a class of their own; classes shared by last letters; vector size.
@@ -357,16 +357,19 @@ def _scorer(held):
 def with_lm_score(df: DataFrame, model: LanguageModel, counts: DataFrame,
                   text_col: str = "text", out_col: str = "lm") -> DataFrame:
     """``df`` with struct(n_tokens, n_known, train_tokens, base_score, score); a column already
-    named ``out_col`` is replaced, others pass through (and through one shuffle).
+    named ``out_col`` is replaced, others pass through (and through one shuffle), whatever
+    their names. An empty table gives an empty one.
 
     base_score is the smoothed unigram log10 probability, score that of the network. A null
     text is an empty one: a single end. Repeated rows are scored one by one. Untrained, every
     token is unknown.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.drop(out_col).withColumn("__key", F.unhex(F.md5(text)))
+    rows = df.drop(out_col)
+    key, = unused(rows, "__key")
+    rows = rows.withColumn(key, F.unhex(F.md5(text)))
     held = df.sparkSession.sparkContext.broadcast(model)
-    parts = rows.select(F.col("__key").alias("key"), text.alias("text")).mapInArrow(
+    parts = rows.select(F.col(key).alias("key"), text.alias("text")).mapInArrow(
         _scorer(held), _PARTS)
     # rows of texts carry a word that no text holds, so that they spread over the join as well
     found = parts.join(counts, "word", "left")
@@ -384,5 +387,5 @@ def with_lm_score(df: DataFrame, model: LanguageModel, counts: DataFrame,
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base") + rest).alias("base_score"), (F.col("score") + rest).alias("score"))
     # written first, so that the join deals both sides anew and can split a much-copied text
-    sums = materialised(sums.select(F.col("key").alias("__key"), one.alias(out_col)))
-    return rows.join(sums, "__key").drop("__key")
+    sums = materialised(sums.select(F.col("key").alias(key), one.alias(out_col)))
+    return rows.join(sums, key).drop(key)

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerscope.llm.session import materialised, with_row_key
+from peerscope.llm.session import materialised, unused, with_row_key
 from peerscope.llm.words import texts_of
+from peerscope.operators.joins import join_null_safe
 
 # Weights of the sources by code point (null last), repeating; the budget in
 # percent of all sizes; most passes over a source.
@@ -79,8 +80,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     position (of the first copy, 0 to 1; null if nothing is taken), range-sorted by position.
 
     A null text has size 0 and takes nothing; null is a source of its own, the last one; a
-    null id is an id. Rows that repeat an id and a size follow one another in their source.
-    Other columns are ignored. An empty table gives an empty result.
+    null id is an id. Documents are in order of a hash of their id, their text and, for rows that
+    repeat both, a running number, so that rows of one id are not neighbours. Other columns are
+    ignored. An empty table gives an empty result.
     """
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (_planned(df, id_col, source_col, text_col)
@@ -90,12 +92,31 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
 def _planned(df: DataFrame, id_col: str, source_col: str, text_col: str,
              *row_key: str) -> DataFrame:
-    """The rows of ``mix`` in no order, with the columns ``row_key`` of ``df``, which also order
-    rows that repeat an id and a size."""
-    rows = materialised(df.select(
+    """The rows of ``mix`` in no order, with the column ``row_key`` of ``df`` (``with_row_key``).
+    Equal rows are numbered, which tells them apart: counted first and numbered then, or,
+    where they have a key, counted by its partition and numbered inside of each."""
+    rows = df.select(
         *row_key, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"),
-        word_count(F.col(text_col)).alias("size")))
+        F.coalesce(F.md5(F.col(text_col)), F.lit("")).alias("mark"),
+        word_count(F.col(text_col)).alias("size"))
+    same = ["doc_id", "source", "mark", "size"]
+    if row_key:
+        rows = rows.withColumn("part", F.shiftright(F.col(*row_key), 33))
+        per = rows.groupBy(*same, "part").agg(F.count("*").alias("n"))
+        before = Window.partitionBy(*same).orderBy("part").rowsBetween(
+            Window.unboundedPreceding, -1)
+        per = per.withColumn("first", F.sum("n").over(before)).filter("first > 0").drop("n")
+        own = F.row_number().over(Window.partitionBy(*same, "part").orderBy(*row_key)) - 1
+        rows = join_null_safe(rows.withColumn("own", own), per, [*same, "part"], "left")
+        rows = rows.withColumn("copy", F.col("own") + F.coalesce("first", F.lit(0))).drop(
+            "own", "first", "part")
+    else:
+        rows = rows.groupBy(*same).agg(F.count("*").alias("n"))
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+    identity = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows = materialised(rows.withColumn("h", F.md5(F.concat(
+        identity, F.lit("|"), "mark", F.lit("|"), F.col("copy").cast("string")))).drop(
+        "mark", "copy"))
     n, digits = rows.count(), 0
     while 16 ** digits * BUCKET_ROWS < n:
         digits += 1
@@ -107,7 +128,7 @@ def _planned(df: DataFrame, id_col: str, source_col: str, text_col: str,
         F.sum("bucket_size").over(before), F.lit(0)).alias("bucket_before"))
     joined = targets.select(F.col("source").alias("ts"), "source_size", "slope", "target")
     lead = buckets.join(joined, F.col("s").eqNullSafe(F.col("ts"))).drop("ts")
-    in_bucket = (Window.partitionBy("source", "b").orderBy("h", "doc_id", "size", *row_key)
+    in_bucket = (Window.partitionBy("source", "b").orderBy("h", "doc_id", "size")
                  .rowsBetween(Window.unboundedPreceding, -1))
     out = (rows.withColumn("own", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
            .join(lead, F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("sb")))
@@ -132,16 +153,18 @@ def _planned(df: DataFrame, id_col: str, source_col: str, text_col: str,
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                     text_col: str = "text") -> DataFrame:
     """The rows of ``df`` in training order, each as often as ``mix`` gives it whole copies
-    (rows without copies go). Rows that share a null or repeated id keep their own counts."""
-    rows = with_row_key(df, "__row")
-    plan = _planned(rows, id_col, source_col, text_col, "__row").filter("copies > 0").select(
-        "__row", F.col("doc_id").alias("__id"),
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("__copy"),
+    (rows without copies go). Rows that share a null or repeated id keep their own counts;
+    columns may have any names."""
+    row, identity, copy, position = unused(df, "__row", "__id", "__copy", "__position")
+    rows = with_row_key(df, row)
+    plan = _planned(rows, id_col, source_col, text_col, row).filter("copies > 0").select(
+        row, F.col("doc_id").alias(identity),
+        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias(copy),
         "u", "slope", "source_size", "goal")
-    place = inverse_demand(F.least(F.lit(1.0), F.col("u") + F.col("__copy") * F.col("source_size")
+    place = inverse_demand(F.least(F.lit(1.0), F.col("u") + F.col(copy) * F.col("source_size")
                                    / F.col("goal")), F.col("slope"))
-    plan = plan.select("__row", "__id", "__copy", place.alias("__position"))
+    plan = plan.select(row, identity, copy, place.alias(position))
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (rows.join(plan, "__row")
-            .repartitionByRange(parts, F.col("__position"), F.col("__id"))
-            .sortWithinPartitions("__position", "__id", "__row", "__copy").select(*df.columns))
+    return (rows.join(plan, row)
+            .repartitionByRange(parts, F.col(position), F.col(identity))
+            .sortWithinPartitions(position, identity, row, copy).select(*df.columns))

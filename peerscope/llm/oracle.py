@@ -52,7 +52,8 @@ FROM m"""
 def mixing_sql(docs: str = "documents") -> str:
     return rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT
-    AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM {docs}),
+    AS size, md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(md5(text), '') || '|' ||
+    row_number() OVER (PARTITION BY doc_id, source, text) - 1) AS h FROM {docs}),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nr FROM s),
 v AS (SELECT *, [3, 1, 2][nr % 3 + 1] AS weight, [-0.5, 0.0, 0.5][nr % 3 + 1]::DOUBLE AS slope,
@@ -122,40 +123,75 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 
 
 def urls_sql(pages: str = "pages") -> str:
+    """Tags from splitting at ``<``, attributes from splitting at their names, hosts and paths by
+    position, dot segments by a fold over a list."""
     rules = (("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
     table = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
-    top = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    quote = chr(39) * 2  # as it stands in a literal
 
-    def parts(url: str) -> str:
-        host = (f"translate(coalesce(regexp_extract({url}, '{top}', 1), ''),"
-                " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
-        return (f"{host} AS host, coalesce(regexp_extract({url}, '{top}', 2), '') AS path, {host}"
-                f" || regexp_extract({url}, '{top}', 2) || regexp_extract({url}, '{top}', 3) AS node")
+    def parts(source: str, url: str) -> str:
+        """host, path and query of ``url`` in every row of ``source``."""
+        end = ", ".join(f"coalesce(nullif(strpos(rest, '{c}'), 0), length(rest) + 1)" for c in "/?#")
+        return f"""
+    (SELECT * EXCLUDE (rest, cut, tail), translate(left(rest, cut), '{upper}', '{lower}') AS host,
+       split_part(tail, '?', 1) AS path,
+       substr(tail, 1 + length(split_part(tail, '?', 1))) AS query
+     FROM (SELECT *, split_part(substr(rest, cut + 1), '#', 1) AS tail
+       FROM (SELECT *, least({end}) - 1 AS cut
+         FROM (SELECT *, CASE WHEN strpos({url}, '://') > 0
+           THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END AS rest FROM {source}))))"""
 
-    return rf"""
+    solved = """'/' || array_to_string(list_concat(list_reduce(
+        list_transform(string_split(path, '/')[2:], lambda s: [s]),
+        lambda held, s: CASE s[1] WHEN '.' THEN held WHEN '..' THEN held[:len(held) - 1]
+          ELSE list_concat(held, s) END, []::VARCHAR[]),
+        CASE WHEN list_contains(['.', '..'], string_split(path, '/')[-1]) THEN [''] ELSE [] END),
+        '/')"""
+    node = f"host || CASE WHEN path = '' THEN '/' ELSE {solved} END || query"
+
+    def attribute(name: str) -> str:
+        value = f"ltrim(substr(body, strpos(lower(body), '{name}=') + {len(name) + 1}))"
+        bare = (f"CASE WHEN strpos(lower(body), '{name}=') = 0 THEN '' "
+                f"WHEN left({value}, 1) = '\"' THEN split_part({value}, '\"', 2) "
+                f"WHEN left({value}, 1) = '{quote}' THEN split_part({value}, '{quote}', 2) "
+                f"ELSE split_part({value}, ' ', 1) END")
+        for entity, char in (("&quot;", '"'), ("&apos;", quote), ("&#39;", quote), ("&lt;", "<"),
+                             ("&gt;", ">"), ("&#47;", "/"), ("&#x2F;", "/"), ("&#38;", "&"),
+                             ("&amp;", "&")):
+            bare = f"replace({bare}, '{entity}', '{char}')"
+        return f"trim({bare})"
+
+    numbered = f"(SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url, html FROM {pages})"
+    linked = "(SELECT a AS node, a_url AS u FROM z UNION SELECT b, b_url FROM z)"
+    return f"""
 WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {table}),
-t AS (SELECT row_number() OVER () AS rid, page_id, url, html, {parts('url')} FROM {pages}),
-x AS (SELECT *, unnest([
-  regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["\x27]?canonical\b[^>]*>'),
-    '(?is)\bhref\s*=\s*["\x27]?([^"\x27\s>]+)', 1),
-  regexp_extract(regexp_extract(html,
-    '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["\x27]?refresh\b[^>]*>'),
-    '(?is)\burl\s*=\s*["\x27]?([^"\x27\s>;]+)', 1)]) AS to_url FROM t),
-y AS (SELECT node AS a, url AS a_url, CASE
-  WHEN regexp_matches(to_url, '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN to_url
+t AS MATERIALIZED (SELECT *, CASE WHEN host <> '' THEN {node} END AS node
+  FROM {parts(numbered, 'url')}),
+tags AS (SELECT rid, lower(left(piece, 4)) AS kind, regexp_replace(replace(replace(
+    split_part(substr(piece, 5), '>', 1), chr(10), ' '), chr(9), ' '), ' *= *', '=', 'g') AS body
+  FROM (SELECT rid, unnest(string_split(html, '<')) AS piece FROM t)
+  WHERE lower(left(piece, 4)) IN ('link', 'meta') AND contains(piece, '>')),
+x AS (SELECT rid, CASE WHEN kind = 'link' THEN
+    CASE WHEN list_contains(string_split(lower({attribute('rel')}), ' '), 'canonical')
+      THEN {attribute('href')} END
+  WHEN lower({attribute('http-equiv')}) = 'refresh' THEN trim(split_part(regexp_replace(ltrim(
+    split_part(replace({attribute('content')}, ',', ';'), ';', 2)), '^(?i)url *= *', ''), ' ', 1),
+    '"{quote}') END AS to_url FROM tags),
+y AS (SELECT t.node AS a, t.url AS a_url, CASE
+  WHEN regexp_matches(to_url, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN to_url
   WHEN starts_with(to_url, '//') THEN 'http:' || to_url
   WHEN starts_with(to_url, '/') THEN 'http://' || host || to_url
-  ELSE 'http://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/'
-    ELSE regexp_replace(path, '[^/]*$', '') END || to_url END AS b_url FROM x
-  WHERE to_url <> '' AND host <> ''),
-z AS (SELECT a, a_url, b_url, {parts('b_url').replace('AS node', 'AS b')} FROM y),
-e AS (SELECT DISTINCT a, b FROM z WHERE host <> '' UNION SELECT b, a FROM z WHERE host <> ''),
+  WHEN starts_with(to_url, '?') THEN 'http://' || host || path || to_url
+  ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE
+    left(path, length(path) - length(string_split(path, '/')[-1])) END || to_url END AS b_url
+  FROM x JOIN t USING (rid) WHERE to_url <> '' AND NOT starts_with(to_url, '#') AND host <> ''),
+z AS (SELECT a, a_url, b_url, {node} AS b FROM {parts('y', 'b_url')} WHERE host <> ''),
+e AS (SELECT DISTINCT a, b FROM z UNION SELECT b, a FROM z),
 reach(n, m) AS (SELECT a, a FROM e UNION SELECT reach.n, e.b FROM reach JOIN e ON e.a = reach.m),
 comp AS (SELECT n, min(m) AS component FROM reach GROUP BY n HAVING count(DISTINCT m) > 1),
-u AS (SELECT a AS node, a_url AS u FROM z WHERE host <> '' UNION SELECT b, b_url FROM z
-  WHERE host <> ''),
-v AS (SELECT node, u, {parts('u').replace('AS node', 'AS n2')} FROM u),
+v AS (SELECT * FROM {parts(linked, 'u')}),
 best AS (SELECT node, u, arg_max(verdict, length(rhost || rpath)) AS verdict FROM v JOIN rules ON
   (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY node, u),
 said AS (SELECT component, bool_or(verdict = 'allow') AS allows, bool_or(verdict = 'block') AS
@@ -165,8 +201,7 @@ hit AS (SELECT rid, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
   (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rid)
 SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, CASE WHEN allows THEN 'allow'
   WHEN blocks THEN 'block' END, 'allow') AS verdict, component AS aliases
-FROM t LEFT JOIN hit USING (rid) LEFT JOIN comp ON host <> '' AND n = t.node
-LEFT JOIN said USING (component)"""
+FROM t LEFT JOIN hit USING (rid) LEFT JOIN comp ON n = t.node LEFT JOIN said USING (component)"""
 
 
 def jaccard_sql(docs: str = "documents", words_each: int = 4, percent: int = 85) -> str:

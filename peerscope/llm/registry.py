@@ -54,8 +54,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = langid.remainder("doc_id", 5) == 0
     model = langid.fit(docs.filter(~out))
-    scored = langid.with_language(docs.select("doc_id", "text"), model, spans=False)
-    return scored.select("doc_id", out.alias("held_out"), "language.lang_pred", "language.score")
+    scored = langid.with_language(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", out.alias("held_out"), "language.lang_pred", "language.score",
+                         F.size("language.spans").cast("long").alias("n_spans"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

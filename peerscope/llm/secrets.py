@@ -15,6 +15,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.llm.session import unused
 from peerscope.llm.trigrams import trigram_query, trigrams_of
 
 
@@ -48,6 +49,8 @@ MORE = (
     Rule("login", "[a-z]{2,10}://[^/\\x20:@\"']+:[^/\\x20:@\"']+@", 0, 10),
 )
 ALL = BASE + MORE
+#: Matches whose ends are added up at a time.
+BLOCK = 256
 
 
 def _condition(query, held: Column) -> Column:
@@ -82,25 +85,34 @@ def candidates(docs: DataFrame, rules=ALL) -> DataFrame:
 
 
 def matches(text: str, rule: Rule, order: int) -> Column:
-    """array<struct<start, rank, kind, stop>> of a rule in a text column; offsets in code
-    points, end exclusive. The text between matches comes from splitting at them."""
+    """array<struct<start, rank, kind, stop, own>> of a rule in a text column; offsets in code
+    points, end exclusive. The text between matches comes from splitting at them. Where a match
+    ends is a running sum, taken in blocks of ``BLOCK`` matches and over these blocks, so that
+    no long array is copied at every match."""
     # as SQL literals: raw strings, so that no backslash is taken away
     pattern = rule.pattern.replace("\\x20", " ")
-    lit = lambda s: "r'" + s.replace("'", "\\x27") + "'"
-    return F.expr(f"""
-      filter(aggregate(
-        zip_with(zip_with(slice(split({text}, {lit(pattern)}, -1), 1,
-                                size(regexp_extract_all({text}, {lit(pattern)}, 0))),
-                          regexp_extract_all({text}, {lit(pattern)}, 0),
-                          (gap, hit) -> named_struct('gap', length(gap), 'hit', length(hit))),
-                 regexp_extract_all({text}, {lit(pattern)}, {rule.group}),
-                 (x, g) -> named_struct('gap', x.gap, 'hit', x.hit, 'own', length(g))),
-        named_struct('at', 0, 'spans', cast(array() AS
-          array<struct<start:int,rank:int,kind:string,stop:int,own:int>>)),
-        (acc, x) -> named_struct('at', acc.at + x.gap + x.hit, 'spans', concat(acc.spans,
-          array(named_struct('start', acc.at + x.gap, 'rank', {order}, 'kind', '{rule.kind}',
-                             'stop', acc.at + x.gap + x.hit, 'own', x.own)))),
-        acc -> acc.spans), s -> s.own >= {rule.least})""")
+    raw = "r'" + pattern.replace("'", "\\x27") + "'"
+    let = lambda name, value, body: f"transform(array({value}), {name} -> {body})[0]"
+    hits = f"regexp_extract_all({text}, {raw}, 0)"
+    owns = f"regexp_extract_all({text}, {raw}, {rule.group})" if rule.group else "v.hits"
+    steps = ("zip_with(slice(v.gaps, 1, size(v.hits)), v.hits, "
+             "(gap, hit) -> length(gap) + length(hit))")
+    none = "cast(array() AS array<int>)"
+    blocks = (f"transform(sequence(0, cast((greatest(size(s), 1) - 1) div {BLOCK} AS int)), "
+              f"i -> aggregate(slice(s, i * {BLOCK} + 1, {BLOCK}), "
+              f"named_struct('at', 0, 'ends', {none}), (acc, x) -> named_struct("
+              "'at', acc.at + x, 'ends', concat(acc.ends, array(acc.at + x)))))")
+    starts = (f"aggregate(b, named_struct('at', 0, 'starts', {none}), (acc, x) -> named_struct("
+              "'at', acc.at + x.at, 'starts', concat(acc.starts, array(acc.at))), "
+              "acc -> acc.starts)")
+    ends = f"flatten(zip_with(b, {starts}, (x, from) -> transform(x.ends, e -> e + from)))"
+    spans = (f"filter(zip_with(zip_with({ends}, v.hits, (e, hit) -> named_struct("
+             "'stop', e, 'hit', length(hit))), o, (x, own) -> named_struct("
+             f"'start', x.stop - x.hit, 'rank', {order}, 'kind', '{rule.kind}', "
+             f"'stop', x.stop, 'own', length(own))), x -> x.own >= {rule.least})")
+    return F.expr(let(
+        "v", f"named_struct('hits', {hits}, 'gaps', split({text}, {raw}, -1))",
+        let("o", owns, let("s", steps, let("b", blocks, spans)))))
 
 
 def joined(spans: Column) -> Column:
@@ -111,29 +123,31 @@ def joined(spans: Column) -> Column:
 def with_secrets(df: DataFrame, rules=ALL, id_col: str = "doc_id", text_col: str = "text",
                  out_col: str = "secrets") -> DataFrame:
     """``df`` with a struct of each kind's span array, by kind, and ``spans`` with all of them
-    in order of start, then rule. A column named ``out_col`` is replaced, others pass through.
+    in order of start, then rule. A column named ``out_col`` is replaced, others pass through,
+    whatever their names. An empty table gives an empty one.
 
     A null text is an empty one: no spans. Null and repeated ids, and repeated rows, are
     scanned row by row. Whole texts are scanned, whatever their length.
     """
-    docs = df.drop(out_col).withColumn("__key", row_key(id_col, text_col))
-    index = docs.select(F.col("__key").alias("key"), F.col(text_col).alias("text"))
-    found = candidates(index.filter("text IS NOT NULL"), rules).toDF("__key", "__kinds")
-    rows = docs.join(found, "__key", "left").withColumn(
-        "__text", F.coalesce(F.col(text_col), F.lit("")))
+    docs = df.drop(out_col)
+    key, kinds, text = unused(docs, "__key", "__kinds", "__text")
+    docs = docs.withColumn(key, row_key(id_col, text_col))
+    index = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
+    found = candidates(index.filter("text IS NOT NULL"), rules).toDF(key, kinds)
+    rows = docs.join(found, key, "left").withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
     none = F.expr("cast(array() AS array<struct<start:int,rank:int,kind:string,stop:int,own:int>>)")
     spans = []
     for order, rule in enumerate(rules):
         if trigram_query(rule.pattern) is True:
-            try_it = F.col("__text").rlike(rule.pattern.replace("\\x20", " "))
+            try_it = F.col(text).rlike(rule.pattern.replace("\\x20", " "))
         else:
-            try_it = F.array_contains("__kinds", rule.kind)
-        spans.append(F.when(try_it, matches("__text", rule, order)).otherwise(none)
+            try_it = F.array_contains(kinds, rule.kind)
+        spans.append(F.when(try_it, matches(f"`{text}`", rule, order)).otherwise(none)
                      .alias(rule.kind))
     rows = rows.withColumn(out_col, F.struct(*spans))
     every = F.concat(*(F.col(f"{out_col}.{r.kind}") for r in rules))
     rows = rows.withColumn(out_col, F.col(out_col).withField("spans", F.array_sort(every)))
-    return rows.drop("__key", "__kinds", "__text")
+    return rows.drop(key, kinds, text)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

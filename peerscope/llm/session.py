@@ -56,3 +56,14 @@ def release(spark: SparkSession) -> None:
     more; it notices them when the driver collects its garbage, which may be long after."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, or longer ones where the table has columns of that name (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

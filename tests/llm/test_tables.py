@@ -103,7 +103,17 @@ def pages():
         (12, "http://net", None), (None, "http://xnet/", "<link rel=icon href=/i>"),
         (13, "HTTP://EXAMPLE.COM", link("http://b.example.com/de/")),
         (14, "http://b.example.com/de/", link("http://x.org/fr/b")),
-        (15, "http://example.com/en/8", link("http://m.example.com/en/1"))]
+        (15, "http://example.com/en/8", link("http://m.example.com/en/1")),
+        # every edge of a page; lists in rel, references, dots, bare queries, forms of quotes
+        (20, "http://s.com/a/b/c", "<link rel=stylesheet href=/css><link title=x rel='alternate "
+         "canonical' href=\"../d?x=1&amp;y=2\"><LINK HREF=/e REL = canonical >"
+         "<meta http-equiv='refresh' content=\"5;URL='http://t.com/./z/'\">"),
+        (21, "http://s.com/a/d?x=1&y=2", None), (22, "http://s.com/e", None),
+        (23, "http://t.com/z/", "<meta name=refresh content='0; url=http://example.com/de/no'>"),
+        (24, "http://u.com/p/q", link("?k=v")), (25, "http://u.com/p/q?k=v", refresh("./../de/")),
+        (26, "http://u.com/de/", link("#top")), (27, "http://u.com", link("..")),
+        (28, "http://u.com/", link("http://example.com/de/x/..")),
+        (29, "http://w.com/..a/.b", "<link rel=canonicals href=/no><link rel=canonical>")]
 
 
 def test_urls_equal_sql_and_expectations(spark):
@@ -119,6 +129,10 @@ def test_urls_equal_sql_and_expectations(spark):
     assert verdict[3] == verdict[4] == "allow"  # an allowed alias comes before others
     assert verdict[6] == "allow" and verdict[13] == "allow"  # allow before block
     assert verdict[8] == "block" and verdict[10] == verdict[11] == verdict[12] == "allow"
+    alias = {r.page_id: r.aliases for r in got.collect()}
+    assert len({alias[i] for i in (20, 21, 22, 23)}) == 1 and verdict[23] == "allow"
+    assert alias[24] == alias[25] == alias[26] and alias[29] is None
+    assert verdict[27] == verdict[28] == "block" and alias[27] == alias[28]
     assert urls.judge_urls(df.limit(0)).count() == 0
 
 
@@ -494,3 +508,64 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert got.columns == df.columns
     assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [
         (4, text(0)), (None, text(1)), (None, text(2)), (4, text(3)), (None, ""), (None, None)]))
+
+
+# --- names, planes, repeated and null ids ---------------------------------------------------
+
+def test_columns_of_any_name_pass_through(spark):
+    rows = [(1, "token=abcdefgh12", "a", 7, "c", 1.5), (None, None, "b", None, "d", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __KEY string, __kinds long, "
+                                     "__text string, __row double")
+    out = secrets.with_secrets(df)
+    assert out.columns == [*df.columns, "secrets"]
+    assert sorted(map(repr, out.drop("secrets").collect())) == sorted(map(repr, df.collect()))
+    counts = lm.word_counts(df.select("doc_id", "text"))
+    scored = lm.with_lm_score(df, lm.fit(df.select("doc_id", "text"), counts), counts)
+    assert sorted(map(repr, scored.drop("lm").collect())) == sorted(map(repr, df.collect()))
+
+
+def test_matches_of_a_text_take_linear_time(spark):
+    import time
+    took = []
+    for n in (100, 16_000, 32_000):
+        text = " ".join("%032x" % i for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        spans = secrets.with_secrets(df).first().secrets.spans
+        took.append(time.perf_counter() - start)
+        assert [(s.start, s.stop) for s in spans] == [(33 * i, 33 * i + 32) for i in range(n)]
+    assert took[2] < 2 * took[1] + 2
+
+
+def test_letters_of_every_plane(spark):
+    letters = langid.Letters()
+    for ch in ("\U00030000", "\U00030001", "\U000323AF", "\U00020000", "é", "Ж"):
+        assert letters.read(ch)[0] == ord(ch.lower()), ch
+    assert letters.read("\U000E0041\U0010FFFF 1").tolist() == [0, 0, 0, 0]
+    assert langid.SCRIPTS[letters.script[0x30001]] == "han"
+    df = spark.createDataFrame([("\U00030000\U00030001", "zh"), ("plain words", "en")],
+                               "text string, lang string")
+    model = langid.fit(df)
+    got = {r.lang: r.language for r in langid.with_language(df, model).collect()}
+    assert got["zh"].lang_pred == "zh" and got["zh"].score == 1.0
+    assert [tuple(s) for s in got["en"].spans] == [(0, 11, "en")]
+    none = langid.with_language(df.filter("false"), model)
+    assert none.collect() == [] and none.columns == ["text", "lang", "language"]
+
+
+def test_mix_deals_rows_of_one_id_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rows = [(None if i % 3 else 5, f"w{i} " * (i % 7), "s") for i in range(600)]
+    rows += [(None, "same text", "s")] * 300 + [(None, None, None)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix(df)
+    got = sorted(map(repr, plan.drop("position").collect()))
+    again = mixing.mix(df.repartition(7)).drop("position")
+    assert len(got) == len(rows) and got == sorted(map(repr, again.collect()))
+    columns, want = sql_rows(oracle.mixing_sql(), documents=(
+        "doc_id BIGINT, text VARCHAR, source VARCHAR", rows))
+    have = [tuple(None if v is None else v for v in r) for r in
+            mixing.mix(df).select(*columns).collect()]
+    same = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+    assert sorted(repr(same(r)) for r in have) == sorted(
+        repr(same(eval(w, {"nan": float("nan")}))) for w in want)
