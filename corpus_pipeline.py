@@ -13,38 +13,43 @@ from pyspark.sql import functions as F
 
 from peerscope.llm import bpe, jaccard, mixing, quality, secrets
 from peerscope.llm.registry import bpe_path
-from peerscope.llm.session import ensure_checkpoint_dir, with_row_key
+from peerscope.llm.session import (ensure_checkpoint_dir, remove_folder, unused,
+                                   with_row_key)
 
 #: Near duplicates share this percentage of their shingles of so many words.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep. Null and empty texts go."""
-    judged = quality.with_quality(docs, out_col="__quality")
-    return judged.filter("__quality.kept").drop("__quality")
+    """Documents that the repetition rules keep. Null and empty texts go. This and the next
+    stages pass columns of any name through."""
+    verdict, = unused(docs, "__quality")
+    judged = quality.with_quality(docs, out_col=verdict)
+    return judged.filter(F.col(f"{verdict}.kept")).drop(verdict)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, one row: that with the least id, null last. Rows that
     share a null or repeated id are rows of their own. Documents without shingles stay."""
-    rows = with_row_key(docs, "__row")
+    row, = unused(docs, "__row")
+    rows = with_row_key(docs, row)
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-                   F.col("__row").alias("row"))
-    found = jaccard.near_duplicates(rows.withColumn("__key", key), SHINGLE_WORDS, SIMILAR_PERCENT,
-                                    id_col="__key")
+                   F.col(row).alias("row"))
+    found = jaccard.near_duplicates(rows.select(key.alias("key"), "text"), SHINGLE_WORDS,
+                                    SIMILAR_PERCENT, id_col="key")
     keep = found.filter(F.col("doc_id.row") == F.col("component_id.row")).select(
-        F.col("doc_id.row").alias("__row"))
-    return rows.join(keep, "__row", "left_semi").select(*docs.columns)
+        F.col("doc_id.row").alias(row))
+    return rows.join(keep, row, "left_semi").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark and n_chars counted anew."""
     columns = docs.columns
-    found = secrets.with_secrets(docs, out_col="__secrets")
-    hit = F.size("__secrets.spans") > 0
+    marked, = unused(docs, "__secrets")
+    found, spans = secrets.with_secrets(docs, out_col=marked), F.col(f"{marked}.spans")
+    hit = F.size(spans) > 0
     found = found.withColumn("text", F.when(hit, secrets.redacted(
-        F.col("text"), F.col("__secrets.spans"))).otherwise(F.col("text")))
+        F.col("text"), spans)).otherwise(F.col("text")))
     return found.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(
         F.col("n_chars"))).select(*columns)
 
@@ -74,11 +79,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; the last one's result is not written here."""
+    """All stages over the documents; the last one's result is not written here. What a stage
+    was read from is deleted when its result is written."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4()}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
