@@ -47,7 +47,8 @@ def with_row_key(df: DataFrame, name: str, path: str | None = None) -> DataFrame
     """``df`` with a number of its own for every row in column ``name``, written once to the
     shared checkpoint folder, so that every later use sees the same numbers."""
     path = path or scratch_folder(df.sparkSession, "rows")
-    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    df.withColumn(name, F.monotonically_increasing_id()).write.option(
+        "compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
