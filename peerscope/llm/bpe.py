@@ -13,6 +13,8 @@ import heapq
 import json
 import struct
 import unicodedata
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,14 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.words import texts_of
 
-#: Encoded words kept by a Python worker; when full, it starts anew.
-CACHE_WORDS = 250_000
-CACHE_BYTES = 48
+#: Twice so many words and pieces, of up to so many bytes, are kept with their ids by a Python
+#: worker at most. A batch of texts has about BATCH_CHARS characters.
+CACHE_WORDS, CACHE_BYTES = 100_000, 48
+BATCH_CHARS = 1 << 20
+#: Ids that are decoded at a time.
+DECODE_IDS = 1 << 17
+#: Marks that often end words; a run of them is one piece.
+STOPS = ".,;:!?*#$%&-()"
 SCHEMA = "n_tokens:bigint,ids_sha256:string,decoded_sha256:string"
 OUTPUTS = {"ids": "array<int>", "decoded": "string"}
 
@@ -41,6 +48,25 @@ def byte_symbols() -> list[str]:
     return table
 
 
+class Kept(dict):
+    """What ``make`` gives for a key, kept for keys of up to CACHE_BYTES. When there are too
+    many, those not asked for since the last such time are forgotten."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= CACHE_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
 class WordBpe:
     """Encoder for a tokenizer file of kind: NFC, white space dropped, lower case, word
     pattern, byte-level symbols, end-of-word suffix, no decoder."""
@@ -49,86 +75,123 @@ class WordBpe:
         import regex
 
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.suffix: str = model["end_of_word_suffix"] or ""
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        # (left, right) -> (rank, id of the merged symbol); the suffix only ends a word.
-        v = self.vocab
-        self.merges = {(v[a], v[b]): (rank, v[a + b]) for rank, (a, b) in enumerate(pairs)}
+        suffix: str = model["end_of_word_suffix"] or ""
+        v: dict[str, int] = model["vocab"]
+        self.size = max(v.values()) + 1
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        # a pair is left * size + right; the suffix only ends a word
+        self.ranks = {v[a] * self.size + v[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [(v[a], v[b], v[a + b]) for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = {i: s.encode() for s, i in v.items()}
-        self.strings |= {i: s.encode() for s, i in self.special.items()}
+        self.special_bytes = [t.encode() for t in self.special]
+        # vocabulary strings one after the other, each with a blank behind it
+        strings = {i: s.encode() + b" " for s, i in (v | self.special).items()}
+        strings = [strings.get(i, b" ") for i in range(max(strings) + 1)]
+        self.lengths = np.array([len(s) for s in strings])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # \s of the pattern is the Unicode property White_Space
         self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        self.plain = not any(t.rstrip(STOPS).isalpha() for t in self.special)
         marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = regex.compile(f"({marks})") if marks else None
-        self.symbols = byte_symbols()
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        symbols = byte_symbols()
+        self.inner = [v.get(s, -1) for s in symbols]
+        self.final = [v.get(s + suffix, -1) for s in symbols]
+        #: ids (little-endian 32 bit) of words and of pieces
+        self.words, self.pieces = Kept(self.word), Kept(self.piece)
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Apply all merges to the symbols of one piece."""
-        n, merges = len(symbols), self.merges
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue = []
-        for i in range(n - 1):
-            if found := merges.get((symbols[i], symbols[i + 1])):
-                queue.append((found[0], i, symbols[i], symbols[i + 1], found[1]))
+        """Apply all merges to the symbols of one piece. A queue entry is the rank and, in the
+        lowest bits, the place of the pair's left symbol."""
+        n, size, rank_of, made = len(symbols), self.size, self.ranks.get, self.made
+        bits = n.bit_length()
+        mask, push, pop = (1 << bits) - 1, heapq.heappush, heapq.heappop
+        queue = [rank << bits | i for i, rank in enumerate(
+            [rank_of(a * size + b) for a, b in zip(symbols, symbols[1:])]) if rank is not None]
+        if not queue:
+            return symbols
         heapq.heapify(queue)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            _, i, a, b, made = heapq.heappop(queue)
-            j = right[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
+            entry = pop(queue)
+            i = entry & mask
+            a, b, merged = made[entry >> bits]
+            if symbols[i] != a:
                 continue  # stale
-            symbols[i], symbols[j] = made, -1
+            j = right[i]
+            if j >= n or symbols[j] != b:
+                continue
+            symbols[i], symbols[j] = merged, -1
             k = right[i] = right[j]
             if k < n:
                 left[k] = i
-                if found := merges.get((made, symbols[k])):
-                    heapq.heappush(queue, (found[0], i, made, symbols[k], found[1]))
+                rank = rank_of(merged * size + symbols[k])
+                if rank is not None:
+                    push(queue, rank << bits | i)
             h = left[i]
-            if h >= 0 and (found := merges.get((symbols[h], made))):
-                heapq.heappush(queue, (found[0], h, symbols[h], made, found[1]))
+            if h >= 0:
+                rank = rank_of(symbols[h] * size + merged)
+                if rank is not None:
+                    push(queue, rank << bits | h)
         return [s for s in symbols if s >= 0]
 
-    def piece(self, text: str) -> list[int]:
-        ids = self.pieces.get(text)
-        if ids is None:
-            units = [self.symbols[b] for b in text.encode("utf-8", "surrogatepass")]
-            units[-1] += self.suffix
-            ids = self.merge([self.vocab[u] for u in units if u in self.vocab])
-            if len(text) <= CACHE_BYTES:
-                if len(self.pieces) >= CACHE_WORDS:
-                    self.pieces.clear()
-                self.pieces[text] = ids
-        return ids
-
-    def word(self, raw: bytes) -> tuple[bytes, bytes]:
-        """Ids (little-endian 32 bit) and vocabulary strings of a run without ASCII white
-        space. No piece, composition or special token reaches over such white space."""
-        text, ids = raw.decode("utf-8", "surrogatepass"), []
-        for part in self.marks.split(text) if self.marks else [text]:
+    def piece(self, text: str) -> bytes:
+        raw = text.encode("utf-8", "surrogatepass")
+        ids = list(map(self.inner.__getitem__, raw))
+        ids[-1] = self.final[raw[-1]]
+        ids = self.merge(ids if min(ids) >= 0 else [i for i in ids if i >= 0])
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(self, raw: bytes) -> bytes:
+        """Ids of a run without ASCII white space. No piece, composition or special token
+        reaches over such white space."""
+        text, out = raw.decode("utf-8", "surrogatepass"), []
+        if self.plain:  # letters of Latin-1, and marks: a piece, and one of marks
+            core = text.rstrip(STOPS)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                ids = self.pieces[core.lower()]
+                return ids if len(core) == len(text) else ids + self.pieces[text[len(core):]]
+        marked = any(m in raw for m in self.special_bytes)
+        for part in self.marks.split(text) if marked else [text]:
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(struct.pack("<I", self.special[part]))
             elif part:
                 # letter by letter, as the library does: a final capital sigma is no exception
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for p in self.pattern.findall(plain):
-                    ids.extend(self.piece(p))
-        out = (struct.pack(f"<{len(ids)}I", *ids), b" ".join(self.strings[i] for i in ids))
-        if len(raw) <= CACHE_BYTES:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[raw] = out
-        return out
+                plain = part if part.isascii() else unicodedata.normalize(
+                    "NFC", part).replace("Σ", "σ")
+                out += map(self.pieces.__getitem__, self.pattern.findall(plain.lower()))
+        return b"".join(out)
+
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The vocabulary strings of the ids, a blank behind each, as bytes, and where each
+        one ends."""
+        ends = np.cumsum(self.lengths[ids])
+        out = np.empty(ends[-1] if len(ids) else 0, np.uint8)
+        for s in range(0, len(ids), DECODE_IDS):
+            some, stop = ids[s:s + DECODE_IDS], ends[s:s + DECODE_IDS]
+            length = self.lengths[some]
+            first = stop[0] - length[0]
+            at = np.repeat(self.starts[some] - (stop - length), length)
+            at += np.arange(first, stop[-1])
+            out[first:stop[-1]] = self.flat[at]
+        return out, ends
+
+    def encoded(self, texts) -> Iterator[tuple[bytes, bytes]]:
+        """Ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8, of each
+        of a batch of texts."""
+        known = self.words.__getitem__
+        parts = [b"".join(map(known, (t or "").encode("utf-8", "surrogatepass").split()))
+                 for t in texts]
+        plain, ends = self.decoded(np.frombuffer(b"".join(parts), "<u4"))
+        stops = np.concatenate(([0], ends))[np.cumsum([0] + [len(p) // 4 for p in parts])]
+        for ids, start, stop in zip(parts, stops[:-1].tolist(), stops[1:].tolist()):
+            yield ids, plain[start:max(start, stop - 1)].tobytes()
 
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
-        """Ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
-        known, word = self.words.get, self.word
-        parts = [known(w) or word(w)
-                 for w in (text or "").encode("utf-8", "surrogatepass").split()]
-        return b"".join(p[0] for p in parts), b" ".join(p[1] for p in parts if p[1])
+        """``encoded`` of one text."""
+        return next(self.encoded([text]))
 
 
 def read_spec(path: str) -> dict:
@@ -136,6 +199,18 @@ def read_spec(path: str) -> dict:
         return json.load(f)
 
 
+def batches(texts) -> Iterator[list]:
+    """Runs of texts of about ``BATCH_CHARS`` characters."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size >= BATCH_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
 
 def _worker_encoder(spec) -> WordBpe:
     """One encoder for each Python worker and broadcast vocabulary."""
@@ -180,8 +255,7 @@ def with_bpe(df: DataFrame, path: str, text_col: str = "text", out_col: str = "b
     def encode(text: pa.Array) -> pa.Array:
         encoder = _worker_encoder(spec)
         counts, marks, plain_marks, kept, plain = [], [], [], [], []
-        for t in texts_of(text):
-            ids, decoded = encoder.encode(t)
+        for ids, decoded in chain.from_iterable(map(encoder.encoded, batches(texts_of(text)))):
             counts.append(len(ids) // 4)
             marks.append(hashlib.sha256(ids).hexdigest())
             plain_marks.append(hashlib.sha256(decoded).hexdigest())
