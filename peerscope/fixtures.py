@@ -28,6 +28,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.sources.parquet import partitions_for
+
+#: Parquet bytes of ``lineitem`` for each partition of the joined lines: some 300,000 lines, which
+#: a task joins and groups in a few hundred MB whatever the session's partition settings are.
+LINE_BYTES = 4 * 1024 * 1024
+
 # State code and FIPS per market segment (Part B leaves XX's FIPS blank,
 # Part D reports 99), and RUCA code per region key (region 4 has none).
 SEGMENT_STATE = {
@@ -55,13 +61,30 @@ def _case_map(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default))
 
 
+def line_partitions(lineitem: DataFrame) -> int:
+    """Partitions of the joined lines, from the bytes of the files: in proportion to the input,
+    so that a task's share, and with it its memory, stays the same as the input grows."""
+    spark = lineitem.sparkSession
+    files = lineitem.inputFiles()
+    return max(1, sum(partitions_for(spark, f, LINE_BYTES, minimum=1) for f in files))
+
+
 def _lines(t: dict) -> DataFrame:
+    """All lines with their order's customer and their part, dealt by customer. Every exchange
+    has the same number of partitions, which adaptive execution does not merge again; rows whose
+    keys are null meet nothing and are not moved."""
+    n = line_partitions(t["lineitem"])
+    by = lambda df, key: df.filter(F.col(key).isNotNull()).repartition(n, key)
     orders = t["orders"].select("o_orderkey", "o_custkey")
     li = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
-                              "l_linestatus")
+                              "l_linestatus").filter(F.col("l_partkey").isNotNull())
     part = t["part"].select("p_partkey", "p_brand", "p_type")
-    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    lines = by(li, "l_orderkey").join(
+        by(orders.filter(F.col("o_custkey").isNotNull()), "o_orderkey"),
+        F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = by(lines, "l_partkey").join(by(part, "p_partkey"),
+                                        F.col("l_partkey") == F.col("p_partkey"))
+    return by(lines, "o_custkey")
 
 
 def _customers(t: dict) -> DataFrame:
