@@ -16,14 +16,20 @@ after an executor loss, see the same partitions. There is no sketch, and no join
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.operators.joins import broadcast_if_small, can_broadcast
 from peerscope.session import ensure_checkpoint_dir
 
+# The counting functions run in Python workers; shipped by value, executors need no package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SUMMARY = ("p int, g long, rows long, first long, first_rows long, last long, last_rows long, "
             "first_null boolean, last_null boolean")
 _COUNTED = "id long, g long, n long"

@@ -26,6 +26,8 @@ from peerscope.session import ensure_checkpoint_dir
 
 # A window task sorting this many rows is still comfortable; bigger groups are split.
 DEFAULT_HOT_ROWS = 5_000_000
+# Rows of hot groups that a task of the split form sorts, about.
+SPLIT_ROWS = 500_000
 
 
 def group_sizes(df: DataFrame, peer) -> DataFrame:
@@ -96,18 +98,24 @@ def _split_rank(warm: DataFrame, peer, measures: dict, min_peers: int, decimals:
     are."""
     spark, k = warm.sparkSession, len(measures)
     ensure_checkpoint_dir(spark)
-    hot = warm.select(*peer).distinct().withColumn("__g", F.monotonically_increasing_id())
-    hot = broadcast_if_small(hot.checkpoint(eager=True), n_hot, row_bytes=128)
+    hot = warm.select(*peer, "_n").distinct().withColumn("__g", F.monotonically_increasing_id())
+    hot = hot.checkpoint(eager=True)
+    # as many partitions as the groups' rows need, whatever the session's number is
+    n_rows, session = hot.agg(F.sum("_n")).first()[0] or 0, int(
+        spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(session, -(-n_rows // SPLIT_ROWS))
+    hot = broadcast_if_small(hot.drop("_n"), n_hot, row_bytes=128)
     rows = join_null_safe(warm, hot, list(peer)).withColumn(
         "__row", F.monotonically_increasing_id()).checkpoint(eager=True)
     long = rows.select("__row", F.col("__g"), F.posexplode(F.array(
         *[e.cast("double") for e in measures.values()])).alias("m", "v")).select(
         (F.col("__g") * k + F.col("m")).alias("g"), "v", F.col("__row").alias("id"))
-    counts = running_counts(long, group_bound=n_hot * k)
-    wide = counts.groupBy(F.col("id").alias("__row")).agg(*[
+    counts = running_counts(long, group_bound=n_hot * k,
+                            parts=max(session, -(-n_rows * k // SPLIT_ROWS)))
+    wide = counts.repartition(parts, "id").groupBy(F.col("id").alias("__row")).agg(*[
         F.max(F.when(F.pmod(F.col("g"), F.lit(k)) == i, F.col("n"))).alias(f"__k{i}")
         for i in range(k)])
-    out = rows.join(wide, "__row")
+    out = rows.repartition(parts, "__row").join(wide, "__row")
     return out.select(*[c for c in warm.columns if c != "_n"], *[
         F.when(F.col("_n") >= min_peers,
                rounded_ratio(F.col(f"__k{i}"), F.col("_n"), decimals)).alias(name)
