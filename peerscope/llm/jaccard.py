@@ -6,8 +6,10 @@
    hash of an equal, non-empty group is a signature that both have. Sets with many empty
    groups also sign these. No similar pair is lost, whatever it has in common.
 3. Pairs from small blocks must pass the count-vector bound. In large blocks no pairs are
-   listed: a search over the count vectors gives a forest that connects just the members
-   which pairs within the bound connect. The components of both are families.
+   listed: blocks with the same least member are one, and a search over the count vectors
+   gives a forest that connects just the members which pairs within the bound connect. It is
+   cut into pieces that hold every member once; across pieces, only members outside of the
+   block's largest component are compared. The components of both are families.
 4. Families are cut into tiles of bounded size. In a tile, a packed R-tree over the count
    vectors bounds overlaps by summed coordinate minima, and surviving pairs in different
    components are verified on the whole sets. First neighbouring tiles are joined; then what
@@ -203,15 +205,16 @@ _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("large", pa.bool_())]
 
 
 def _blocks(batches):
-    """Rows sorted by (sig, kid) -> pairs (a, b) of small blocks, and the members (signature,
-    class) of large ones."""
+    """Rows sorted by (sig, kid) -> pairs (a, b) of small blocks, and the members (least class
+    of the block, class) of large ones. Near copies share many signatures, whose blocks mostly
+    have the same least class: named by it, they are one."""
     def out(a, b, large):
         pair = np.unique(np.stack([a, b], axis=1), axis=0)
         return pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1]),
                                 pa.array(np.full(len(pair), large))], schema=_EDGES)
 
     sig, kid = np.empty(0, np.int64), np.empty(0, np.int64)
-    large = None  # the signature of a large block that goes on
+    large = head = None  # the signature and the least class of a large block that goes on
 
     def close(sig, kid):
         start = np.flatnonzero(np.diff(sig, prepend=sig[0] - 1 if len(sig) else 0))
@@ -225,14 +228,14 @@ def _blocks(batches):
         if a:
             yield out(np.concatenate(a), np.concatenate(b), False)
         for f, s in zip(start[size > SMALL_BLOCK], size[size > SMALL_BLOCK]):
-            yield out(sig[f:f + s], kid[f:f + s], True)
+            yield out(np.full(s, kid[f]), kid[f:f + s], True)
 
     for batch in batches:
         s, k = batch["sig"].to_numpy(), batch["kid"].to_numpy()
         if large is not None:
             same = s == large
             if same.any():
-                yield out(s[same], k[same], True)
+                yield out(np.full(same.sum(), head), k[same], True)
             s, k = s[~same], k[~same]
             if not len(s):
                 continue
@@ -246,7 +249,7 @@ def _blocks(batches):
         cut = np.searchsorted(sig, sig[-1], "left")  # the last block may go on
         if len(sig) - cut > SMALL_BLOCK:
             yield from close(sig, kid)
-            large = sig[-1]
+            large, head = sig[-1], kid[cut]
             sig, kid = sig[:0], kid[:0]
         else:
             yield from close(sig[:cut], kid[:cut])
@@ -366,6 +369,27 @@ def _labelled(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
         name, F.coalesce("__c", "kid")).drop("__c")
 
 
+def _across(wide: DataFrame, points: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Members (head, kid, cut) of blocks in several pieces -> edges across the pieces, given the
+    edges ``near`` within them. What these connect to the block's largest component need not be
+    compared with each other: the rest meets all pieces, the others are repeated only for it."""
+    state = _labelled(wide.select("head", "kid", "cut"), near, "comp")
+    sizes = state.groupBy("head", "comp").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("head").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"))
+    state = materialised(state.join(main, "head").withColumn("left", F.col("comp") != F.col("main")))
+    rests = state.filter("left").groupBy("head").agg(
+        F.ceil(F.count("*") / SEARCH_ROWS).alias("rests"))
+    state = state.join(rests, "head").withColumn("own", F.pmod(F.xxhash64("kid"), F.col("rests")))
+    home = state.select("head", F.col("cut").alias("at")).distinct()
+    asking = state.filter("left").join(home, "head").select(
+        "head", F.col("own").alias("r"), F.col("at").alias("cut"), "kid")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rests") - 1))
+    answering = state.select("head", every.alias("r"), "cut", "kid")
+    return materialised(asking.union(answering).distinct().join(points, "kid")
+                        .groupBy("head", "r", "cut").applyInArrow(
+                            _forest(percent), "a bigint, b bigint"))
+
+
 def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, n_shingles, component_id (the least id that can
@@ -397,16 +421,19 @@ def near_duplicates(df: DataFrame, words_each: int = 4, percent: int = 85,
     sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     close = (edges.filter("NOT large").join(of("a"), "a").join(of("b"), "b").filter(
         sized & _within_bound(percent)("counts_a", "counts_b", "n_a", "n_b")).select("a", "b"))
-    large = edges.filter("large").select(F.col("a").alias("sig"), F.col("b").alias("kid"))
-    cuts = large.groupBy("sig").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("cuts"))
-    own = F.pmod(F.xxhash64("kid"), F.col("cuts"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda j: F.struct(
-        F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
-    loose = (large.join(cuts, "sig").select("sig", "kid", F.explode(meets).alias("meet"))
-             .join(classes.select("kid", "n", "counts"), "kid")
-             .groupBy("sig", "meet").applyInArrow(_forest(percent), "a bigint, b bigint"))
+    # every member of a large block once, in one of the block's pieces
+    large = edges.filter("large").select(F.col("a").alias("head"), F.col("b").alias("kid"))
+    cuts = large.groupBy("head").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("cuts"))
+    large = materialised(large.join(cuts, "head").withColumn(
+        "cut", F.pmod(F.xxhash64("kid"), F.col("cuts"))))
+    points = classes.select("kid", "n", "counts")
+    loose = (large.join(points, "kid").groupBy("head", "cut")
+             .applyInArrow(_forest(percent), "a bigint, b bigint"))
     near = materialised(close.union(loose))
-    del signed, edges, close, large, cuts, meets, loose
+    wide = large.filter("cuts > 1")
+    if not wide.isEmpty():
+        near = near.union(_across(wide, points, near, percent))
+    del signed, edges, close, large, cuts, points, loose, wide
     release(spark)
     family = components(near).toDF("kid", "family")
 

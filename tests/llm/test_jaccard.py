@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,6 +64,36 @@ def test_components_equal_brute_force(spark, monkeypatch, words_each, percent, t
         rows, words_each, percent)
 
 
+def test_large_blocks_repeat_no_member():
+    """Near copies share many signatures: their blocks are one, and each class is in it once,
+    wherever the batches end."""
+    sig = np.repeat(np.arange(50), 1000)
+    kid = np.tile(np.arange(1000) * 7 + 5, 50)
+    for step in (300, 999, 4000):
+        batches = [pa.record_batch({"sig": sig[at:at + step], "kid": kid[at:at + step]})
+                   for at in range(0, len(sig), step)]
+        found = pa.Table.from_batches(jaccard._blocks(iter(batches)))
+        assert all(found["large"].to_pylist())
+        pairs = set(zip(found["a"].to_pylist(), found["b"].to_pylist()))
+        assert pairs == {(5, k) for k in kid[:1000].tolist()}
+
+
+def test_pieces_of_a_block_meet_where_they_are_not_connected(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SEARCH_ROWS", 10)
+    base = np.random.default_rng(3).integers(0, 2**64, 2000, np.uint64)
+    rows, want = [], []
+    for k in range(60):  # three clusters, dealt over six pieces
+        own = np.sort(base[(k % 3) * 600:(k % 3) * 600 + 500 + k // 3])
+        rows.append((1, k, k % 6, len(own), rtree.packed(own)))
+        want.append(k % 3)
+    df = spark.createDataFrame(rows, "head long, kid long, cut long, n long, counts binary")
+    near = spark.createDataFrame([(k, k + 6) for k in range(0, 54, 2)], "a long, b long")
+    found = jaccard._across(df.select("head", "kid", "cut"), df.select("kid", "n", "counts"),
+                            near, 85)
+    got = {r.node: r.component for r in components.components(near.union(found)).collect()}
+    assert [got[k] for k in range(60)] == want
+
+
 def test_null_and_repeated_ids(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(None, text), (7, text), (7, text), (3, text + " more"), (None, "alone here"),
