@@ -221,6 +221,20 @@ def test_state_follows_a_corrected_file(spark, tmp_path):
     assert served() == whole(old)
 
 
+def test_state_holds_a_provider_of_a_group_once(spark, tmp_path):
+    """A row for each provider of a group, not one for each of its measures; a measure without a
+    value is null, not a count."""
+    from peerscope.plans import state
+    from peerscope.schema import PART_D
+    rows = [(2023, f"{i % 4:010d}", "S", "B", f"G{i}", i if i % 4 else None, 2.0)
+            for i in range(12)]
+    state.write_state(_fact_d(spark, rows), PART_D, str(tmp_path), buckets=2)
+    found = spark.read.parquet(f"{tmp_path}/providers").orderBy("npi").collect()
+    assert [r.npi for r in found] == [f"{i:010d}" for i in range(4)]
+    assert [r.n_tot_claims for r in found] == [None, 3, 3, 3]
+    assert [r.n_tot_drug_cost for r in found] == [3] * 4
+
+
 def test_a_lookup_opens_one_directory(spark, tmp_path):
     from peerscope.plans import serve, state
     from peerscope.plans.model import fixture_model
