@@ -20,7 +20,7 @@ from peerscope.operators.brackets import (ACCURACY, bracketed_percentiles, inter
                                           position)
 from peerscope.operators.joins import can_broadcast, join_null_safe
 from peerscope.operators.rank import DEFAULT_HOT_ROWS, group_sizes
-from peerscope.operators.reshape import unpivot_measures
+from peerscope.session import ensure_checkpoint_dir
 
 
 #: Rows of the largest group whose values an aggregation buffer holds (up to 128 groups and
@@ -79,25 +79,33 @@ def _sorted_percentiles(df: DataFrame, keys, values: dict, probs,
     return found.select(*picked)
 
 
-def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, bound: int,
-               accuracy: int) -> DataFrame:
-    """One selection for all measures: the rows are unpivoted and keyed by (group, measure)."""
-    long = unpivot_measures(df, keys, values, name="_m", value="_x", drop_nulls=False)
-    pc = bracketed_percentiles(long, keys + ["_m"], F.col("_x"), probs, accuracy=accuracy,
-                               group_bound=bound * len(values),
-                               extra={"_rows": F.count(F.lit(1))})
-    pick = lambda name, col: F.max(F.when(F.col("_m") == name, F.col(col)))
-    aggs = [F.max("_rows").alias(rows)] if rows else []
-    for name in values:
-        aggs.append(pick(name, "n").alias(f"{name}__n_rows"))
-        aggs += [pick(name, p).alias(f"{name}__{p}") for p, _ in probs]
-    return pc.groupBy(*keys).agg(*aggs)
+def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, hot: DataFrame,
+               bound: int, accuracy: int) -> DataFrame:
+    """One selection for all measures: the rows of the ``hot`` groups become narrow (group and
+    measure, value) rows, a group being its number ``_id``."""
+    k, few = len(values), can_broadcast(bound, row_bytes=128)
+    met = join_null_safe(df.select(*keys, F.array(*[e.cast("double") for e in values.values()])
+                                   .alias("_all")), hot.drop("_n"), keys, broadcast_right=few)
+    long = met.select("_id", F.posexplode("_all").alias("_m", "_x")).select(
+        (F.col("_id") * k + F.col("_m")).alias("_g"), "_x")
+    pc = bracketed_percentiles(long, ["_g"], F.col("_x"), probs, accuracy=accuracy,
+                               group_bound=bound * k)
+    pick = lambda i, col: F.max(F.when(F.pmod("_g", F.lit(k)) == i, F.col(col)))
+    wide = pc.groupBy(F.call_function("div", "_g", F.lit(k)).alias("_of")).agg(*[
+        pick(i, col).alias(f"{name}__{'n_rows' if col == 'n' else col}")
+        for i, name in enumerate(values) for col in ("n", *[p for p, _ in probs])])
+    out = hot.join(F.broadcast(wide) if few else wide, F.col("_id") == F.col("_of"))
+    return out.select(*keys, *([F.col("_n").alias(rows)] if rows else []),
+                      *[c for c in wide.columns if c != "_of"])
 
 
 def large_groups(df: DataFrame, keys, hot_rows: int, map_rows: int = MAP_ROWS):
-    """(groups above ``map_rows`` or ``hot_rows`` rows with their size ``_n``, how many they
-    are, how many are above ``hot_rows``): one aggregate, of which the driver sees two numbers."""
-    sizes = group_sizes(df, keys).filter(F.col("_n") > min(map_rows, hot_rows))
+    """(groups above ``map_rows`` or ``hot_rows`` rows with their size ``_n`` and a number
+    ``_id``, how many they are, how many are above ``hot_rows``): one aggregate, kept in the
+    checkpoint folder, of which the driver sees two numbers."""
+    ensure_checkpoint_dir(df.sparkSession)
+    sizes = group_sizes(df, keys).filter(F.col("_n") > min(map_rows, hot_rows)).withColumn(
+        "_id", F.monotonically_increasing_id()).checkpoint(eager=True)
     n, n_hot = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("_n") > hot_rows)).first()
     return sizes, n, n_hot
 
@@ -119,16 +127,16 @@ def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
     sizes, n, n_hot = large or large_groups(df, keys, hot_rows, map_rows)
     if n == 0:
         return _mapped_percentiles(df, keys, values, probs, rows)
-    meet = lambda how: join_null_safe(df, sizes, keys, how,
-                                      broadcast_right=can_broadcast(n, row_bytes=128))
-    out = _mapped_percentiles(meet("left_anti"), keys, values, probs, rows)
-    more = meet("inner")
+    few = can_broadcast(n, row_bytes=128)
+    meet = lambda how, groups: join_null_safe(df, groups, keys, how,
+                                              broadcast_right=few)
+    out = _mapped_percentiles(meet("left_anti", sizes), keys, values, probs, rows)
     if n > n_hot:
         out = out.unionByName(_sorted_percentiles(
-            more.filter(F.col("_n") <= hot_rows), keys, values, probs, rows))
+            meet("inner", sizes.filter(F.col("_n") <= hot_rows)), keys, values, probs, rows))
     if n_hot:
         out = out.unionByName(_bracketed(
-            more.filter(F.col("_n") > hot_rows), keys, values, probs, rows, n_hot, accuracy))
+            df, keys, values, probs, rows, sizes.filter(F.col("_n") > hot_rows), n_hot, accuracy))
     return out
 
 

@@ -256,3 +256,43 @@ def test_a_lookup_opens_one_directory(spark, tmp_path):
             assert len(found) == 1
             metrics = one._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
             assert metrics.get("numPartitions").get().value() <= 1
+
+
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_cells_rise_with_the_value(spark, accuracy):
+    from peerscope.operators.brackets import cell
+    vals = sorted({s * m * 2.0 ** e for e in range(-1074, 1024, 7) for m in (1.0, 1.3, 1.999)
+                   for s in (-1, 1)} | {0.0, float("inf"), float("-inf"), 5e-324, 1.7e308})
+    rows = [(i, v) for i, v in enumerate([*vals, float("nan"), None])]
+    df = spark.createDataFrame(rows, "i int, v double").select("i", cell(F.col("v"), accuracy).alias("c"))
+    got = [r.c for r in df.orderBy("i").collect()]
+    assert got[-1] is None and got[:-1] == sorted(got[:-1])
+    assert got[-2] == got[-3] > got[-4]
+
+
+def test_large_groups_without_sketches(spark, tmp_path):
+    """Large groups of any values are counted by cells: no sketch, whose buffers were the most of
+    the time, and the first scan's exchange is read again."""
+    rnd = np.random.default_rng(3)
+    data = {"mixed": rnd.normal(0, 1e3, 900), "close": 1e9 + rnd.permutation(800) / 8,
+            "ties": np.repeat([-2.0, 0.0, 7.5], 250), "wide": 10.0 ** rnd.uniform(-300, 300, 700),
+            "small": rnd.normal(0, 1, 20), None: rnd.exponential(1, 300), "none": np.array([])}
+    rows = [(2023, g, float(v), float(-v)) for g, vs in data.items() for v in vs]
+    rows += [(2023, "none", None, 1.0)] * 60
+    spark.createDataFrame(rows, "year int, g string, v double, w double").repartition(5) \
+        .write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = group_percentiles(df, ["year", "g"], {"v": F.col("v"), "w": F.col("w")}, PROBS,
+                            hot_rows=50, rows="rows")
+    got = {r.g: r for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "percentile_approx" not in plan and "ReusedExchange" in plan
+    assert set(got) == set(data)
+    for g, vs in data.items():
+        assert got[g].v__n_rows == len(vs) and got[g]["rows"] == (len(vs) or 60)
+        for name, p in PROBS:
+            if len(vs):
+                assert got[g][f"v__{name}"] == pytest.approx(_np(vs, p), rel=1e-12)
+                assert got[g][f"w__{name}"] == pytest.approx(_np(-vs, p), rel=1e-12)
+            else:
+                assert got[g][f"v__{name}"] is None and got[g][f"w__{name}"] == 1.0
