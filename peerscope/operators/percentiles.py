@@ -2,11 +2,13 @@
 
 * Groups of up to ``MAP_ROWS`` rows: Spark's exact ``percentile`` aggregate, whose buffer holds
   every distinct value of a group.
-* Larger ones are read off sorted runs: one Exchange on the group, one sort and running row
-  number per measure, and of all rows only those at a wanted position are kept (two for each
-  quantile). The sort spills, so a group needs constant memory however many values it has.
-* Groups above ``hot_rows`` rows, which would be one task's, go through bracketed selection
-  (``operators.brackets``), as does the whole-table form, where the one group *is* the table.
+* Larger ones go through bracketed selection (``operators.brackets``), as does the whole-table
+  form, where the one group *is* the table: two scans, added up before the shuffle, so neither a
+  buffer nor a task grows with a group's rows.
+* Where no sizes are probed (``hot_rows=None``), all are read off sorted runs: one Exchange on
+  the group, one sort and running row number per measure, and of all rows only those at a wanted
+  position are kept (two for each quantile). The sort spills, so a group needs constant memory
+  however many values it has.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from peerscope.session import ensure_checkpoint_dir
 
 
 #: Rows of the largest group whose values an aggregation buffer holds (up to 128 groups and
-#: all measures are held at a time), and of the largest that one task sorts.
+#: all measures are held at a time), and a bound above which a group is large in any case.
 MAP_ROWS, PERCENTILE_ROWS = 10_000, DEFAULT_HOT_ROWS
 
 
@@ -79,13 +81,13 @@ def _sorted_percentiles(df: DataFrame, keys, values: dict, probs,
     return found.select(*picked)
 
 
-def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, hot: DataFrame,
+def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, large: DataFrame,
                bound: int, accuracy: int) -> DataFrame:
-    """One selection for all measures: the rows of the ``hot`` groups become narrow (group and
+    """One selection for all measures: the rows of the ``large`` groups become narrow (group and
     measure, value) rows, a group being its number ``_id``."""
     k, few = len(values), can_broadcast(bound, row_bytes=128)
     met = join_null_safe(df.select(*keys, F.array(*[e.cast("double") for e in values.values()])
-                                   .alias("_all")), hot.drop("_n"), keys, broadcast_right=few)
+                                   .alias("_all")), large.drop("_n"), keys, broadcast_right=few)
     long = met.select("_id", F.posexplode("_all").alias("_m", "_x")).select(
         (F.col("_id") * k + F.col("_m")).alias("_g"), "_x")
     pc = bracketed_percentiles(long, ["_g"], F.col("_x"), probs, accuracy=accuracy,
@@ -94,20 +96,19 @@ def _bracketed(df: DataFrame, keys, values: dict, probs, rows: str | None, hot:
     wide = pc.groupBy(F.call_function("div", "_g", F.lit(k)).alias("_of")).agg(*[
         pick(i, col).alias(f"{name}__{'n_rows' if col == 'n' else col}")
         for i, name in enumerate(values) for col in ("n", *[p for p, _ in probs])])
-    out = hot.join(F.broadcast(wide) if few else wide, F.col("_id") == F.col("_of"))
+    out = large.join(F.broadcast(wide) if few else wide, F.col("_id") == F.col("_of"))
     return out.select(*keys, *([F.col("_n").alias(rows)] if rows else []),
                       *[c for c in wide.columns if c != "_of"])
 
 
 def large_groups(df: DataFrame, keys, hot_rows: int, map_rows: int = MAP_ROWS):
     """(groups above ``map_rows`` or ``hot_rows`` rows with their size ``_n`` and a number
-    ``_id``, how many they are, how many are above ``hot_rows``): one aggregate, kept in the
-    checkpoint folder, of which the driver sees two numbers."""
+    ``_id``, how many they are): one aggregate, kept in the checkpoint folder, of which the
+    driver sees one number."""
     ensure_checkpoint_dir(df.sparkSession)
     sizes = group_sizes(df, keys).filter(F.col("_n") > min(map_rows, hot_rows)).withColumn(
         "_id", F.monotonically_increasing_id()).checkpoint(eager=True)
-    n, n_hot = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("_n") > hot_rows)).first()
-    return sizes, n, n_hot
+    return sizes, sizes.count()
 
 
 def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
@@ -124,20 +125,13 @@ def group_percentiles(df: DataFrame, keys, values: dict[str, Column], probs, *,
     keys = list(keys)
     if hot_rows is None:
         return _sorted_percentiles(df, keys, values, probs, rows)
-    sizes, n, n_hot = large or large_groups(df, keys, hot_rows, map_rows)
+    sizes, n = large or large_groups(df, keys, hot_rows, map_rows)
     if n == 0:
         return _mapped_percentiles(df, keys, values, probs, rows)
-    few = can_broadcast(n, row_bytes=128)
-    meet = lambda how, groups: join_null_safe(df, groups, keys, how,
-                                              broadcast_right=few)
-    out = _mapped_percentiles(meet("left_anti", sizes), keys, values, probs, rows)
-    if n > n_hot:
-        out = out.unionByName(_sorted_percentiles(
-            meet("inner", sizes.filter(F.col("_n") <= hot_rows)), keys, values, probs, rows))
-    if n_hot:
-        out = out.unionByName(_bracketed(
-            df, keys, values, probs, rows, sizes.filter(F.col("_n") > hot_rows), n_hot, accuracy))
-    return out
+    rest = join_null_safe(df, sizes, keys, "left_anti",
+                          broadcast_right=can_broadcast(n, row_bytes=128))
+    return _mapped_percentiles(rest, keys, values, probs, rows).unionByName(
+        _bracketed(df, keys, values, probs, rows, sizes, n, accuracy))
 
 
 def global_percentiles(df: DataFrame, value: Column, probs, *,

@@ -394,7 +394,7 @@ def q_measure_distribution(spark, sf):
 
 
 def q_measure_distribution_hot(spark, sf):
-    """measure_distribution with a coarse sketch, so that much is left inside the brackets."""
+    """measure_distribution with coarse cells, so that much is left inside the brackets."""
     return _rounded(profile.measure_distribution(_m(spark, sf).raw_b, _measures_b(),
                                                  accuracy=50))
 

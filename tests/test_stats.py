@@ -296,3 +296,13 @@ def test_large_groups_without_sketches(spark, tmp_path):
                 assert got[g][f"w__{name}"] == pytest.approx(_np(-vs, p), rel=1e-12)
             else:
                 assert got[g][f"v__{name}"] is None and got[g][f"w__{name}"] == 1.0
+
+
+def test_no_task_sorts_a_whole_group(spark):
+    """Groups beyond an aggregation buffer but below ``hot_rows`` are not one task's sort either."""
+    df = spark.range(3000).selectExpr("id % 3 AS g", "cast(id AS double) AS v")
+    out = group_percentiles(df, ["g"], {"v": F.col("v")}, PROBS, hot_rows=5000, map_rows=100)
+    assert "row_number" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        for name, p in PROBS:
+            assert r[f"v__{name}"] == pytest.approx(_np(np.arange(r.g, 3000, 3), p), rel=1e-12)
