@@ -138,6 +138,32 @@ def test_bag_difference_finds_planted_rows(spark):
     assert bag_comparison(left, none).first().only_left == len(rows)
 
 
+@pytest.mark.parametrize("rows", [100, 100_000])
+def test_many_different_rows_are_counted_in_one_reading(spark, tmp_path, monkeypatch, rows):
+    """Where hardly a prefix is equal no further level is looked at; few different rows still
+    go by prefixes. Both count nulls, copies and signed zeros as one difference does."""
+    from peerscope.operators import bagdiff
+    monkeypatch.setattr(bagdiff, "COUNT_ROWS", 10_000)
+    spark.range(50_000).selectExpr("if(id % 7 = 0, null, id % 100) AS key", "id / 2 AS val").union(
+        spark.sql("SELECT 1L, 0.0D")).write.parquet(f"{tmp_path}/a")
+    left = spark.read.parquet(f"{tmp_path}/a")
+    left.filter(f"val * 2 >= {rows} OR val = 0").selectExpr("key", "if(val = 0, -0.0D, val) AS val") \
+        .union(left.filter("val = 24999")).write.parquet(f"{tmp_path}/b")
+    right = spark.read.parquet(f"{tmp_path}/b")
+    out = bagdiff.bag_difference_now(left, right)
+    if rows == 100_000:
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        assert plan.count("FileScan") == 2 and "Join" not in plan and "(__h" in plan
+    want = bagdiff.bag_difference(left, right)
+    assert out.columns == want.columns and out.exceptAll(want).isEmpty()
+    assert want.exceptAll(out).isEmpty() and out.count() == (100 if rows == 100 else 49_998)
+    assert out.agg(F.sum("only_left"), F.sum("only_right")).first() == (
+        (99, 1) if rows == 100 else (49_998, 0))
+    assert bagdiff.bag_difference_now(left, left).isEmpty()
+    none = left.filter("false")
+    assert bagdiff.bag_difference_now(none, none).isEmpty()
+
+
 def test_equal_bags_shuffle_fingerprints_only(spark, tmp_path):
     from peerscope.operators.bagdiff import bag_difference
     spark.range(20_000).selectExpr("id % 100 AS key", "id AS val").write.parquet(f"{tmp_path}/a")

@@ -235,6 +235,47 @@ def test_state_holds_a_provider_of_a_group_once(spark, tmp_path):
     assert [r.n_tot_drug_cost for r in found] == [3] * 4
 
 
+def _scans_and_windows(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    return plan.count("FileScan"), plan.count("Window [")
+
+
+def test_an_update_writes_each_table_once(spark, tmp_path, monkeypatch):
+    """New tables are written beside the old ones and take their place; none is checkpointed and
+    written again, and nothing is left behind."""
+    import os
+
+    from peerscope.plans import state
+    from peerscope.schema import PART_D
+    rows = [(2023, f"{i:010d}", f"S{i % 3}", "B", "G", i, float(i % 17)) for i in range(300)]
+    old, new = (_fact_d(spark, r) for r in (rows, rows[1:] + rows[5:7]))
+    state.write_state(old, PART_D, str(tmp_path), buckets=2)
+    written, pinned = [], []
+    monkeypatch.setattr(state, "_write", lambda df, path: written.append(path))
+    kept = state._pinned
+    monkeypatch.setattr(state, "_pinned", lambda df: pinned.append(df.columns) or kept(df))
+    state.update_state(old, new, PART_D, str(tmp_path), buckets=2)
+    assert written == [] and pinned == [["bucket", "year", "specialty", "brand_name"]]
+    assert sorted(os.listdir(tmp_path)) == ["providers", "stats", "values"]
+    counts = spark.read.parquet(f"{tmp_path}/values").filter("measure = 'tot_claims'")
+    assert counts.agg(F.sum("n")).first()[0] == 301
+    found = state.counted_percentiles(counts, ["specialty"], BREAKPOINTS)
+    assert _scans_and_windows(found)[1] == 1
+
+
+def test_a_whole_fact_is_dealt_by_its_bytes(spark, monkeypatch):
+    from peerscope.plans import model
+    m = model.fixture_model(spark, "/root/testdata/sf0.001")
+    size = model.input_partitions(m.lines_d, 1)
+    monkeypatch.setattr(model, "FACT_BYTES", size // 50)
+    for name, whole in (("part_b", m.fact_b), ("part_d", m.fact_d)):
+        dealt = m.dealt_fact(name)
+        plan = dealt._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+        assert dealt.rdd.getNumPartitions() >= 50
+        assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
 def test_a_lookup_opens_one_directory(spark, tmp_path):
     from peerscope.plans import serve, state
     from peerscope.plans.model import fixture_model
