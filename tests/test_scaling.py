@@ -62,6 +62,33 @@ def test_a_side_of_the_csv_inputs_does_not_write_the_other(spark, monkeypatch):
     assert written == ["Prscrbr_NPI"]
 
 
+def test_a_csv_input_is_packed(spark, monkeypatch):
+    monkeypatch.setattr(registered, "_CACHE", {})
+    path = registered._csv_input(spark, SF, "raw_b")
+    raw, got = fixture_model(spark, SF).raw_b, registered.csvsrc.read_part_b(spark, path)
+    assert got.inputFiles() and all(f.endswith(".csv.gz") for f in got.inputFiles())
+    assert got.exceptAll(raw).isEmpty() and raw.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_large_builds_write_in_turn(spark, tmp_path, monkeypatch, large):
+    """Both stagings, and both facts, of a large input are not on their way at a time, and what
+    one has shuffled is let go before the next."""
+    from peerscope.plans import build as B
+    m, seen, ran = fixture_model(spark, SF).kept, [], B._concurrently
+    monkeypatch.setattr(B, "IN_TURN_BYTES", 0 if large else 1 << 40)
+    monkeypatch.setattr(B, "_concurrently", lambda res, jobs, n: (
+        seen.append(sorted(jobs)), ran(res, jobs, n))[1])
+    monkeypatch.setattr(B, "release", lambda s: seen.append("release"))
+    B.build(spark, m.raw_b, m.raw_d, str(tmp_path), run_checks=False)
+    if large:
+        assert seen[:4] == [["stage_raw_b"], "release", ["stage_raw_d"], "release"]
+        assert seen[-4:] == [["fact_part_d_drug"], "release", ["fact_part_b_service"], "release"]
+    else:
+        assert seen[:2] == [["stage_raw_b", "stage_raw_d"], "release"]
+        assert seen[-2:] == [["fact_part_b_service", "fact_part_d_drug"], "release"]
+
+
 @pytest.mark.parametrize("per_task", [7, 500_000])
 def test_split_ranks_are_dealt_by_the_groups_rows(spark, monkeypatch, per_task):
     monkeypatch.setattr(rank, "SPLIT_ROWS", per_task)
