@@ -263,6 +263,30 @@ def test_an_update_writes_each_table_once(spark, tmp_path, monkeypatch):
     assert _scans_and_windows(found)[1] == 1
 
 
+def test_counts_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    """One shuffle, of a partition for each so many rows, adds up counts of any key, doubles and
+    nulls too; both writers of a state tell how many rows there are."""
+    from peerscope.plans import state
+    from peerscope.schema import PART_D
+    monkeypatch.setattr(state, "COUNT_ROWS", 10)
+    rows = spark.createDataFrame([(None, 0.0, 1), (None, -0.0, 2), ("a", float("nan"), 3),
+                                  ("a", float("nan"), 4)], "k string, v double, n int")
+    found = state._added(rows, ["n"], 115)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and ", 12)" in plan
+    assert sorted(r.n for r in found.collect()) == [3, 7]
+    told, added = [], state._added
+    monkeypatch.setattr(state, "_added", lambda df, sums, n=None: told.append(n) or added(
+        df, sums, n))
+    fact = [(2023, f"{i:010d}", "S", "B", "G", i, 2.0) for i in range(35)]
+    old, new = _fact_d(spark, fact), _fact_d(spark, fact[1:])
+    state.write_state(old, PART_D, str(tmp_path), buckets=2)
+    assert told == [35]
+    state.update_state(old, new, PART_D, str(tmp_path), buckets=2)
+    assert [n for n in told[1:] if n] == [35 + 1 + 34, 35]  # values: of claims, of cost, of both
+    assert spark.read.parquet(f"{tmp_path}/stats").agg(F.max("n_rows")).first()[0] == 34
+
+
 def test_a_whole_fact_is_dealt_by_its_bytes(spark, monkeypatch):
     from peerscope.plans import model
     m = model.fixture_model(spark, "/root/testdata/sf0.001")
